@@ -1,0 +1,132 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from helpers import UTC, base_row, frame
+from stratum.functions.money import Measure
+from stratum.operators import reports, summarize
+
+
+def _tx(spark, rows):
+    return spark.createDataFrame(rows, "event_time timestamp, category string, amount double")
+
+
+def t(sec):
+    return dt.datetime(2026, 1, 1, 0, 0, 0, tzinfo=UTC) + dt.timedelta(seconds=sec)
+
+
+def test_windows_are_half_open_and_epoch_aligned(spark):
+    df = _tx(spark, [(t(0), "a", 1.0), (t(9.999), "a", 2.0), (t(10), "a", 4.0)])
+    out = summarize.category_summary(df, "10 seconds").orderBy("window_start").collect()
+    assert [(r.event_count, r.total_amount) for r in out] == [(2, 3.0), (1, 4.0)]
+    assert out[0].window_start == dt.datetime(2026, 1, 1, 0, 0, 0)
+    assert out[0].window_end == dt.datetime(2026, 1, 1, 0, 0, 10)
+
+
+def test_exact_mean_rounds_half_away_from_zero(spark):
+    df = _tx(spark, [(t(0), "p", 1.00), (t(1), "p", 1.01), (t(0), "n", -1.00), (t(1), "n", -1.01)])
+    out = {r.category: r.average_amount for r in summarize.category_summary(df, "1 minute").collect()}
+    assert out == {"p": 1.01, "n": -1.01}
+
+
+def test_exact_mean_scale_four(spark):
+    df = _tx(spark, [(t(0), "x", 1.29), (t(1), "x", 1.30), (t(2), "x", 1.30)])
+    m = (Measure("r", "avg", "amount", 4),)
+    out = summarize.windowed(df, "event_time", "1 minute", ["category"], m).collect()
+    assert out[0].r == 1.2967
+
+
+def test_double_mode_matches_reference_rounding(spark):
+    df = _tx(spark, [(t(0), "x", 10.0), (t(1), "x", 20.0), (t(2), "x", 30.01)])
+    exact = summarize.category_summary(df, "1 minute").collect()[0]
+    double = summarize.category_summary(df, "1 minute", money="double").collect()[0]
+    assert exact.total_amount == double.total_amount == 60.01
+    assert exact.average_amount == double.average_amount == 20.0
+
+
+def test_null_amounts_are_not_counted_in_mean(spark):
+    df = _tx(spark, [(t(0), "x", None), (t(1), "x", 3.0)])
+    r = summarize.category_summary(df, "1 minute").collect()[0]
+    assert (r.event_count, r.total_amount, r.average_amount) == (2, 3.0, 3.0)
+    df = _tx(spark, [(t(0), "y", None)])
+    r = summarize.category_summary(df, "1 minute").collect()[0]
+    assert r.average_amount is None and r.total_amount is None
+
+
+def test_gold_summary_shape_and_values(spark):
+    rows = [
+        base_row(financed_amount=100.10, monthly_installment=10.0, interest_rate_monthly=1.29),
+        base_row(financed_amount=200.20, monthly_installment=20.01, interest_rate_monthly=1.30,
+                 created_at=dt.datetime(2026, 1, 1, 0, 0, 9, tzinfo=UTC)),
+        base_row(financing_id=None, created_at=dt.datetime(2026, 1, 1, 0, 0, 10, tzinfo=UTC)),
+    ]
+    gold = summarize.gold_summary(frame(spark, rows), "10 seconds").orderBy("window_start").collect()
+    assert len(gold) == 2
+    first = gold[0]
+    assert first.financing_count == 2
+    assert first.total_financed_amount == 300.3
+    assert first.average_monthly_installment == 15.01
+    assert first.average_interest_rate_monthly == 1.295
+    assert gold[1].financing_count == 0  # non-null id count
+
+
+# Golden: gold rows of the 20-event sample and the summary report over them.
+GOLD_SAMPLE = [
+    ("premium", "NORTHEAST", "CAR", "Toyota", "Corolla XEi", 2, 153677.61, 1651.49, 1.615),
+    ("standard", "NORTHEAST", "CAR", "Volkswagen", "T-Cross Comfortline", 2, 154166.51, 2937.26, 1.585),
+    ("mass_market", "NORTHEAST", "MOTORCYCLE", "Honda", "CG 160 Titan", 2, 60621.66, 896.61, 1.95),
+    ("mass_market", "NORTHEAST", "MOTORCYCLE", "Yamaha", "Fazer FZ25", 1, 18602.10, 645.91, 1.95),
+    ("standard", "SOUTH", "CAR", "Volkswagen", "T-Cross Comfortline", 2, 163782.88, 2132.59, 1.42),
+    ("mass_market", "SOUTH", "MOTORCYCLE", "Yamaha", "Fazer FZ25", 1, 95525.00, 4975.26, 1.68),
+    ("premium", "SOUTHEAST", "CAR", "Toyota", "Corolla XEi", 1, 40887.73, 1419.71, 1.39),
+    ("standard", "SOUTHEAST", "CAR", "Volkswagen", "T-Cross Comfortline", 4, 418614.34, 4061.04, 1.65),
+    ("mass_market", "SOUTHEAST", "MOTORCYCLE", "Honda", "CG 160 Titan", 2, 76821.41, 1129.66, 1.715),
+    ("mass_market", "SOUTHEAST", "MOTORCYCLE", "Yamaha", "Fazer FZ25", 3, 277591.05, 3451.22, 1.63),
+]
+SUMMARY_GOLDEN = [
+    ("SOUTHEAST", "CAR", "standard", 4, 418614.34, 4061.04),
+    ("SOUTHEAST", "MOTORCYCLE", "mass_market", 5, 354412.46, 2290.44),
+    ("SOUTH", "CAR", "standard", 2, 163782.88, 2132.59),
+    ("NORTHEAST", "CAR", "standard", 2, 154166.51, 2937.26),
+    ("NORTHEAST", "CAR", "premium", 2, 153677.61, 1651.49),
+    ("SOUTH", "MOTORCYCLE", "mass_market", 1, 95525.00, 4975.26),
+    ("NORTHEAST", "MOTORCYCLE", "mass_market", 3, 79223.76, 771.26),
+    ("SOUTHEAST", "CAR", "premium", 1, 40887.73, 1419.71),
+]
+
+
+def _gold_sample(spark):
+    ws, we = dt.datetime(2026, 9, 18, 23, 34, 20), dt.datetime(2026, 9, 18, 23, 34, 30)
+    return spark.createDataFrame(
+        [(ws, we, *r) for r in GOLD_SAMPLE],
+        "window_start timestamp_ntz, window_end timestamp_ntz, segment string, region string,"
+        " vehicle_type string, vehicle_brand string, vehicle_model string, financing_count long,"
+        " total_financed_amount double, average_monthly_installment double,"
+        " average_interest_rate_monthly double",
+    )
+
+
+def test_summary_report_golden(spark):
+    for money in ("exact", "double"):
+        out = [tuple(r) for r in reports.summary(_gold_sample(spark), money).collect()]
+        assert out == SUMMARY_GOLDEN, money
+
+
+def test_summary_totals_and_windows_reports(spark):
+    gold = _gold_sample(spark)
+    totals = [tuple(r) for r in reports.summary_totals(gold).collect()]
+    assert totals == [r[:5] for r in SUMMARY_GOLDEN]
+    win = reports.windows(gold).collect()
+    assert [r.total_financed_amount for r in win] == sorted((r[6] for r in GOLD_SAMPLE), reverse=True)
+    assert reports.row_count(gold).collect()[0].row_count == 10
+    assert reports.run("ordered", gold).count() == 10
+
+
+def test_weighted_summary_differs_from_unweighted(spark):
+    rows = [base_row(monthly_installment=m, region="SOUTHEAST", vehicle_type="MOTORCYCLE",
+                     segment="mass_market", financing_id=str(i))
+            for i, m in enumerate([1000.0, 1000.0, 1000.0, 4000.0])]
+    out = reports.summary_weighted(frame(spark, rows)).collect()[0]
+    assert out.avg_installment == 1750.0
+    assert out.financing_count == 4
+    assert F is not None
