@@ -31,14 +31,15 @@ CONTRACT_SEED = 42
 CONTRACT_BAD_PERCENT = 5
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _t(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A given table; ``spread`` when heavy per-row work follows the scan."""
     pin_utc(spark)
-    return tables.table(spark, sf_dir, name)
+    return tables.table(spark, sf_dir, name, spread=spread)
 
 
 def fin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Financing events with injected dirt, derived from ``orders``."""
-    return tables.financing(_t(spark, sf_dir, "orders"))
+    return tables.financing(_t(spark, sf_dir, "orders", spread=True))
 
 
 def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,12 +114,12 @@ def q_contract_violations_generated(spark, sf_dir):
 # ---- generators ------------------------------------------------------------
 
 def q_synth_events(spark, sf_dir):
-    events = _t(spark, sf_dir, "events")
+    events = _t(spark, sf_dir, "events", spread=True)
     return _ntz(synthetic.from_counter(tables.counter_rows(events)), "created_at", "event_time")
 
 
 def _contract_events(spark, sf_dir):
-    orders = _t(spark, sf_dir, "orders")
+    orders = _t(spark, sf_dir, "orders", spread=True)
     return synthetic.contract_events(
         orders, "o_orderkey", "o_orderdate", seed=CONTRACT_SEED, bad_percent=CONTRACT_BAD_PERCENT
     )

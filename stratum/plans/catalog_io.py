@@ -58,7 +58,7 @@ def q_bronze_ingest(spark, sf_dir):
 def q_bronze_incremental(spark, sf_dir):
     """Two landings and three runs on one checkpoint: every row exactly once."""
     s = _settings(spark, "bronze-incremental")
-    orders = C._t(spark, sf_dir, "orders")
+    orders = C._t(spark, sf_dir, "orders", spread=True)
     early = F.col("o_orderdate") < F.lit(INCREMENTAL_SPLIT).cast("timestamp_ntz")
     write_jsonl(tables.financing(orders.filter(early)), s.landing_path)
     chain.run_bronze(spark, s)

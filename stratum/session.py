@@ -24,6 +24,15 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Window state is bounded by the watermark (only windows not yet closed are
+# kept), so the default state store suffices; pass these via ``conf`` when a
+# job keeps many open (window, dimension) groups.
+ROCKSDB_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def build_session(
     app: str = "stratum",

@@ -40,14 +40,16 @@ def write_parquet(
 ) -> None:
     """Batch Parquet write.
 
-    ``cluster`` repartitions by the partition columns first so each output
-    directory is written by few tasks (few, large files instead of one small
-    file per task per directory). ``dynamic`` overwrites only the partitions
-    present in ``df``.
+    ``cluster`` rebalances by the partition columns first, so each output
+    directory is written by few tasks (few large files rather than one small
+    file per task per directory). Unlike a hash repartition, the rebalance is
+    re-planned by AQE: a directory holding a third of all rows is split over
+    many tasks instead of landing on one, and small ones are coalesced.
+    ``dynamic`` overwrites only the partitions present in ``df``.
     """
     writer_df = df
     if partition_by and cluster:
-        writer_df = df.repartition(*[F.col(c) for c in partition_by])
+        writer_df = df.hint("rebalance", *partition_by)
     writer = writer_df.write.mode(mode)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")

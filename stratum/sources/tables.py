@@ -11,8 +11,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if spread else df
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has task slots.
+
+    A Parquet file splits only at row-group boundaries, so a small table
+    written as one row group is read by one task and every narrow operator
+    after it (rule chains, generators, JSON landing) runs on one core. Only
+    then is a round-robin exchange added; a large table already has at least
+    one split per slot and is left untouched (no shuffle). Column pruning
+    and filter pushdown still reach the scan below the exchange.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
 
 
 def transactions(events: DataFrame) -> DataFrame:
