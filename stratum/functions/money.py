@@ -30,15 +30,21 @@ class Measure:
 
     kind: ``count`` (non-null count of ``column``; ``*`` counts rows),
     ``sum`` or ``avg``. ``in_scale`` is the number of decimals the input is
-    known to carry (used by the exact mode), ``scale`` the output decimals.
+    known to carry (used by the exact mode), ``scale`` the output decimals;
+    ``scale=None`` leaves a double result unrounded (exact mode keeps the
+    input scale, which is already exact).
     """
 
     name: str
     kind: str
     column: str
-    scale: int = 2
+    scale: int | None = 2
     in_scale: int = 2
 
+    @property
+    def out_scale(self) -> int:
+        return self.in_scale if self.scale is None else self.scale
+
 
 def _units(column: str, in_scale: int) -> Column:
     return F.round(F.col(column) * (10 ** in_scale)).cast("decimal(38,0)")
@@ -51,7 +57,8 @@ def partial_columns(m: Measure, mode: str) -> list[Column]:
         return [F.count(target).alias(m.name)]
     if mode == "double":
         fn = F.sum if m.kind == "sum" else F.avg
-        return [F.round(fn(F.col(m.column)), m.scale).alias(m.name)]
+        value = fn(F.col(m.column))
+        return [(value if m.scale is None else F.round(value, m.scale)).alias(m.name)]
     if mode != "exact":
         raise ValueError(f"unknown money mode {mode!r}")
     cols = [F.sum(_units(m.column, m.in_scale)).alias(f"__{m.name}_s")]
@@ -65,14 +72,12 @@ def final_column(m: Measure, mode: str) -> Column:
     if m.kind == "count" or mode == "double":
         return F.col(m.name)
     s = F.col(f"__{m.name}_s")
+    if m.out_scale < m.in_scale:
+        raise ValueError("exact measures keep the input scale or more")
     if m.kind == "sum":
-        if m.scale < m.in_scale:
-            raise ValueError("exact sums keep the input scale or more")
         return (s.cast("double") / float(10 ** m.in_scale)).alias(m.name)
     n = F.col(f"__{m.name}_n")
-    if m.scale < m.in_scale:
-        raise ValueError("exact means keep the input scale or more")
-    return exact_mean(s, n, m.scale - m.in_scale, m.scale).alias(m.name)
+    return exact_mean(s, n, m.out_scale - m.in_scale, m.out_scale).alias(m.name)
 
 
 def exact_mean(units_sum: Column, count: Column, shift: int, scale: int) -> Column:

@@ -30,7 +30,8 @@ def summary(gold: DataFrame, money: str = "exact", with_average: bool = True,
 
     ``round_total=False`` keeps the raw double sum of totals (double mode).
     """
-    measures = [Measure("total_financed_amount", "sum", "total_financed_amount", 2)]
+    measures = [Measure("total_financed_amount", "sum", "total_financed_amount",
+                        2 if round_total else None)]
     if with_average:
         measures.append(Measure("avg_installment", "avg", "average_monthly_installment", 2))
     counted = gold.groupBy(*REPORT_DIMS).agg(
@@ -38,9 +39,6 @@ def summary(gold: DataFrame, money: str = "exact", with_average: bool = True,
         *[c for m in measures for c in partial_columns(m, money)],
     )
     out = counted.select(*REPORT_DIMS, "financing_count", *[final_column(m, money) for m in measures])
-    if not round_total and money == "double":
-        raw = gold.groupBy(*REPORT_DIMS).agg(F.sum("total_financed_amount").alias("total_financed_amount"))
-        out = out.drop("total_financed_amount").join(raw, list(REPORT_DIMS))
     return out.orderBy(F.desc("total_financed_amount"), *REPORT_DIMS)
 
 

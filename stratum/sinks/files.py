@@ -116,6 +116,34 @@ def replay_safe_batch_writer(
     return write
 
 
+def write_split(
+    classified: DataFrame,
+    reason: str,
+    valid_path: str,
+    invalid_path: str,
+    *,
+    mode: str = "append",
+    valid_partitions: Sequence[str] = (),
+    invalid_partitions: Sequence[str] = (),
+) -> None:
+    """Batch fan-out of a classified frame into its valid and rejected layers.
+
+    The classified rows are persisted (memory, spilling to disk) so the
+    source is scanned and classified once for both writes; a lost executor
+    only means its cached blocks are recomputed from the source.
+    """
+    from pyspark import StorageLevel
+
+    classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_parquet(classified.filter(F.col(reason).isNull()).drop(reason), valid_path,
+                      mode=mode, partition_by=valid_partitions)
+        write_parquet(classified.filter(F.col(reason).isNotNull()), invalid_path,
+                      mode=mode, partition_by=invalid_partitions)
+    finally:
+        classified.unpersist()
+
+
 def read_layer(spark: SparkSession, path: str, schema=None, columns: Sequence[str] | None = None) -> DataFrame:
     """Read a layer back; declared schema avoids inference, columns restore order."""
     reader = spark.read

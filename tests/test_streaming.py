@@ -174,3 +174,20 @@ def test_table_stream_reads_only_named_table(spark, tmp_root):
     jobs.await_all([jobs.start_category_summary(spark, tables.transactions(events), s)])
     total = read_layer(spark, s.summary.path).agg(F.sum("event_count")).collect()[0][0]
     assert 0 < total <= 1000
+
+
+def test_batch_write_split_conserves_rows(spark, tmp_root):
+    from helpers import frame
+    from stratum.functions.rules import silver_rules
+    from stratum.operators import validate
+    from stratum.sinks.files import write_split
+
+    rows = [base_row(financing_id=None), base_row(region="XX"), base_row(), base_row(region="NORTH")]
+    classified = validate.classify(frame(spark, rows), silver_rules())
+    write_split(classified, validate.REASON, tmp_root + "/ok", tmp_root + "/bad",
+                valid_partitions=("region",))
+    ok = spark.read.parquet(tmp_root + "/ok")
+    bad = spark.read.parquet(tmp_root + "/bad")
+    assert ok.count() == 2 and bad.count() == 2
+    assert sorted(r.region for r in ok.collect()) == ["NORTH", "SOUTH"]
+    assert sorted(r.validation_reason for r in bad.collect()) == ["bad_region", "missing_id"]

@@ -130,3 +130,11 @@ def test_weighted_summary_differs_from_unweighted(spark):
     assert out.avg_installment == 1750.0
     assert out.financing_count == 4
     assert F is not None
+
+
+def test_raw_total_variant_in_double_mode(spark):
+    gold = _gold_sample(spark)
+    raw = reports.summary(gold, "double", round_total=False).collect()
+    rounded = reports.summary(gold, "double").collect()
+    assert [round(r.total_financed_amount, 2) for r in raw] == [r.total_financed_amount for r in rounded]
+    assert [r.avg_installment for r in raw] == [r.avg_installment for r in rounded]
