@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,27 +65,35 @@ def merge_into(
 ) -> None:
     """MERGE ``updates`` into the Parquet table at ``target`` on ``key``.
 
-    Only partitions present in ``updates`` are read (a semi-join on the
-    partition columns lets dynamic partition pruning skip the others) and
-    rewritten (dynamic partition overwrite). The merged rows are staged in
-    the shared checkpoint folder first, because a table cannot be overwritten
-    by a plan that still reads it.
+    With ``partition_by``, only partitions present in ``updates`` are read (a
+    semi-join on the partition columns lets dynamic partition pruning skip
+    the others) and rewritten with dynamic partition overwrite, which writes
+    to a job staging folder and swaps partitions in only when every task has
+    finished reading. An unpartitioned table is rewritten whole, from merged
+    rows staged in the shared checkpoint folder first, because a plain
+    overwrite would delete the files the plan still reads.
     """
     if order_col is not None:
         updates = latest_per_key(updates, key, order_col).drop(order_col)
     if not _exists(spark, target):
         write_parquet(updates, target, mode="overwrite", partition_by=partition_by)
         return
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    current = reader.parquet(target).select(*updates.columns)
-    if partition_by:
-        touched = updates.select(*partition_by).distinct()
-        current = current.join(touched, on=[current[c].eqNullSafe(touched[c]) for c in partition_by],
-                               how="left_semi")
-    merged = upsert(current, updates, key)
-    staged = scratch(spark, "merge-stage")
-    merged.write.mode("overwrite").parquet(staged)
-    write_parquet(
-        spark.read.parquet(staged), target, mode="overwrite",
-        partition_by=partition_by, dynamic=bool(partition_by),
-    )
+    # The updates feed three branches (touched partitions, anti-join keys,
+    # union); computing them once bounds the cost to one evaluation.
+    updates = updates.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        current = reader.parquet(target).select(*updates.columns)
+        if partition_by:
+            touched = updates.select(*partition_by).distinct()
+            current = current.join(
+                touched, on=[current[c].eqNullSafe(touched[c]) for c in partition_by], how="left_semi"
+            )
+            write_parquet(upsert(current, updates, key), target, mode="overwrite",
+                          partition_by=partition_by, dynamic=True)
+            return
+        staged = scratch(spark, "merge-stage")
+        upsert(current, updates, key).write.mode("overwrite").parquet(staged)
+        write_parquet(spark.read.parquet(staged), target, mode="overwrite")
+    finally:
+        updates.unpersist()

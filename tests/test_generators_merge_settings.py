@@ -133,3 +133,19 @@ def test_warehouse_rows_use_sentinel_and_decimals(spark):
     assert row.segment == warehouse.NULL_KEY
     assert str(row.total_financed_amount) == "10.01"
     assert str(row.average_interest_rate_monthly) == "1.2346"
+
+
+def test_merge_into_unpartitioned_target(spark, tmp_root):
+    target = tmp_root + "/flat"
+    merge_into(spark, target, spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), ["k"])
+    merge_into(spark, target, spark.createDataFrame([("b", 20), ("c", 30)], "k string, v int"), ["k"])
+    out = sorted(tuple(r) for r in spark.read.parquet(target).collect())
+    assert out == [("a", 1), ("b", 20), ("c", 30)]
+
+
+def test_merge_into_resolves_duplicate_updates_by_order(spark, tmp_root):
+    target = tmp_root + "/dups"
+    upd = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("b", 5, 1)], "k string, v int, seq int")
+    merge_into(spark, target, upd, ["k"], order_col="seq")
+    out = sorted(tuple(r) for r in spark.read.parquet(target).collect())
+    assert out == [("a", 2), ("b", 5)]
