@@ -12,6 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def require_layers(spark: SparkSession, paths: Mapping[str, str]) -> None:
+    """Fail loudly when a layer the audit expects was never written."""
+    from stratum.operators.merge import _exists
+
+    missing = [name for name, path in paths.items() if not _exists(spark, path)]
+    if missing:
+        raise RuntimeError(f"missing layers: {', '.join(missing)}")
+
+
 def layer_rows(name: str, df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(name).alias("layer"),
