@@ -85,12 +85,12 @@ def _through_silver(spark, sf_dir, name) -> Settings:
 
 def q_silver_stream(spark, sf_dir):
     s = _through_silver(spark, sf_dir, "silver-stream")
-    return _financing_cols(read_layer(spark, s.silver.path))
+    return _financing_cols(chain.read_silver(spark, s))
 
 
 def q_quarantine(spark, sf_dir):
     s = _through_silver(spark, sf_dir, "quarantine")
-    q = read_layer(spark, s.quarantine.path)
+    q = chain.read_quarantine(spark, s)
     return _ntz(q.select(*schemas.FINANCING_COLUMNS, validate.REASON), "created_at")
 
 
@@ -104,7 +104,7 @@ def q_gold_stream_closed(spark, sf_dir):
 
 def q_gold_snapshot(spark, sf_dir):
     s = _settings(spark, "gold-snapshot")
-    write_parquet(C.silver_of(spark, sf_dir), s.silver.path, mode="overwrite")
+    chain.write_silver_batch(spark, s, C.fin(spark, sf_dir), mode="overwrite")
     chain.run_snapshot(spark, s)
     return chain.read_gold(spark, s.gold.path)
 
@@ -120,8 +120,8 @@ def q_layer_audit(spark, sf_dir):
     chain.run_chain(spark, s)
     layers = {
         "bronze": read_layer(spark, s.bronze.path),
-        "silver": read_layer(spark, s.silver.path),
-        "quarantine": read_layer(spark, s.quarantine.path),
+        "silver": chain.read_silver(spark, s),
+        "quarantine": chain.read_quarantine(spark, s),
         "gold": chain.read_gold(spark, s.gold.path),
     }
     return audit.audit(spark, layers)

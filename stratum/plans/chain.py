@@ -12,6 +12,7 @@ from __future__ import annotations
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratum import schemas
 from stratum.operators import summarize
@@ -35,10 +36,32 @@ def run_gold(spark: SparkSession, settings: Settings, live: bool = False) -> Non
     jobs.await_all([jobs.start_gold(spark, settings, live, extra)], _timeout(settings, live))
 
 
+def read_refined(spark: SparkSession, settings: Settings, quality: str) -> DataFrame:
+    refined = read_layer(spark, settings.silver.path, schemas.REFINED)
+    return refined.filter(F.col(schemas.QUALITY_COLUMN) == quality)
+
+
+def read_silver(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Accepted rows (partition-pruned to ``quality=valid``), contract columns."""
+    return read_refined(spark, settings, schemas.QUALITY_VALID).select(*schemas.FINANCING_COLUMNS)
+
+
+def read_quarantine(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Rejected rows with provenance and the first violated rule."""
+    return read_refined(spark, settings, schemas.QUALITY_REJECTED).select(*schemas.QUARANTINE_COLUMNS)
+
+
+def write_silver_batch(spark: SparkSession, settings: Settings, bronze: DataFrame, mode: str = "append") -> None:
+    """Batch twin of the silver stream: same classification, same layout."""
+    cols = {c: F.lit(None).cast(t) for c, t in (("source_file", "string"), ("ingestion_time", "timestamp"),
+                                               (schemas.CORRUPT_COLUMN, "string")) if c not in bronze.columns}
+    write_parquet(jobs.refine(bronze.withColumns(cols), strict=settings.strict_nulls), settings.silver.path,
+                  mode=mode, partition_by=(schemas.QUALITY_COLUMN,))
+
+
 def gold_snapshot(spark: SparkSession, settings: Settings) -> DataFrame:
     """Batch gold over all of silver, including windows still open."""
-    silver = read_layer(spark, settings.silver.path, schemas.FINANCING, schemas.FINANCING_COLUMNS)
-    return summarize.gold_summary(silver, settings.window, money=settings.money)
+    return summarize.gold_summary(read_silver(spark, settings), settings.window, money=settings.money)
 
 
 def run_snapshot(spark: SparkSession, settings: Settings) -> None:

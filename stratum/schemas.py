@@ -74,6 +74,19 @@ BRONZE = StructType(
 
 # Raw JSON text of lines that did not parse is kept next to the typed columns.
 CORRUPT_COLUMN = "_corrupt_record"
+BRONZE_COLUMNS = FINANCING_COLUMNS + ("source_file", "ingestion_time", CORRUPT_COLUMN)
+
+# The refined layer keeps accepted and rejected rows side by side, told
+# apart by the ``quality`` partition (``valid`` / ``rejected``).
+REASON_COLUMN = "validation_reason"
+QUALITY_COLUMN = "quality"
+QUALITY_VALID = "valid"
+QUALITY_REJECTED = "rejected"
+REFINED = StructType(
+    BRONZE.fields
+    + _fields(f"{CORRUPT_COLUMN} string, {REASON_COLUMN} string, {QUALITY_COLUMN} string")
+)
+QUARANTINE_COLUMNS = BRONZE_COLUMNS + (REASON_COLUMN,)
 
 # Rows produced by the counter-driven generator (one per counter value).
 COUNTER_EVENT_COLUMNS = (

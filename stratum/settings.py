@@ -41,7 +41,6 @@ class Settings:
     runtime_seconds: int = 30
     max_files_per_trigger: int = 0          # 0 = no per-batch file cap
     gold_partitions: tuple[str, ...] = ("segment", "region", "vehicle_type")
-    quarantine_partitions: tuple[str, ...] = ()
     valid_partitions: tuple[str, ...] = ("region",)
     money: str = "exact"                     # "exact" (integer cents) or "double"
     strict_nulls: bool = False               # null dimension values violate rules
@@ -70,10 +69,13 @@ class Settings:
 
     @property
     def silver(self) -> Layer:
+        """Refined rows, partitioned by ``quality`` = valid / rejected."""
         return self._layer("silver")
 
     @property
     def quarantine(self) -> Layer:
+        """Batch-only reject folder (the streaming silver keeps rejects in
+        its own ``quality=rejected`` partition)."""
         return self._layer("quarantine")
 
     @property

@@ -18,7 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from stratum import schemas
-from stratum.functions.rules import transaction_rules
+from stratum.functions import normalize
+from stratum.functions.rules import silver_rules, transaction_rules
 from stratum.operators import summarize, validate
 from stratum.settings import Settings
 from stratum.sinks.files import prepare_layer, replay_safe_batch_writer, start_parquet_stream
@@ -85,21 +86,38 @@ def start_bronze(spark: SparkSession, settings: Settings, live: bool = False) ->
     )
 
 
+def refine(bronze: DataFrame, strict: bool = False) -> DataFrame:
+    """Normalise and classify bronze rows; tag each ``quality`` valid/rejected."""
+    classified = validate.classify(normalize.clean(bronze), silver_rules(), strict=strict)
+    return classified.withColumn(
+        schemas.QUALITY_COLUMN,
+        F.when(F.col(validate.REASON).isNull(), F.lit(schemas.QUALITY_VALID))
+        .otherwise(F.lit(schemas.QUALITY_REJECTED)),
+    )
+
+
 def start_silver(spark: SparkSession, settings: Settings, live: bool = False) -> list[StreamingQuery]:
-    """Silver and quarantine: two exactly-once file sinks over the bronze stream.
+    """Silver and its quarantine in one pass over bronze.
 
-    Each sink is its own query so both keep the file-sink commit log that
-    downstream streams rely on; the price is that each reads bronze.
+    One exactly-once file sink partitioned by ``quality``: bronze is read
+    once per micro-batch, accepted and rejected rows commit together in the
+    sink log, and downstream streams read the log, never a half-written batch.
     """
     prepare_layer(spark, settings.bronze.path)
     bronze = layer_stream(spark, settings.bronze.path, BRONZE_SCHEMA, settings.max_files_per_trigger)
-    silver, rejects = validate.to_silver(bronze, strict=settings.strict_nulls, with_rejects=True)
-    q1 = start_parquet_stream(silver, settings.silver.path, settings.silver.checkpoint,
-                              trigger=_trigger(settings, live))
-    q2 = start_parquet_stream(rejects, settings.quarantine.path, settings.quarantine.checkpoint,
-                              partition_by=settings.quarantine_partitions,
-                              trigger=_trigger(settings, live))
-    return [q1, q2]
+    refined = refine(bronze, strict=settings.strict_nulls)
+    return [start_parquet_stream(refined, settings.silver.path, settings.silver.checkpoint,
+                                 partition_by=(schemas.QUALITY_COLUMN,),
+                                 trigger=_trigger(settings, live))]
+
+
+def silver_stream(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Accepted silver rows as a stream (the contract's 19 columns)."""
+    prepare_layer(spark, settings.silver.path)
+    refined = layer_stream(spark, settings.silver.path, schemas.REFINED, settings.max_files_per_trigger)
+    return refined.filter(F.col(schemas.QUALITY_COLUMN) == schemas.QUALITY_VALID).select(
+        *schemas.FINANCING_COLUMNS
+    )
 
 
 def start_gold(
@@ -109,8 +127,7 @@ def start_gold(
     extra_sinks: Sequence[Callable[[DataFrame, int], None]] = (),
 ) -> StreamingQuery:
     """Watermarked window summary of silver; each closed window is emitted once."""
-    prepare_layer(spark, settings.silver.path)
-    silver = layer_stream(spark, settings.silver.path, schemas.FINANCING, settings.max_files_per_trigger)
+    silver = silver_stream(spark, settings)
     gold = summarize.gold_summary(silver, settings.window, watermark=settings.watermark,
                                   money=settings.money)
     writer = replay_safe_batch_writer(

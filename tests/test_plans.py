@@ -78,3 +78,16 @@ def test_audit_has_no_cross_join(spark):
     rows = {r.layer: r.row_count for r in out.collect()}
     assert rows["reconcile:bronze-silver-quarantine"] == 0
     assert rows["reconcile:silver_ids-gold_count"] == 7
+
+
+def test_silver_read_prunes_to_valid_partition(spark, tmp_root):
+    from helpers import base_row, frame
+    from stratum.plans import chain
+    from stratum.settings import Settings
+
+    s = Settings(root=tmp_root)
+    chain.write_silver_batch(spark, s, frame(spark, [base_row(), base_row(region="XX")]))
+    p = plan(chain.read_silver(spark, s), "simple")
+    assert "PartitionFilters: [isnotnull(quality" in p and "(quality#" in p
+    assert chain.read_silver(spark, s).count() == 1
+    assert chain.read_quarantine(spark, s).count() == 1

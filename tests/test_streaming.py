@@ -23,6 +23,7 @@ ARROW = pa.schema(
 
 def _silver_files(path, batches):
     """One Parquet file per batch, modification times in batch order."""
+    path = os.path.join(path, "quality=valid")
     os.makedirs(path, exist_ok=True)
     now = time.time() - 1000
     for i, times in enumerate(batches):
@@ -120,9 +121,11 @@ def test_malformed_lines_keep_raw_text_and_reach_quarantine(spark, tmp_root):
     assert by_id["NR"].region is None
     assert by_id["T"].created_at is None
     quarantine = {(r.financing_id, r.validation_reason)
-                  for r in read_layer(spark, s.quarantine.path).collect()}
+                  for r in chain.read_quarantine(spark, s).collect()}
     assert quarantine == {(None, "missing_id"), ("T", "missing_created_at")}
-    silver_ids = sorted(r[0] for r in read_layer(spark, s.silver.path).select("financing_id").collect())
+    raw = chain.read_quarantine(spark, s).filter(F.col("financing_id").isNull()).collect()[0]
+    assert raw["_corrupt_record"] == "{broken" and raw["source_file"].endswith("m.jsonl")
+    silver_ids = sorted(r[0] for r in chain.read_silver(spark, s).select("financing_id").collect())
     assert silver_ids == ["NR", "OK", "Q", "X", "Y"]
 
 
@@ -153,8 +156,8 @@ def test_chain_reconciles(spark, tmp_root):
 
     layers = {
         "bronze": read_layer(spark, s.bronze.path),
-        "silver": read_layer(spark, s.silver.path),
-        "quarantine": read_layer(spark, s.quarantine.path),
+        "silver": chain.read_silver(spark, s),
+        "quarantine": chain.read_quarantine(spark, s),
         "gold": chain.read_gold(spark, s.gold.path),
     }
     rows = {r.layer: r.row_count for r in audit.audit(spark, layers).collect()}
@@ -207,7 +210,7 @@ def test_stream_equals_batch_on_closed_windows_and_rerun_is_idempotent(spark):
     first = rows(streamed)
     chain.run_gold(spark, s)  # same checkpoint, no new files: nothing changes
     assert rows(read_layer(spark, s.gold_stream.path).select(*schemas.GOLD_COLUMNS)) == first
-    silver = read_layer(spark, s.silver.path)
+    silver = chain.read_silver(spark, s)
     horizon = silver.agg(F.max("created_at")).collect()[0][0]
     import datetime as _dt
 
