@@ -90,3 +90,39 @@ def exact_mean(units_sum: Column, count: Column, shift: int, scale: int) -> Colu
     quotient = F.call_function("div", numerator, count * 2)
     signed = F.when(units_sum < 0, -quotient).otherwise(quotient)
     return F.when(count > 0, signed.cast("double") / float(10 ** scale))
+
+
+# ---------------------------------------------------------------------------
+# Mergeable partials: measures kept as sums and counts so partial results of
+# different batches can be added later (incremental summaries).
+# ---------------------------------------------------------------------------
+
+def mergeable_names(m: Measure) -> list[str]:
+    if m.kind == "count":
+        return [m.name]
+    return [f"__{m.name}_s"] + ([f"__{m.name}_n"] if m.kind == "avg" else [])
+
+
+def mergeable_columns(m: Measure, mode: str) -> list[Column]:
+    """Aggregates whose values add up across batches."""
+    if m.kind == "count" or mode == "exact":
+        return partial_columns(m, "exact")
+    if mode != "double":
+        raise ValueError(f"unknown money mode {mode!r}")
+    cols = [F.sum(F.col(m.column)).alias(f"__{m.name}_s")]
+    if m.kind == "avg":
+        cols.append(F.count(F.col(m.column)).alias(f"__{m.name}_n"))
+    return cols
+
+
+def remerge_columns(m: Measure) -> list[Column]:
+    """Aggregates that add partials of the same key together."""
+    return [F.sum(F.col(c)).alias(c) for c in mergeable_names(m)]
+
+
+def final_from_mergeable(m: Measure, mode: str) -> Column:
+    if m.kind == "count" or mode == "exact":
+        return final_column(m, "exact")
+    s = F.col(f"__{m.name}_s")
+    value = s if m.kind == "sum" else s / F.col(f"__{m.name}_n")
+    return (value if m.scale is None else F.round(value, m.scale)).alias(m.name)

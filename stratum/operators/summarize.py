@@ -17,7 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from stratum import schemas
-from stratum.functions.money import Measure, final_column, partial_columns
+from stratum.functions.money import (
+    Measure,
+    final_column,
+    final_from_mergeable,
+    mergeable_columns,
+    mergeable_names,
+    partial_columns,
+    remerge_columns,
+)
 
 GOLD_MEASURES = (
     Measure("financing_count", "count", "financing_id"),
@@ -100,3 +108,51 @@ def category_summary(
         df = df.select(*[F.col(k).alias(v) for k, v in renames.items()])
     return windowed(df, "event_time", every, ["category"], CATEGORY_MEASURES,
                     watermark=watermark, money=money)
+
+
+# ---- incremental summaries ---------------------------------------------------
+
+def windowed_partials(
+    df: DataFrame,
+    time_col: str,
+    every: str,
+    dims: Sequence[str],
+    measures: Sequence[Measure],
+    *,
+    money: str = "exact",
+) -> DataFrame:
+    """Per-window sums and counts of one batch of rows, ready to be added to
+    the partials of other batches (no watermark: late rows count too)."""
+    parts = [c for m in measures for c in mergeable_columns(m, money)]
+    agg = df.groupBy(F.window(F.col(time_col), every).alias("window"), *dims).agg(*parts)
+    return agg.select(
+        F.col("window.start").cast(TimestampNTZType()).alias("window_start"),
+        F.col("window.end").cast(TimestampNTZType()).alias("window_end"),
+        *dims,
+        *[n for m in measures for n in mergeable_names(m)],
+    )
+
+
+def merge_partials(partials: DataFrame, dims: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """Add partials of the same (window, dims) key: partial/final hash aggregate."""
+    return partials.groupBy("window_start", "window_end", *dims).agg(
+        *[c for m in measures for c in remerge_columns(m)]
+    )
+
+
+def finalize_partials(
+    merged: DataFrame, dims: Sequence[str], measures: Sequence[Measure], money: str = "exact"
+) -> DataFrame:
+    return merged.select(
+        "window_start", "window_end", *dims, *[final_from_mergeable(m, money) for m in measures]
+    )
+
+
+def gold_partials(silver: DataFrame, every: str, *, money: str = "exact") -> DataFrame:
+    return windowed_partials(silver, "created_at", every, schemas.GOLD_DIMENSIONS, GOLD_MEASURES,
+                             money=money)
+
+
+def gold_from_partials(partials: DataFrame, *, money: str = "exact") -> DataFrame:
+    merged = merge_partials(partials, schemas.GOLD_DIMENSIONS, GOLD_MEASURES)
+    return finalize_partials(merged, schemas.GOLD_DIMENSIONS, GOLD_MEASURES, money)

@@ -115,6 +115,20 @@ def q_medallion_chain(spark, sf_dir):
     return chain.read_gold(spark, s.gold.path)
 
 
+def q_gold_incremental(spark, sf_dir):
+    """Two landings, each folded into mergeable partials; the result must
+    equal the full recompute over all of silver."""
+    s = _settings(spark, "gold-incremental")
+    orders = C._t(spark, sf_dir, "orders", spread=True)
+    early = F.col("o_orderdate") < F.lit(INCREMENTAL_SPLIT).cast("timestamp_ntz")
+    for part in (orders.filter(early), orders.filter(~early)):
+        write_jsonl(tables.financing(part), s.landing_path)
+        chain.run_bronze(spark, s)
+        chain.run_silver(spark, s)
+        chain.run_snapshot_incremental(spark, s)
+    return chain.read_gold(spark, s.gold.path)
+
+
 def q_layer_audit(spark, sf_dir):
     s = _landed(spark, sf_dir, "audit")
     chain.run_chain(spark, s)
@@ -213,6 +227,7 @@ def queries() -> dict:
         "gold_snapshot": q_gold_snapshot,
         "medallion_chain": q_medallion_chain,
         "layer_audit": q_layer_audit,
+        "gold_incremental": q_gold_incremental,
         "gold_upsert": q_gold_upsert,
         "report_summary": q_report_summary,
         "report_summary_totals": q_report_summary_totals,

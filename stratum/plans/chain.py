@@ -76,6 +76,24 @@ def run_snapshot(spark: SparkSession, settings: Settings) -> None:
         warehouse.reload(spark, read_gold(spark, settings.gold.path), settings)
 
 
+def run_gold_partials(spark: SparkSession, settings: Settings, live: bool = False) -> None:
+    jobs.await_all([jobs.start_gold_partials(spark, settings, live)], _timeout(settings, live))
+
+
+def incremental_gold(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Gold from the accumulated partials: work grows with the partials
+    (one row per window and dimension set per batch), not with silver."""
+    partials = read_layer(spark, settings.gold_partials.path)
+    return summarize.gold_from_partials(partials, money=settings.money)
+
+
+def run_snapshot_incremental(spark: SparkSession, settings: Settings) -> None:
+    """Fold new silver files into the partials, then rewrite gold from them."""
+    run_gold_partials(spark, settings)
+    write_parquet(incremental_gold(spark, settings), settings.gold.path, mode="overwrite",
+                  partition_by=settings.gold_partitions)
+
+
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     return read_layer(spark, path, schemas.GOLD, schemas.GOLD_COLUMNS)
 
@@ -112,6 +130,7 @@ STAGES = {
     "silver": run_silver,
     "gold": lambda spark, s: (run_gold(spark, s), run_snapshot(spark, s)),
     "snapshot": run_snapshot,
+    "snapshot_incremental": run_snapshot_incremental,
     "chain": run_chain,
     "fanout": run_quality_fanout,
 }

@@ -80,6 +80,7 @@ def oracle_sql() -> dict[str, str]:
         "gold_stream_closed": with_base(closed(gold_select("silver", C.GOLD_WINDOW), "created_at", "silver")),
         "gold_snapshot": g + "SELECT * FROM gold",
         "medallion_chain": g + "SELECT * FROM gold",
+        "gold_incremental": g + "SELECT * FROM gold",
         "layer_audit": audit_sql,
         "gold_upsert": upsert,
         "report_summary": g + (

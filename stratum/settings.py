@@ -88,6 +88,11 @@ class Settings:
     def gold(self) -> Layer:
         return self._layer("gold")
 
+    @property
+    def gold_partials(self) -> Layer:
+        """Mergeable per-batch window sums for the incremental snapshot."""
+        return self._layer("gold_partials")
+
     @property
     def valid(self) -> Layer:
         return self._layer("valid_transactions")

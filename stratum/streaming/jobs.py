@@ -22,7 +22,12 @@ from stratum.functions import normalize
 from stratum.functions.rules import silver_rules, transaction_rules
 from stratum.operators import summarize, validate
 from stratum.settings import Settings
-from stratum.sinks.files import prepare_layer, replay_safe_batch_writer, start_parquet_stream
+from stratum.sinks.files import (
+    prepare_layer,
+    replay_safe_batch_writer,
+    start_parquet_stream,
+    write_parquet,
+)
 from stratum.sources import synthetic
 
 LANDING_SCHEMA = StructType(
@@ -142,6 +147,27 @@ def start_gold(
     )
 
 
+def start_gold_partials(spark: SparkSession, settings: Settings, live: bool = False) -> StreamingQuery:
+    """Incremental gold: each new silver micro-batch becomes mergeable
+    window partials under ``batch_id=<n>`` (a replay overwrites its own
+    folder). No watermark: a late row is added to its window, never dropped.
+    """
+    silver = silver_stream(spark, settings)
+    path, every, money = settings.gold_partials.path, settings.window, settings.money
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        partials = summarize.gold_partials(batch, every, money=money)
+        write_parquet(partials.withColumn("batch_id", F.lit(batch_id)), path, mode="overwrite",
+                      partition_by=("batch_id",), dynamic=True, cluster=False)
+
+    return (
+        silver.writeStream.foreachBatch(write)
+        .option("checkpointLocation", settings.gold_partials.checkpoint)
+        .trigger(**_trigger(settings, live))
+        .start()
+    )
+
+
 def start_category_summary(
     spark: SparkSession, transactions: DataFrame, settings: Settings, live: bool = False
 ) -> StreamingQuery:
@@ -173,8 +199,6 @@ def start_quality_fanout(
             if batch.isEmpty():
                 return
             tagged = batch.withColumn("batch_id", F.lit(batch_id))
-            from stratum.sinks.files import write_parquet
-
             write_parquet(tagged.filter(F.col(validate.REASON).isNull()).drop(validate.REASON),
                           valid_path, mode="overwrite", partition_by=("batch_id", *partitions),
                           dynamic=True)

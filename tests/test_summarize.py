@@ -138,3 +138,25 @@ def test_raw_total_variant_in_double_mode(spark):
     rounded = reports.summary(gold, "double").collect()
     assert [round(r.total_financed_amount, 2) for r in raw] == [r.total_financed_amount for r in rounded]
     assert [r.avg_installment for r in raw] == [r.avg_installment for r in rounded]
+
+
+def test_partials_of_batches_add_up_to_the_full_summary(spark):
+    rows = [base_row(financing_id=str(i), financed_amount=100.0 + i * 0.01,
+                     monthly_installment=10.0 + (i % 3) * 0.01, interest_rate_monthly=1.29 + (i % 5) / 100,
+                     region=("SOUTH", "NORTH")[i % 2],
+                     created_at=dt.datetime(2026, 1, 1, 0, 0, (i * 7) % 60, tzinfo=UTC))
+            for i in range(40)]
+    full = frame(spark, rows)
+    for money in ("exact", "double"):
+        expected = sorted(tuple(r) for r in summarize.gold_summary(full, "10 seconds", money=money).collect())
+        # three "batches"; the last one carries rows for windows already seen (late data)
+        parts = [summarize.gold_partials(frame(spark, rows[a:b]), "10 seconds", money=money)
+                 for a, b in ((0, 15), (15, 30), (30, 40))]
+        union = parts[0].unionByName(parts[1]).unionByName(parts[2])
+        got = sorted(tuple(r) for r in summarize.gold_from_partials(union, money=money).collect())
+        if money == "exact":
+            assert got == expected
+        else:
+            assert [g[:8] for g in got] == [e[:8] for e in expected]
+            for g, e in zip(got, expected):
+                assert abs(g[8] - e[8]) <= 0.01 and abs(g[9] - e[9]) <= 0.0001
