@@ -39,7 +39,14 @@ class Settings:
     watermark: str = "30 seconds"
     trigger: str = "5 seconds"
     runtime_seconds: int = 30
-    max_files_per_trigger: int = 0          # 0 = no per-batch file cap
+    # Files per micro-batch for the stateless stages (landing -> bronze ->
+    # silver): a backfill commits progress in bounded batches, so a failure
+    # only repeats the batch in flight. 0 = no cap.
+    max_files_per_trigger: int = 1000
+    # Files per micro-batch for the watermarked gold stream. Its output
+    # depends on batching (a row older than the previous batch's watermark is
+    # dropped), so the default reads all new files in one batch.
+    gold_max_files_per_trigger: int = 0
     gold_partitions: tuple[str, ...] = ("segment", "region", "vehicle_type")
     valid_partitions: tuple[str, ...] = ("region",)
     money: str = "exact"                     # "exact" (integer cents) or "double"

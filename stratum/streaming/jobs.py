@@ -116,10 +116,11 @@ def start_silver(spark: SparkSession, settings: Settings, live: bool = False) ->
                                  trigger=_trigger(settings, live))]
 
 
-def silver_stream(spark: SparkSession, settings: Settings) -> DataFrame:
+def silver_stream(spark: SparkSession, settings: Settings, max_files: int | None = None) -> DataFrame:
     """Accepted silver rows as a stream (the contract's 19 columns)."""
     prepare_layer(spark, settings.silver.path)
-    refined = layer_stream(spark, settings.silver.path, schemas.REFINED, settings.max_files_per_trigger)
+    cap = settings.max_files_per_trigger if max_files is None else max_files
+    refined = layer_stream(spark, settings.silver.path, schemas.REFINED, cap)
     return refined.filter(F.col(schemas.QUALITY_COLUMN) == schemas.QUALITY_VALID).select(
         *schemas.FINANCING_COLUMNS
     )
@@ -132,7 +133,7 @@ def start_gold(
     extra_sinks: Sequence[Callable[[DataFrame, int], None]] = (),
 ) -> StreamingQuery:
     """Watermarked window summary of silver; each closed window is emitted once."""
-    silver = silver_stream(spark, settings)
+    silver = silver_stream(spark, settings, settings.gold_max_files_per_trigger)
     gold = summarize.gold_summary(silver, settings.window, watermark=settings.watermark,
                                   money=settings.money)
     writer = replay_safe_batch_writer(
@@ -199,11 +200,14 @@ def start_quality_fanout(
             if batch.isEmpty():
                 return
             tagged = batch.withColumn("batch_id", F.lit(batch_id))
-            write_parquet(tagged.filter(F.col(validate.REASON).isNull()).drop(validate.REASON),
-                          valid_path, mode="overwrite", partition_by=("batch_id", *partitions),
-                          dynamic=True)
-            write_parquet(tagged.filter(F.col(validate.REASON).isNotNull()),
-                          invalid_path, mode="overwrite", partition_by=("batch_id",), dynamic=True)
+            valid = tagged.filter(F.col(validate.REASON).isNull()).drop(validate.REASON)
+            invalid = tagged.filter(F.col(validate.REASON).isNotNull())
+            # Emptiness checks run on the cached batch, so an all-valid batch
+            # costs no write job and leaves no empty folder behind.
+            for rows, path, parts in ((valid, valid_path, ("batch_id", *partitions)),
+                                      (invalid, invalid_path, ("batch_id",))):
+                if not rows.isEmpty():
+                    write_parquet(rows, path, mode="overwrite", partition_by=parts, dynamic=True)
         finally:
             batch.unpersist()
 

@@ -39,7 +39,7 @@ def at(h, m, s):
 
 
 def _gold_counts(spark, tmp_root, batches):
-    s = Settings(root=tmp_root, window="10 seconds", watermark="30 seconds", max_files_per_trigger=1)
+    s = Settings(root=tmp_root, window="10 seconds", watermark="30 seconds", gold_max_files_per_trigger=1)
     _silver_files(s.silver.path, batches)
     chain.run_gold(spark, s)
     out = read_layer(spark, s.gold_stream.path).orderBy("window_start").collect()
