@@ -6,7 +6,7 @@ Two modes:
   data product's original behaviour (half-up on the decimal text of a double
   whose summation order depends on the plan).
 * ``"exact"`` - inputs are turned into integer units (cents), summed as
-  ``decimal(38,0)`` (exact, order independent, no overflow below 10^38) and
+  decimals (exact, order independent, no overflow below 10^28) and
   the mean is rounded half away from zero with integer division. Results do
   not depend on partitioning and match a NUMERIC warehouse column.
 
@@ -47,7 +47,10 @@ class Measure:
 
 
 def _units(column: str, in_scale: int) -> Column:
-    return F.round(F.col(column) * (10 ** in_scale)).cast("decimal(38,0)")
+    # decimal(18,0) per row (|x| < 10^16 at two decimals) keeps the row value
+    # long-backed; the sum widens to decimal(28,0), so even a group holding a
+    # third of 100 TB of rows cannot overflow, unlike a bigint sum of cents.
+    return F.round(F.col(column) * (10 ** in_scale)).cast("decimal(18,0)")
 
 
 def partial_columns(m: Measure, mode: str) -> list[Column]:
