@@ -36,20 +36,25 @@ def write_parquet(
     mode: str = "append",
     partition_by: Sequence[str] = (),
     dynamic: bool = False,
-    cluster: bool = True,
+    cluster: str | bool = "rebalance",
 ) -> None:
     """Batch Parquet write.
 
-    ``cluster`` rebalances by the partition columns first, so each output
-    directory is written by few tasks (few large files rather than one small
-    file per task per directory). Unlike a hash repartition, the rebalance is
-    re-planned by AQE: a directory holding a third of all rows is split over
-    many tasks instead of landing on one, and small ones are coalesced.
+    ``cluster="rebalance"`` (default) groups rows by the partition columns
+    first, so each output directory is written by few tasks (few large files
+    rather than one small file per task per directory). Unlike a hash
+    repartition the rebalance is re-planned by AQE: a directory holding a
+    third of all rows is split over many tasks, small ones are coalesced.
+    ``cluster="hash"`` is a plain hash repartition on the partition columns,
+    for plans where AQE is unavailable (stateful micro-batches) and the
+    input is bounded; ``False`` writes as partitioned.
     ``dynamic`` overwrites only the partitions present in ``df``.
     """
     writer_df = df
-    if partition_by and cluster:
+    if partition_by and cluster == "rebalance":
         writer_df = df.hint("rebalance", *partition_by)
+    elif partition_by and cluster == "hash":
+        writer_df = df.repartition(*[F.col(c) for c in partition_by])
     writer = writer_df.write.mode(mode)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
@@ -93,7 +98,9 @@ def replay_safe_batch_writer(
     A replayed batch overwrites exactly its own directory (dynamic partition
     overwrite), so a retry after a failure never duplicates rows. The batch is
     persisted once, skipped when empty, and handed to ``extra`` sinks (e.g. a
-    warehouse merge) without being recomputed.
+    warehouse merge) without being recomputed. Streaming disables AQE for
+    stateful queries, so the (aggregated, watermark-bounded) batch is
+    clustered with a hash repartition on the partition columns.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -107,6 +114,7 @@ def replay_safe_batch_writer(
                 mode="overwrite",
                 partition_by=("batch_id", *partition_by),
                 dynamic=True,
+                cluster="hash",
             )
             for sink in extra:
                 sink(batch, batch_id)
