@@ -239,3 +239,26 @@ def test_require_layers(spark, tmp_root):
 
     with pytest.raises(RuntimeError, match="gold"):
         require_layers(spark, {"gold": tmp_root + "/nope"})
+
+
+def test_generated_contract_events_through_the_chain(spark, tmp_root):
+    import glob
+
+    from stratum.sinks.files import write_jsonl
+    from stratum.sources import synthetic
+
+    s = Settings(root=tmp_root, window="1 day")
+    keys = spark.range(0, 400).select(
+        F.col("id").alias("k"), F.lit("2026-01-01").cast("timestamp_ntz").alias("d"))
+    events = synthetic.contract_events(keys, "k", "d")
+    write_jsonl(events, s.landing_path)
+    line = open(sorted(glob.glob(os.path.join(s.landing_path, "*.json")))[0]).readline()
+    created = json.loads(line)["created_at"]
+    assert created.startswith("2026-01-01T") and created.endswith("Z") and len(created) == 27
+    chain.run_chain(spark, s)
+    negative = events.filter(F.col("financed_amount") < 0).count()
+    reasons = {r.validation_reason for r in chain.read_quarantine(spark, s).collect()}
+    assert chain.read_quarantine(spark, s).count() == negative and reasons <= {"nonpositive_amount"}
+    assert chain.read_silver(spark, s).count() == 400 - negative
+    gold = chain.read_gold(spark, s.gold.path)
+    assert gold.agg(F.sum("financing_count")).collect()[0][0] == 400 - negative
