@@ -64,6 +64,33 @@ def reason_profile(invalid: DataFrame, reason: str = REASON) -> DataFrame:
     return invalid.groupBy(reason).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def reason_profiles(df: DataFrame, rule_sets: dict[str, tuple[Sequence[Rule], bool]],
+                    *, strict: bool = False) -> DataFrame:
+    """Rejection profile of several rule sets in one pass over ``df``.
+
+    ``rule_sets`` maps a name to ``(rules, normalise_first)``. Sets on raw
+    values are evaluated first, then the dimensions are normalised in place
+    and the remaining sets evaluated; Catalyst collapses the steps into one
+    projection over one scan. ``inline`` turns each row's reasons into
+    ``(rule_set, validation_reason)`` pairs and one partial/final aggregate
+    counts them.
+    """
+    ordered = sorted(rule_sets.items(), key=lambda item: item[1][1])  # raw sets first
+    tagged, cleaned = df, False
+    for name, (rules, normalise_first) in ordered:
+        if normalise_first and not cleaned:
+            tagged, cleaned = normalize.clean(tagged), True
+        tagged = tagged.withColumn(f"__reason_{name}", first_violation(rules, strict))
+    pairs = tagged.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("rule_set"), F.col(f"__reason_{name}").alias(REASON))
+        for name in rule_sets
+    ])))
+    return (
+        pairs.filter(F.col(REASON).isNotNull())
+        .groupBy("rule_set", REASON).agg(F.count(F.lit(1)).alias("row_count"))
+    )
+
+
 def contract_check(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Every violated contract rule per row: array, joined text and count."""
     return df.withColumns(

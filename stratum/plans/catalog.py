@@ -15,7 +15,7 @@ from pyspark.sql.types import TimestampNTZType
 
 from stratum import schemas
 from stratum.functions import normalize
-from stratum.functions.rules import contract_rules
+from stratum.functions.rules import contract_rules, silver_rules, transaction_rules
 from stratum.operators import summarize, validate
 from stratum.session import pin_utc
 from stratum.sources import synthetic, tables
@@ -89,12 +89,10 @@ def q_validate_invalid(spark, sf_dir):
 
 
 def q_reason_counts(spark, sf_dir):
-    _, t_invalid = validate.validate_transactions(fin(spark, sf_dir))
-    _, s_invalid = validate.to_silver(fin(spark, sf_dir), with_rejects=True)
-    return (
-        validate.reason_profile(t_invalid).withColumn("rule_set", F.lit("transaction"))
-        .unionByName(validate.reason_profile(s_invalid).withColumn("rule_set", F.lit("silver")))
-    )
+    return validate.reason_profiles(fin(spark, sf_dir), {
+        "transaction": (transaction_rules(), False),
+        "silver": (silver_rules(), True),
+    })
 
 
 def q_silver_batch(spark, sf_dir):

@@ -124,3 +124,15 @@ def test_reason_profile(spark):
     _, invalid = validate.validate_transactions(frame(spark, rows))
     got = {r[0]: r[1] for r in validate.reason_profile(invalid).collect()}
     assert got == {"missing_id": 2, "bad_region": 1}
+
+
+def test_reason_profiles_one_pass_matches_separate_profiles(spark):
+    rows = [base_row(**changes) for _, changes, _, _ in VALIDATION_CASES]
+    df = frame(spark, rows)
+    got = {(r.rule_set, r.validation_reason): r.row_count for r in validate.reason_profiles(
+        df, {"transaction": (transaction_rules(), False), "silver": (silver_rules(), True)}).collect()}
+    _, t_bad = validate.validate_transactions(df)
+    _, s_bad = validate.to_silver(df, with_rejects=True)
+    want = {("transaction", r[0]): r[1] for r in validate.reason_profile(t_bad).collect()}
+    want.update({("silver", r[0]): r[1] for r in validate.reason_profile(s_bad).collect()})
+    assert got == want
