@@ -53,6 +53,38 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return os.path.exists(path)
 
 
+# Up to this many touched partitions are turned into a static partition
+# filter (pruned when the scan is planned); beyond it an exact semi-join on
+# the partition columns selects the rows instead.
+MAX_PRUNED_PARTITIONS = 1000
+
+
+def _touched_partitions(current: DataFrame, updates: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of ``current`` in partitions that ``updates`` touch.
+
+    The distinct partition tuples of the updates are a set bounded by the
+    table's partition count, so they are fetched (at most
+    ``MAX_PRUNED_PARTITIONS + 1`` rows) and become a null-safe partition
+    filter: the scan lists and reads only those directories. A larger set
+    falls back to a semi-join, which reads every partition but stays exact.
+    """
+    touched = updates.select(*partition_by).distinct()
+    keys = touched.limit(MAX_PRUNED_PARTITIONS + 1).collect()
+    if len(keys) <= MAX_PRUNED_PARTITIONS:
+        if not keys:
+            return current.limit(0)
+        cond = None
+        for key in keys:
+            match = None
+            for c, v in zip(partition_by, key):
+                term = F.col(c).eqNullSafe(F.lit(v))
+                match = term if match is None else match & term
+            cond = match if cond is None else cond | match
+        return current.filter(cond)
+    return current.join(touched, on=[current[c].eqNullSafe(touched[c]) for c in partition_by],
+                        how="left_semi")
+
+
 def merge_into(
     spark: SparkSession,
     target: str,
@@ -65,9 +97,9 @@ def merge_into(
 ) -> None:
     """MERGE ``updates`` into the Parquet table at ``target`` on ``key``.
 
-    With ``partition_by``, only partitions present in ``updates`` are read (a
-    semi-join on the partition columns lets dynamic partition pruning skip
-    the others) and rewritten with dynamic partition overwrite, which writes
+    With ``partition_by``, only partitions present in ``updates`` are read
+    (see :func:`_touched_partitions`) and rewritten with dynamic partition
+    overwrite, which writes
     to a job staging folder and swaps partitions in only when every task has
     finished reading. An unpartitioned table is rewritten whole, from merged
     rows staged in the shared checkpoint folder first, because a plain
@@ -85,10 +117,7 @@ def merge_into(
         reader = spark.read.schema(schema) if schema is not None else spark.read
         current = reader.parquet(target).select(*updates.columns)
         if partition_by:
-            touched = updates.select(*partition_by).distinct()
-            current = current.join(
-                touched, on=[current[c].eqNullSafe(touched[c]) for c in partition_by], how="left_semi"
-            )
+            current = _touched_partitions(current, updates, partition_by)
             write_parquet(upsert(current, updates, key), target, mode="overwrite",
                           partition_by=partition_by, dynamic=True)
             return

@@ -91,3 +91,16 @@ def test_silver_read_prunes_to_valid_partition(spark, tmp_root):
     assert "PartitionFilters: [isnotnull(quality" in p and "(quality#" in p
     assert chain.read_silver(spark, s).count() == 1
     assert chain.read_quarantine(spark, s).count() == 1
+
+
+def test_merge_reads_only_touched_partitions(spark, tmp_root):
+    from stratum.operators.merge import _touched_partitions
+
+    target = tmp_root + "/t"
+    spark.range(200).selectExpr("id AS k", "concat('p', id % 20) AS part", "id AS v") \
+        .write.partitionBy("part").parquet(target)
+    current = spark.read.schema("k long, v long, part string").parquet(target)
+    updates = spark.createDataFrame([(1, "p1", 9), (2, "p2", 9), (3, None, 9)], "k long, part string, v long")
+    p = plan(_touched_partitions(current, updates, ["part"]), "simple")
+    assert "PartitionFilters: [" in p and "<=> p1" in p
+    assert _touched_partitions(current, updates, ["part"]).count() == 20
