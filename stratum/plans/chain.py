@@ -65,13 +65,16 @@ def gold_snapshot(spark: SparkSession, settings: Settings) -> DataFrame:
 
 
 def run_snapshot(spark: SparkSession, settings: Settings) -> None:
-    """Overwrite the partitioned gold snapshot, then reload the warehouse from it.
+    """Rewrite the partitioned gold snapshot, then reload the warehouse from it.
 
-    The warehouse is loaded from the written snapshot, so the aggregate is
-    computed once.
+    Silver only grows, so the new snapshot's partitions are a superset of
+    the old ones and a dynamic partition overwrite replaces all of them; it
+    swaps partitions in only after every task succeeded, so a failed run
+    leaves the previous snapshot readable instead of an emptied folder. The
+    warehouse is loaded from the written snapshot (the aggregate runs once).
     """
     write_parquet(gold_snapshot(spark, settings), settings.gold.path, mode="overwrite",
-                  partition_by=settings.gold_partitions)
+                  partition_by=settings.gold_partitions, dynamic=True)
     if settings.jdbc_url:
         warehouse.reload(spark, read_gold(spark, settings.gold.path), settings)
 
@@ -91,7 +94,7 @@ def run_snapshot_incremental(spark: SparkSession, settings: Settings) -> None:
     """Fold new silver files into the partials, then rewrite gold from them."""
     run_gold_partials(spark, settings)
     write_parquet(incremental_gold(spark, settings), settings.gold.path, mode="overwrite",
-                  partition_by=settings.gold_partitions)
+                  partition_by=settings.gold_partitions, dynamic=True)
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
