@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from stratum import schemas
 from stratum.functions import normalize
 from stratum.functions.rules import contract_rules, silver_rules, transaction_rules
 from stratum.operators import summarize, validate
@@ -148,4 +147,4 @@ def queries() -> dict[str, Query]:
     return out
 
 
-__all__ = ["queries", "fin", "silver_of", "schemas"]
+__all__ = ["queries", "fin", "silver_of"]

@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from stratum import schemas
-from stratum.functions.rules import transaction_rules
 from stratum.operators import audit, reports, summarize, validate
 from stratum.plans import catalog as C
 from stratum.plans import chain
 from stratum.session import scratch
 from stratum.settings import Settings
-from stratum.sinks.files import read_layer, write_jsonl, write_parquet
+from stratum.sinks.files import read_layer, write_jsonl
 from stratum.sources import tables
 from stratum.streaming import jobs
 
@@ -241,4 +240,4 @@ def queries() -> dict:
     }
 
 
-__all__ = ["queries", "transaction_rules"]
+__all__ = ["queries"]
