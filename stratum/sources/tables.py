@@ -16,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     return ensure_parallelism(df) if spread else df
 
 
+# A spread input gets at most this many partitions: enough for any local or
+# small job, and a few-megabyte file on a thousand-executor cluster is not
+# cut into thousands of tasks (a round-robin split by number is not
+# coalesced by AQE).
+MAX_SPREAD = 64
+
+
 def ensure_parallelism(df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has task slots.
 
@@ -26,7 +33,7 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     one split per slot and is left untouched (no shuffle). Column pruning
     and filter pushdown still reach the scan below the exchange.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
+    slots = min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
     if df.rdd.getNumPartitions() < slots:
         return df.repartition(slots)
     return df
