@@ -3,7 +3,8 @@
 ``run_chain`` waits for bronze to drain before silver starts, and for silver
 before gold, then writes the batch snapshot that closes the windows the
 watermark still holds open. Every stage raises on failure (nothing is
-swallowed). ``python -m stratum.plans.chain <stage>`` is the spark-submit
+swallowed) and pins the session time zone to UTC, so window bounds and
+landed timestamps mean the same instant in batch and streaming runs. ``python -m stratum.plans.chain <stage>`` is the spark-submit
 entry point; settings come from ``STRATUM_*`` environment variables.
 """
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from stratum import schemas
 from stratum.operators import summarize
 from stratum.operators.merge import merge_into
+from stratum.session import pin_utc
 from stratum.settings import Settings
 from stratum.sinks import warehouse
 from stratum.sinks.files import read_layer, write_parquet
@@ -24,14 +26,17 @@ from stratum.streaming import jobs
 
 
 def run_bronze(spark: SparkSession, settings: Settings, live: bool = False) -> None:
+    pin_utc(spark)
     jobs.await_all([jobs.start_bronze(spark, settings, live)], _timeout(settings, live))
 
 
 def run_silver(spark: SparkSession, settings: Settings, live: bool = False) -> None:
+    pin_utc(spark)
     jobs.await_all(jobs.start_silver(spark, settings, live), _timeout(settings, live))
 
 
 def run_gold(spark: SparkSession, settings: Settings, live: bool = False) -> None:
+    pin_utc(spark)
     extra = [warehouse.batch_upsert_sink(settings)] if settings.jdbc_url else []
     jobs.await_all([jobs.start_gold(spark, settings, live, extra)], _timeout(settings, live))
 
@@ -61,6 +66,7 @@ def write_silver_batch(spark: SparkSession, settings: Settings, bronze: DataFram
 
 def gold_snapshot(spark: SparkSession, settings: Settings) -> DataFrame:
     """Batch gold over all of silver, including windows still open."""
+    pin_utc(spark)
     return summarize.gold_summary(read_silver(spark, settings), settings.window, money=settings.money)
 
 
@@ -80,6 +86,7 @@ def run_snapshot(spark: SparkSession, settings: Settings) -> None:
 
 
 def run_gold_partials(spark: SparkSession, settings: Settings, live: bool = False) -> None:
+    pin_utc(spark)
     jobs.await_all([jobs.start_gold_partials(spark, settings, live)], _timeout(settings, live))
 
 
@@ -120,6 +127,7 @@ def run_quality_fanout(spark: SparkSession, settings: Settings, counter: DataFra
     """Counter stream (``rate`` by default) -> valid / invalid / summary sinks."""
     from stratum.sources import synthetic
 
+    pin_utc(spark)
     source = counter if counter is not None else synthetic.rate_stream(spark, settings.rows_per_second)
     jobs.await_all(jobs.start_quality_fanout(spark, source, settings, live), _timeout(settings, live))
 
