@@ -226,13 +226,20 @@ def start_quality_fanout(
 
 
 def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None) -> None:
-    """Wait for each query in order; stop survivors; surface the first error."""
+    """Wait for each query in order; stop survivors; surface the first error.
+
+    With ``timeout_s`` all queries share one deadline (a bounded live run),
+    otherwise each available-now query runs until it has drained its input.
+    """
+    import time
+
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
     try:
         for query in queries:
-            if timeout_s is None:
+            if deadline is None:
                 query.awaitTermination()
             else:
-                query.awaitTermination(timeout_s)
+                query.awaitTermination(max(0.0, deadline - time.monotonic()))
     finally:
         for query in queries:
             if query.isActive:
