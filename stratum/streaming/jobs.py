@@ -239,7 +239,7 @@ def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None)
             if deadline is None:
                 query.awaitTermination()
             else:
-                query.awaitTermination(max(0.0, deadline - time.monotonic()))
+                query.awaitTermination(max(0.001, deadline - time.monotonic()))
     finally:
         for query in queries:
             if query.isActive:
