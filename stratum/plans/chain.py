@@ -136,6 +136,39 @@ def _timeout(settings: Settings, live: bool):
     return settings.runtime_seconds if live else None
 
 
+def run_report(spark: SparkSession, settings: Settings, name: str = "summary") -> DataFrame:
+    """A named report over the gold snapshot (``summary``, ``windows``, ...)."""
+    from stratum.operators import reports
+
+    return reports.run(name, read_gold(spark, settings.gold.path))
+
+
+def run_audit(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Layer row/column counts and reconciliation; fails if a layer is missing."""
+    from stratum.operators import audit
+
+    audit.require_layers(spark, {"bronze": settings.bronze.path, "silver": settings.silver.path,
+                                 "gold": settings.gold.path})
+    return audit.audit(spark, {
+        "bronze": read_layer(spark, settings.bronze.path),
+        "silver": read_silver(spark, settings),
+        "quarantine": read_quarantine(spark, settings),
+        "gold": read_gold(spark, settings.gold.path),
+    })
+
+
+def run_generate(spark: SparkSession, settings: Settings, n: str = "20", day: str = "") -> None:
+    """Land ``n`` contract-shaped events as new JSON-lines files."""
+    import datetime as dt
+
+    from stratum.sinks.files import write_jsonl
+    from stratum.sources import synthetic
+
+    day = day or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d")
+    pin_utc(spark)
+    write_jsonl(synthetic.contract_events_for_range(spark, int(n), day), settings.landing_path)
+
+
 STAGES = {
     "bronze": run_bronze,
     "silver": run_silver,
@@ -144,22 +177,29 @@ STAGES = {
     "snapshot_incremental": run_snapshot_incremental,
     "chain": run_chain,
     "fanout": run_quality_fanout,
+    "generate": run_generate,
+    "report": lambda spark, s, name="summary": run_report(spark, s, name).show(1000, truncate=False),
+    "audit": lambda spark, s: run_audit(spark, s).show(truncate=False),
 }
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
+    """``<stage> [args...]``; a given session is used and left running."""
     from stratum.session import build_session
 
     argv = sys.argv[1:] if argv is None else argv
-    stage = argv[0] if argv else "chain"
+    stage, args = (argv[0], argv[1:]) if argv else ("chain", [])
     if stage not in STAGES:
         raise SystemExit(f"unknown stage {stage!r}; choose from {sorted(STAGES)}")
     settings = Settings.from_env()
-    spark = build_session(f"stratum-{stage}", conf=settings.spark_conf())
+    own = spark is None
+    if own:
+        spark = build_session(f"stratum-{stage}", conf=settings.spark_conf())
     try:
-        STAGES[stage](spark, settings)
+        STAGES[stage](spark, settings, *args)
     finally:
-        spark.stop()
+        if own:
+            spark.stop()
 
 
 if __name__ == "__main__":

@@ -136,3 +136,14 @@ def contract_events(
         F.lit("BRL").alias("currency"),
         created.alias("created_at"),
     )
+
+
+def contract_events_for_range(spark: SparkSession, n: int, day: str, *, seed: int = 42,
+                              bad_percent: int = 5) -> DataFrame:
+    """``n`` contract-shaped events with ids ``1..n`` on ``day`` (landing-file producer)."""
+    if n <= 0:
+        raise ValueError("the number of events must be positive")
+    keys = spark.range(1, n + 1).select(
+        F.col("id").alias("event_key"), F.lit(day).cast("timestamp_ntz").alias("event_day")
+    )
+    return contract_events(keys, "event_key", "event_day", seed=seed, bad_percent=bad_percent)

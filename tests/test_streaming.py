@@ -262,3 +262,23 @@ def test_generated_contract_events_through_the_chain(spark, tmp_root):
     assert chain.read_silver(spark, s).count() == 400 - negative
     gold = chain.read_gold(spark, s.gold.path)
     assert gold.agg(F.sum("financing_count")).collect()[0][0] == 400 - negative
+
+
+def test_command_line_stages(spark, tmp_root, monkeypatch, capsys):
+    monkeypatch.setenv("STRATUM_ROOT", tmp_root)
+    monkeypatch.setenv("STRATUM_WINDOW", "1 day")
+    chain.main(["generate", "300", "2026-01-01"], spark=spark)
+    chain.main(["chain"], spark=spark)
+    chain.main(["report", "summary"], spark=spark)
+    chain.main(["audit"], spark=spark)
+    out = capsys.readouterr().out
+    assert "financing_count" in out and "reconcile:bronze-silver-quarantine" in out
+    s = Settings.from_env()
+    audit_rows = {r.layer: r.row_count for r in chain.run_audit(spark, s).collect()}
+    assert audit_rows["bronze"] == 300
+    assert audit_rows["reconcile:bronze-silver-quarantine"] == 0
+    assert audit_rows["reconcile:silver_ids-gold_count"] == 0
+    import pytest
+
+    with pytest.raises(SystemExit):
+        chain.main(["nope"], spark=spark)
