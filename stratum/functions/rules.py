@@ -126,6 +126,28 @@ CONTRACT_MIN_LENGTH = (("vehicle_brand", 2), ("vehicle_model", 1), ("city", 2))
 # --- end of fixed values -----------------------------------------------------
 
 
+# RFC 3339 date-time, as required by the contract's ``format: date-time``.
+CONTRACT_DATETIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})$"
+
+
+def raw_contract_violations(value: Column) -> Column:
+    """Contract rules only the raw JSON text can answer, in this order:
+    ``parse:json`` (not a JSON object), ``additional:<key>`` for each key the
+    contract does not declare (document order), ``format:created_at``.
+    """
+    keys = F.json_object_keys(value)
+    extra = F.transform(
+        F.filter(keys, lambda k: ~k.isin(*schemas.FINANCING_COLUMNS)),
+        lambda k: F.concat(F.lit("additional:"), k),
+    )
+    created = F.get_json_object(value, "$.created_at")
+    head = F.array(F.when(keys.isNull(), F.lit("parse:json")))
+    tail = F.array(F.when(created.isNotNull() & ~created.rlike(CONTRACT_DATETIME),
+                          F.lit("format:created_at")))
+    return F.filter(F.concat(head, F.coalesce(extra, F.array().cast("array<string>")), tail),
+                    lambda x: x.isNotNull())
+
+
 def contract_rules() -> list[Rule]:
     """The 39 row rules of the contract: required, pattern, enum, range, cents, length.
 

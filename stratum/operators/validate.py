@@ -11,6 +11,7 @@ from stratum.functions import normalize
 from stratum.functions.rules import (
     Rule,
     all_violations,
+    raw_contract_violations,
     first_violation,
     silver_rules,
     transaction_rules,
@@ -100,3 +101,15 @@ def contract_check(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             "violation_count": violation_count(rules),
         }
     )
+
+
+def raw_contract_check(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Raw JSON-lines text -> the contract checks a typed read cannot make.
+
+    Adds ``raw_violations`` (array) and ``raw_violation_text``; blank lines
+    are skipped like the JSON reader skips them.
+    """
+    v = F.col(value)
+    return lines.filter(F.trim(v) != "").withColumns({
+        "raw_violations": raw_contract_violations(v),
+    }).withColumn("raw_violation_text", F.array_join("raw_violations", ","))

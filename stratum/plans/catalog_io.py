@@ -73,6 +73,16 @@ def q_jsonl_line_count(spark, sf_dir):
     return lines.filter(F.trim(F.col("value")) != "").agg(F.count(F.lit(1)).alias("line_count"))
 
 
+def q_contract_raw_violations(spark, sf_dir):
+    """Landing text checked for undeclared keys and the created_at format."""
+    s = _settings(spark, "raw-contract")
+    write_jsonl(tables.financing_landing(C._t(spark, sf_dir, "orders", spread=True)), s.landing_path)
+    checked = validate.raw_contract_check(spark.read.text(s.landing_path))
+    return checked.select(
+        F.get_json_object("value", "$.vehicle_id").alias("vehicle_id"), "raw_violation_text"
+    )
+
+
 # ---- silver / quarantine ---------------------------------------------------
 
 def _through_silver(spark, sf_dir, name) -> Settings:
@@ -220,6 +230,7 @@ def queries() -> dict:
         "bronze_ingest": q_bronze_ingest,
         "bronze_incremental": q_bronze_incremental,
         "jsonl_line_count": q_jsonl_line_count,
+        "contract_raw_violations": q_contract_raw_violations,
         "silver_stream": q_silver_stream,
         "quarantine": q_quarantine,
         "gold_stream_closed": q_gold_stream_closed,

@@ -75,6 +75,11 @@ def oracle_sql() -> dict[str, str]:
         "bronze_ingest": fin_all,
         "bronze_incremental": fin_all,
         "jsonl_line_count": "SELECT count(*) AS line_count FROM orders",
+        "contract_raw_violations": (
+            "SELECT 'VEH-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS vehicle_id, concat_ws(',', "
+            "CASE WHEN o_orderkey % 50 = 24 THEN 'additional:promo_code' END, "
+            "CASE WHEN o_orderkey % 50 = 25 THEN 'format:created_at' END) AS raw_violation_text FROM orders"
+        ),
         "silver_stream": with_base("SELECT * FROM silver"),
         "quarantine": with_base(f"SELECT {FIN_COLS}, validation_reason FROM s_classified WHERE validation_reason IS NOT NULL"),
         "gold_stream_closed": with_base(closed(gold_select("silver", C.GOLD_WINDOW), "created_at", "silver")),

@@ -7,6 +7,8 @@ on them into the scan.
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,7 +91,7 @@ def cents(c: Column) -> Column:
     return F.round(c * 100).cast("long")
 
 
-def financing(orders: DataFrame) -> DataFrame:
+def financing(orders: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
     """Financing events derived from ``orders``, with deterministic dirt.
 
     Clean values come from the order (id, customer, price, date); the vehicle
@@ -146,5 +148,23 @@ def financing(orders: DataFrame) -> DataFrame:
              (19, F.lit(" active ")), (20, null_s)).alias("status"),
         dirt(F.lit("BRL"), (21, F.lit("brl"))).alias("currency"),
         dirt(F.col("o_orderdate"), (22, F.lit(None).cast("timestamp_ntz"))).alias("created_at"),
+        *extra,
     )
 
+
+
+def financing_landing(orders: DataFrame) -> DataFrame:
+    """:func:`financing` as landing records with raw-text dirt.
+
+    ``created_at`` is written as RFC 3339 text, except on slot 25, which gets
+    a day/month/year text a typed reader cannot parse; slot 24 rows carry a
+    ``promo_code`` key the contract does not declare (null fields are not
+    written, so other rows have no such key).
+    """
+    slot = F.pmod(F.col("o_orderkey"), F.lit(50))
+    fin = financing(orders, extra=[F.when(slot == 24, F.lit("X24")).alias("promo_code"),
+                                   slot.alias("__slot")])
+    created = F.when(F.col("__slot") == 25, F.date_format("created_at", "dd/MM/yyyy")).otherwise(
+        F.concat(F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    )
+    return fin.withColumn("created_at", created).drop("__slot")

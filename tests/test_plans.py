@@ -15,7 +15,8 @@ from stratum.sources import tables
 STREAMING_OR_FILE_KEYS = {
     "bronze_ingest", "bronze_incremental", "jsonl_line_count", "silver_stream", "quarantine",
     "gold_stream_closed", "gold_snapshot", "medallion_chain", "layer_audit", "gold_upsert",
-    "category_summary_stream", "valid_partitioned", "fanout_summary",
+    "category_summary_stream", "valid_partitioned", "fanout_summary", "gold_incremental",
+    "contract_raw_violations",
 }
 
 

@@ -136,3 +136,15 @@ def test_reason_profiles_one_pass_matches_separate_profiles(spark):
     want = {("transaction", r[0]): r[1] for r in validate.reason_profile(t_bad).collect()}
     want.update({("silver", r[0]): r[1] for r in validate.reason_profile(s_bad).collect()})
     assert got == want
+
+
+def test_raw_contract_checks(spark):
+    lines = spark.createDataFrame([
+        ('{"financing_id": "F1", "created_at": "2026-09-18T23:34:20.446440+00:00"}',),
+        ('{"financing_id": "F2", "created_at": "2026-01-01T00:00:00Z", "promo": 1, "x": null}',),
+        ('{"financing_id": "F3", "created_at": "18/09/2026"}',),
+        ('{broken',),
+        ('   ',),
+    ], "value string")
+    got = [r.raw_violation_text for r in validate.raw_contract_check(lines).collect()]
+    assert got == ["", "additional:promo,additional:x", "format:created_at", "parse:json"]
