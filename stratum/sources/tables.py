@@ -35,10 +35,12 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     one split per slot and is left untouched (no shuffle). Column pruning
     and filter pushdown still reach the scan below the exchange.
     """
-    slots = min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - sessions without RDD access (Spark Connect)
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def transactions(events: DataFrame) -> DataFrame:
