@@ -27,7 +27,10 @@ INCREMENTAL_SPLIT = "1998-01-01"
 
 
 def _settings(spark: SparkSession, name: str, **kw) -> Settings:
-    base = dict(root=scratch(spark, name), window=C.GOLD_WINDOW, watermark=C.WATERMARK)
+    # Window state sized to the task slots: these checkpoints are fresh, so the
+    # width is chosen here rather than inherited from an arbitrary session.
+    base = dict(root=scratch(spark, name), window=C.GOLD_WINDOW, watermark=C.WATERMARK,
+                state_partitions=spark.sparkContext.defaultParallelism)
     base.update(kw)
     return Settings(**base)
 

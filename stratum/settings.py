@@ -47,6 +47,10 @@ class Settings:
     # depends on batching (a row older than the previous batch's watermark is
     # dropped), so the default reads all new files in one batch.
     gold_max_files_per_trigger: int = 0
+    # Partitions of the window state (and its shuffle) of the stateful
+    # streams; fixed by a checkpoint's first run. 0 = the session's
+    # spark.sql.shuffle.partitions.
+    state_partitions: int = 0
     gold_partitions: tuple[str, ...] = ("segment", "region", "vehicle_type")
     valid_partitions: tuple[str, ...] = ("region",)
     money: str = "exact"                     # "exact" (integer cents) or "double"

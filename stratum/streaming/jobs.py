@@ -10,6 +10,7 @@ reads, so a downstream stream never sees a half-written batch.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,23 @@ def _trigger(settings: Settings, live: bool) -> dict:
     return {"processingTime": settings.trigger} if live else {"availableNow": True}
 
 
+@contextmanager
+def _state_width(spark: SparkSession, settings: Settings):
+    """Start a stateful query with ``settings.state_partitions`` shuffle
+    partitions; the query keeps its own copy of the session conf, so the
+    caller's session is restored right after ``start()``."""
+    if not settings.state_partitions:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(settings.state_partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 # ---- sources ---------------------------------------------------------------
 
 def landing_stream(spark: SparkSession, settings: Settings) -> DataFrame:
@@ -139,13 +157,14 @@ def start_gold(
     writer = replay_safe_batch_writer(
         settings.gold_stream.path, partition_by=settings.gold_partitions, extra=extra_sinks
     )
-    return (
-        gold.writeStream.outputMode("append")
-        .foreachBatch(writer)
-        .option("checkpointLocation", settings.gold_stream.checkpoint)
-        .trigger(**_trigger(settings, live))
-        .start()
-    )
+    with _state_width(spark, settings):
+        return (
+            gold.writeStream.outputMode("append")
+            .foreachBatch(writer)
+            .option("checkpointLocation", settings.gold_stream.checkpoint)
+            .trigger(**_trigger(settings, live))
+            .start()
+        )
 
 
 def start_gold_partials(spark: SparkSession, settings: Settings, live: bool = False) -> StreamingQuery:
@@ -176,8 +195,9 @@ def start_category_summary(
     summary = summarize.category_summary(
         transactions, settings.window, watermark=settings.watermark, money=settings.money
     )
-    return start_parquet_stream(summary, settings.summary.path, settings.summary.checkpoint,
-                                trigger=_trigger(settings, live))
+    with _state_width(spark, settings):
+        return start_parquet_stream(summary, settings.summary.path, settings.summary.checkpoint,
+                                    trigger=_trigger(settings, live))
 
 
 def start_quality_fanout(

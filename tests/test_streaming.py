@@ -282,3 +282,17 @@ def test_command_line_stages(spark, tmp_root, monkeypatch, capsys):
 
     with pytest.raises(SystemExit):
         chain.main(["nope"], spark=spark)
+
+
+def test_state_width_applies_to_checkpoint_and_restores_session(spark, tmp_root):
+    from conftest import SF_SMALL
+    from stratum.sources import tables
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
+    s = Settings(root=tmp_root, window="1 hour", state_partitions=3)
+    events = jobs.table_stream(spark, SF_SMALL, "events", schema)
+    jobs.await_all([jobs.start_category_summary(spark, tables.transactions(events), s)])
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    offsets = open(os.path.join(s.summary.checkpoint, "offsets", "0")).read()
+    assert '"spark.sql.shuffle.partitions":"3"' in offsets
