@@ -296,3 +296,25 @@ def test_state_width_applies_to_checkpoint_and_restores_session(spark, tmp_root)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     offsets = open(os.path.join(s.summary.checkpoint, "offsets", "0")).read()
     assert '"spark.sql.shuffle.partitions":"3"' in offsets
+
+
+def test_hot_directory_is_spread_over_tasks(spark, tmp_root, monkeypatch):
+    import glob
+
+    from stratum.sinks import files
+
+    monkeypatch.setattr(files, "ROWS_PER_WRITE_TASK", 100)
+    path = tmp_root + "/hot"
+    writer = files.replay_safe_batch_writer(path, partition_by=("region",))
+    batch = spark.range(1000).selectExpr(
+        "CASE WHEN id < 900 THEN 'HOT' ELSE 'COLD' END AS region", "id")
+    # stateful micro-batches run without AQE; mimic that so nothing is coalesced
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        writer(batch, 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    hot = glob.glob(os.path.join(path, "batch_id=0", "region=HOT", "*.parquet"))
+    cold = glob.glob(os.path.join(path, "batch_id=0", "region=COLD", "*.parquet"))
+    assert len(hot) > 1 and len(cold) >= 1
+    assert spark.read.parquet(path).count() == 1000
