@@ -32,7 +32,7 @@ def split(df: DataFrame, rules: Sequence[Rule], *, strict: bool = False,
           reason: str = REASON) -> tuple[DataFrame, DataFrame]:
     """``(valid, invalid)``: both branches share one classified plan.
 
-    Writers that need both should persist the classified frame once (see
+    Writers that need both should write the classified frame once (see
     :func:`stratum.sinks.files.write_split`) so the source is scanned once.
     """
     classified = classify(df, rules, strict=strict, reason=reason)

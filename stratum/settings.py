@@ -83,12 +83,6 @@ class Settings:
         """Refined rows, partitioned by ``quality`` = valid / rejected."""
         return self._layer("silver")
 
-    @property
-    def quarantine(self) -> Layer:
-        """Batch-only reject folder (the streaming silver keeps rejects in
-        its own ``quality=rejected`` partition)."""
-        return self._layer("quarantine")
-
     @property
     def gold_stream(self) -> Layer:
         # The stream's per-batch output is kept apart from the snapshot it

@@ -141,29 +141,22 @@ def replay_safe_batch_writer(
 def write_split(
     classified: DataFrame,
     reason: str,
-    valid_path: str,
-    invalid_path: str,
+    path: str,
     *,
     mode: str = "append",
-    valid_partitions: Sequence[str] = (),
-    invalid_partitions: Sequence[str] = (),
+    partition_by: Sequence[str] = (),
 ) -> None:
-    """Batch fan-out of a classified frame into its valid and rejected layers.
+    """Batch fan-out of a classified frame: one write, partitioned by quality.
 
-    The classified rows are persisted (memory, spilling to disk) so the
-    source is scanned and classified once for both writes; a lost executor
-    only means its cached blocks are recomputed from the source.
+    Accepted rows land under ``quality=valid`` and rejected ones (with their
+    reason) under ``quality=rejected``, in one pass: no cache of the input,
+    no second scan. Readers prune to the partition they need.
     """
-    from pyspark import StorageLevel
-
-    classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_parquet(classified.filter(F.col(reason).isNull()).drop(reason), valid_path,
-                      mode=mode, partition_by=valid_partitions)
-        write_parquet(classified.filter(F.col(reason).isNotNull()), invalid_path,
-                      mode=mode, partition_by=invalid_partitions)
-    finally:
-        classified.unpersist()
+    tagged = classified.withColumn(
+        "quality",
+        F.when(F.col(reason).isNull(), F.lit("valid")).otherwise(F.lit("rejected")),
+    )
+    write_parquet(tagged, path, mode=mode, partition_by=("quality", *partition_by))
 
 
 def read_layer(spark: SparkSession, path: str, schema=None, columns: Sequence[str] | None = None) -> DataFrame:

@@ -187,10 +187,10 @@ def test_batch_write_split_conserves_rows(spark, tmp_root):
 
     rows = [base_row(financing_id=None), base_row(region="XX"), base_row(), base_row(region="NORTH")]
     classified = validate.classify(frame(spark, rows), silver_rules())
-    write_split(classified, validate.REASON, tmp_root + "/ok", tmp_root + "/bad",
-                valid_partitions=("region",))
-    ok = spark.read.parquet(tmp_root + "/ok")
-    bad = spark.read.parquet(tmp_root + "/bad")
+    write_split(classified, validate.REASON, tmp_root + "/split", partition_by=("region",))
+    out = spark.read.parquet(tmp_root + "/split")
+    ok = out.filter("quality = 'valid'")
+    bad = out.filter("quality = 'rejected'")
     assert ok.count() == 2 and bad.count() == 2
     assert sorted(r.region for r in ok.collect()) == ["NORTH", "SOUTH"]
     assert sorted(r.validation_reason for r in bad.collect()) == ["bad_region", "missing_id"]
