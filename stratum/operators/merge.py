@@ -21,7 +21,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.session import scratch
+from stratum.session import path_exists, scratch
 from stratum.sinks.files import write_parquet
 
 
@@ -43,14 +43,7 @@ def upsert(current: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFr
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        jvm = spark._jvm  # noqa: SLF001
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
-    except Exception:  # pragma: no cover
-        import os
-
-        return os.path.exists(path)
+    return path_exists(spark, path)
 
 
 # Up to this many touched partitions are turned into a static partition

@@ -128,8 +128,8 @@ def q_medallion_chain(spark, sf_dir):
 
 
 def q_gold_incremental(spark, sf_dir):
-    """Two landings, each folded into mergeable partials; the result must
-    equal the full recompute over all of silver."""
+    """Two landings, each folded into mergeable partials and compacted; the
+    result must equal the full recompute over all of silver."""
     s = _settings(spark, "gold-incremental")
     orders = C._t(spark, sf_dir, "orders", spread=True)
     early = F.col("o_orderdate") < F.lit(INCREMENTAL_SPLIT).cast("timestamp_ntz")
@@ -138,6 +138,7 @@ def q_gold_incremental(spark, sf_dir):
         chain.run_bronze(spark, s)
         chain.run_silver(spark, s)
         chain.run_snapshot_incremental(spark, s)
+        chain.compact_gold_partials(spark, s)  # next run reads base + newer batches
     return chain.read_gold(spark, s.gold.path)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from stratum import schemas
 from stratum.operators import summarize
 from stratum.operators.merge import merge_into
-from stratum.session import pin_utc
+from stratum.session import list_dirs, path_exists, pin_utc
 from stratum.settings import Settings
 from stratum.sinks import warehouse
 from stratum.sinks.files import read_layer, write_parquet
@@ -90,11 +90,58 @@ def run_gold_partials(spark: SparkSession, settings: Settings, live: bool = Fals
     jobs.await_all([jobs.start_gold_partials(spark, settings, live)], _timeout(settings, live))
 
 
+def _latest_base(spark: SparkSession, settings: Settings) -> int | None:
+    """Newest complete compaction (its ``_SUCCESS`` marker is written last)."""
+    root = settings.gold_partials_base
+    done = [int(name[len("upto="):]) for name in list_dirs(spark, root)
+            if name.startswith("upto=") and path_exists(spark, f"{root}/{name}/_SUCCESS")]
+    return max(done) if done else None
+
+
+def _current_partials(spark: SparkSession, settings: Settings, upto: int | None = None) -> DataFrame | None:
+    """Base (if any) plus the per-batch partials newer than it, up to ``upto``."""
+    base_n = _latest_base(spark, settings)
+    parts = None
+    if path_exists(spark, settings.gold_partials.path):
+        batches = read_layer(spark, settings.gold_partials.path)
+        if base_n is not None:
+            batches = batches.filter(F.col("batch_id") > base_n)  # partition pruning
+        if upto is not None:
+            batches = batches.filter(F.col("batch_id") <= upto)
+        parts = batches.drop("batch_id")
+    if base_n is not None:
+        base = read_layer(spark, f"{settings.gold_partials_base}/upto={base_n}")
+        parts = base if parts is None else base.unionByName(parts)
+    return parts
+
+
 def incremental_gold(spark: SparkSession, settings: Settings) -> DataFrame:
-    """Gold from the accumulated partials: work grows with the partials
-    (one row per window and dimension set per batch), not with silver."""
-    partials = read_layer(spark, settings.gold_partials.path)
-    return summarize.gold_from_partials(partials, money=settings.money)
+    """Gold from the compacted base plus newer partials: work grows with the
+    partials (one row per window and dimension set per batch), not with silver."""
+    parts = _current_partials(spark, settings)
+    if parts is None:
+        raise RuntimeError("no gold partials yet: run the partials stream first")
+    return summarize.gold_from_partials(parts, money=settings.money)
+
+
+def compact_gold_partials(spark: SparkSession, settings: Settings) -> int | None:
+    """Fold the base and every newer batch into a new base ``upto=<newest>``.
+
+    Readers switch to the new base only once its ``_SUCCESS`` marker exists,
+    and ignore batches at or below it, so a crash mid-compaction changes
+    nothing and batches written meanwhile are picked up next time. Old
+    batch folders are no longer read; removing them is a storage clean-up.
+    """
+    if not path_exists(spark, settings.gold_partials.path):
+        return _latest_base(spark, settings)
+    newest = read_layer(spark, settings.gold_partials.path).agg(F.max("batch_id")).collect()[0][0]
+    base_n = _latest_base(spark, settings)
+    if newest is None or (base_n is not None and newest <= base_n):
+        return base_n
+    parts = _current_partials(spark, settings, upto=newest)
+    merged = summarize.merge_partials(parts, schemas.GOLD_DIMENSIONS, summarize.GOLD_MEASURES)
+    merged.write.mode("overwrite").parquet(f"{settings.gold_partials_base}/upto={newest}")
+    return newest
 
 
 def run_snapshot_incremental(spark: SparkSession, settings: Settings) -> None:
@@ -175,6 +222,7 @@ STAGES = {
     "gold": lambda spark, s: (run_gold(spark, s), run_snapshot(spark, s)),
     "snapshot": run_snapshot,
     "snapshot_incremental": run_snapshot_incremental,
+    "compact": lambda spark, s: compact_gold_partials(spark, s),
     "chain": run_chain,
     "fanout": run_quality_fanout,
     "generate": run_generate,

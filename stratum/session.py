@@ -93,3 +93,31 @@ def ensure_dir(spark: SparkSession, uri: str) -> None:
         if "://" in uri and not uri.startswith("file:"):
             raise
         os.makedirs(uri.replace("file://", ""), exist_ok=True)
+
+
+def _fs(spark: SparkSession, uri: str):
+    jvm = spark._jvm  # noqa: SLF001 - classic (non-Connect) sessions only
+    path = jvm.org.apache.hadoop.fs.Path(uri)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+
+
+def path_exists(spark: SparkSession, uri: str) -> bool:
+    try:
+        path, fs = _fs(spark, uri)
+        return bool(fs.exists(path))
+    except Exception:  # pragma: no cover - no JVM access
+        return os.path.exists(uri.replace("file://", ""))
+
+
+def list_dirs(spark: SparkSession, uri: str) -> list[str]:
+    """Names of the sub-directories of ``uri`` (empty if it does not exist)."""
+    try:
+        path, fs = _fs(spark, uri)
+        if not fs.exists(path):
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory()]
+    except Exception:  # pragma: no cover - no JVM access
+        local = uri.replace("file://", "")
+        if not os.path.isdir(local):
+            return []
+        return [n for n in os.listdir(local) if os.path.isdir(os.path.join(local, n))]

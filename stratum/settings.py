@@ -98,6 +98,11 @@ class Settings:
         """Mergeable per-batch window sums for the incremental snapshot."""
         return self._layer("gold_partials")
 
+    @property
+    def gold_partials_base(self) -> str:
+        """Compacted partials: ``upto=<n>`` folds every batch up to ``n``."""
+        return f"{self.root.rstrip('/')}/gold_partials_base"
+
     @property
     def valid(self) -> Layer:
         return self._layer("valid_transactions")
