@@ -31,7 +31,8 @@ GOLD_MEASURES = (
     Measure("financing_count", "count", "financing_id"),
     Measure("total_financed_amount", "sum", "financed_amount", 2),
     Measure("average_monthly_installment", "avg", "monthly_installment", 2),
-    Measure("average_interest_rate_monthly", "avg", "interest_rate_monthly", 4),
+    # rates are averaged from 4-decimal units, so up to 4 input decimals stay exact
+    Measure("average_interest_rate_monthly", "avg", "interest_rate_monthly", 4, in_scale=4),
 )
 
 CATEGORY_MEASURES = (

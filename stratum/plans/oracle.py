@@ -199,7 +199,7 @@ def gold_select(src: str, window: str) -> str:
         f"  count(financing_id) AS financing_count,\n"
         f"  {exact_sum('financed_amount')} AS total_financed_amount,\n"
         f"  {exact_avg('monthly_installment', 2)} AS average_monthly_installment,\n"
-        f"  {exact_avg('interest_rate_monthly', 4)} AS average_interest_rate_monthly\n"
+        f"  {exact_avg('interest_rate_monthly', 4, in_scale=4)} AS average_interest_rate_monthly\n"
         f"FROM {src} GROUP BY ALL"
     )
 
