@@ -341,3 +341,19 @@ def test_compaction_is_crash_safe_and_exact(spark, tmp_root):
     assert got == sorted(tuple(r) for r in full.collect())
     assert chain.compact_gold_partials(spark, s) == 1
     assert sorted(tuple(r) for r in chain.incremental_gold(spark, s).collect()) == got
+
+
+def test_gold_stream_recovers_from_a_failed_batch_without_duplicates(spark, tmp_root):
+    import pytest
+
+    s = Settings(root=tmp_root, window="10 seconds", watermark="30 seconds")
+    _silver_files(s.silver.path, [[at(0, 0, 5), at(0, 0, 7), at(0, 5, 0)]])
+
+    def crash(batch, batch_id):
+        raise RuntimeError("executor lost")  # after the Parquet write of this batch
+
+    with pytest.raises(Exception):
+        jobs.await_all([jobs.start_gold(spark, s, extra_sinks=[crash])])
+    chain.run_gold(spark, s)  # restart on the same checkpoint: the batch is replayed
+    out = read_layer(spark, s.gold_stream.path).collect()
+    assert [(r.window_start.strftime("%H:%M:%S"), r.financing_count) for r in out] == [("00:00:00", 2)]
