@@ -35,10 +35,13 @@ def run_silver(spark: SparkSession, settings: Settings, live: bool = False) -> N
     jobs.await_all(jobs.start_silver(spark, settings, live), _timeout(settings, live))
 
 
-def run_gold(spark: SparkSession, settings: Settings, live: bool = False) -> None:
+def run_gold(spark: SparkSession, settings: Settings, live: bool = False):
+    """Run the gold stream; returns the finished query (progress, late-row metrics)."""
     pin_utc(spark)
     extra = [warehouse.batch_upsert_sink(settings)] if settings.jdbc_url else []
-    jobs.await_all([jobs.start_gold(spark, settings, live, extra)], _timeout(settings, live))
+    query = jobs.start_gold(spark, settings, live, extra)
+    jobs.await_all([query], _timeout(settings, live))
+    return query
 
 
 def read_refined(spark: SparkSession, settings: Settings, quality: str) -> DataFrame:

@@ -245,6 +245,15 @@ def start_quality_fanout(
     return [q1, q2]
 
 
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """Rows a stateful query discarded as too late, over its recent batches."""
+    total = 0
+    for progress in query.recentProgress:
+        for op in progress.get("stateOperators", []):
+            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
+    return total
+
+
 def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None) -> None:
     """Wait for each query in order; stop survivors; surface the first error.
 

@@ -38,23 +38,26 @@ def at(h, m, s):
     return dt.datetime(2026, 1, 1, h, m, s, tzinfo=UTC)
 
 
-def _gold_counts(spark, tmp_root, batches):
+def _gold_counts(spark, tmp_root, batches, dropped=None):
     s = Settings(root=tmp_root, window="10 seconds", watermark="30 seconds", gold_max_files_per_trigger=1)
     _silver_files(s.silver.path, batches)
-    chain.run_gold(spark, s)
+    query = chain.run_gold(spark, s)
+    if dropped is not None:
+        assert jobs.dropped_by_watermark(query) == dropped
     out = read_layer(spark, s.gold_stream.path).orderBy("window_start").collect()
     return [(r.window_start.strftime("%H:%M:%S"), r.financing_count) for r in out]
 
 
 def test_late_row_dropped_by_previous_batch_watermark(spark, tmp_root):
     # L1: 00:00:05, 00:02:00, 00:02:01, 00:00:06 -> the last one is late
-    got = _gold_counts(spark, tmp_root, [[at(0, 0, 5)], [at(0, 2, 0)], [at(0, 2, 1)], [at(0, 0, 6)]])
+    got = _gold_counts(spark, tmp_root, [[at(0, 0, 5)], [at(0, 2, 0)], [at(0, 2, 1)], [at(0, 0, 6)]],
+                       dropped=1)
     assert got[0] == ("00:00:00", 1)
 
 
 def test_late_row_kept_while_watermark_lags_one_batch(spark, tmp_root):
     # L2: 00:00:05, 00:02:00, 00:00:06 -> watermark of the previous batch still admits it
-    got = _gold_counts(spark, tmp_root, [[at(0, 0, 5)], [at(0, 2, 0)], [at(0, 0, 6)]])
+    got = _gold_counts(spark, tmp_root, [[at(0, 0, 5)], [at(0, 2, 0)], [at(0, 0, 6)]], dropped=0)
     assert got[0] == ("00:00:00", 2)
 
 
