@@ -65,6 +65,20 @@ class Settings:
     s3_secret_key: str = ""
     extra: Mapping[str, str] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        if self.money not in ("exact", "double"):
+            raise ValueError(f"money must be 'exact' or 'double', got {self.money!r}")
+        for name in ("rows_per_second", "runtime_seconds"):
+            if getattr(self, name) <= 0:
+                raise ValueError(f"{name} must be positive")
+        for name in ("max_files_per_trigger", "gold_max_files_per_trigger", "state_partitions"):
+            if getattr(self, name) < 0:
+                raise ValueError(f"{name} must be >= 0")
+        for name in ("window", "watermark", "trigger"):
+            parts = getattr(self, name).split()
+            if len(parts) != 2 or not parts[0].isdigit():
+                raise ValueError(f"{name} must look like '10 seconds', got {getattr(self, name)!r}")
+
     # ---- layers -----------------------------------------------------------
     def _layer(self, name: str) -> Layer:
         root = self.root.rstrip("/")

@@ -149,3 +149,10 @@ def test_merge_into_resolves_duplicate_updates_by_order(spark, tmp_root):
     merge_into(spark, target, upd, ["k"], order_col="seq")
     out = sorted(tuple(r) for r in spark.read.parquet(target).collect())
     assert out == [("a", 2), ("b", 5)]
+
+
+@pytest.mark.parametrize("bad", [dict(money="float"), dict(window="ten seconds"), dict(rows_per_second=0),
+                                 dict(max_files_per_trigger=-1)])
+def test_settings_reject_bad_values(bad):
+    with pytest.raises(ValueError):
+        Settings(**bad)
