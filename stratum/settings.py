@@ -43,10 +43,12 @@ class Settings:
     # silver): a backfill commits progress in bounded batches, so a failure
     # only repeats the batch in flight. 0 = no cap.
     max_files_per_trigger: int = 1000
-    # Files per micro-batch for the watermarked gold stream. Its output
-    # depends on batching (a row older than the previous batch's watermark is
-    # dropped), so the default reads all new files in one batch.
-    gold_max_files_per_trigger: int = 0
+    # Files per micro-batch for the watermarked gold stream. A bound keeps a
+    # backfill from arriving as one batch whose every window sits in state at
+    # once; the price is that which late rows are dropped depends on batching
+    # (a row older than the previous batch's watermark is dropped). Backfills
+    # belong to the stateless incremental snapshot instead. 0 = no cap.
+    gold_max_files_per_trigger: int = 1000
     # Partitions of the window state (and its shuffle) of the stateful
     # streams; fixed by a checkpoint's first run. 0 = the session's
     # spark.sql.shuffle.partitions.
