@@ -148,3 +148,18 @@ def test_raw_contract_checks(spark):
     ], "value string")
     got = [r.raw_violation_text for r in validate.raw_contract_check(lines).collect()]
     assert got == ["", "additional:promo,additional:x", "format:created_at", "parse:json"]
+
+
+def test_fifteen_column_rows_split_one_valid_one_invalid(spark):
+    # F-C: the 19-column event without vehicle_id, state, city and created_at
+    cols = [c for c in base_row() if c not in ("vehicle_id", "state", "city", "created_at")]
+    rows = [
+        {**base_row(financing_id="FIN-1", vehicle_type="CAR", region="SP", segment="SUV")},
+        {**base_row(financing_id="FIN-2", vehicle_type="INVALID", region="SP", segment="SUV")},
+    ]
+    df = spark.createDataFrame([tuple(r[c] for c in cols) for r in rows],
+                               ", ".join(f"{c} {'double' if c in ('financed_amount', 'down_payment', 'monthly_installment', 'interest_rate_monthly') else 'int' if c in ('vehicle_year', 'installment_count') else 'string'}" for c in cols))
+    valid, invalid = validate.validate_transactions(df)
+    assert valid.count() == 1 and invalid.count() == 1
+    assert invalid.collect()[0]["validation_reason"] == "bad_vehicle_type"
+    assert len(df.columns) == 15
