@@ -115,7 +115,7 @@ def merge_into(
                           partition_by=partition_by, dynamic=True)
             return
         staged = scratch(spark, "merge-stage")
-        upsert(current, updates, key).write.mode("overwrite").parquet(staged)
+        write_parquet(upsert(current, updates, key), staged, mode="overwrite")
         write_parquet(spark.read.parquet(staged), target, mode="overwrite")
     finally:
         updates.unpersist()

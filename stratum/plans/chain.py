@@ -143,7 +143,7 @@ def compact_gold_partials(spark: SparkSession, settings: Settings) -> int | None
         return base_n
     parts = _current_partials(spark, settings, upto=newest)
     merged = summarize.merge_partials(parts, schemas.GOLD_DIMENSIONS, summarize.GOLD_MEASURES)
-    merged.write.mode("overwrite").parquet(f"{settings.gold_partials_base}/upto={newest}")
+    write_parquet(merged, f"{settings.gold_partials_base}/upto={newest}", mode="overwrite")
     return newest
 
 
