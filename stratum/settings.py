@@ -43,6 +43,9 @@ class Settings:
     # silver): a backfill commits progress in bounded batches, so a failure
     # only repeats the batch in flight. 0 = no cap.
     max_files_per_trigger: int = 1000
+    # Alternative bound in bytes; when non-zero it replaces the file count on
+    # those stages (Spark accepts one of the two).
+    max_bytes_per_trigger: int = 0
     # Files per micro-batch for the watermarked gold stream. A bound keeps a
     # backfill from arriving as one batch whose every window sits in state at
     # once; the price is that which late rows are dropped depends on batching
@@ -73,7 +76,8 @@ class Settings:
         for name in ("rows_per_second", "runtime_seconds"):
             if getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive")
-        for name in ("max_files_per_trigger", "gold_max_files_per_trigger", "state_partitions"):
+        for name in ("max_files_per_trigger", "max_bytes_per_trigger", "gold_max_files_per_trigger",
+                     "state_partitions"):
             if getattr(self, name) < 0:
                 raise ValueError(f"{name} must be >= 0")
         for name in ("window", "watermark", "trigger"):

@@ -71,9 +71,7 @@ def landing_stream(spark: SparkSession, settings: Settings) -> DataFrame:
     reader = spark.readStream.schema(LANDING_SCHEMA).option(
         "columnNameOfCorruptRecord", schemas.CORRUPT_COLUMN
     )
-    if settings.max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", settings.max_files_per_trigger)
-    raw = reader.json(settings.landing_path)
+    raw = reader.options(**batch_limit(settings)).json(settings.landing_path)
     return raw.select(
         *schemas.FINANCING_COLUMNS,
         F.col("_metadata.file_path").alias("source_file"),
@@ -82,12 +80,20 @@ def landing_stream(spark: SparkSession, settings: Settings) -> DataFrame:
     )
 
 
+def batch_limit(settings: Settings, gold: bool = False) -> dict[str, str]:
+    """Per-micro-batch input bound of a stream (the two Spark options are exclusive)."""
+    if gold:
+        n = settings.gold_max_files_per_trigger
+        return {"maxFilesPerTrigger": str(n)} if n else {}
+    if settings.max_bytes_per_trigger:
+        return {"maxBytesPerTrigger": str(settings.max_bytes_per_trigger)}
+    n = settings.max_files_per_trigger
+    return {"maxFilesPerTrigger": str(n)} if n else {}
+
+
 def layer_stream(spark: SparkSession, path: str, schema: StructType,
-                 max_files: int = 0) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+                 limit: dict[str, str] | None = None) -> DataFrame:
+    return spark.readStream.schema(schema).options(**(limit or {})).parquet(path)
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: StructType,
@@ -127,18 +133,17 @@ def start_silver(spark: SparkSession, settings: Settings, live: bool = False) ->
     sink log, and downstream streams read the log, never a half-written batch.
     """
     prepare_layer(spark, settings.bronze.path)
-    bronze = layer_stream(spark, settings.bronze.path, BRONZE_SCHEMA, settings.max_files_per_trigger)
+    bronze = layer_stream(spark, settings.bronze.path, BRONZE_SCHEMA, batch_limit(settings))
     refined = refine(bronze, strict=settings.strict_nulls)
     return [start_parquet_stream(refined, settings.silver.path, settings.silver.checkpoint,
                                  partition_by=(schemas.QUALITY_COLUMN,),
                                  trigger=_trigger(settings, live))]
 
 
-def silver_stream(spark: SparkSession, settings: Settings, max_files: int | None = None) -> DataFrame:
+def silver_stream(spark: SparkSession, settings: Settings, gold: bool = False) -> DataFrame:
     """Accepted silver rows as a stream (the contract's 19 columns)."""
     prepare_layer(spark, settings.silver.path)
-    cap = settings.max_files_per_trigger if max_files is None else max_files
-    refined = layer_stream(spark, settings.silver.path, schemas.REFINED, cap)
+    refined = layer_stream(spark, settings.silver.path, schemas.REFINED, batch_limit(settings, gold))
     return refined.filter(F.col(schemas.QUALITY_COLUMN) == schemas.QUALITY_VALID).select(
         *schemas.FINANCING_COLUMNS
     )
@@ -151,7 +156,7 @@ def start_gold(
     extra_sinks: Sequence[Callable[[DataFrame, int], None]] = (),
 ) -> StreamingQuery:
     """Watermarked window summary of silver; each closed window is emitted once."""
-    silver = silver_stream(spark, settings, settings.gold_max_files_per_trigger)
+    silver = silver_stream(spark, settings, gold=True)
     gold = summarize.gold_summary(silver, settings.window, watermark=settings.watermark,
                                   money=settings.money)
     writer = replay_safe_batch_writer(

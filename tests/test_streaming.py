@@ -360,3 +360,18 @@ def test_gold_stream_recovers_from_a_failed_batch_without_duplicates(spark, tmp_
     chain.run_gold(spark, s)  # restart on the same checkpoint: the batch is replayed
     out = read_layer(spark, s.gold_stream.path).collect()
     assert [(r.window_start.strftime("%H:%M:%S"), r.financing_count) for r in out] == [("00:00:00", 2)]
+
+
+def test_byte_bound_replaces_file_bound(spark, tmp_root):
+    s = Settings(root=tmp_root, max_bytes_per_trigger=1000)
+    assert jobs.batch_limit(s) == {"maxBytesPerTrigger": "1000"}
+    assert jobs.batch_limit(s, gold=True) == {"maxFilesPerTrigger": "1000"}
+    assert jobs.batch_limit(Settings(root=tmp_root, max_files_per_trigger=0)) == {}
+    os.makedirs(s.landing_path, exist_ok=True)
+    for i in range(3):
+        with open(os.path.join(s.landing_path, f"f{i}.jsonl"), "w") as f:
+            f.write("\n".join(_line(financing_id=f"F{i}{j}") for j in range(5)) + "\n")
+    query = jobs.start_bronze(spark, s)
+    jobs.await_all([query])
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3  # one file per batch
+    assert read_layer(spark, s.bronze.path).count() == 15
