@@ -119,7 +119,12 @@ def run_sql(name: str, gold: DataFrame, view: str = "gold_summary") -> DataFrame
     return gold.sparkSession.sql(SQL_REPORTS[name].format(view=view))
 
 
-def run(name: str, gold: DataFrame) -> DataFrame:
+MONEY_REPORTS = {"summary", "summary_totals"}
+
+
+def run(name: str, gold: DataFrame, money: str = "exact") -> DataFrame:
     if name not in REPORTS:
         raise KeyError(f"unknown report {name!r}; choose from {sorted(REPORTS)}")
+    if name in MONEY_REPORTS:
+        return REPORTS[name](gold, money)
     return REPORTS[name](gold)

@@ -190,7 +190,7 @@ def run_report(spark: SparkSession, settings: Settings, name: str = "summary") -
     """A named report over the gold snapshot (``summary``, ``windows``, ...)."""
     from stratum.operators import reports
 
-    return reports.run(name, read_gold(spark, settings.gold.path))
+    return reports.run(name, read_gold(spark, settings.gold.path), settings.money)
 
 
 def run_audit(spark: SparkSession, settings: Settings) -> DataFrame:
