@@ -50,9 +50,10 @@ def oracle_sql() -> dict[str, str]:
         f"{exact_sum('total_financed_amount')} AS total_financed_amount"
     )
     counter = counter_select("event_id", "ts", "events")
+    not_pending = "(SELECT * FROM silver WHERE status <> 'PENDING_APPROVAL')"
     upsert = (
         f"WITH {base_ctes()},\n"
-        f"a AS (SELECT * FROM ({gold_select(chr(40) + 'SELECT * FROM silver WHERE status <> ' + chr(39) + 'PENDING_APPROVAL' + chr(39) + chr(41), C.GOLD_WINDOW)})"
+        f"a AS (SELECT * FROM ({gold_select(not_pending, C.GOLD_WINDOW)})"
         f" WHERE window_start < TIMESTAMP '{IO.UPSERT_A_BEFORE}'),\n"
         f"b AS (SELECT * FROM ({gold_select('silver', C.GOLD_WINDOW)}) WHERE window_start >= TIMESTAMP '{IO.UPSERT_B_FROM}'),\n"
         f"u AS (SELECT *, 1 AS pri FROM b UNION ALL SELECT *, 2 AS pri FROM a)\n"
