@@ -156,3 +156,16 @@ def test_merge_into_resolves_duplicate_updates_by_order(spark, tmp_root):
 def test_settings_reject_bad_values(bad):
     with pytest.raises(ValueError):
         Settings(**bad)
+
+
+def test_merge_semi_join_fallback_beyond_the_pruning_limit(spark, tmp_root, monkeypatch):
+    from stratum.operators import merge
+
+    monkeypatch.setattr(merge, "MAX_PRUNED_PARTITIONS", 1)
+    target = tmp_root + "/many"
+    first = spark.createDataFrame([("p1", "a", 1), ("p2", "b", 2), ("p3", "c", 3)], "part string, k string, v int")
+    merge_into(spark, target, first, ["k"], partition_by=["part"])
+    upd = spark.createDataFrame([("p1", "a", 10), ("p2", "z", 9)], "part string, k string, v int")
+    merge_into(spark, target, upd, ["k"], partition_by=["part"])  # two touched partitions > limit
+    out = sorted(tuple(r) for r in spark.read.parquet(target).select("part", "k", "v").collect())
+    assert out == [("p1", "a", 10), ("p2", "b", 2), ("p2", "z", 9), ("p3", "c", 3)]
