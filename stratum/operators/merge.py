@@ -66,13 +66,17 @@ def _touched_partitions(current: DataFrame, updates: DataFrame, partition_by: Se
     if len(keys) <= MAX_PRUNED_PARTITIONS:
         if not keys:
             return current.limit(0)
-        cond = None
-        for key in keys:
+        target = F.struct(*[F.col(c) for c in partition_by])
+        plain = [k for k in keys if all(v is not None for v in k)]
+        with_nulls = [k for k in keys if any(v is None for v in k)]
+        # one IN over the partition tuple; tuples holding a null need <=>
+        cond = target.isin(*[F.struct(*[F.lit(v) for v in k]) for k in plain]) if plain else F.lit(False)
+        for key in with_nulls:
             match = None
             for c, v in zip(partition_by, key):
                 term = F.col(c).eqNullSafe(F.lit(v))
                 match = term if match is None else match & term
-            cond = match if cond is None else cond | match
+            cond = cond | match
         return current.filter(cond)
     return current.join(touched, on=[current[c].eqNullSafe(touched[c]) for c in partition_by],
                         how="left_semi")

@@ -103,5 +103,5 @@ def test_merge_reads_only_touched_partitions(spark, tmp_root):
     current = spark.read.schema("k long, v long, part string").parquet(target)
     updates = spark.createDataFrame([(1, "p1", 9), (2, "p2", 9), (3, None, 9)], "k long, part string, v long")
     p = plan(_touched_partitions(current, updates, ["part"]), "simple")
-    assert "PartitionFilters: [" in p and "<=> p1" in p
+    assert "PartitionFilters: [" in p and "IN ([p1],[p2])" in p and "isnull(part" in p
     assert _touched_partitions(current, updates, ["part"]).count() == 20
