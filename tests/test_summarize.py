@@ -36,7 +36,7 @@ def test_exact_mean_scale_four(spark):
     assert out[0].r == 1.2967
 
 
-def test_double_mode_matches_reference_rounding(spark):
+def test_double_mode_matches_original_rounding(spark):
     df = _tx(spark, [(t(0), "x", 10.0), (t(1), "x", 20.0), (t(2), "x", 30.01)])
     exact = summarize.category_summary(df, "1 minute").collect()[0]
     double = summarize.category_summary(df, "1 minute", money="double").collect()[0]
