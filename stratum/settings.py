@@ -56,6 +56,9 @@ class Settings:
     # streams; fixed by a checkpoint's first run. 0 = the session's
     # spark.sql.shuffle.partitions.
     state_partitions: int = 0
+    # "default" (in-memory, checkpointed) or "rocksdb" (off-heap, for jobs
+    # that keep many open windows); like the width, fixed at the first run.
+    state_store: str = "default"
     gold_partitions: tuple[str, ...] = ("segment", "region", "vehicle_type")
     valid_partitions: tuple[str, ...] = ("region",)
     money: str = "exact"                     # "exact" (integer cents) or "double"
@@ -71,6 +74,8 @@ class Settings:
     extra: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
+        if self.state_store not in ("default", "rocksdb"):
+            raise ValueError(f"state_store must be 'default' or 'rocksdb', got {self.state_store!r}")
         if self.money not in ("exact", "double"):
             raise ValueError(f"money must be 'exact' or 'double', got {self.money!r}")
         for name in ("rows_per_second", "runtime_seconds"):

@@ -45,19 +45,30 @@ def _trigger(settings: Settings, live: bool) -> dict:
 
 @contextmanager
 def _state_width(spark: SparkSession, settings: Settings):
-    """Start a stateful query with ``settings.state_partitions`` shuffle
-    partitions; the query keeps its own copy of the session conf, so the
-    caller's session is restored right after ``start()``."""
-    if not settings.state_partitions:
-        yield
-        return
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(settings.state_partitions))
+    """Start a stateful query with the configured state partitions and store.
+
+    A query keeps its own copy of the session conf (and records both values
+    in its checkpoint on the first run), so the caller's session is restored
+    right after ``start()``.
+    """
+    from stratum.session import ROCKSDB_STATE_CONF
+
+    wanted: dict[str, str] = {}
+    if settings.state_partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(settings.state_partitions)
+    if settings.state_store == "rocksdb":
+        wanted.update(ROCKSDB_STATE_CONF)
+    old = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 # ---- sources ---------------------------------------------------------------

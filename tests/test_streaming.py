@@ -375,3 +375,19 @@ def test_byte_bound_replaces_file_bound(spark, tmp_root):
     jobs.await_all([query])
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3  # one file per batch
     assert read_layer(spark, s.bronze.path).count() == 15
+
+
+def test_rocksdb_state_store_is_opt_in_and_scoped(spark, tmp_root):
+    from conftest import SF_SMALL
+    from stratum.sources import tables
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
+    s = Settings(root=tmp_root, window="1 hour", state_store="rocksdb", state_partitions=2)
+    events = jobs.table_stream(spark, SF_SMALL, "events", schema)
+    jobs.await_all([jobs.start_category_summary(spark, tables.transactions(events), s)])
+    assert spark.conf.get(key, None) == before
+    offsets = open(os.path.join(s.summary.checkpoint, "offsets", "0")).read()
+    assert "RocksDBStateStoreProvider" in offsets
+    assert read_layer(spark, s.summary.path).count() > 0
