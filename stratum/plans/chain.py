@@ -135,9 +135,11 @@ def compact_gold_partials(spark: SparkSession, settings: Settings) -> int | None
     nothing and batches written meanwhile are picked up next time. Old
     batch folders are no longer read; removing them is a storage clean-up.
     """
-    if not path_exists(spark, settings.gold_partials.path):
-        return _latest_base(spark, settings)
-    newest = read_layer(spark, settings.gold_partials.path).agg(F.max("batch_id")).collect()[0][0]
+    # batch folders appear whole (dynamic overwrite commits by rename), so a
+    # listing is enough to find the newest; no job over the partials
+    batches = [int(n[len("batch_id="):]) for n in list_dirs(spark, settings.gold_partials.path)
+               if n.startswith("batch_id=")]
+    newest = max(batches) if batches else None
     base_n = _latest_base(spark, settings)
     if newest is None or (base_n is not None and newest <= base_n):
         return base_n
