@@ -44,7 +44,7 @@ def _trigger(settings: Settings, live: bool) -> dict:
 
 
 @contextmanager
-def _state_width(spark: SparkSession, settings: Settings):
+def _state_conf(spark: SparkSession, settings: Settings):
     """Start a stateful query with the configured state partitions and store.
 
     A query keeps its own copy of the session conf (and records both values
@@ -173,7 +173,7 @@ def start_gold(
     writer = replay_safe_batch_writer(
         settings.gold_stream.path, partition_by=settings.gold_partitions, extra=extra_sinks
     )
-    with _state_width(spark, settings):
+    with _state_conf(spark, settings):
         return (
             gold.writeStream.outputMode("append")
             .foreachBatch(writer)
@@ -211,7 +211,7 @@ def start_category_summary(
     summary = summarize.category_summary(
         transactions, settings.window, watermark=settings.watermark, money=settings.money
     )
-    with _state_width(spark, settings):
+    with _state_conf(spark, settings):
         return start_parquet_stream(summary, settings.summary.path, settings.summary.checkpoint,
                                     trigger=_trigger(settings, live))
 
