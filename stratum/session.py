@@ -60,7 +60,7 @@ _LOCAL_FALLBACK: dict[int, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a local one only if unset."""
+    """The cluster's shared checkpoint folder; a temporary one only in local mode."""
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
@@ -69,6 +69,11 @@ def shared_root(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir appends a per-application folder; use its parent.
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: jobs need a shared folder every executor can "
+            "reach for stream checkpoints and intermediate tables"
+        )
     key = id(sc)
     if key not in _LOCAL_FALLBACK:
         path = tempfile.mkdtemp(prefix="stratum-")
