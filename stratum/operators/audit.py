@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 def require_layers(spark: SparkSession, paths: Mapping[str, str]) -> None:
     """Fail loudly when a layer the audit expects was never written."""
-    from stratum.operators.merge import _exists
+    from stratum.session import path_exists
 
-    missing = [name for name, path in paths.items() if not _exists(spark, path)]
+    missing = [name for name, path in paths.items() if not path_exists(spark, path)]
     if missing:
         raise RuntimeError(f"missing layers: {', '.join(missing)}")
 

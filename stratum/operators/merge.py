@@ -96,11 +96,11 @@ def merge_into(
 
     With ``partition_by``, only partitions present in ``updates`` are read
     (see :func:`_touched_partitions`) and rewritten with dynamic partition
-    overwrite, which writes
-    to a job staging folder and swaps partitions in only when every task has
-    finished reading. An unpartitioned table is rewritten whole, from merged
-    rows staged in the shared checkpoint folder first, because a plain
-    overwrite would delete the files the plan still reads.
+    overwrite, which writes to a job staging folder and swaps partitions in
+    only when every task has finished reading. An unpartitioned table is
+    rewritten whole, from merged rows staged in the shared checkpoint folder
+    first, because a plain overwrite would delete the files the plan still
+    reads. Among duplicate update keys, ``order_col`` picks the greatest.
     """
     if order_col is not None:
         updates = latest_per_key(updates, key, order_col).drop(order_col)
