@@ -103,3 +103,61 @@ def test_rule_sets_match_python_model(spark):
         assert t[row["vehicle_id"]] == _model(row, False, "transaction"), row
         assert s[row["vehicle_id"]] == _model(row, True, "silver"), row
     assert F is not None
+
+
+CONTRACT_CHOICES = {
+    "financing_id": ["FIN-0000000001", "FIN-20260918-000001", "FIN-123", None],
+    "customer_id": ["CUS-0000000A", "CUS-abc", "CUS-ABCDEFGH", None],
+    "vehicle_type": ["CAR", "MOTORCYCLE", "TRUCK", None],
+    "vehicle_brand": ["Toyota", "T", "", None],
+    "vehicle_model": ["X", "", None],
+    "vehicle_year": [1999, 2000, 2100, 2101, None],
+    "segment": ["premium", "SUV", None],
+    "region": ["SOUTH", "SP", "", None],
+    "state": ["PR", "pr", "PRX", None],
+    "city": ["Curitiba", "C", None],
+    "financed_amount": [100.01, 0.0, -1.0, 10.005, None],
+    "down_payment": [0.0, -0.01, 1.1, 2.345, None],
+    "installment_count": [0, 1, 120, 121, None],
+    "monthly_installment": [5.25, 0.0, -3.333, None],
+    "interest_rate_monthly": [0.0, 1.5, 100.0, 100.5, -0.1, None],
+    "status": ["ACTIVE", "active", None],
+    "currency": ["BRL", "USD", None],
+    "created_at": [dt.datetime(2026, 1, 1, tzinfo=UTC), None],
+}
+
+
+def _contract_model(r):
+    import re
+
+    from stratum.functions.rules import (
+        CONTRACT_CENTS, CONTRACT_ENUMS, CONTRACT_MIN_LENGTH, CONTRACT_PATTERNS, CONTRACT_RANGES)
+
+    out = [f"required:{c}" for c in schemas.FINANCING_COLUMNS if r[c] is None]
+    out += [f"pattern:{c}" for c, p in CONTRACT_PATTERNS if r[c] is not None and not re.search(p, r[c])]
+    out += [f"enum:{c}" for c, v in CONTRACT_ENUMS if r[c] is not None and r[c] not in v]
+    for c, low, high, exclusive in CONTRACT_RANGES:
+        v = r[c]
+        if v is None:
+            continue
+        if (v <= low if exclusive else v < low) or (high is not None and v > high):
+            out.append(f"range:{c}")
+    for c in CONTRACT_CENTS:
+        v = r[c]
+        if v is not None and float(_half_up(Decimal(repr(v)), 2)) != v:
+            out.append(f"cents:{c}")
+    out += [f"length:{c}" for c, n in CONTRACT_MIN_LENGTH if r[c] is not None and len(r[c]) < n]
+    return ",".join(out)
+
+
+def test_contract_rules_match_python_model(spark):
+    from stratum.functions.rules import contract_rules
+    from stratum.operators import validate
+
+    rng = random.Random(5)
+    rows = [{**base_row(**{c: rng.choice(v) for c, v in CONTRACT_CHOICES.items()}), "vehicle_id": f"V{i}"}
+            for i in range(2000)]
+    got = {r.vehicle_id: r.violation_text for r in validate.contract_check(frame(spark, rows), contract_rules())
+           .select("vehicle_id", "violation_text").collect()}
+    for row in rows:
+        assert got[row["vehicle_id"]] == _contract_model(row), row
