@@ -30,7 +30,7 @@ CONTRACT_SEED = 42
 CONTRACT_BAD_PERCENT = 5
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+def given_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """A given table; ``spread`` when heavy per-row work follows the scan."""
     pin_utc(spark)
     return tables.table(spark, sf_dir, name, spread=spread)
@@ -38,7 +38,7 @@ def _t(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> Dat
 
 def fin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Financing events with injected dirt, derived from ``orders``."""
-    return tables.financing(_t(spark, sf_dir, "orders", spread=True))
+    return tables.financing(given_table(spark, sf_dir, "orders", spread=True))
 
 
 def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,12 +52,12 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
 # ---- windowed summaries ----------------------------------------------------
 
 def q_category_summary(spark, sf_dir):
-    events = _t(spark, sf_dir, "events")
+    events = given_table(spark, sf_dir, "events")
     return summarize.category_summary(tables.transactions(events), CATEGORY_WINDOW)
 
 
 def q_lineitem_summary(spark, sf_dir):
-    li = _t(spark, sf_dir, "lineitem")
+    li = given_table(spark, sf_dir, "lineitem")
     tx = li.select(
         F.col("l_shipdate").alias("event_time"),
         F.concat_ws("|", "l_returnflag", "l_linestatus").alias("category"),
@@ -111,12 +111,12 @@ def q_contract_violations_generated(spark, sf_dir):
 # ---- generators ------------------------------------------------------------
 
 def q_synth_events(spark, sf_dir):
-    events = _t(spark, sf_dir, "events", spread=True)
+    events = given_table(spark, sf_dir, "events", spread=True)
     return _ntz(synthetic.from_counter(tables.counter_rows(events)), "created_at", "event_time")
 
 
 def _contract_events(spark, sf_dir):
-    orders = _t(spark, sf_dir, "orders", spread=True)
+    orders = given_table(spark, sf_dir, "orders", spread=True)
     return synthetic.contract_events(
         orders, "o_orderkey", "o_orderdate", seed=CONTRACT_SEED, bad_percent=CONTRACT_BAD_PERCENT
     )

@@ -60,7 +60,7 @@ def q_bronze_ingest(spark, sf_dir):
 def q_bronze_incremental(spark, sf_dir):
     """Two landings and three runs on one checkpoint: every row exactly once."""
     s = _settings(spark, "bronze-incremental")
-    orders = C._t(spark, sf_dir, "orders", spread=True)
+    orders = C.given_table(spark, sf_dir, "orders", spread=True)
     early = F.col("o_orderdate") < F.lit(INCREMENTAL_SPLIT).cast("timestamp_ntz")
     write_jsonl(tables.financing(orders.filter(early)), s.landing_path)
     chain.run_bronze(spark, s)
@@ -79,7 +79,7 @@ def q_jsonl_line_count(spark, sf_dir):
 def q_contract_raw_violations(spark, sf_dir):
     """Landing text checked for undeclared keys and the created_at format."""
     s = _settings(spark, "raw-contract")
-    write_jsonl(tables.financing_landing(C._t(spark, sf_dir, "orders", spread=True)), s.landing_path)
+    write_jsonl(tables.financing_landing(C.given_table(spark, sf_dir, "orders", spread=True)), s.landing_path)
     checked = validate.raw_contract_check(spark.read.text(s.landing_path))
     return checked.select(
         F.get_json_object("value", "$.vehicle_id").alias("vehicle_id"), "raw_violation_text"
@@ -131,7 +131,7 @@ def q_gold_incremental(spark, sf_dir):
     """Two landings, each folded into mergeable partials and compacted; the
     result must equal the full recompute over all of silver."""
     s = _settings(spark, "gold-incremental")
-    orders = C._t(spark, sf_dir, "orders", spread=True)
+    orders = C.given_table(spark, sf_dir, "orders", spread=True)
     early = F.col("o_orderdate") < F.lit(INCREMENTAL_SPLIT).cast("timestamp_ntz")
     for part in (orders.filter(early), orders.filter(~early)):
         write_jsonl(tables.financing(part), s.landing_path)
@@ -204,7 +204,7 @@ def q_gold_row_count(spark, sf_dir):
 # ---- streams over the given tables -----------------------------------------
 
 def _events_schema(spark, sf_dir):
-    return C._t(spark, sf_dir, "events").schema
+    return C.given_table(spark, sf_dir, "events").schema
 
 
 def q_category_summary_stream(spark, sf_dir):
