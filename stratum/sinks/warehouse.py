@@ -16,31 +16,41 @@ from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StructType
 
 from stratum import schemas
 from stratum.settings import Settings
 
 NULL_KEY = "UNKNOWN"
-# Warehouse column types of the gold table (measure precision is fixed).
-GOLD_SQL_TYPES = {
-    "window_start": "TIMESTAMP",
-    "window_end": "TIMESTAMP",
-    "segment": "VARCHAR(100)",
-    "region": "VARCHAR(100)",
-    "vehicle_type": "VARCHAR(100)",
-    "vehicle_brand": "VARCHAR(100)",
-    "vehicle_model": "VARCHAR(100)",
-    "financing_count": "BIGINT",
-    "total_financed_amount": "NUMERIC(18, 2)",
-    "average_monthly_installment": "NUMERIC(18, 2)",
-    "average_interest_rate_monthly": "NUMERIC(10, 4)",
-}
+# Fixed warehouse precision of the gold measures.
 GOLD_DECIMALS = {
     "total_financed_amount": DecimalType(18, 2),
     "average_monthly_installment": DecimalType(18, 2),
     "average_interest_rate_monthly": DecimalType(10, 4),
 }
+_SQL_TYPES = {
+    "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP",
+    "string": "VARCHAR(100)",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE PRECISION",
+}
+
+
+def sql_types(schema: StructType, decimals: dict[str, DecimalType]) -> dict[str, str]:
+    """Column -> SQL type for a schema record; ``decimals`` pin exact measures."""
+    out = {}
+    for f in schema.fields:
+        if f.name in decimals:
+            d = decimals[f.name]
+            out[f.name] = f"NUMERIC({d.precision}, {d.scale})"
+        else:
+            out[f.name] = _SQL_TYPES[f.dataType.simpleString()]
+    return out
+
+
+GOLD_SQL_TYPES = sql_types(schemas.GOLD, GOLD_DECIMALS)
 
 
 def create_table_sql(table: str, columns: dict[str, str], key: Sequence[str]) -> str:
