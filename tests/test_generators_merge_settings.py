@@ -169,3 +169,26 @@ def test_merge_semi_join_fallback_beyond_the_pruning_limit(spark, tmp_root, monk
     merge_into(spark, target, upd, ["k"], partition_by=["part"])  # two touched partitions > limit
     out = sorted(tuple(r) for r in spark.read.parquet(target).select("part", "k", "v").collect())
     assert out == [("p1", "a", 10), ("p2", "b", 2), ("p2", "z", 9), ("p3", "c", 3)]
+
+
+def test_warehouse_upsert_and_reload_orchestration(spark, monkeypatch):
+    staged, executed = [], []
+    monkeypatch.setattr(warehouse, "_stage", lambda df, s, name: staged.append((name, df.collect())))
+    monkeypatch.setattr(warehouse, "_execute", lambda sp, s, stmts: executed.append(list(stmts)))
+    s = Settings(jdbc_url="jdbc:any://host/db", jdbc_table="gold_t")
+    ws = dt.datetime(2026, 1, 1)
+    gold = spark.createDataFrame(
+        [(ws, ws, None, "SOUTH", "CAR", "B", "M", 3, 10.005, 2.0, 1.23456)], schemas.GOLD)
+    warehouse.batch_upsert_sink(s)(gold, 7)
+    assert staged[0][0] == "gold_t_stage_b7"
+    row = staged[0][1][0]
+    assert row.segment == warehouse.NULL_KEY and str(row.total_financed_amount) == "10.01"
+    assert executed[0][0].startswith("CREATE TABLE IF NOT EXISTS gold_t")
+    assert executed[1][0].startswith("MERGE INTO gold_t t USING gold_t_stage_b7 s")
+    assert executed[1][1] == "DROP TABLE gold_t_stage_b7"
+    staged.clear(), executed.clear()
+    warehouse.reload(spark, gold, s)
+    assert staged[0][0] == "gold_t_stage_reload"
+    assert executed[1][:2] == ["DELETE FROM gold_t",
+                               "INSERT INTO gold_t (" + ", ".join(schemas.GOLD_COLUMNS) + ") SELECT "
+                               + ", ".join(schemas.GOLD_COLUMNS) + " FROM gold_t_stage_reload"]
