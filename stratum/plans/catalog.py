@@ -51,12 +51,12 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
 
 # ---- windowed summaries ----------------------------------------------------
 
-def q_category_summary(spark, sf_dir):
+def q_category_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = given_table(spark, sf_dir, "events")
     return summarize.category_summary(tables.transactions(events), CATEGORY_WINDOW)
 
 
-def q_lineitem_summary(spark, sf_dir):
+def q_lineitem_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = given_table(spark, sf_dir, "lineitem")
     tx = li.select(
         F.col("l_shipdate").alias("event_time"),
@@ -66,51 +66,51 @@ def q_lineitem_summary(spark, sf_dir):
     return summarize.category_summary(tx, LINEITEM_WINDOW)
 
 
-def q_gold_batch(spark, sf_dir):
+def q_gold_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarize.gold_summary(silver_of(spark, sf_dir), GOLD_WINDOW)
 
 
 # ---- quality ---------------------------------------------------------------
 
-def q_normalize_dims(spark, sf_dir):
+def q_normalize_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = fin(spark, sf_dir).select("vehicle_id", *normalize.UPPER_COLUMNS, *normalize.LOWER_COLUMNS)
     return normalize.clean(df)
 
 
-def q_validate_valid(spark, sf_dir):
+def q_validate_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, _ = validate.validate_transactions(fin(spark, sf_dir))
     return valid
 
 
-def q_validate_invalid(spark, sf_dir):
+def q_validate_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, invalid = validate.validate_transactions(fin(spark, sf_dir))
     return invalid
 
 
-def q_reason_counts(spark, sf_dir):
+def q_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.reason_profiles(fin(spark, sf_dir), {
         "transaction": (transaction_rules(), False),
         "silver": (silver_rules(), True),
     })
 
 
-def q_silver_batch(spark, sf_dir):
+def q_silver_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_of(spark, sf_dir)
 
 
-def q_contract_violations(spark, sf_dir):
+def q_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = validate.contract_check(fin(spark, sf_dir), contract_rules())
     return checked.select("vehicle_id", "violation_text", "violation_count")
 
 
-def q_contract_violations_generated(spark, sf_dir):
+def q_contract_violations_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = validate.contract_check(_contract_events(spark, sf_dir), contract_rules())
     return checked.select("financing_id", "violation_text", "violation_count")
 
 
 # ---- generators ------------------------------------------------------------
 
-def q_synth_events(spark, sf_dir):
+def q_synth_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = given_table(spark, sf_dir, "events", spread=True)
     return _ntz(synthetic.from_counter(tables.counter_rows(events)), "created_at", "event_time")
 
@@ -122,7 +122,7 @@ def _contract_events(spark, sf_dir):
     )
 
 
-def q_synth_contract_events(spark, sf_dir):
+def q_synth_contract_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _contract_events(spark, sf_dir)
 
 

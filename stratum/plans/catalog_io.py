@@ -51,13 +51,13 @@ def _landed(spark: SparkSession, sf_dir: str, name: str) -> Settings:
 
 # ---- bronze ----------------------------------------------------------------
 
-def q_bronze_ingest(spark, sf_dir):
+def q_bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _landed(spark, sf_dir, "bronze-ingest")
     chain.run_bronze(spark, s)
     return _financing_cols(read_layer(spark, s.bronze.path))
 
 
-def q_bronze_incremental(spark, sf_dir):
+def q_bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landings and three runs on one checkpoint: every row exactly once."""
     s = _settings(spark, "bronze-incremental")
     orders = C.given_table(spark, sf_dir, "orders", spread=True)
@@ -70,13 +70,13 @@ def q_bronze_incremental(spark, sf_dir):
     return _financing_cols(read_layer(spark, s.bronze.path))
 
 
-def q_jsonl_line_count(spark, sf_dir):
+def q_jsonl_line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _landed(spark, sf_dir, "jsonl-count")
     lines = spark.read.text(s.landing_path)
     return lines.filter(F.trim(F.col("value")) != "").agg(F.count(F.lit(1)).alias("line_count"))
 
 
-def q_contract_raw_violations(spark, sf_dir):
+def q_contract_raw_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing text checked for undeclared keys and the created_at format."""
     s = _settings(spark, "raw-contract")
     write_jsonl(tables.financing_landing(C.given_table(spark, sf_dir, "orders", spread=True)), s.landing_path)
@@ -95,12 +95,12 @@ def _through_silver(spark, sf_dir, name) -> Settings:
     return s
 
 
-def q_silver_stream(spark, sf_dir):
+def q_silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _through_silver(spark, sf_dir, "silver-stream")
     return _financing_cols(chain.read_silver(spark, s))
 
 
-def q_quarantine(spark, sf_dir):
+def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _through_silver(spark, sf_dir, "quarantine")
     q = chain.read_quarantine(spark, s)
     return _ntz(q.select(*schemas.FINANCING_COLUMNS, validate.REASON), "created_at")
@@ -108,26 +108,26 @@ def q_quarantine(spark, sf_dir):
 
 # ---- gold ------------------------------------------------------------------
 
-def q_gold_stream_closed(spark, sf_dir):
+def q_gold_stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _through_silver(spark, sf_dir, "gold-stream")
     chain.run_gold(spark, s)
     return read_layer(spark, s.gold_stream.path).select(*schemas.GOLD_COLUMNS)
 
 
-def q_gold_snapshot(spark, sf_dir):
+def q_gold_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _settings(spark, "gold-snapshot")
     chain.write_silver_batch(spark, s, C.fin(spark, sf_dir), mode="overwrite")
     chain.run_snapshot(spark, s)
     return chain.read_gold(spark, s.gold.path)
 
 
-def q_medallion_chain(spark, sf_dir):
+def q_medallion_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _landed(spark, sf_dir, "chain")
     chain.run_chain(spark, s)
     return chain.read_gold(spark, s.gold.path)
 
 
-def q_gold_incremental(spark, sf_dir):
+def q_gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landings, each folded into mergeable partials and compacted; the
     result must equal the full recompute over all of silver."""
     s = _settings(spark, "gold-incremental")
@@ -142,7 +142,7 @@ def q_gold_incremental(spark, sf_dir):
     return chain.read_gold(spark, s.gold.path)
 
 
-def q_layer_audit(spark, sf_dir):
+def q_layer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _landed(spark, sf_dir, "audit")
     chain.run_chain(spark, s)
     layers = {
@@ -154,7 +154,7 @@ def q_layer_audit(spark, sf_dir):
     return audit.audit(spark, layers)
 
 
-def q_gold_upsert(spark, sf_dir):
+def q_gold_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stale slice A (no pending contracts, early windows), then slice B
     recomputed from all of silver for later windows, merged on the key."""
     s = _settings(spark, "gold-upsert")
@@ -177,27 +177,27 @@ def _gold(spark, sf_dir):
     return C.q_gold_batch(spark, sf_dir)
 
 
-def q_report_summary(spark, sf_dir):
+def q_report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.summary(_gold(spark, sf_dir))
 
 
-def q_report_summary_totals(spark, sf_dir):
+def q_report_summary_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.summary_totals(_gold(spark, sf_dir))
 
 
-def q_report_summary_weighted(spark, sf_dir):
+def q_report_summary_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.summary_weighted(C.silver_of(spark, sf_dir))
 
 
-def q_report_windows(spark, sf_dir):
+def q_report_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.windows(_gold(spark, sf_dir))
 
 
-def q_gold_ordered(spark, sf_dir):
+def q_gold_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.ordered(_gold(spark, sf_dir))
 
 
-def q_gold_row_count(spark, sf_dir):
+def q_gold_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.row_count(_gold(spark, sf_dir))
 
 
@@ -207,7 +207,7 @@ def _events_schema(spark, sf_dir):
     return C.given_table(spark, sf_dir, "events").schema
 
 
-def q_category_summary_stream(spark, sf_dir):
+def q_category_summary_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _settings(spark, "category-stream", window=C.CATEGORY_WINDOW)
     events = jobs.table_stream(spark, sf_dir, "events", _events_schema(spark, sf_dir))
     jobs.await_all([jobs.start_category_summary(spark, tables.transactions(events), s)])
@@ -221,13 +221,13 @@ def _fanout(spark, sf_dir, name) -> Settings:
     return s
 
 
-def q_valid_partitioned(spark, sf_dir):
+def q_valid_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _fanout(spark, sf_dir, "fanout-valid")
     valid = spark.read.parquet(s.valid.path).select(*schemas.COUNTER_EVENT_COLUMNS)
     return _ntz(valid, "created_at", "event_time")
 
 
-def q_fanout_summary(spark, sf_dir):
+def q_fanout_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _fanout(spark, sf_dir, "fanout-summary")
     return read_layer(spark, s.summary.path).select(*schemas.CATEGORY_SUMMARY_COLUMNS)
 
