@@ -115,7 +115,7 @@ def q_synth_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(synthetic.from_counter(tables.counter_rows(events)), "created_at", "event_time")
 
 
-def _contract_events(spark, sf_dir):
+def _contract_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = given_table(spark, sf_dir, "orders", spread=True)
     return synthetic.contract_events(
         orders, "o_orderkey", "o_orderdate", seed=CONTRACT_SEED, bad_percent=CONTRACT_BAD_PERCENT

@@ -88,7 +88,7 @@ def q_contract_raw_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- silver / quarantine ---------------------------------------------------
 
-def _through_silver(spark, sf_dir, name) -> Settings:
+def _through_silver(spark: SparkSession, sf_dir: str, name: str) -> Settings:
     s = _landed(spark, sf_dir, name)
     chain.run_bronze(spark, s)
     chain.run_silver(spark, s)
@@ -173,7 +173,7 @@ def q_gold_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- reports over gold -----------------------------------------------------
 
-def _gold(spark, sf_dir):
+def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.q_gold_batch(spark, sf_dir)
 
 
@@ -203,7 +203,7 @@ def q_gold_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- streams over the given tables -----------------------------------------
 
-def _events_schema(spark, sf_dir):
+def _events_schema(spark: SparkSession, sf_dir: str):
     return C.given_table(spark, sf_dir, "events").schema
 
 
@@ -214,7 +214,7 @@ def q_category_summary_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, s.summary.path).select(*schemas.CATEGORY_SUMMARY_COLUMNS)
 
 
-def _fanout(spark, sf_dir, name) -> Settings:
+def _fanout(spark: SparkSession, sf_dir: str, name: str) -> Settings:
     s = _settings(spark, name, window=C.CATEGORY_WINDOW)
     events = jobs.table_stream(spark, sf_dir, "events", _events_schema(spark, sf_dir))
     jobs.await_all(jobs.start_quality_fanout(spark, tables.counter_rows(events), s, live=False))
