@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from stratum import schemas
 from stratum.operators import summarize
 from stratum.operators.merge import merge_into
-from stratum.session import list_dirs, path_exists, pin_utc
+from stratum.session import delete_path, list_dirs, path_exists, pin_utc
 from stratum.settings import Settings
 from stratum.sinks import warehouse
 from stratum.sinks.files import read_layer, write_parquet
@@ -188,6 +188,36 @@ def _timeout(settings: Settings, live: bool):
     return settings.runtime_seconds if live else None
 
 
+def vacuum_gold_partials(spark: SparkSession, settings: Settings, keep_bases: int = 2) -> list[str]:
+    """Delete partials no reader can need any more; returns what was removed.
+
+    The ``keep_bases`` newest complete bases stay, and so does every batch
+    above the oldest of them, so a reader that started on the previous base
+    still finds all it reads. Older bases, incomplete bases below the newest
+    complete one, and batches at or below the oldest kept base are deleted.
+    """
+    root = settings.gold_partials_base
+    complete = sorted(int(n[len("upto="):]) for n in list_dirs(spark, root)
+                      if n.startswith("upto=") and path_exists(spark, f"{root}/{n}/_SUCCESS"))
+    if len(complete) < keep_bases or keep_bases < 1:
+        return []
+    floor = complete[-keep_bases]
+    newest = complete[-1]
+    removed = []
+    for name in list_dirs(spark, root):
+        if name.startswith("upto=") and int(name[len("upto="):]) < floor:
+            removed.append(f"{root}/{name}")
+        elif name.startswith("upto=") and int(name[len("upto="):]) < newest \
+                and int(name[len("upto="):]) not in complete:
+            removed.append(f"{root}/{name}")
+    for name in list_dirs(spark, settings.gold_partials.path):
+        if name.startswith("batch_id=") and int(name[len("batch_id="):]) <= floor:
+            removed.append(f"{settings.gold_partials.path}/{name}")
+    for path in removed:
+        delete_path(spark, path)
+    return removed
+
+
 def run_report(spark: SparkSession, settings: Settings, name: str = "summary") -> DataFrame:
     """A named report over the gold snapshot (``summary``, ``windows``, ...)."""
     from stratum.operators import reports
@@ -228,6 +258,7 @@ STAGES = {
     "snapshot": run_snapshot,
     "snapshot_incremental": run_snapshot_incremental,
     "compact": lambda spark, s: compact_gold_partials(spark, s),
+    "vacuum": lambda spark, s: vacuum_gold_partials(spark, s),
     "chain": run_chain,
     "fanout": run_quality_fanout,
     "generate": run_generate,

@@ -126,3 +126,18 @@ def list_dirs(spark: SparkSession, uri: str) -> list[str]:
         if not os.path.isdir(local):
             return []
         return [n for n in os.listdir(local) if os.path.isdir(os.path.join(local, n))]
+
+
+def delete_path(spark: SparkSession, uri: str) -> bool:
+    """Recursively delete ``uri`` through the Hadoop file system."""
+    try:
+        path, fs = _fs(spark, uri)
+        return bool(fs.delete(path, True))
+    except Exception:  # pragma: no cover - no JVM access
+        import shutil
+
+        local = uri.replace("file://", "")
+        if os.path.exists(local):
+            shutil.rmtree(local)
+            return True
+        return False

@@ -391,3 +391,24 @@ def test_rocksdb_state_store_is_opt_in_and_scoped(spark, tmp_root):
     offsets = open(os.path.join(s.summary.checkpoint, "offsets", "0")).read()
     assert "RocksDBStateStoreProvider" in offsets
     assert read_layer(spark, s.summary.path).count() > 0
+
+
+def test_vacuum_keeps_what_readers_need(spark, tmp_root):
+    from helpers import frame
+
+    s = Settings(root=tmp_root, window="10 seconds")
+    expected = None
+    rows = []
+    for i in range(3):  # three batches, compacted after each
+        batch = [base_row(financing_id=f"R{i}{j}", financed_amount=1.0 + j, created_at=at(0, 0, j))
+                 for j in range(4)]
+        rows += batch
+        chain.write_silver_batch(spark, s, frame(spark, batch))
+        chain.run_gold_partials(spark, s)
+        chain.compact_gold_partials(spark, s)
+    expected = sorted(tuple(r) for r in chain.incremental_gold(spark, s).collect())
+    removed = chain.vacuum_gold_partials(spark, s, keep_bases=2)
+    names = sorted(os.path.basename(p) for p in removed)
+    assert names == ["batch_id=0", "batch_id=1", "upto=0"]
+    assert sorted(tuple(r) for r in chain.incremental_gold(spark, s).collect()) == expected
+    assert chain.vacuum_gold_partials(spark, s, keep_bases=2) == []
