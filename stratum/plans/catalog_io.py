@@ -111,7 +111,7 @@ def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_gold_stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _through_silver(spark, sf_dir, "gold-stream")
     chain.run_gold(spark, s)
-    return read_layer(spark, s.gold_stream.path).select(*schemas.GOLD_COLUMNS)
+    return chain.read_gold_stream(spark, s)
 
 
 def q_gold_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,6 +160,11 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
     return read_layer(spark, path, schemas.GOLD, schemas.GOLD_COLUMNS)
 
 
+def read_gold_stream(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Windows the gold stream has emitted so far (its ``batch_id`` folders)."""
+    return read_layer(spark, settings.gold_stream.path).select(*schemas.GOLD_COLUMNS)
+
+
 def upsert_gold(spark: SparkSession, settings: Settings, updates: DataFrame) -> None:
     """Keyed merge of gold rows into the gold snapshot (7-column key)."""
     merge_into(spark, settings.gold.path, updates.select(*schemas.GOLD_COLUMNS), schemas.GOLD_KEY,
