@@ -216,21 +216,29 @@ def category_select(src: str, time_col: str, category: str, amount: str, window:
 
 def counter_select(value: str, ts: str, src: str) -> str:
     v = value
+
+    def spread(base_span) -> str:
+        base, span = base_span
+        return f"{base} + {v} % {span}"
+
+    car, moto = G.COUNTER_BRANDS["CAR"], G.COUNTER_BRANDS["MOTORCYCLE"]
     return (
-        f"SELECT 'FIN-' || lpad(CAST({v} AS VARCHAR), 10, '0') AS financing_id,\n"
-        f"  'CUS-' || lpad(CAST({v} % 100000000 AS VARCHAR), 8, '0') AS customer_id,\n"
+        f"SELECT 'FIN-' || lpad(CAST({v} AS VARCHAR), {G.COUNTER_ID_DIGITS}, '0') AS financing_id,\n"
+        f"  'CUS-' || lpad(CAST({v} % {G.COUNTER_CUSTOMER_MODULUS} AS VARCHAR), {G.COUNTER_CUSTOMER_DIGITS}, '0')"
+        f" AS customer_id,\n"
         f"  CASE WHEN {v} % 2 = 0 THEN 'CAR' ELSE 'MOTORCYCLE' END AS vehicle_type,\n"
-        f"  CASE WHEN {v} % 2 = 0 THEN {q(G.COUNTER_BRANDS['CAR'][0])} ELSE {q(G.COUNTER_BRANDS['MOTORCYCLE'][0])} END AS vehicle_brand,\n"
-        f"  CASE WHEN {v} % 2 = 0 THEN {q(G.COUNTER_BRANDS['CAR'][1])} ELSE {q(G.COUNTER_BRANDS['MOTORCYCLE'][1])} END AS vehicle_model,\n"
-        f"  CAST(2024 + {v} % 3 AS INTEGER) AS vehicle_year,\n"
-        f"  {pick(f'({v} % 3)', G.COUNTER_SEGMENTS)} AS segment,\n"
-        f"  {pick(f'({v} % 5)', schemas.REGIONS)} AS region,\n"
-        f"  CAST(15000 + {v} % 120000 AS DOUBLE) AS financed_amount,\n"
-        f"  CAST(3000 + {v} % 20000 AS DOUBLE) AS down_payment,\n"
-        f"  CAST(24 + {v} % 37 AS INTEGER) AS installment_count,\n"
-        f"  CAST(500 + {v} % 3000 AS DOUBLE) AS monthly_installment,\n"
-        f"  CAST(120 + {v} % 100 AS DOUBLE) / 100.0 AS interest_rate_monthly,\n"
-        f"  'ACTIVE' AS status, 'BRL' AS currency, {ts} AS created_at, {ts} AS event_time\n"
+        f"  CASE WHEN {v} % 2 = 0 THEN {q(car[0])} ELSE {q(moto[0])} END AS vehicle_brand,\n"
+        f"  CASE WHEN {v} % 2 = 0 THEN {q(car[1])} ELSE {q(moto[1])} END AS vehicle_model,\n"
+        f"  CAST({spread(G.COUNTER_YEAR)} AS INTEGER) AS vehicle_year,\n"
+        f"  {pick(f'({v} % {len(G.COUNTER_SEGMENTS)})', G.COUNTER_SEGMENTS)} AS segment,\n"
+        f"  {pick(f'({v} % {len(schemas.REGIONS)})', schemas.REGIONS)} AS region,\n"
+        f"  CAST({spread(G.COUNTER_FINANCED)} AS DOUBLE) AS financed_amount,\n"
+        f"  CAST({spread(G.COUNTER_DOWN)} AS DOUBLE) AS down_payment,\n"
+        f"  CAST({spread(G.COUNTER_INSTALLMENTS)} AS INTEGER) AS installment_count,\n"
+        f"  CAST({spread(G.COUNTER_MONTHLY)} AS DOUBLE) AS monthly_installment,\n"
+        f"  CAST({spread(G.COUNTER_RATE_CENTS)} AS DOUBLE) / 100.0 AS interest_rate_monthly,\n"
+        f"  {q(G.COUNTER_STATUS)} AS status, {q(G.COUNTER_CURRENCY)} AS currency,"
+        f" {ts} AS created_at, {ts} AS event_time\n"
         f"FROM {src}"
     )
 
@@ -247,18 +255,24 @@ def contract_events_select(src: str, key: str, day: str, seed: int, bad_percent:
     def d(stream: int) -> str:
         return draw_sql(key, stream, seed)
 
+    def uniform(stream: int, low_high) -> str:
+        low, high = low_high
+        return f"({low} + {d(stream)} % {high - low + 1})"
+
     veh = f"({d(1)} % {len(VEHICLES)})"
     loc = f"({d(2)} % {len(LOCATIONS)})"
-    good = f"(1500000 + {d(3)} % 13500001)"
-    financed = f"(CASE WHEN {d(7)} % 100 < {bad_percent} THEN -(10000 + {d(8)} % 490001) ELSE {good} END)"
-    down = f"(({good} * (2000 + {d(4)} % 1501) + 5000) // 10000)"
-    count = f"CAST({pick(f'({d(5)} % 4)', (24, 36, 48, 60))} AS INTEGER)"
-    monthly = f"(sign({financed}) * ((abs({financed}) * 125 + {count} * 50) // ({count} * 100)))"
+    good = uniform(3, G.CONTRACT_FINANCED_CENTS)
+    financed = f"(CASE WHEN {d(7)} % 100 < {bad_percent} THEN -{uniform(8, G.CONTRACT_NEGATIVE_CENTS)} ELSE {good} END)"
+    down = f"(({good} * {uniform(4, G.CONTRACT_DOWN_BASIS_POINTS)} + 5000) // 10000)"
+    count = f"CAST({pick(f'({d(5)} % {len(G.CONTRACT_TERMS)})', G.CONTRACT_TERMS)} AS INTEGER)"
+    up, dn = G.CONTRACT_MARKUP
+    monthly = f"(sign({financed}) * ((abs({financed}) * {up} + {count} * {dn // 2}) // ({count} * {dn})))"
     return (
-        f"SELECT 'FIN-' || strftime({day}, '%Y%m%d') || '-' || printf('%06d', {key}) AS financing_id,\n"
-        f"  'CUS-' || CAST(10000000 + {d(10)} % 90000000 AS VARCHAR) AS customer_id,\n"
+        f"SELECT 'FIN-' || strftime({day}, '%Y%m%d') || '-' || printf('%0{G.CONTRACT_EVENT_DIGITS}d', {key})"
+        f" AS financing_id,\n"
+        f"  'CUS-' || CAST({uniform(10, G.CONTRACT_ID_NUMBERS)} AS VARCHAR) AS customer_id,\n"
         f"  {pick(veh, [v[0] for v in VEHICLES])} AS vehicle_type,\n"
-        f"  'VEH-' || CAST(10000000 + {d(11)} % 90000000 AS VARCHAR) AS vehicle_id,\n"
+        f"  'VEH-' || CAST({uniform(11, G.CONTRACT_ID_NUMBERS)} AS VARCHAR) AS vehicle_id,\n"
         f"  {pick(veh, [v[1] for v in VEHICLES])} AS vehicle_brand,\n"
         f"  {pick(veh, [v[2] for v in VEHICLES])} AS vehicle_model,\n"
         f"  CAST({pick(veh, [v[3] for v in VEHICLES])} AS INTEGER) AS vehicle_year,\n"
@@ -270,9 +284,9 @@ def contract_events_select(src: str, key: str, day: str, seed: int, bad_percent:
         f"  CAST({down} AS DOUBLE) / 100.0 AS down_payment,\n"
         f"  {count} AS installment_count,\n"
         f"  CAST({monthly} AS DOUBLE) / 100.0 AS monthly_installment,\n"
-        f"  CAST(129 + {d(6)} % 71 AS DOUBLE) / 100.0 AS interest_rate_monthly,\n"
-        f"  {pick(f'({d(9)} % 3)', PRODUCER_STATUSES)} AS status,\n"
-        f"  'BRL' AS currency,\n"
+        f"  CAST({uniform(6, G.CONTRACT_RATE_CENTS)} AS DOUBLE) / 100.0 AS interest_rate_monthly,\n"
+        f"  {pick(f'({d(9)} % {len(PRODUCER_STATUSES)})', PRODUCER_STATUSES)} AS status,\n"
+        f"  {q(G.CONTRACT_CURRENCY)} AS currency,\n"
         f"  {day} + to_seconds(CAST({d(12)} % 86400 AS BIGINT)) AS created_at\n"
         f"FROM {src}"
     )

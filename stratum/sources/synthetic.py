@@ -22,32 +22,49 @@ from stratum.sources.tables import LOCATIONS, PRODUCER_STATUSES, VEHICLES, pick
 # --- Fixed values of the counter generator ----------------------------------
 COUNTER_BRANDS = {"CAR": ("Toyota", "Corolla XEi"), "MOTORCYCLE": ("Honda", "CG 160 Titan")}
 COUNTER_SEGMENTS = ("premium", "standard", "mass_market")
+COUNTER_ID_DIGITS = 10             # FIN- + counter, zero-padded (longer values are cut)
+COUNTER_CUSTOMER_MODULUS = 100000000
+COUNTER_CUSTOMER_DIGITS = 8        # CUS- + counter % modulus, zero-padded
+COUNTER_YEAR = (2024, 3)           # (base, span): base + pmod(counter, span)
+COUNTER_FINANCED = (15000, 120000)
+COUNTER_DOWN = (3000, 20000)
+COUNTER_INSTALLMENTS = (24, 37)
+COUNTER_MONTHLY = (500, 3000)
+COUNTER_RATE_CENTS = (120, 100)    # rate = (base + pmod(counter, span)) / 100
+COUNTER_STATUS = "ACTIVE"
+COUNTER_CURRENCY = "BRL"
 # --- end of fixed values -----------------------------------------------------
 
 
 def from_counter(rows: DataFrame, value: str = "value", timestamp: str = "timestamp") -> DataFrame:
     """Counter rows -> the 17-column financing event, one projection."""
     v = F.col(value)
+
+    def spread(base_span: tuple[int, int]) -> Column:
+        base, span = base_span
+        return F.lit(base) + F.pmod(v, F.lit(span))
+
     is_car = F.pmod(v, F.lit(2)) == 0
     vehicle_type = F.when(is_car, F.lit("CAR")).otherwise(F.lit("MOTORCYCLE"))
     return rows.select(
-        F.concat(F.lit("FIN-"), F.lpad(v.cast("string"), 10, "0")).alias("financing_id"),
-        F.concat(F.lit("CUS-"), F.lpad((v % 100000000).cast("string"), 8, "0")).alias("customer_id"),
+        F.concat(F.lit("FIN-"), F.lpad(v.cast("string"), COUNTER_ID_DIGITS, "0")).alias("financing_id"),
+        F.concat(F.lit("CUS-"), F.lpad((v % COUNTER_CUSTOMER_MODULUS).cast("string"),
+                                       COUNTER_CUSTOMER_DIGITS, "0")).alias("customer_id"),
         vehicle_type.alias("vehicle_type"),
         F.when(is_car, F.lit(COUNTER_BRANDS["CAR"][0]))
         .otherwise(F.lit(COUNTER_BRANDS["MOTORCYCLE"][0])).alias("vehicle_brand"),
         F.when(is_car, F.lit(COUNTER_BRANDS["CAR"][1]))
         .otherwise(F.lit(COUNTER_BRANDS["MOTORCYCLE"][1])).alias("vehicle_model"),
-        (F.lit(2024) + F.pmod(v, F.lit(3))).cast("int").alias("vehicle_year"),
-        pick(F.pmod(v, F.lit(3)), COUNTER_SEGMENTS).alias("segment"),
-        pick(F.pmod(v, F.lit(5)), schemas.REGIONS).alias("region"),
-        (F.lit(15000) + F.pmod(v, F.lit(120000))).cast("double").alias("financed_amount"),
-        (F.lit(3000) + F.pmod(v, F.lit(20000))).cast("double").alias("down_payment"),
-        (F.lit(24) + F.pmod(v, F.lit(37))).cast("int").alias("installment_count"),
-        (F.lit(500) + F.pmod(v, F.lit(3000))).cast("double").alias("monthly_installment"),
-        ((F.lit(120) + F.pmod(v, F.lit(100))).cast("double") / 100.0).alias("interest_rate_monthly"),
-        F.lit("ACTIVE").alias("status"),
-        F.lit("BRL").alias("currency"),
+        spread(COUNTER_YEAR).cast("int").alias("vehicle_year"),
+        pick(F.pmod(v, F.lit(len(COUNTER_SEGMENTS))), COUNTER_SEGMENTS).alias("segment"),
+        pick(F.pmod(v, F.lit(len(schemas.REGIONS))), schemas.REGIONS).alias("region"),
+        spread(COUNTER_FINANCED).cast("double").alias("financed_amount"),
+        spread(COUNTER_DOWN).cast("double").alias("down_payment"),
+        spread(COUNTER_INSTALLMENTS).cast("int").alias("installment_count"),
+        spread(COUNTER_MONTHLY).cast("double").alias("monthly_installment"),
+        (spread(COUNTER_RATE_CENTS).cast("double") / 100.0).alias("interest_rate_monthly"),
+        F.lit(COUNTER_STATUS).alias("status"),
+        F.lit(COUNTER_CURRENCY).alias("currency"),
         F.col(timestamp).alias("created_at"),
         F.col(timestamp).alias("event_time"),
     )
@@ -65,6 +82,18 @@ MODULUS = 2147483647     # Park-Miller minimal standard generator
 MULTIPLIER = 48271
 ROUNDS = 3
 
+# --- Fixed values of the contract-shaped producer (inclusive ranges) --------
+CONTRACT_FINANCED_CENTS = (1500000, 15000000)   # 15,000.00 .. 150,000.00
+CONTRACT_NEGATIVE_CENTS = (10000, 500000)       # bad rows: -(100.00 .. 5,000.00)
+CONTRACT_DOWN_BASIS_POINTS = (2000, 3500)       # down payment = 20% .. 35% of financed
+CONTRACT_TERMS = (24, 36, 48, 60)
+CONTRACT_RATE_CENTS = (129, 199)                # 1.29 .. 1.99 % a month
+CONTRACT_MARKUP = (125, 100)                    # monthly = financed / term * 1.25
+CONTRACT_ID_NUMBERS = (10000000, 99999999)      # 8-digit customer and vehicle numbers
+CONTRACT_EVENT_DIGITS = 6                       # FIN-<yyyyMMdd>-<key, zero-padded>
+CONTRACT_CURRENCY = "BRL"
+# --- end of fixed values -----------------------------------------------------
+
 
 def draw(key: Column, stream: int, seed: int) -> Column:
     """A uniform integer in ``[1, MODULUS)`` for (key, stream, seed).
@@ -100,26 +129,31 @@ def contract_events(
     def d(stream: int) -> Column:
         return draw(k, stream, seed)
 
+    def uniform(stream: int, low_high: tuple[int, int]) -> Column:
+        low, high = low_high
+        return F.lit(low) + F.pmod(d(stream), F.lit(high - low + 1))
+
     veh = F.pmod(d(1), F.lit(len(VEHICLES)))
     loc = F.pmod(d(2), F.lit(len(LOCATIONS)))
-    good_cents = F.lit(1500000) + F.pmod(d(3), F.lit(13500001))
+    good_cents = uniform(3, CONTRACT_FINANCED_CENTS)
     bad = F.pmod(d(7), F.lit(100)) < bad_percent
-    financed_cents = F.when(bad, -(F.lit(10000) + F.pmod(d(8), F.lit(490001)))).otherwise(good_cents)
+    financed_cents = F.when(bad, -uniform(8, CONTRACT_NEGATIVE_CENTS)).otherwise(good_cents)
     down_cents = F.call_function(
-        "div", good_cents * (F.lit(2000) + F.pmod(d(4), F.lit(1501))) + 5000, F.lit(10000)
+        "div", good_cents * uniform(4, CONTRACT_DOWN_BASIS_POINTS) + 5000, F.lit(10000)
     )
-    count = pick(F.pmod(d(5), F.lit(4)), (24, 36, 48, 60)).cast("int")
-    monthly_abs = F.call_function("div", F.abs(financed_cents) * 125 + count * 50, count * 100)
+    count = pick(F.pmod(d(5), F.lit(len(CONTRACT_TERMS))), CONTRACT_TERMS).cast("int")
+    up, down = CONTRACT_MARKUP
+    monthly_abs = F.call_function("div", F.abs(financed_cents) * up + count * (down // 2), count * down)
     monthly_cents = F.when(financed_cents < 0, -monthly_abs).otherwise(monthly_abs)
     created = F.timestamp_add("SECOND", F.pmod(d(12), F.lit(86400)), F.col(day))
     return keys.select(
         F.concat(
             F.lit("FIN-"), F.date_format(F.col(day), "yyyyMMdd"), F.lit("-"),
-            F.format_string("%06d", k),
+            F.format_string(f"%0{CONTRACT_EVENT_DIGITS}d", k),
         ).alias("financing_id"),
-        F.concat(F.lit("CUS-"), (F.lit(10000000) + F.pmod(d(10), F.lit(90000000))).cast("string")).alias("customer_id"),
+        F.concat(F.lit("CUS-"), uniform(10, CONTRACT_ID_NUMBERS).cast("string")).alias("customer_id"),
         pick(veh, [v[0] for v in VEHICLES]).alias("vehicle_type"),
-        F.concat(F.lit("VEH-"), (F.lit(10000000) + F.pmod(d(11), F.lit(90000000))).cast("string")).alias("vehicle_id"),
+        F.concat(F.lit("VEH-"), uniform(11, CONTRACT_ID_NUMBERS).cast("string")).alias("vehicle_id"),
         pick(veh, [v[1] for v in VEHICLES]).alias("vehicle_brand"),
         pick(veh, [v[2] for v in VEHICLES]).alias("vehicle_model"),
         pick(veh, [v[3] for v in VEHICLES]).cast("int").alias("vehicle_year"),
@@ -131,9 +165,9 @@ def contract_events(
         (down_cents.cast("double") / 100.0).alias("down_payment"),
         count.alias("installment_count"),
         (monthly_cents.cast("double") / 100.0).alias("monthly_installment"),
-        ((F.lit(129) + F.pmod(d(6), F.lit(71))).cast("double") / 100.0).alias("interest_rate_monthly"),
-        pick(F.pmod(d(9), F.lit(3)), PRODUCER_STATUSES).alias("status"),
-        F.lit("BRL").alias("currency"),
+        (uniform(6, CONTRACT_RATE_CENTS).cast("double") / 100.0).alias("interest_rate_monthly"),
+        pick(F.pmod(d(9), F.lit(len(PRODUCER_STATUSES))), PRODUCER_STATUSES).alias("status"),
+        F.lit(CONTRACT_CURRENCY).alias("currency"),
         created.alias("created_at"),
     )
 
