@@ -34,11 +34,13 @@ class Settings:
 
     root: str = "data"
     landing: str = ""
+    # --- Fixed values: the data product's default job parameters -----------
     rows_per_second: int = 5
     window: str = "10 seconds"
     watermark: str = "30 seconds"
     trigger: str = "5 seconds"
     runtime_seconds: int = 30
+    # --- end of fixed values -------------------------------------------------
     # Files per micro-batch for the stateless stages (landing -> bronze ->
     # silver): a backfill commits progress in bounded batches, so a failure
     # only repeats the batch in flight. 0 = no cap.
@@ -64,7 +66,7 @@ class Settings:
     money: str = "exact"                     # "exact" (integer cents) or "double"
     strict_nulls: bool = False               # null dimension values violate rules
     jdbc_url: str = ""
-    jdbc_table: str = "vehicle_financing_summary"
+    jdbc_table: str = "vehicle_financing_summary"   # fixed value: the warehouse table name
     jdbc_user: str = ""
     jdbc_password: str = ""
     jdbc_driver: str = ""
