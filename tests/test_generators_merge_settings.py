@@ -192,3 +192,13 @@ def test_warehouse_upsert_and_reload_orchestration(spark, monkeypatch):
     assert executed[1][:2] == ["DELETE FROM gold_t",
                                "INSERT INTO gold_t (" + ", ".join(schemas.GOLD_COLUMNS) + ") SELECT "
                                + ", ".join(schemas.GOLD_COLUMNS) + " FROM gold_t_stage_reload"]
+
+
+def test_newer_settings_load_from_env():
+    s = Settings.from_env({"STRATUM_STATE_STORE": "rocksdb", "STRATUM_MAX_BYTES_PER_TRIGGER": "1048576",
+                           "STRATUM_GOLD_MAX_FILES_PER_TRIGGER": "0", "STRATUM_STATE_PARTITIONS": "64",
+                           "STRATUM_MONEY": "double"})
+    assert (s.state_store, s.max_bytes_per_trigger, s.gold_max_files_per_trigger, s.state_partitions,
+            s.money) == ("rocksdb", 1048576, 0, 64, "double")
+    with pytest.raises(ValueError):
+        Settings.from_env({"STRATUM_STATE_STORE": "leveldb"})
