@@ -99,8 +99,8 @@ def financing(orders: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
     Clean values come from the order (id, customer, price, date); the vehicle
     and location are picked by ``o_custkey`` and the status/term by
     ``o_orderkey``. Keys whose ``o_orderkey % 50`` hits one of the dirt slots
-    get a padded, mis-cased, null, out-of-domain or non-positive value so every
-    quality rule has rows to reject. All arithmetic is on integer cents, so the
+    get a padded, mis-cased, null, out-of-domain, non-positive or three-decimal
+    value, so every quality rule has rows to reject. All arithmetic is on integer cents, so the
     same projection written in SQL yields identical doubles.
     """
     k = F.col("o_orderkey")
@@ -154,7 +154,6 @@ def financing(orders: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
     )
 
 
-
 def financing_landing(orders: DataFrame) -> DataFrame:
     """:func:`financing` as landing records with raw-text dirt.
 
