@@ -16,9 +16,15 @@ enumerated so that two sets within k share the signature of at least one subset:
 
 Equal sets share all signatures and are merged first. Sets that share a signature
 are verified on their whole sets, so every reported link is exact, and none is
-lost. Not all pairs of a group are verified: the member with the most company is
-compared with the others, the links found are joined to components, and only pairs
-of members in different components are compared further.
+lost. Not all pairs of a group are verified. First the member with the most company
+is compared with the others, and the links found are joined to components. Members
+of groups that still hold several components are then compared across components,
+but only where two of them can still be similar enough given their rarest n-grams:
+with both sets in one order, rare n-grams first, the first n-gram in common must
+come early enough in both for the rest to suffice (prefix and position bounds,
+which hold for every similar pair). Edits make n-grams that others lack, so
+the members of a large family of loose copies don't meet each other in pairs. The
+order comes from a table of 2^SKETCH_BITS counts; any order gives the same links.
 
 Hashes are 64 bits wide (words, n-grams, sets), as everything here is equal up to
 collisions of those.
@@ -44,9 +50,8 @@ from stratum.llm.common import WordHashes, mix, scan, words_of
 
 #: Kept partitions of a subset where k is small, and the largest such k.
 KEPT, SMALL_K = 3, 3
-#: Rounds that compare each unresolved group with one member, before all its
-#: remaining pairs of components are compared.
-STAR_ROUNDS = 3
+#: Bits of the fixed table of n-gram frequencies that orders sets rare-first.
+SKETCH_BITS = 20
 
 
 def shingles(h: np.ndarray, n: int) -> np.ndarray:
@@ -74,6 +79,7 @@ class Signatures:
         self.low: list[int] = [1]
         self.high: list[int] = [den // num]
         self.spare: dict[int, int] = {}
+        self.starts: dict[int, np.ndarray] = {}
 
     def band(self, size: int) -> int:
         while self.high[-1] < size:
@@ -101,21 +107,22 @@ class Signatures:
         """All signatures of a sorted set, as signed numbers."""
         if not len(s):
             return np.empty(0, np.int64)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(s ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
         own = self.band(len(s))
-        out = [self.within(s, own)]
+        out = [self.within(s, sums, own)]
         if own and len(s) * self.num <= self.high[own - 1] * self.den:
-            out.append(self.within(s, own - 1))
+            out.append(self.within(s, sums, own - 1))
         return np.concatenate(out)
 
-    def within(self, s: np.ndarray, band: int) -> np.ndarray:
+    def within(self, s: np.ndarray, sums: np.ndarray, band: int) -> np.ndarray:
         k = self.difference(band)
         if not k:  # only equal sets, which are merged already
             return np.empty(0, np.int64)
         n = k + KEPT if k <= SMALL_K else self.partitions(band, k)
-        # partitions are ranges of the hash, so their elements are neighbours in s
-        part = ((s >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(s ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
-        edges = np.searchsorted(part, np.arange(n + 1))
+        # partitions are equal ranges of the hash, so their elements are neighbours in s
+        if n not in self.starts:
+            self.starts[n] = np.array([-(-p * 2**32 // n) << 32 for p in range(n)], np.uint64)
+        edges = np.append(np.searchsorted(s, self.starts[n]), len(s))
         content = sums[edges[1:]] - sums[edges[:-1]]
         if k <= SMALL_K:
             subsets = np.array(list(combinations(range(n), KEPT)))
@@ -240,47 +247,80 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
+def rarity(sets: DataFrame) -> np.ndarray:
+    """Counts of n-grams by the first bits of their hash, rounded down: a bounded table."""
+
+    def step(batches):
+        n = np.zeros(1 << SKETCH_BITS, np.int64)
+        for batch in batches:
+            every = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in batch.column(0)])
+            slots, times = np.unique(every >> np.uint64(64 - SKETCH_BITS), return_counts=True)
+            n[slots.astype(np.int64)] += times
+        at = np.flatnonzero(n > 1)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at])], names=["slot", "n"])
+
+    found = scan(sets, ["members"], step, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(1 << SKETCH_BITS, np.int64)
+    out[found.slot] = found.n
+    return out
+
+
+def prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``node, size, gram, place, short``: the rarest n-grams of each set, as many as
+    a longer partner's bound needs; ``short`` marks those a shorter partner's needs."""
+    counts = sets.sparkSession.sparkContext.broadcast(rarity(sets))
+    schema = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("gram", pa.int64()), ("place", pa.int64()), ("short", pa.bool_())])
+
+    def rows(batch):
+        for node, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+            s = np.frombuffer(x.as_py(), np.uint64)
+            size = len(s)
+            rare = counts.value[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+            long = size - -(-num * size // den) + 1
+            short = size - -(-2 * num * size // (num + den)) + 1
+            first = s[np.lexsort((s, rare))[:long]].view(np.int64)
+            place = np.arange(1, len(first) + 1)
+            yield np.full(len(first), node), np.full(len(first), size), first, place, place <= short
+
+    def step(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                if found := list(rows(batch.slice(at, 1000))):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], schema=schema)
+
+    return scan(sets, ["node", "members"], step, "node long, size long, gram long, place long, short boolean")
+
+
 def linked_components(hits: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Components of the verified links among nodes that share a signature.
+    """``node, label`` of the verified links among nodes that share a signature.
 
-    ``hits`` (sig, node) holds the groups. Each round verifies pairs of members in
-    different components; the last kind of round takes all such pairs, so that no
-    link between components is left when it ends.
+    ``hits`` (sig, node) holds the groups; nodes without a link have no row.
     """
-    spark = hits.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    done = links
-    labels = spark.createDataFrame([], "node long, label long")
-    for number in range(STAR_ROUNDS + 1):
-        known = hits.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        groups = known.groupBy("sig").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("company"))
-        unresolved = known.join(groups.where("least <> most").drop("least", "most"), "sig")
-        if number < STAR_ROUNDS:
-            popular = unresolved.groupBy("node").agg(F.sum("company").alias("popular"))
-            # later rounds give other members a turn
-            turn = F.struct(*([F.col("popular")] if not number else [F.xxhash64("node", F.lit(number))]), (-F.col("node")).alias("last"))
-            centre = unresolved.join(popular, "node").groupBy("sig").agg(F.max_by(F.struct("node", "label"), turn).alias("c"))
-            pairs = (
-                unresolved.join(centre, "sig").where("c.label <> label")
-                .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
-            )
-        else:
-            one, two = unresolved.alias("one"), unresolved.alias("two")
-            pairs = (
-                one.join(two, F.expr("one.sig = two.sig AND one.node < two.node AND one.label <> two.label"))
-                .select(F.col("one.node").alias("a"), F.col("two.node").alias("b")).distinct()
-            )
-        pairs = pairs.join(done, ["a", "b"], "left_anti").checkpoint()
-        if pairs.isEmpty():
-            if number < STAR_ROUNDS:
-                continue
-            break
-        found = verified(pairs, sets, num, den).checkpoint()
-        done = done.unionByName(pairs)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = components(links).checkpoint()
-    return labels
+    company = hits.groupBy("sig").agg(F.count(F.lit(1)).alias("company"))
+    popular = hits.join(company, "sig").groupBy("node").agg(F.sum("company").alias("popular"))
+    turn = F.struct("popular", (-F.col("node")).alias("last"))
+    centre = hits.join(popular, "node").groupBy("sig").agg(F.max_by("node", turn).alias("centre"))
+    stars = (
+        hits.join(centre, "sig").where("node <> centre")
+        .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct().checkpoint()
+    )
+    links = verified(stars, sets, num, den).checkpoint()
+    labels = components(links).checkpoint()
+
+    known = hits.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    open_groups = known.groupBy("sig").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
+    open_nodes = known.join(open_groups, "sig", "left_semi").select("node", "label").distinct()
+    rows = prefixes(sets, num, den).join(open_nodes, "node")
+    x, y = rows.where("short").alias("x"), rows.alias("y")
+    shorter_first = "(x.size < y.size OR x.size = y.size AND x.node < y.node)"
+    enough = f"{num + den} * (least(x.size - x.place, y.size - y.place) + 1) >= {num} * (x.size + y.size)"
+    pairs = (
+        x.join(y, F.expr(f"x.gram = y.gram AND x.label <> y.label AND {shorter_first} AND {enough}"))
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+        .join(stars, ["a", "b"], "left_anti").checkpoint()
+    )
+    more = verified(pairs, sets, num, den).checkpoint()
+    return labels if more.isEmpty() else components(links.unionByName(more))
 
 
 def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
