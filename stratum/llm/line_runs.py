@@ -38,7 +38,10 @@ def lines(text: Column) -> Column:
 
 
 def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(ENDS)), UPPER, LOWER)
+    trimmed = F.btrim(line, F.lit(ENDS))
+    # lower() knows all of Unicode, so it serves lines of ASCII only (and is much faster there)
+    ascii_only = F.octet_length(line) == F.length(line)
+    return F.when(ascii_only, F.lower(trimmed)).otherwise(F.translate(trimmed, UPPER, LOWER))
 
 
 def key_hash(line: Column) -> Column:
@@ -156,10 +159,12 @@ def drop_repeated(
     mine = docs.join(drops.withColumnRenamed("id", "drop_id"), F.col("id").eqNullSafe(F.col("drop_id")), "left")
     dropped = lambda x: (F.length(F.btrim(x, F.lit(ENDS))) >= min_chars) & F.array_contains("drops", key_hash(x))
     text = F.coalesce("text", F.lit(""))
-    kept = F.when(F.col("drops").isNull(), text).otherwise(F.array_join(F.filter(lines(F.col("text")), lambda x: ~dropped(x)), "\n"))
-    n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    lost = F.when(F.col("drops").isNull(), 0).otherwise(F.size(F.filter(lines(F.col("text")), dropped)))
+    mine = mine.withColumn("left", F.when(F.col("drops").isNotNull(), F.filter(lines(F.col("text")), lambda x: ~dropped(x))))
+    n_lines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     return mine.select(
-        F.col("id").alias("doc_id"), kept.alias("kept_text"), n_lines.cast("long").alias("n_lines"),
-        lost.cast("long").alias("n_dropped"), *["row"] * keep_columns,
+        F.col("id").alias("doc_id"),
+        F.when(F.col("left").isNull(), text).otherwise(F.array_join("left", "\n")).alias("kept_text"),
+        n_lines.cast("long").alias("n_lines"),
+        F.when(F.col("left").isNull(), 0).otherwise(n_lines - F.size("left")).cast("long").alias("n_dropped"),
+        *["row"] * keep_columns,
     )
