@@ -50,7 +50,7 @@ from stratum.llm.common import WordHashes, mix, scan, words_of
 
 #: Kept partitions of a subset where k is small, and the largest such k.
 KEPT, SMALL_K = 3, 3
-#: Bits of the fixed table of n-gram frequencies that orders sets rare-first.
+#: Bits of the table of n-gram frequencies that orders sets rare-first (its size is fixed).
 SKETCH_BITS = 20
 
 
@@ -202,8 +202,8 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
         yield from in_chunks(((d, s.tobytes()) for d, s in each_set(batches, n)), schema, 500)
 
     chosen = docs.join(nodes.select(F.col("node").alias("id")), "id", "left_semi")
-    # rows that repeat an id: any one set of the smallest bytes stands for it
-    return scan(chosen, ["id", "text"], step, "node long, members binary").groupBy("node", "members").agg(F.count(F.lit(1)).alias("copies")).drop("copies")
+    # equal rows of an id once; an id with several texts has several sets, and a link of any is its link
+    return scan(chosen.dropDuplicates(["id", "text"]), ["id", "text"], step, "node long, members binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -259,9 +259,12 @@ def rarity(sets: DataFrame) -> np.ndarray:
         at = np.flatnonzero(n > 1)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at])], names=["slot", "n"])
 
-    found = scan(sets, ["members"], step, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(1 << SKETCH_BITS, np.int64)
-    out[found.slot] = found.n
+    found = scan(sets, ["members"], step, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    # slots of at least 8 times the mean, so 1/8 of the table at most; the others count as rare
+    total = found.agg(F.sum("n")).first()[0] or 0
+    common = found.where(F.col("n") * (1 << SKETCH_BITS) >= 8 * total).toPandas()
+    out = np.zeros(1 << SKETCH_BITS, np.int32)
+    out[common.slot] = np.minimum(common.n, 2**31 - 1)
     return out
 
 
