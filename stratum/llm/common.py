@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Fixed 64-bit odd multipliers of the mixing function below.
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -82,6 +83,21 @@ def row_step(make: Callable[[], Callable[..., tuple]], schema: pa.Schema):
     return step
 
 
+#: Ids that are broadcast at most (8 bytes each); more are joined by shuffling.
+BROADCAST_IDS = 1_000_000
+
+
+def by_ids(docs: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFrame:
+    """The rows whose id is (``left_semi``) or isn't (``left_anti``) among ``ids``.
+
+    Up to ``BROADCAST_IDS`` ids go to the tasks, so the texts stay where they are;
+    beyond that both sides are shuffled by id. Null ids are in no list.
+    """
+    ids = ids.toDF(id_col).distinct().checkpoint()
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, id_col, how).select(*docs.columns)
+
+
 def reach_workers(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it.
 

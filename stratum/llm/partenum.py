@@ -46,12 +46,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.common import WordHashes, mix, scan, words_of
+from stratum.llm.common import WordHashes, by_ids, mix, scan, words_of
 
 #: Kept partitions of a subset where k is small, and the largest such k.
 KEPT, SMALL_K = 3, 3
 #: Bits of the table of n-gram frequencies that orders sets rare-first (its size is fixed).
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 
 
 def shingles(h: np.ndarray, n: int) -> np.ndarray:
@@ -201,7 +201,7 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     def step(batches):
         yield from in_chunks(((d, s.tobytes()) for d, s in each_set(batches, n)), schema, 500)
 
-    chosen = docs.join(nodes.select(F.col("node").alias("id")), "id", "left_semi")
+    chosen = by_ids(docs, nodes, "id", "left_semi")
     # equal rows of an id once; an id with several texts has several sets, and a link of any is its link
     return scan(chosen.dropDuplicates(["id", "text"]), ["id", "text"], step, "node long, members binary")
 
@@ -248,23 +248,30 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def rarity(sets: DataFrame) -> np.ndarray:
-    """Counts of n-grams by the first bits of their hash, rounded down: a bounded table."""
+    """Counts of n-grams by the first bits of their hash, over as many sets (chosen by
+    a hash of their node) as hold about 2^SKETCH_BITS n-grams: a bounded table."""
+    size = (sets.agg(F.sum(F.octet_length("members"))).first()[0] or 0) / 8
+    share = int(min(1.0, 2**SKETCH_BITS / max(size, 1)) * (1 << 30))
 
     def step(batches):
-        n = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
             every = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in batch.column(0)])
             slots, times = np.unique(every >> np.uint64(64 - SKETCH_BITS), return_counts=True)
-            n[slots.astype(np.int64)] += times
-        at = np.flatnonzero(n > 1)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at])], names=["slot", "n"])
-
-    found = scan(sets, ["members"], step, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    # slots of at least 8 times the mean, so 1/8 of the table at most; the others count as rare
-    total = found.agg(F.sum("n")).first()[0] or 0
-    common = found.where(F.col("n") * (1 << SKETCH_BITS) >= 8 * total).toPandas()
+            yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(times)], names=["slot", "n"])
+
+    def packed(batches):
+        for batch in batches:
+            slots, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([slots.astype(np.int32).tobytes()], pa.binary()), pa.array([n.astype(np.int64).tobytes()], pa.binary())], names=["slots", "n"]
+            )
+
+    sample = sets.where(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < share)
+    # at least 3 in a slot, so a third of the sampled n-grams' number of slots at most
+    common = scan(sample, ["members"], step, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n >= 3")
     out = np.zeros(1 << SKETCH_BITS, np.int32)
-    out[common.slot] = np.minimum(common.n, 2**31 - 1)
+    for row in scan(common, ["slot", "n"], packed, "slots binary, n binary").collect():
+        out[np.frombuffer(row.slots, np.int32)] = np.minimum(np.frombuffer(row.n, np.int64), 2**31 - 1)
     return out
 
 
@@ -339,7 +346,7 @@ def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, i
         .where("lo <> hi").select("sig", "set_id")
     )
     hits = shared.join(sets, "set_id").where("node IS NOT NULL").select("sig", "node").distinct().checkpoint()
-    members = whole_sets(docs, hits.select("node").distinct(), n).checkpoint()
+    members = whole_sets(docs, hits.select("node"), n).checkpoint()
     labels = linked_components(hits, members, num, den)
     known = sets.join(labels, "node", "left").select("set_id", F.coalesce("label", "node").alias("component_id"))
     return rows.join(known, "set_id", "left").select(
@@ -351,5 +358,4 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame
     """The documents whose id is their component's smallest (null ids stay), with
     all their columns."""
     groups = similar_groups(docs, id_col=id_col, **options)
-    others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(others, id_col, "left_anti").select(*docs.columns)
+    return by_ids(docs, groups.where("doc_id <> component_id").select("doc_id"), id_col, "left_anti")

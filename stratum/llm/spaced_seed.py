@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import WordHashes, mix, scan, utf8
+from stratum.llm.common import WordHashes, by_ids, mix, scan, utf8
 
 #: Masks of weight 6: one run, one gap, two gaps, every other word.
 MASKS = ("111111", "1110111", "110110011", "10101010101")
@@ -200,5 +200,5 @@ def find_overlaps(
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents without an overlap, with all their columns (null ids stay)."""
-    hit = find_overlaps(docs, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(hit, id_col, "left_anti").select(*docs.columns)
+    hit = find_overlaps(docs, benchmark, id_col=id_col, **options).select("doc_id")
+    return by_ids(docs, hit, id_col, "left_anti")
