@@ -98,6 +98,12 @@ def by_ids(docs: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids, id_col, how).select(*docs.columns)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have Spark's cleaner delete the shuffle files of finished steps now: it acts
+    when the driver collects garbage, which a quiet driver seldom does by itself."""
+    spark.sparkContext._jvm.System.gc()  # noqa: SLF001
+
+
 def reach_workers(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it.
 

@@ -16,8 +16,9 @@ enumerated so that two sets within k share the signature of at least one subset:
 
 Equal sets share all signatures and are merged first. Sets that share a signature
 are verified on their whole sets, so every reported link is exact, and none is
-lost. Not all pairs of a group are verified. First the member with the most company
-is compared with the others, and the links found are joined to components. Members
+lost. Not all pairs of a group are verified. First each member is compared with the
+one of its groups' members that has the most company, and the links found are
+joined to components. Members
 of groups that still hold several components are then compared across components,
 but only where two of them can still be similar enough given their rarest n-grams:
 with both sets in one order, rare n-grams first, the first n-gram in common must
@@ -46,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.common import WordHashes, by_ids, mix, scan, words_of
+from stratum.llm.common import WordHashes, by_ids, mix, release_shuffles, scan, words_of
 
 #: Kept partitions of a subset where k is small, and the largest such k.
 KEPT, SMALL_K = 3, 3
@@ -309,9 +310,11 @@ def linked_components(hits: DataFrame, sets: DataFrame, num: int, den: int) -> D
     company = hits.groupBy("sig").agg(F.count(F.lit(1)).alias("company"))
     popular = hits.join(company, "sig").groupBy("node").agg(F.sum("company").alias("popular"))
     turn = F.struct("popular", (-F.col("node")).alias("last"))
-    centre = hits.join(popular, "node").groupBy("sig").agg(F.max_by("node", turn).alias("centre"))
+    centre = hits.join(popular, "node").groupBy("sig").agg(F.max(turn).alias("c"))
+    # of the centres of its groups each node is compared with the most popular one
     stars = (
-        hits.join(centre, "sig").where("node <> centre")
+        hits.join(centre, "sig").groupBy("node").agg(F.max("c").alias("c"))
+        .select("node", (-F.col("c.last")).alias("centre")).where("node <> centre")
         .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct().checkpoint()
     )
     links = verified(stars, sets, num, den).checkpoint()
@@ -333,19 +336,25 @@ def linked_components(hits: DataFrame, sets: DataFrame, num: int, den: int) -> D
     return labels if more.isEmpty() else components(links.unionByName(more))
 
 
-def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row: the smallest id reachable
-    over links of Jaccard similarity num/den or more between sets of word n-grams."""
-    docs = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    rows = set_table(docs, n).checkpoint()
-    sets = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("id").alias("node"))
+def shared_signatures(docs: DataFrame, sets: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """``sig, node`` of the signatures that several sets have."""
     group = Window.partitionBy("sig")
     shared = (
         signature_table(docs, n, num, den)
         .withColumn("lo", F.min("set_id").over(group)).withColumn("hi", F.max("set_id").over(group))
         .where("lo <> hi").select("sig", "set_id")
     )
-    hits = shared.join(sets, "set_id").where("node IS NOT NULL").select("sig", "node").distinct().checkpoint()
+    return shared.join(sets, "set_id").where("node IS NOT NULL").select("sig", "node").distinct().checkpoint()
+
+
+def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row: the smallest id reachable
+    over links of Jaccard similarity num/den or more between sets of word n-grams."""
+    docs = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+    rows = set_table(docs, n).checkpoint()
+    sets = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("id").alias("node"))
+    hits = shared_signatures(docs, sets, n, num, den)
+    release_shuffles(docs.sparkSession)  # the signatures are the largest shuffle by far
     members = whole_sets(docs, hits.select("node"), n).checkpoint()
     labels = linked_components(hits, members, num, den)
     known = sets.join(labels, "node", "left").select("set_id", F.coalesce("label", "node").alias("component_id"))
