@@ -32,3 +32,9 @@ def clean(
     mapping = {c: upper_trim(c) for c in upper if c in df.columns}
     mapping.update({c: lower_trim(c) for c in lower if c in df.columns})
     return df.withColumns(mapping) if mapping else df
+
+
+def zero_padded(value: Column, digits: int) -> Column:
+    """Decimal text of at least ``digits`` digits; longer numbers stay whole."""
+    text = value.cast("string")
+    return F.lpad(text, F.greatest(F.lit(digits), F.length(text)), F.lit("0"))

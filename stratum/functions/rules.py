@@ -41,6 +41,12 @@ class Rule:
         return F.coalesce(self.test(), F.lit(False))
 
 
+def whole(pattern: str) -> str:
+    """The pattern with its end anchored at the very end: Java's ``$`` also fits
+    before a trailing line feed."""
+    return pattern[:-1] + r"\z" if pattern.endswith("$") else pattern
+
+
 def first_violation(rules: Sequence[Rule], strict: bool = False) -> Column:
     """Code of the first violated rule, ``NULL`` when the row passes."""
     if not rules:
@@ -142,7 +148,7 @@ def raw_contract_violations(value: Column) -> Column:
     )
     created = F.get_json_object(value, "$.created_at")
     head = F.array(F.when(keys.isNull(), F.lit("parse:json")))
-    tail = F.array(F.when(created.isNotNull() & ~created.rlike(CONTRACT_DATETIME),
+    tail = F.array(F.when(created.isNotNull() & ~created.rlike(whole(CONTRACT_DATETIME)),
                           F.lit("format:created_at")))
     return F.filter(F.concat(head, F.coalesce(extra, F.array().cast("array<string>")), tail),
                     lambda x: x.isNotNull())
@@ -154,7 +160,7 @@ def contract_rules() -> list[Rule]:
     A null value violates only its ``required`` rule.
     """
     rules = [Rule(f"required:{c}", _c(c).isNull()) for c in schemas.FINANCING_COLUMNS]
-    rules += [Rule(f"pattern:{c}", ~_c(c).rlike(p)) for c, p in CONTRACT_PATTERNS]
+    rules += [Rule(f"pattern:{c}", ~_c(c).rlike(whole(p))) for c, p in CONTRACT_PATTERNS]
     rules += [Rule(f"enum:{c}", ~_c(c).isin(*values)) for c, values in CONTRACT_ENUMS]
     for c, low, high, exclusive in CONTRACT_RANGES:
         below = _c(c) <= low if exclusive else _c(c) < low

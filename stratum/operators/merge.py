@@ -102,10 +102,14 @@ def merge_into(
     first, because a plain overwrite would delete the files the plan still
     reads. Among duplicate update keys, ``order_col`` picks the greatest.
     """
+    if outside := set(partition_by) - set(key):
+        raise ValueError(f"partition columns {sorted(outside)} are not in the key: a row that "
+                         "changes partition would stay in its old one")
     if order_col is not None:
         updates = latest_per_key(updates, key, order_col).drop(order_col)
     if not _exists(spark, target):
-        write_parquet(updates, target, mode="overwrite", partition_by=partition_by)
+        write_parquet(updates, target, mode="overwrite", partition_by=partition_by,
+                      dynamic=bool(partition_by))
         return
     # The updates feed three branches (touched partitions, anti-join keys,
     # union); computing them once bounds the cost to one evaluation.

@@ -61,7 +61,8 @@ def q_bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landings and three runs on one checkpoint: every row exactly once."""
     s = _settings(spark, "bronze-incremental")
     orders = C.given_table(spark, sf_dir, "orders", spread=True)
-    early = F.col("o_orderdate") < F.lit(INCREMENTAL_SPLIT).cast("timestamp_ntz")
+    # undated orders land in the second part
+    early = F.coalesce(F.col("o_orderdate") < F.lit(INCREMENTAL_SPLIT).cast("timestamp_ntz"), F.lit(False))
     write_jsonl(tables.financing(orders.filter(early)), s.landing_path)
     chain.run_bronze(spark, s)
     write_jsonl(tables.financing(orders.filter(~early)), s.landing_path)
@@ -132,7 +133,8 @@ def q_gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     result must equal the full recompute over all of silver."""
     s = _settings(spark, "gold-incremental")
     orders = C.given_table(spark, sf_dir, "orders", spread=True)
-    early = F.col("o_orderdate") < F.lit(INCREMENTAL_SPLIT).cast("timestamp_ntz")
+    # undated orders land in the second part
+    early = F.coalesce(F.col("o_orderdate") < F.lit(INCREMENTAL_SPLIT).cast("timestamp_ntz"), F.lit(False))
     for part in (orders.filter(early), orders.filter(~early)):
         write_jsonl(tables.financing(part), s.landing_path)
         chain.run_bronze(spark, s)

@@ -267,11 +267,18 @@ STAGES = {
     "chain": run_chain,
     "fanout": run_quality_fanout,
     "generate": run_generate,
-    "report": lambda spark, s, name="summary": run_report(spark, s, name).show(1000, truncate=False),
-    "audit": lambda spark, s: run_audit(spark, s).show(truncate=False),
+    "report": lambda spark, s, name="summary": print_rows(run_report(spark, s, name)),
+    "audit": lambda spark, s: print_rows(run_audit(spark, s)),
 }
 
 
+def print_rows(df: DataFrame) -> None:
+    """Every row, tab-separated under a header, a partition at a time."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join(map(str, row)))
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     """``<stage> [args...]``; a given session is used and left running."""
     from stratum.session import build_session

@@ -84,11 +84,11 @@ def fin_sql() -> str:
         return "CASE " + slot + " " + " ".join(f"WHEN {s} THEN {v}" for s, v in cases) + f" ELSE {clean} END"
 
     cols = [
-        (dirt("'FIN-' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0')", (1, "NULL")), "financing_id"),
-        ("'CUS-' || lpad(CAST(o_custkey AS VARCHAR), 8, '0')", "customer_id"),
+        (dirt("'FIN-' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(10, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0')", (1, "NULL")), "financing_id"),
+        ("'CUS-' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(8, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0')", "customer_id"),
         (dirt(pick(veh, [v[0] for v in VEHICLES]), (2, q(" car ")), (3, q("TRUCK")), (4, "NULL"),
               (5, q("\tCAR"))), "vehicle_type"),
-        ("'VEH-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0')", "vehicle_id"),
+        ("'VEH-' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(8, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0')", "vehicle_id"),
         (pick(veh, [v[1] for v in VEHICLES]), "vehicle_brand"),
         (pick(veh, [v[2] for v in VEHICLES]), "vehicle_model"),
         ("CAST(" + dirt(pick(veh, [v[3] for v in VEHICLES]), (6, "1999")) + " AS INTEGER)", "vehicle_year"),
@@ -223,8 +223,8 @@ def counter_select(value: str, ts: str, src: str) -> str:
 
     car, moto = G.COUNTER_BRANDS["CAR"], G.COUNTER_BRANDS["MOTORCYCLE"]
     return (
-        f"SELECT 'FIN-' || lpad(CAST({v} AS VARCHAR), {G.COUNTER_ID_DIGITS}, '0') AS financing_id,\n"
-        f"  'CUS-' || lpad(CAST({v} % {G.COUNTER_CUSTOMER_MODULUS} AS VARCHAR), {G.COUNTER_CUSTOMER_DIGITS}, '0')"
+        f"SELECT 'FIN-' || lpad(CAST({v} AS VARCHAR), CAST(greatest({G.COUNTER_ID_DIGITS}, length(CAST({v} AS VARCHAR))) AS INTEGER), '0') AS financing_id,\n"
+        f"  'CUS-' || lpad(CAST({v} % {G.COUNTER_CUSTOMER_MODULUS} AS VARCHAR), CAST(greatest({G.COUNTER_CUSTOMER_DIGITS}, length(CAST({v} % {G.COUNTER_CUSTOMER_MODULUS} AS VARCHAR))) AS INTEGER), '0')"
         f" AS customer_id,\n"
         f"  CASE WHEN {v} % 2 = 0 THEN 'CAR' ELSE 'MOTORCYCLE' END AS vehicle_type,\n"
         f"  CASE WHEN {v} % 2 = 0 THEN {q(car[0])} ELSE {q(moto[0])} END AS vehicle_brand,\n"

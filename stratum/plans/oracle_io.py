@@ -77,7 +77,7 @@ def oracle_sql() -> dict[str, str]:
         "bronze_incremental": fin_all,
         "jsonl_line_count": "SELECT count(*) AS line_count FROM orders",
         "contract_raw_violations": (
-            "SELECT 'VEH-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS vehicle_id, concat_ws(',', "
+            "SELECT 'VEH-' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(8, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') AS vehicle_id, concat_ws(',', "
             "CASE WHEN o_orderkey % 50 = 24 THEN 'additional:promo_code' END, "
             "CASE WHEN o_orderkey % 50 = 25 THEN 'format:created_at' END) AS raw_violation_text FROM orders"
         ),

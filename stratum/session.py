@@ -9,7 +9,6 @@ folder is used only when the setting is absent (tests, laptops).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -87,57 +86,39 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/stratum/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_dir(spark: SparkSession, uri: str) -> None:
-    """Create a directory through the Hadoop file system, so URIs work too."""
-    try:
-        jvm = spark._jvm  # noqa: SLF001 - classic (non-Connect) sessions only
-        hadoop_conf = spark._jsc.hadoopConfiguration()  # noqa: SLF001
-        path = jvm.org.apache.hadoop.fs.Path(uri)
-        path.getFileSystem(hadoop_conf).mkdirs(path)
-    except Exception:  # pragma: no cover - Spark Connect or no JVM access
-        if "://" in uri and not uri.startswith("file:"):
-            raise
-        os.makedirs(uri.replace("file://", ""), exist_ok=True)
-
-
 def _fs(spark: SparkSession, uri: str):
     jvm = spark._jvm  # noqa: SLF001 - classic (non-Connect) sessions only
     path = jvm.org.apache.hadoop.fs.Path(uri)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
 
 
+# A storage error raises in all of these: it must never read as "missing".
+
+def ensure_dir(spark: SparkSession, uri: str) -> None:
+    """Create a directory through the Hadoop file system, so URIs work too."""
+    path, fs = _fs(spark, uri)
+    fs.mkdirs(path)
+
+
 def path_exists(spark: SparkSession, uri: str) -> bool:
-    try:
-        path, fs = _fs(spark, uri)
-        return bool(fs.exists(path))
-    except Exception:  # pragma: no cover - no JVM access
-        return os.path.exists(uri.replace("file://", ""))
+    path, fs = _fs(spark, uri)
+    return bool(fs.exists(path))
+
+
+def is_dir(spark: SparkSession, uri: str) -> bool:
+    path, fs = _fs(spark, uri)
+    return bool(fs.exists(path) and fs.getFileStatus(path).isDirectory())
 
 
 def list_dirs(spark: SparkSession, uri: str) -> list[str]:
     """Names of the sub-directories of ``uri`` (empty if it does not exist)."""
-    try:
-        path, fs = _fs(spark, uri)
-        if not fs.exists(path):
-            return []
-        return [st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory()]
-    except Exception:  # pragma: no cover - no JVM access
-        local = uri.replace("file://", "")
-        if not os.path.isdir(local):
-            return []
-        return [n for n in os.listdir(local) if os.path.isdir(os.path.join(local, n))]
+    path, fs = _fs(spark, uri)
+    if not fs.exists(path):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory()]
 
 
 def delete_path(spark: SparkSession, uri: str) -> bool:
     """Recursively delete ``uri`` through the Hadoop file system."""
-    try:
-        path, fs = _fs(spark, uri)
-        return bool(fs.delete(path, True))
-    except Exception:  # pragma: no cover - no JVM access
-        import shutil
-
-        local = uri.replace("file://", "")
-        if os.path.exists(local):
-            shutil.rmtree(local)
-            return True
-        return False
+    path, fs = _fs(spark, uri)
+    return bool(fs.delete(path, True))

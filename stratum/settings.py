@@ -48,12 +48,11 @@ class Settings:
     # Alternative bound in bytes; when non-zero it replaces the file count on
     # those stages (Spark accepts one of the two).
     max_bytes_per_trigger: int = 0
-    # Files per micro-batch for the watermarked gold stream. A bound keeps a
-    # backfill from arriving as one batch whose every window sits in state at
-    # once; the price is that which late rows are dropped depends on batching
-    # (a row older than the previous batch's watermark is dropped). Backfills
-    # belong to the stateless incremental snapshot instead. 0 = no cap.
-    gold_max_files_per_trigger: int = 1000
+    # Files per micro-batch for the watermarked gold stream, 0 = no cap. Which
+    # late rows are dropped depends on batching (a row older than the previous
+    # batch's watermark is dropped), so a cap over a backlog drops rows; it is
+    # only for live runs whose files arrive in time order.
+    gold_max_files_per_trigger: int = 0
     # Partitions of the window state (and its shuffle) of the stateful
     # streams; fixed by a checkpoint's first run. 0 = the session's
     # spark.sql.shuffle.partitions.
@@ -68,11 +67,11 @@ class Settings:
     jdbc_url: str = ""
     jdbc_table: str = "vehicle_financing_summary"   # fixed value: the warehouse table name
     jdbc_user: str = ""
-    jdbc_password: str = ""
+    jdbc_password: str = field(default="", repr=False)
     jdbc_driver: str = ""
     s3_endpoint: str = ""
     s3_access_key: str = ""
-    s3_secret_key: str = ""
+    s3_secret_key: str = field(default="", repr=False)
     extra: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -149,7 +148,11 @@ class Settings:
             conf.update(
                 {
                     "spark.hadoop.fs.s3a.endpoint": self.s3_endpoint,
+                    "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
                     "spark.hadoop.fs.s3a.path.style.access": "true",
+                    "spark.hadoop.fs.s3a.connection.ssl.enabled": str(self.s3_endpoint.startswith("https:")).lower(),
+                    "spark.hadoop.fs.s3a.aws.credentials.provider":
+                        "org.apache.hadoop.fs.s3a.SimpleAWSCredentialsProvider",
                     "spark.hadoop.fs.s3a.access.key": self.s3_access_key,
                     "spark.hadoop.fs.s3a.secret.key": self.s3_secret_key,
                 }

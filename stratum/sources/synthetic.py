@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum import schemas
+from stratum.functions.normalize import zero_padded
 from stratum.sources.tables import LOCATIONS, PRODUCER_STATUSES, VEHICLES, pick
 
 # --- Fixed values of the counter generator ----------------------------------
@@ -47,9 +48,8 @@ def from_counter(rows: DataFrame, value: str = "value", timestamp: str = "timest
     is_car = F.pmod(v, F.lit(2)) == 0
     vehicle_type = F.when(is_car, F.lit("CAR")).otherwise(F.lit("MOTORCYCLE"))
     return rows.select(
-        F.concat(F.lit("FIN-"), F.lpad(v.cast("string"), COUNTER_ID_DIGITS, "0")).alias("financing_id"),
-        F.concat(F.lit("CUS-"), F.lpad((v % COUNTER_CUSTOMER_MODULUS).cast("string"),
-                                       COUNTER_CUSTOMER_DIGITS, "0")).alias("customer_id"),
+        F.concat(F.lit("FIN-"), zero_padded(v, COUNTER_ID_DIGITS)).alias("financing_id"),
+        F.concat(F.lit("CUS-"), zero_padded(v % COUNTER_CUSTOMER_MODULUS, COUNTER_CUSTOMER_DIGITS)).alias("customer_id"),
         vehicle_type.alias("vehicle_type"),
         F.when(is_car, F.lit(COUNTER_BRANDS["CAR"][0]))
         .otherwise(F.lit(COUNTER_BRANDS["MOTORCYCLE"][0])).alias("vehicle_brand"),

@@ -12,6 +12,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.functions.normalize import zero_padded
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -125,12 +127,12 @@ def financing(orders: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
     vehicle_type = pick(veh, [v[0] for v in VEHICLES])
     financed = F.col("o_totalprice")
     return orders.select(
-        dirt(F.concat(F.lit("FIN-"), F.lpad(k.cast("string"), 10, "0")),
+        dirt(F.concat(F.lit("FIN-"), zero_padded(k, 10)),
              (1, null_s)).alias("financing_id"),
-        F.concat(F.lit("CUS-"), F.lpad(F.col("o_custkey").cast("string"), 8, "0")).alias("customer_id"),
+        F.concat(F.lit("CUS-"), zero_padded(F.col("o_custkey"), 8)).alias("customer_id"),
         dirt(vehicle_type, (2, F.lit(" car ")), (3, F.lit("TRUCK")), (4, null_s),
              (5, F.lit("\tCAR"))).alias("vehicle_type"),
-        F.concat(F.lit("VEH-"), F.lpad(k.cast("string"), 8, "0")).alias("vehicle_id"),
+        F.concat(F.lit("VEH-"), zero_padded(k, 8)).alias("vehicle_id"),
         pick(veh, [v[1] for v in VEHICLES]).alias("vehicle_brand"),
         pick(veh, [v[2] for v in VEHICLES]).alias("vehicle_model"),
         dirt(pick(veh, [v[3] for v in VEHICLES]), (6, F.lit(1999))).cast("int").alias("vehicle_year"),

@@ -22,6 +22,7 @@ from stratum import schemas
 from stratum.functions import normalize
 from stratum.functions.rules import silver_rules, transaction_rules
 from stratum.operators import summarize, validate
+from stratum.session import is_dir
 from stratum.settings import Settings
 from stratum.sinks.files import (
     prepare_layer,
@@ -109,11 +110,15 @@ def layer_stream(spark: SparkSession, path: str, schema: StructType,
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: StructType,
                  max_files: int = 0) -> DataFrame:
-    """One of the given tables read as a file stream (glob-filtered directory)."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """One of the given tables read as a file stream: one file or a directory of files."""
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(sf_dir)
+    path = f"{sf_dir}/{name}.parquet"
+    if is_dir(spark, path):
+        return reader.parquet(path)
+    # a file stream reads directories only: the table's one file, by name
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 # ---- stages ----------------------------------------------------------------

@@ -16,7 +16,7 @@ COUNTER_GOLDEN = {
     1: ("FIN-0000000001", "CUS-00000001", "MOTORCYCLE", 2025, "standard", "NORTHEAST", 15001.0, 3001.0, 25, 501.0, 1.21),
     7: ("FIN-0000000007", "CUS-00000007", "MOTORCYCLE", 2025, "standard", "MIDWEST", 15007.0, 3007.0, 31, 507.0, 1.27),
     123456789: ("FIN-0123456789", "CUS-23456789", "MOTORCYCLE", 2024, "premium", "SOUTH", 111789.0, 19789.0, 60, 1289.0, 2.09),
-    12345678901: ("FIN-1234567890", "CUS-45678901", "MOTORCYCLE", 2025, "standard", "NORTHEAST", 93901.0, 21901.0, 36, 1401.0, 1.21),
+    12345678901: ("FIN-12345678901", "CUS-45678901", "MOTORCYCLE", 2025, "standard", "NORTHEAST", 93901.0, 21901.0, 36, 1401.0, 1.21),
 }
 
 
@@ -26,7 +26,7 @@ def test_counter_generator_golden(spark):
     out = synthetic.from_counter(rows).collect()
     assert len(out[0]) == 17
     for r in out:
-        v = int(r.financing_id[4:]) if r.financing_id != "FIN-1234567890" else 12345678901
+        v = int(r.financing_id[4:]) if r.financing_id != "FIN-12345678901" else 12345678901
         assert (r.financing_id, r.customer_id, r.vehicle_type, r.vehicle_year, r.segment, r.region,
                 r.financed_amount, r.down_payment, r.installment_count, r.monthly_installment,
                 r.interest_rate_monthly) == COUNTER_GOLDEN[v]
@@ -80,13 +80,13 @@ def test_latest_per_key(spark):
 def test_merge_into_rewrites_only_touched_partitions(spark, tmp_root):
     target = tmp_root + "/t"
     first = spark.createDataFrame([("p1", "a", 1), ("p1", "b", 2), ("p2", "c", 3)], "part string, k string, v int")
-    merge_into(spark, target, first, ["k"], partition_by=["part"])
+    merge_into(spark, target, first, ["k", "part"], partition_by=["part"])
     import glob
     import os
 
     p2_files = sorted(glob.glob(os.path.join(target, "part=p2", "*.parquet")))
     upd = spark.createDataFrame([("p1", "a", 10), ("p1", "z", 9)], "part string, k string, v int")
-    merge_into(spark, target, upd, ["k"], partition_by=["part"])
+    merge_into(spark, target, upd, ["k", "part"], partition_by=["part"])
     out = sorted(tuple(r) for r in spark.read.parquet(target).select("part", "k", "v").collect())
     assert out == [("p1", "a", 10), ("p1", "b", 2), ("p1", "z", 9), ("p2", "c", 3)]
     assert sorted(glob.glob(os.path.join(target, "part=p2", "*.parquet"))) == p2_files
@@ -164,9 +164,9 @@ def test_merge_semi_join_fallback_beyond_the_pruning_limit(spark, tmp_root, monk
     monkeypatch.setattr(merge, "MAX_PRUNED_PARTITIONS", 1)
     target = tmp_root + "/many"
     first = spark.createDataFrame([("p1", "a", 1), ("p2", "b", 2), ("p3", "c", 3)], "part string, k string, v int")
-    merge_into(spark, target, first, ["k"], partition_by=["part"])
+    merge_into(spark, target, first, ["k", "part"], partition_by=["part"])
     upd = spark.createDataFrame([("p1", "a", 10), ("p2", "z", 9)], "part string, k string, v int")
-    merge_into(spark, target, upd, ["k"], partition_by=["part"])  # two touched partitions > limit
+    merge_into(spark, target, upd, ["k", "part"], partition_by=["part"])  # two touched partitions > limit
     out = sorted(tuple(r) for r in spark.read.parquet(target).select("part", "k", "v").collect())
     assert out == [("p1", "a", 10), ("p2", "b", 2), ("p2", "z", 9), ("p3", "c", 3)]
 
@@ -202,3 +202,21 @@ def test_newer_settings_load_from_env():
             s.money) == ("rocksdb", 1048576, 0, 64, "double")
     with pytest.raises(ValueError):
         Settings.from_env({"STRATUM_STATE_STORE": "leveldb"})
+
+
+def test_merge_refuses_partition_columns_outside_the_key(spark, tmp_root):
+    rows = spark.createDataFrame([(1, "a")], "k int, part string")
+    with pytest.raises(ValueError, match="part"):
+        merge_into(spark, tmp_root + "/moved", rows, ["k"], partition_by=["part"])
+
+
+def test_long_ids_stay_whole(spark):
+    from stratum.functions.normalize import zero_padded
+
+    rows = spark.createDataFrame([(7,), (12345678901,), (12345678902,)], "v long")
+    assert [r[0] for r in rows.select(zero_padded(rows.v, 10)).collect()] == ["0000000007", "12345678901", "12345678902"]
+
+
+def test_settings_hide_secrets():
+    s = Settings(jdbc_password="hush", s3_secret_key="hush2")
+    assert "hush" not in repr(s)

@@ -163,3 +163,10 @@ def test_fifteen_column_rows_split_one_valid_one_invalid(spark):
     assert valid.count() == 1 and invalid.count() == 1
     assert invalid.collect()[0]["validation_reason"] == "bad_vehicle_type"
     assert len(df.columns) == 15
+
+
+def test_contract_patterns_refuse_a_trailing_line_feed(spark):
+    from stratum.functions.rules import CONTRACT_PATTERNS, whole
+
+    df = spark.createDataFrame([("FIN-0000000001\n",), ("FIN-0000000001",)], "id string")
+    assert [r[0] for r in df.select(df.id.rlike(whole(CONTRACT_PATTERNS[0][1]))).collect()] == [False, True]

@@ -1,3 +1,5 @@
+import pytest
+
 from stratum import session
 
 
@@ -26,3 +28,9 @@ def test_pin_utc(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
     session.pin_utc(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_storage_errors_raise(spark):
+    for call in (session.path_exists, session.list_dirs, session.delete_path, session.ensure_dir):
+        with pytest.raises(Exception):
+            call(spark, "nosuchscheme://host/a")

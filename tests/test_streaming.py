@@ -182,6 +182,21 @@ def test_table_stream_reads_only_named_table(spark, tmp_root):
     assert 0 < total <= 1000
 
 
+def test_table_stream_reads_a_directory_of_files(spark, tmp_root):
+    from conftest import SF_SMALL
+    from stratum.sources import tables
+
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.repartition(4).write.parquet(f"{tmp_root}/in/events.parquet")
+    found = {}
+    for name, root in (("one", SF_SMALL), ("many", f"{tmp_root}/in")):
+        s = Settings(root=f"{tmp_root}/{name}", window="1 hour")
+        stream = jobs.table_stream(spark, root, "events", events.schema)
+        jobs.await_all([jobs.start_category_summary(spark, tables.transactions(stream), s)])
+        found[name] = sorted(map(str, read_layer(spark, s.summary.path).collect()))
+    assert found["one"] == found["many"] and found["one"]
+
+
 def test_batch_write_split_conserves_rows(spark, tmp_root):
     from helpers import frame
     from stratum.functions.rules import silver_rules
@@ -365,7 +380,8 @@ def test_gold_stream_recovers_from_a_failed_batch_without_duplicates(spark, tmp_
 def test_byte_bound_replaces_file_bound(spark, tmp_root):
     s = Settings(root=tmp_root, max_bytes_per_trigger=1000)
     assert jobs.batch_limit(s) == {"maxBytesPerTrigger": "1000"}
-    assert jobs.batch_limit(s, gold=True) == {"maxFilesPerTrigger": "1000"}
+    assert jobs.batch_limit(s, gold=True) == {}
+    assert jobs.batch_limit(Settings(root=tmp_root, gold_max_files_per_trigger=7), gold=True) == {"maxFilesPerTrigger": "7"}
     assert jobs.batch_limit(Settings(root=tmp_root, max_files_per_trigger=0)) == {}
     os.makedirs(s.landing_path, exist_ok=True)
     for i in range(3):

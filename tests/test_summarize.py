@@ -160,10 +160,3 @@ def test_partials_of_batches_add_up_to_the_full_summary(spark):
             assert [g[:8] for g in got] == [e[:8] for e in expected]
             for g, e in zip(got, expected):
                 assert abs(g[8] - e[8]) <= 0.01 and abs(g[9] - e[9]) <= 0.0001
-
-
-def test_sql_reports_match_dataframe_reports(spark):
-    gold = _gold_sample(spark)
-    assert [tuple(r) for r in reports.run_sql("summary", gold).collect()] == SUMMARY_GOLDEN
-    assert [tuple(r) for r in reports.run_sql("summary_totals", gold).collect()] == [r[:5] for r in SUMMARY_GOLDEN]
-    assert reports.run_sql("windows", gold).count() == 10
