@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from frames import docs, workers  # noqa: F401 - fixtures
 from stratum.llm import partenum
 from stratum.llm.common import words_of
 
