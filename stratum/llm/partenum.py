@@ -209,8 +209,9 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Those pairs (a, b) whose sets have den * intersection >= num * union."""
-    a = sets.select(F.col("node").alias("a"), F.col("members").alias("in_a"))
-    b = sets.select(F.col("node").alias("b"), F.col("members").alias("in_b"))
+    # only the sets that a side needs are shuffled
+    a = by_ids(sets, pairs.select("a"), "node", "left_semi").toDF("a", "in_a")
+    b = by_ids(sets, pairs.select("b"), "node", "left_semi").toDF("b", "in_b")
 
     def step(batches):
         for batch in batches:
@@ -314,8 +315,7 @@ def linked_components(hits: DataFrame, sets: DataFrame, num: int, den: int) -> D
     # of the centres of its groups each node is compared with the most popular one
     stars = (
         hits.join(centre, "sig").groupBy("node").agg(F.max("c").alias("c"))
-        .select("node", (-F.col("c.last")).alias("centre")).where("node <> centre")
-        .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct().checkpoint()
+        .select(F.col("node").alias("a"), (-F.col("c.last")).alias("b")).where("a <> b").checkpoint()
     )
     links = verified(stars, sets, num, den).checkpoint()
     labels = components(links).checkpoint()
@@ -330,7 +330,7 @@ def linked_components(hits: DataFrame, sets: DataFrame, num: int, den: int) -> D
     pairs = (
         x.join(y, F.expr(f"x.gram = y.gram AND x.label <> y.label AND {shorter_first} AND {enough}"))
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        .join(stars, ["a", "b"], "left_anti").checkpoint()
+        .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti").checkpoint()
     )
     more = verified(pairs, sets, num, den).checkpoint()
     return labels if more.isEmpty() else components(links.unionByName(more))
