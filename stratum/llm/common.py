@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -100,7 +101,9 @@ def by_ids(docs: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFrame:
 
 def release_shuffles(spark: SparkSession) -> None:
     """Have Spark's cleaner delete the shuffle files of finished steps now: it acts
-    when the driver collects garbage, which a quiet driver seldom does by itself."""
+    when the driver collects garbage, which a quiet driver seldom does by itself.
+    Files that a live DataFrame can still ask for stay."""
+    gc.collect()  # Python's handles first, they keep the plans alive
     spark.sparkContext._jvm.System.gc()  # noqa: SLF001
 
 

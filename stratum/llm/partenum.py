@@ -317,12 +317,19 @@ def linked_components(hits: DataFrame, sets: DataFrame, num: int, den: int) -> D
         hits.join(centre, "sig").groupBy("node").agg(F.max("c").alias("c"))
         .select(F.col("node").alias("a"), (-F.col("c.last")).alias("b")).where("a <> b").checkpoint()
     )
+    del company, popular, centre
+    # each step's result is a table of its own, so its shuffle files can go
+    spark = hits.sparkSession
+    release_shuffles(spark)
     links = verified(stars, sets, num, den).checkpoint()
+    release_shuffles(spark)
     labels = components(links).checkpoint()
 
     known = hits.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_groups = known.groupBy("sig").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
-    open_nodes = known.join(open_groups, "sig", "left_semi").select("node", "label").distinct()
+    open_nodes = known.join(open_groups, "sig", "left_semi").select("node", "label").distinct().checkpoint()
+    del known, open_groups
+    release_shuffles(spark)
     rows = prefixes(sets, num, den).join(open_nodes, "node")
     x, y = rows.where("short").alias("x"), rows.alias("y")
     shorter_first = "(x.size < y.size OR x.size = y.size AND x.node < y.node)"
@@ -332,6 +339,8 @@ def linked_components(hits: DataFrame, sets: DataFrame, num: int, den: int) -> D
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
         .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti").checkpoint()
     )
+    del rows, x, y
+    release_shuffles(spark)
     more = verified(pairs, sets, num, den).checkpoint()
     return labels if more.isEmpty() else components(links.unionByName(more))
 
@@ -356,6 +365,7 @@ def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, i
     hits = shared_signatures(docs, sets, n, num, den)
     release_shuffles(docs.sparkSession)  # the signatures are the largest shuffle by far
     members = whole_sets(docs, hits.select("node"), n).checkpoint()
+    release_shuffles(docs.sparkSession)
     labels = linked_components(hits, members, num, den)
     known = sets.join(labels, "node", "left").select("set_id", F.coalesce("label", "node").alias("component_id"))
     return rows.join(known, "set_id", "left").select(
