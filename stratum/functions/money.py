@@ -6,9 +6,11 @@ Two modes:
   data product's original behaviour (half-up on the decimal text of a double
   whose summation order depends on the plan).
 * ``"exact"`` - inputs are turned into integer units (cents), summed as
-  decimals (exact, order independent, no overflow below 10^28) and
+  decimals (exact, order independent, rows up to 10^28 units) and
   the mean is rounded half away from zero with integer division. Results do
-  not depend on partitioning and match a NUMERIC warehouse column.
+  not depend on partitioning and match a NUMERIC warehouse column. NaN, an
+  infinity or a value beyond 10^28 units is no amount: it counts as missing,
+  in the sum and in the mean alike.
 
 Both are plain aggregate expressions, so Catalyst keeps its partial/final
 hash aggregation and a hot group is reduced map-side before any shuffle.
@@ -47,10 +49,8 @@ class Measure:
 
 
 def _units(column: str, in_scale: int) -> Column:
-    # decimal(18,0) per row (|x| < 10^16 at two decimals) keeps the row value
-    # long-backed; the sum widens to decimal(28,0), so even a group holding a
-    # third of 100 TB of rows cannot overflow, unlike a bigint sum of cents.
-    return F.round(F.col(column) * (10 ** in_scale)).cast("decimal(18,0)")
+    # the sum widens to decimal(38,0): ten billion rows at the bound still fit
+    return F.round(F.col(column) * (10 ** in_scale)).try_cast("decimal(28,0)")
 
 
 def partial_columns(m: Measure, mode: str) -> list[Column]:
@@ -66,7 +66,7 @@ def partial_columns(m: Measure, mode: str) -> list[Column]:
         raise ValueError(f"unknown money mode {mode!r}")
     cols = [F.sum(_units(m.column, m.in_scale)).alias(f"__{m.name}_s")]
     if m.kind == "avg":
-        cols.append(F.count(F.col(m.column)).alias(f"__{m.name}_n"))
+        cols.append(F.count(_units(m.column, m.in_scale)).alias(f"__{m.name}_n"))
     return cols
 
 
@@ -86,11 +86,11 @@ def final_column(m: Measure, mode: str) -> Column:
 def exact_mean(units_sum: Column, count: Column, shift: int, scale: int) -> Column:
     """``round_half_away(units_sum * 10^shift / count) / 10^scale`` as double.
 
-    ``(2|s|*10^shift + n) div 2n`` is exact integer arithmetic, so no second
-    rounding of an already-rounded decimal quotient can creep in.
+    ``(2|s|*10^shift + n)`` less its remainder by ``2n`` divides without a rest, so
+    no second rounding of an already-rounded decimal quotient can creep in.
     """
     numerator = F.abs(units_sum) * (2 * 10 ** shift) + count
-    quotient = F.call_function("div", numerator, count * 2)
+    quotient = (numerator - numerator % (count * 2)) / (count * 2)
     signed = F.when(units_sum < 0, -quotient).otherwise(quotient)
     return F.when(count > 0, signed.cast("double") / float(10 ** scale))
 

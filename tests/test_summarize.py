@@ -160,3 +160,12 @@ def test_partials_of_batches_add_up_to_the_full_summary(spark):
             assert [g[:8] for g in got] == [e[:8] for e in expected]
             for g, e in zip(got, expected):
                 assert abs(g[8] - e[8]) <= 0.01 and abs(g[9] - e[9]) <= 0.0001
+
+
+def test_amounts_that_are_no_amounts_count_as_missing(spark):
+    rows = _tx(spark, [(t(1), "a", 10.0), (t(2), "a", float("nan")), (t(3), "b", 1e17), (t(4), "b", 1e17),
+                       (t(5), "c", float("inf")), (t(6), "c", -1e40)])
+    got = {r.category: r for r in summarize.category_summary(rows, "1 minute").collect()}
+    assert (got["a"].event_count, got["a"].total_amount, got["a"].average_amount) == (2, 10.0, 10.0)
+    assert (got["b"].total_amount, got["b"].average_amount) == (2e17, 1e17)
+    assert (got["c"].total_amount, got["c"].average_amount) == (None, None)
