@@ -11,14 +11,16 @@ entry point; settings come from ``STRATUM_*`` environment variables.
 from __future__ import annotations
 
 import sys
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from stratum import schemas
 from stratum.operators import summarize
 from stratum.operators.merge import merge_into
-from stratum.session import delete_path, list_dirs, path_exists, pin_utc
+from stratum.session import delete_path, list_dirs, path_exists, pin_utc, replace_path
 from stratum.settings import Settings
 from stratum.sinks import warehouse
 from stratum.sinks.files import read_layer, write_parquet
@@ -74,16 +76,18 @@ def gold_snapshot(spark: SparkSession, settings: Settings) -> DataFrame:
 
 
 def run_snapshot(spark: SparkSession, settings: Settings) -> None:
-    """Rewrite the partitioned gold snapshot, then reload the warehouse from it.
+    """Rewrite the partitioned gold snapshot, then reload the warehouse from it."""
+    _publish_gold(spark, settings, gold_snapshot(spark, settings))
 
-    Silver only grows, so the new snapshot's partitions are a superset of
-    the old ones and a dynamic partition overwrite replaces all of them; it
-    swaps partitions in only after every task succeeded, so a failed run
-    leaves the previous snapshot readable instead of an emptied folder. The
+
+def _publish_gold(spark: SparkSession, settings: Settings, gold: DataFrame) -> None:
+    """The whole snapshot is written beside the old one and then takes its place, so
+    a failed run leaves the old one readable and no partition outlives its rows. The
     warehouse is loaded from the written snapshot (the aggregate runs once).
     """
-    write_parquet(gold_snapshot(spark, settings), settings.gold.path, mode="overwrite",
-                  partition_by=settings.gold_partitions, dynamic=True)
+    fresh = f"{settings.gold.path}-{uuid.uuid4().hex[:12]}"
+    write_parquet(gold, fresh, mode="overwrite", partition_by=settings.gold_partitions)
+    replace_path(spark, fresh, settings.gold.path)
     if settings.jdbc_url:
         warehouse.reload(spark, read_gold(spark, settings.gold.path), settings)
 
@@ -101,19 +105,30 @@ def _latest_base(spark: SparkSession, settings: Settings) -> int | None:
     return max(done) if done else None
 
 
+def _batches(fields: StructType) -> StructType:
+    return StructType([*fields.fields, StructField("batch_id", LongType())])
+
+
+def _partials_schema(spark: SparkSession, settings: Settings) -> StructType:
+    """Declared, so a layer without any file yet reads as empty."""
+    nothing = spark.createDataFrame([], schemas.FINANCING)
+    return summarize.gold_partials(nothing, settings.window, money=settings.money).schema
+
+
 def _current_partials(spark: SparkSession, settings: Settings, upto: int | None = None) -> DataFrame | None:
     """Base (if any) plus the per-batch partials newer than it, up to ``upto``."""
     base_n = _latest_base(spark, settings)
+    schema = _partials_schema(spark, settings)
     parts = None
     if path_exists(spark, settings.gold_partials.path):
-        batches = read_layer(spark, settings.gold_partials.path)
+        batches = read_layer(spark, settings.gold_partials.path, _batches(schema))
         if base_n is not None:
             batches = batches.filter(F.col("batch_id") > base_n)  # partition pruning
         if upto is not None:
             batches = batches.filter(F.col("batch_id") <= upto)
         parts = batches.drop("batch_id")
     if base_n is not None:
-        base = read_layer(spark, f"{settings.gold_partials_base}/upto={base_n}")
+        base = read_layer(spark, f"{settings.gold_partials_base}/upto={base_n}", schema)
         parts = base if parts is None else base.unionByName(parts)
     return parts
 
@@ -150,10 +165,10 @@ def compact_gold_partials(spark: SparkSession, settings: Settings) -> int | None
 
 
 def run_snapshot_incremental(spark: SparkSession, settings: Settings) -> None:
-    """Fold new silver files into the partials, then rewrite gold from them."""
+    """Fold new silver files into the partials, then rewrite gold (and reload the
+    warehouse) from them."""
     run_gold_partials(spark, settings)
-    write_parquet(incremental_gold(spark, settings), settings.gold.path, mode="overwrite",
-                  partition_by=settings.gold_partitions, dynamic=True)
+    _publish_gold(spark, settings, incremental_gold(spark, settings))
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
@@ -162,7 +177,7 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
 
 def read_gold_stream(spark: SparkSession, settings: Settings) -> DataFrame:
     """Windows the gold stream has emitted so far (its ``batch_id`` folders)."""
-    return read_layer(spark, settings.gold_stream.path).select(*schemas.GOLD_COLUMNS)
+    return read_layer(spark, settings.gold_stream.path, _batches(schemas.GOLD), schemas.GOLD_COLUMNS)
 
 
 def upsert_gold(spark: SparkSession, settings: Settings, updates: DataFrame) -> None:

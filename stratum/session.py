@@ -118,6 +118,14 @@ def list_dirs(spark: SparkSession, uri: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory()]
 
 
+def replace_path(spark: SparkSession, new: str, target: str) -> None:
+    """Put the finished folder ``new`` in the place of ``target``."""
+    path, fs = _fs(spark, target)
+    fs.delete(path, True)
+    if not fs.rename(_fs(spark, new)[0], path):
+        raise OSError(f"cannot move {new} to {target}; {new} holds the whole table")
+
+
 def delete_path(spark: SparkSession, uri: str) -> bool:
     """Recursively delete ``uri`` through the Hadoop file system."""
     path, fs = _fs(spark, uri)

@@ -428,3 +428,28 @@ def test_vacuum_keeps_what_readers_need(spark, tmp_root):
     assert names == ["batch_id=0", "batch_id=1", "upto=0"]
     assert sorted(tuple(r) for r in chain.incremental_gold(spark, s).collect()) == expected
     assert chain.vacuum_gold_partials(spark, s, keep_bases=2) == []
+
+
+def test_snapshot_leaves_no_stale_partition(spark, tmp_root):
+    from helpers import frame
+
+    s = Settings(root=tmp_root, window="10 seconds")
+    rows = [base_row(financing_id="A", vehicle_type="CAR"), base_row(financing_id="B", vehicle_type="MOTORCYCLE")]
+    chain.write_silver_batch(spark, s, frame(spark, rows))
+    chain.run_snapshot(spark, s)
+    assert {r.vehicle_type for r in chain.read_gold(spark, s.gold.path).collect()} == {"CAR", "MOTORCYCLE"}
+    chain.write_silver_batch(spark, s, frame(spark, rows[:1]), mode="overwrite")
+    chain.run_snapshot(spark, s)
+    assert [r.vehicle_type for r in chain.read_gold(spark, s.gold.path).collect()] == ["CAR"]
+
+
+def test_incremental_snapshot_when_every_row_is_rejected(spark, tmp_root):
+    from helpers import frame
+
+    s = Settings(root=tmp_root, window="10 seconds")
+    chain.write_silver_batch(spark, s, frame(spark, [base_row(region="NOWHERE")]))
+    chain.run_snapshot_incremental(spark, s)
+    assert chain.read_gold(spark, s.gold.path).collect() == []
+    chain.write_silver_batch(spark, s, frame(spark, [base_row()]))
+    chain.run_snapshot_incremental(spark, s)
+    assert chain.read_gold(spark, s.gold.path).count() == 1
