@@ -244,11 +244,7 @@ def counter_select(value: str, ts: str, src: str) -> str:
 
 
 def draw_sql(key: str, stream: int, seed: int) -> str:
-    m = G.MODULUS
-    x = f"((({key} * 7919 + {stream * 104729 + seed * 1299709}) % {m - 1}) + 1)"
-    for _ in range(G.ROUNDS):
-        x = f"(({x} * {G.MULTIPLIER}) % {m})"
-    return x
+    return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{stream}:{seed}'), 1, 15) AS BIGINT)"
 
 
 def contract_events_select(src: str, key: str, day: str, seed: int, bad_percent: int) -> str:

@@ -4,11 +4,9 @@
   stream, ``spark.range`` or any id/time projection of a table - into
   financing events with pure arithmetic on the counter.
 * :func:`contract_events` draws contract-shaped events (four vehicles, four
-  locations, three statuses, a share of negative amounts) from a
-  Park-Miller generator seeded by each row's key. Every draw is integer
-  arithmetic on that key alone, so the output does not depend on
-  partitioning, task retries or executor count, and the generator scales
-  with whatever key column drives it.
+  locations, three statuses, a share of negative amounts) from digests of
+  each row's key. Every draw depends on that key alone, so the output does
+  not depend on partitioning, task retries or executor count.
 """
 
 from __future__ import annotations
@@ -78,9 +76,6 @@ def rate_stream(spark: SparkSession, rows_per_second: int) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Contract-shaped events
 # ---------------------------------------------------------------------------
-MODULUS = 2147483647     # Park-Miller minimal standard generator
-MULTIPLIER = 48271
-ROUNDS = 3
 
 # --- Fixed values of the contract-shaped producer (inclusive ranges) --------
 CONTRACT_FINANCED_CENTS = (1500000, 15000000)   # 15,000.00 .. 150,000.00
@@ -96,15 +91,10 @@ CONTRACT_CURRENCY = "BRL"
 
 
 def draw(key: Column, stream: int, seed: int) -> Column:
-    """A uniform integer in ``[1, MODULUS)`` for (key, stream, seed).
-
-    ``key * 7919`` stays below 2^63 for keys up to ~10^15, and every Lehmer
-    step multiplies a value below 2^31 by 48271, so no step can overflow.
-    """
-    x = F.pmod(key * 7919 + (stream * 104729 + seed * 1299709), F.lit(MODULUS - 1)) + 1
-    for _ in range(ROUNDS):
-        x = F.pmod(x * MULTIPLIER, F.lit(MODULUS))
-    return x
+    """A uniform integer below 2^60 for (key, stream, seed): the first 15 hex digits
+    of an MD5 digest, so streams are independent of one another for any key."""
+    digest = F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(stream)), F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
 def contract_events(

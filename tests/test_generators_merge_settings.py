@@ -220,3 +220,13 @@ def test_long_ids_stay_whole(spark):
 def test_settings_hide_secrets():
     s = Settings(jdbc_password="hush", s3_secret_key="hush2")
     assert "hush" not in repr(s)
+
+
+def test_draws_are_independent(spark):
+    from stratum.sources.synthetic import draw
+
+    keys = spark.range(20_000)
+    d = keys.select(*[(F.pmod(draw(F.col("id"), n, 42), F.lit(1000)) / 1000.0).alias(f"d{n}") for n in (1, 2)],
+                    (F.pmod(draw(F.col("id") + 2**31 - 2, 1, 42), F.lit(1000)) / 1000.0).alias("far"))
+    got = d.agg(F.corr("d1", "d2").alias("streams"), F.corr("d1", "far").alias("keys"), F.avg("d1").alias("mean")).first()
+    assert abs(got.streams) < 0.04 and abs(got["keys"]) < 0.04 and abs(got["mean"] - 0.5) < 0.02
