@@ -5,8 +5,7 @@ the row violates it. Rule sets are ordered lists; two compilations exist:
 
 * :func:`first_violation` - the code of the first rule hit (``NULL`` = row
   passes), a single ``CASE WHEN`` chain evaluated inside whole-stage codegen;
-* :func:`all_violations` / :func:`violation_text` - every rule hit, in rule
-  order, as ``array<string>`` or a comma-joined string.
+* :func:`all_violations` - every rule hit, in rule order, as ``array<string>``.
 
 Null semantics follow SQL three-valued logic: a comparison on ``NULL`` is
 unknown and does not reject the row (``NULL NOT IN (...)`` passes). A rule
@@ -63,15 +62,6 @@ def all_violations(rules: Sequence[Rule]) -> Column:
     return F.filter(hits, lambda x: x.isNotNull())
 
 
-def violation_text(rules: Sequence[Rule], sep: str = ",") -> Column:
-    """Every violated rule code joined by ``sep`` (empty string = clean)."""
-    return F.concat_ws(sep, *[F.when(r.hit(), F.lit(r.code)) for r in rules])
-
-
-def violation_count(rules: Sequence[Rule]) -> Column:
-    return sum((r.hit().cast("int") for r in rules), F.lit(0))
-
-
 # ---------------------------------------------------------------------------
 # Rule sets of the data product
 # ---------------------------------------------------------------------------

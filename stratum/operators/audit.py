@@ -6,9 +6,10 @@ task, one tiny final stage); the union of them runs as one job.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,24 +22,6 @@ def require_layers(spark: SparkSession, paths: Mapping[str, str]) -> None:
         raise RuntimeError(f"missing layers: {', '.join(missing)}")
 
 
-def layer_rows(name: str, df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(name).alias("layer"),
-        F.col("row_count"),
-        F.lit(len(df.columns)).alias("column_count"),
-        F.lit(",".join(df.columns)).alias("columns"),
-    )
-
-
-def _signed_total(parts) -> DataFrame:
-    """Sum of signed per-row contributions of several frames: one global aggregate."""
-    rows = None
-    for df, contribution in parts:
-        part = df.select(contribution.cast("long").alias("d"))
-        rows = part if rows is None else rows.unionByName(part)
-    return rows.agg(F.coalesce(F.sum("d"), F.lit(0)).alias("row_count"))
-
-
 def audit(
     spark: SparkSession,
     layers: Mapping[str, DataFrame],
@@ -50,28 +33,31 @@ def audit(
 ) -> DataFrame:
     """One row per layer, then two reconciliation rows whose count must be 0.
 
-    * ``reconcile:bronze-silver-quarantine`` - every bronze row is either in
-      silver or in quarantine, never both, never lost;
+    * ``reconcile:bronze-silver-quarantine`` - bronze has as many rows as silver
+      and quarantine together;
     * ``reconcile:silver_ids-gold_count`` - the gold counts add up to the
       silver rows with an id.
+
+    Each layer is read once: one aggregate holds its own row and its signed
+    shares of the checks, and a grouped sum over those few rows adds them up.
     """
-    parts = [layer_rows(name, df) for name, df in layers.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    checks = []
+    rows = F.count(F.lit(1))
+    shares: dict[str, dict[str, Column]] = {name: {} for name in layers}
     if {bronze, silver, quarantine} <= set(layers):
-        checks.append(("reconcile:bronze-silver-quarantine", _signed_total([
-            (layers[bronze], F.lit(1)), (layers[silver], F.lit(-1)), (layers[quarantine], F.lit(-1)),
-        ])))
+        for name, share in ((bronze, rows), (silver, -rows), (quarantine, -rows)):
+            shares[name]["reconcile:bronze-silver-quarantine"] = share
     if {silver, gold} <= set(layers):
-        checks.append(("reconcile:silver_ids-gold_count", _signed_total([
-            (layers[silver], F.when(F.col("financing_id").isNotNull(), F.lit(1)).otherwise(F.lit(0))),
-            (layers[gold], -F.col("financing_count")),
-        ])))
-    for name, df in checks:
-        out = out.unionByName(df.select(
-            F.lit(name).alias("layer"), F.col("row_count").cast("long"),
-            F.lit(0).alias("column_count"), F.lit("").alias("columns"),
-        ))
-    return out
+        shares[silver]["reconcile:silver_ids-gold_count"] = F.count("financing_id")
+        shares[gold]["reconcile:silver_ids-gold_count"] = -F.coalesce(F.sum("financing_count"), F.lit(0))
+
+    def line(layer: str, count: Column, names: list[str]) -> Column:
+        return F.struct(F.lit(layer).alias("layer"), count.cast("long").alias("row_count"),
+                        F.lit(len(names)).alias("column_count"), F.lit(",".join(names)).alias("columns"))
+
+    parts = [
+        df.agg(F.array(line(name, rows, df.columns), *[line(c, v, []) for c, v in shares[name].items()]).alias("lines"))
+        for name, df in layers.items()
+    ]
+    return reduce(DataFrame.unionByName, parts).select(F.inline("lines")).groupBy("layer").agg(
+        F.sum("row_count").alias("row_count"), F.max("column_count").alias("column_count"), F.max("columns").alias("columns")
+    )

@@ -15,8 +15,6 @@ from stratum.functions.rules import (
     first_violation,
     silver_rules,
     transaction_rules,
-    violation_count,
-    violation_text,
 )
 
 REASON = "validation_reason"
@@ -94,12 +92,9 @@ def reason_profiles(df: DataFrame, rule_sets: dict[str, tuple[Sequence[Rule], bo
 
 def contract_check(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Every violated contract rule per row: array, joined text and count."""
-    return df.withColumns(
-        {
-            "violations": all_violations(rules),
-            "violation_text": violation_text(rules),
-            "violation_count": violation_count(rules),
-        }
+    # each rule is evaluated once; text and count come from the array
+    return df.withColumn("violations", all_violations(rules)).withColumns(
+        {"violation_text": F.array_join("violations", ","), "violation_count": F.size("violations")}
     )
 
 
