@@ -46,38 +46,27 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path)
 
 
-# Up to this many touched partitions are turned into a static partition
-# filter (pruned when the scan is planned); beyond it an exact semi-join on
-# the partition columns selects the rows instead.
-MAX_PRUNED_PARTITIONS = 1000
-
-
 def _touched_partitions(current: DataFrame, updates: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of ``current`` in partitions that ``updates`` touch.
 
-    The distinct partition tuples of the updates are a set bounded by the
-    table's partition count, so they are fetched (at most
-    ``MAX_PRUNED_PARTITIONS + 1`` rows) and become a null-safe partition
-    filter: the scan lists and reads only those directories. A larger set
-    falls back to a semi-join, which reads every partition but stays exact.
+    Each partition column is bounded by the least and greatest value of the
+    updates (two values a column, whatever the size of the updates), which
+    prunes directories when the scan is planned; a null-safe semi-join on the
+    distinct partition tuples then selects exactly the touched ones.
     """
     touched = updates.select(*partition_by).distinct()
-    keys = touched.limit(MAX_PRUNED_PARTITIONS + 1).collect()
-    if len(keys) <= MAX_PRUNED_PARTITIONS:
-        if not keys:
-            return current.limit(0)
-        target = F.struct(*[F.col(c) for c in partition_by])
-        plain = [k for k in keys if all(v is not None for v in k)]
-        with_nulls = [k for k in keys if any(v is None for v in k)]
-        # one IN over the partition tuple; tuples holding a null need <=>
-        cond = target.isin(*[F.struct(*[F.lit(v) for v in k]) for k in plain]) if plain else F.lit(False)
-        for key in with_nulls:
-            match = None
-            for c, v in zip(partition_by, key):
-                term = F.col(c).eqNullSafe(F.lit(v))
-                match = term if match is None else match & term
-            cond = cond | match
-        return current.filter(cond)
+    bounds = touched.agg(*[
+        c for i, name in enumerate(partition_by) for c in (
+            F.min(name).alias(f"lo{i}"), F.max(name).alias(f"hi{i}"),
+            F.max(F.col(name).isNull()).alias(f"nulls{i}"))
+    ]).first()
+    for i, name in enumerate(partition_by):
+        within = F.lit(False)
+        if bounds[f"lo{i}"] is not None:
+            within = F.col(name).between(F.lit(bounds[f"lo{i}"]), F.lit(bounds[f"hi{i}"]))
+        if bounds[f"nulls{i}"]:
+            within = F.col(name).isNull() | within
+        current = current.filter(within)
     return current.join(touched, on=[current[c].eqNullSafe(touched[c]) for c in partition_by],
                         how="left_semi")
 

@@ -96,10 +96,6 @@ def start_parquet_stream(
     return writer.start()
 
 
-# Rows one task writes per output directory in a stateful micro-batch.
-ROWS_PER_WRITE_TASK = 1_000_000
-
-
 def replay_safe_batch_writer(
     path: str,
     *,
@@ -110,27 +106,24 @@ def replay_safe_batch_writer(
 
     A replayed batch overwrites exactly its own directory (dynamic partition
     overwrite), so a retry after a failure never duplicates rows. The batch is
-    persisted once, counted (skipped when empty) and handed to ``extra`` sinks
-    (e.g. a warehouse merge) without being recomputed.
+    persisted once, skipped when empty and handed to ``extra`` sinks (e.g. a
+    warehouse merge) without being recomputed.
 
     Streaming disables AQE for stateful queries, so rows are clustered by
-    hand: by the partition columns plus a salt of ``ceil(rows / 1M)``
-    buckets. A small batch writes one file per directory; a backfill's flush
-    that puts a third of all rows in one directory spreads it over many
-    tasks instead of one.
+    ranges of the partition columns and a hash of the row. Ranges hold about
+    the same number of rows each: small directories share a task, and a
+    directory with a third of all rows is spread over a third of the tasks.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            rows = batch.count()
-            if rows == 0:
+            if batch.isEmpty():
                 return
             out = batch.withColumn("batch_id", F.lit(batch_id))
             if partition_by:
-                buckets = max(1, -(-rows // ROWS_PER_WRITE_TASK))
-                salt = F.pmod(F.xxhash64(*[F.col(c) for c in batch.columns]), F.lit(buckets))
-                out = out.repartition(*[F.col(c) for c in partition_by], salt)
+                spread = F.xxhash64(*[F.col(c) for c in batch.columns])
+                out = out.repartitionByRange(*[F.col(c) for c in partition_by], spread)
             write_parquet(
                 out,
                 path,

@@ -10,12 +10,15 @@ reads, so a downstream stream never sees a half-written batch.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from contextlib import contextmanager
+from threading import Event
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.types import StringType, StructField, StructType
 
 from stratum import schemas
@@ -32,6 +35,38 @@ from stratum.sinks.files import (
 )
 from stratum.sources import synthetic
 
+
+class LateRows(StreamingQueryListener):
+    """Rows that stateful queries discarded as too late, over all their batches.
+
+    Attach it with ``spark.streams.addListener`` before the queries start.
+    Spark keeps only the recent progress of a query; this adds up every batch.
+    """
+
+    def __init__(self) -> None:
+        self._dropped: dict[str, int] = defaultdict(int)
+        self._ended: dict[str, Event] = defaultdict(Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self._dropped[str(progress.id)] += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.id)].set()
+
+    def dropped(self, query: StreamingQuery, timeout_s: float = 60) -> int:
+        """The count so far; of an ended query, after its last event has arrived."""
+        if not query.isActive and not self._ended[str(query.id)].wait(timeout_s):
+            raise TimeoutError(f"no end event of streaming query {query.id} within {timeout_s} s")
+        return self._dropped[str(query.id)]
+
+
 LANDING_SCHEMA = StructType(
     schemas.FINANCING.fields + [StructField(schemas.CORRUPT_COLUMN, StringType(), True)]
 )
@@ -267,7 +302,8 @@ def start_quality_fanout(
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows a stateful query discarded as too late, over its recent batches."""
+    """Rows a stateful query discarded as too late, over the batches whose progress
+    Spark still keeps; :class:`LateRows` counts all batches."""
     total = 0
     for progress in query.recentProgress:
         for op in progress.get("stateOperators", []):

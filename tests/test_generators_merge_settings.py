@@ -158,15 +158,23 @@ def test_settings_reject_bad_values(bad):
         Settings(**bad)
 
 
-def test_merge_semi_join_fallback_beyond_the_pruning_limit(spark, tmp_root, monkeypatch):
-    from stratum.operators import merge
+def test_merge_leaves_partitions_between_the_touched_ones(spark, tmp_root):
+    target = tmp_root + "/gaps"
+    first = spark.createDataFrame(
+        [("p1", "a", 1), ("p2", "b", 2), ("p3", "c", 3), (None, "d", 4)], "part string, k string, v int")
+    merge_into(spark, target, first, ["k", "part"], partition_by=["part"])
+    upd = spark.createDataFrame([("p1", "a", 10), ("p3", "z", 9), (None, "d", 40)], "part string, k string, v int")
+    merge_into(spark, target, upd, ["k", "part"], partition_by=["part"])
+    out = {(r.part, r.k, r.v) for r in spark.read.parquet(target).collect()}
+    assert out == {("p1", "a", 10), ("p2", "b", 2), ("p3", "c", 3), ("p3", "z", 9), (None, "d", 40)}
 
-    monkeypatch.setattr(merge, "MAX_PRUNED_PARTITIONS", 1)
+
+def test_merge_with_several_touched_partitions(spark, tmp_root):
     target = tmp_root + "/many"
     first = spark.createDataFrame([("p1", "a", 1), ("p2", "b", 2), ("p3", "c", 3)], "part string, k string, v int")
     merge_into(spark, target, first, ["k", "part"], partition_by=["part"])
     upd = spark.createDataFrame([("p1", "a", 10), ("p2", "z", 9)], "part string, k string, v int")
-    merge_into(spark, target, upd, ["k", "part"], partition_by=["part"])  # two touched partitions > limit
+    merge_into(spark, target, upd, ["k", "part"], partition_by=["part"])
     out = sorted(tuple(r) for r in spark.read.parquet(target).select("part", "k", "v").collect())
     assert out == [("p1", "a", 10), ("p2", "b", 2), ("p2", "z", 9), ("p3", "c", 3)]
 

@@ -41,9 +41,15 @@ def at(h, m, s):
 def _gold_counts(spark, tmp_root, batches, dropped=None):
     s = Settings(root=tmp_root, window="10 seconds", watermark="30 seconds", gold_max_files_per_trigger=1)
     _silver_files(s.silver.path, batches)
-    query = chain.run_gold(spark, s)
-    if dropped is not None:
-        assert jobs.dropped_by_watermark(query) == dropped
+    late = jobs.LateRows()
+    spark.streams.addListener(late)
+    try:
+        query = chain.run_gold(spark, s)
+        if dropped is not None:
+            assert jobs.dropped_by_watermark(query) == dropped
+            assert late.dropped(query) == dropped
+    finally:
+        spark.streams.removeListener(late)
     out = read_layer(spark, s.gold_stream.path).orderBy("window_start").collect()
     return [(r.window_start.strftime("%H:%M:%S"), r.financing_count) for r in out]
 
@@ -316,12 +322,11 @@ def test_state_width_applies_to_checkpoint_and_restores_session(spark, tmp_root)
     assert '"spark.sql.shuffle.partitions":"3"' in offsets
 
 
-def test_hot_directory_is_spread_over_tasks(spark, tmp_root, monkeypatch):
+def test_hot_directory_is_spread_over_tasks(spark, tmp_root):
     import glob
 
     from stratum.sinks import files
 
-    monkeypatch.setattr(files, "ROWS_PER_WRITE_TASK", 100)
     path = tmp_root + "/hot"
     writer = files.replay_safe_batch_writer(path, partition_by=("region",))
     batch = spark.range(1000).selectExpr(
