@@ -13,8 +13,8 @@ once per worker and never written anywhere.
 
 Defined results: null text counts as empty (no ids, empty decoding); extra
 columns are ignored; a null id gives a row with a null id; repeated rows give a
-row each; an empty table gives an empty result. Whole texts are encoded, and
-memory holds one batch plus a bounded table of words.
+row each; an empty table gives an empty result. Whole texts are encoded, those of
+very many words in pieces; memory holds one batch plus a bounded table of words.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from stratum.llm.common import row_step, scan
 
 #: White space as the file's ``\s`` means it (Unicode White_Space).
 SPACE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-#: Words remembered by a worker at most.
+#: Words remembered between batches by a worker at most; a batch has half as many of its own.
 WORD_LIMIT = 400_000
 
 
@@ -152,19 +152,31 @@ class Bpe:
             a, b = np.where(undo_a, self.right[a], a), np.where(undo_a, b, self.left[b])
         return ok
 
-    def learn(self, words: list[str]) -> None:
-        """Encode new words together and remember their ids and spelling."""
+    def learn(self, words: list[str]) -> dict[str, tuple[str, str, int]]:
+        """Encode words together: their ids, spelling and number of ids."""
         spelled = ["".join(map(self.alphabet.__getitem__, w.encode("utf-8", "surrogatepass"))) + self.suffix for w in words]
         tokens = [self.proposed(s) for s in spelled]
         flat = np.fromiter((t for ts in tokens for t in ts), np.int64)
         owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
         inner = owner[1:] == owner[:-1]
         bad = set(owner[1:][inner][~self.compatible(flat[:-1][inner], flat[1:][inner])].tolist())
-        if len(self.known) + len(words) > WORD_LIMIT:
-            self.known.clear()
+        out = {}
         for k, (word, s) in enumerate(zip(words, spelled)):
             ids = self.merged(self.symbols(s)) if k in bad else tokens[k]
-            self.known[word] = (" ".join(map(str, ids)), " ".join(map(self.text_of.__getitem__, ids)), len(ids))
+            out[word] = (" ".join(map(str, ids)), " ".join(map(self.text_of.__getitem__, ids)), len(ids))
+        return out
+
+    def encode_long(self, parts: list[str | int]) -> tuple[int, str, str]:
+        """One text of very many words, by pieces of its words; nothing is remembered."""
+        n, ids, decoded = 0, [], []
+        for at in range(0, len(parts), WORD_LIMIT // 2):
+            piece = parts[at : at + WORD_LIMIT // 2]
+            own = self.learn(list(dict.fromkeys(w for w in piece if not isinstance(w, int))))
+            got = [own[w] if not isinstance(w, int) else (str(w), self.text_of[w], 1) for w in piece]
+            n += sum(g[2] for g in got)
+            ids.append(" ".join([g[0] for g in got]))
+            decoded.append(" ".join([g[1] for g in got]))
+        return n, " ".join(ids), " ".join(decoded)
 
     def split(self, text: str) -> list[str | int]:
         """Words of a normalised text, and the ids of added tokens found in it."""
@@ -182,19 +194,23 @@ class Bpe:
         """Per text: number of ids, the decimal ids and the decoding, space-joined."""
         parts = [self.split(t or "") for t in texts]
         new = dict.fromkeys(w for p in parts for w in p if w not in self.known and not isinstance(w, int))
-        words = list(new)
         out: list[tuple[int, str, str] | None] = [None] * len(texts)
-        if len(words) > WORD_LIMIT // 2:  # a batch of very many words: by halves
-            if len(texts) > 1:
-                half = len(texts) // 2
-                return self.encode_batch(texts[:half]) + self.encode_batch(texts[half:])
-        if words:
-            before = len(self.known)
-            self.learn(words)
-            if before + len(words) > WORD_LIMIT:  # the table was cleared: learn the rest of the batch
-                self.learn([w for w in dict.fromkeys(w for p in parts for w in p if not isinstance(w, int)) if w not in self.known])
+        if len(new) > WORD_LIMIT // 2:  # very many words: by halves, or one text by pieces
+            if len(texts) == 1:
+                return [self.encode_long(parts[0])]
+            half = len(texts) // 2
+            return self.encode_batch(texts[:half]) + self.encode_batch(texts[half:])
+        own = self.learn(list(new)) if new else {}
+        # this batch still reads words remembered before: they go only once it is encoded
+        known = self.known
+        if len(known) + len(own) > WORD_LIMIT:
+            lookup = lambda w: own[w] if w in own else known[w]
+            self.known = own
+        else:
+            known.update(own)
+            lookup = known.__getitem__
         for k, p in enumerate(parts):
-            got = [self.known[w] if not isinstance(w, int) else (str(w), self.text_of[w], 1) for w in p]
+            got = [lookup(w) if not isinstance(w, int) else (str(w), self.text_of[w], 1) for w in p]
             out[k] = (sum(g[2] for g in got), " ".join([g[0] for g in got]), " ".join([g[1] for g in got]))
         return out
 
