@@ -84,6 +84,20 @@ def row_step(make: Callable[[], Callable[..., tuple]], schema: pa.Schema):
     return step
 
 
+def where_text(df: DataFrame, text_col: str, judge: Callable[[list[str | None]], list[bool]]) -> DataFrame:
+    """The rows whose text ``judge`` keeps, row by row: the text alone goes to Python,
+    and no id takes part."""
+
+    @F.arrow_udf("boolean")
+    def kept(texts: pa.Array) -> pa.Array:
+        found: list[bool] = []
+        for at in range(0, len(texts), 256):
+            found += judge(texts.slice(at, 256).to_pylist())
+        return pa.array(found, pa.bool_())
+
+    return df.where(kept(df[text_col]))
+
+
 #: Ids that are broadcast at most (8 bytes each); more are joined by shuffling.
 BROADCAST_IDS = 1_000_000
 

@@ -4,8 +4,12 @@ A text becomes a vector of its letter n-grams (one to three bytes of the
 lower-cased UTF-8 letters, hashed into ``DIMS`` places): (1 + log tf) * idf, of
 unit length. Each language has several centroids, found by spherical k-means
 among its sampled training vectors; a text gets the language of the centroid
-with the largest cosine. A text farther from its centroid than that language's radius
-is marked as rejected.
+with the largest cosine. A text is marked as rejected if it is farther from its
+centroid than that centroid's radius, or if it is farther than nearly all texts of
+the language are and another language is nearly as similar (a text in two known
+languages is similar to both and stays). The bounds come from held-out similarities:
+the sample is cut into ``FOLDS`` parts, and each part is compared with centroids of
+its language that were fitted without it. A language of one text has radius 0.
 
 Document frequencies count every training text. The centroids are fitted on a
 bounded sample: about ``SAMPLE`` texts a language, chosen by a hash of their id
@@ -29,14 +33,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import scan, utf8
+from stratum.llm.common import scan, utf8, where_text
 
 DIMS = 4096
 CENTROIDS = 3
 #: Training texts that a language's centroids are fitted on, about; at most twice as many.
 SAMPLE = 600
-#: Rejected is what is this many times less similar than its language's least similar sampled text.
-SLACK = 4.0
+#: Parts of the sample that are held out in turn.
+FOLDS = 3
+#: The share of held-out texts that defines a bound, and how far below their
+#: similarity the radius lies: clean texts of unusual kinds are to stay.
+LOW, SLACK = 0.01, 0.7
+#: Held-out texts of a centroid that a radius of its own needs.
+ENOUGH = 50
 #: ASCII other than letters becomes a space.
 LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -46,6 +55,7 @@ class Model:
     langs: list[str]  # of each centroid
     centroids: np.ndarray  # (n, DIMS), unit rows
     radius: np.ndarray  # least similarity that isn't rejected
+    rival: np.ndarray  # largest similarity of another language, as a share of the own, that isn't rejected
     idf: np.ndarray
 
 
@@ -76,8 +86,8 @@ def vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
 
-def cluster(v: np.ndarray, k: int, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means from far-apart starts; centroids and least similarities."""
+def cluster(v: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
+    """Centroids by spherical k-means from far-apart starts."""
     starts = [int(np.argmin(v @ v.mean(0)))]
     while len(starts) < min(k, len(v)):
         starts.append(int(np.argmin((v @ v[starts].T).max(1))))
@@ -86,10 +96,28 @@ def cluster(v: np.ndarray, k: int, rounds: int = 8) -> tuple[np.ndarray, np.ndar
         own = (v @ c.T).argmax(1)
         c = np.stack([v[own == j].mean(0) if (own == j).any() else c[j] for j in range(len(c))])
         c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-    similar = v @ c.T
-    own = similar.argmax(1)
-    least = np.array([similar[own == j, j].min() if (own == j).any() else 0.0 for j in range(len(c))])
-    return c, least
+    return c
+
+
+def rivals(similar: np.ndarray, langs: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The largest similarity to a centroid of another language than ``own`` (0 without one)."""
+    return np.where(langs[None, :] == own[:, None], 0.0, similar).max(1, initial=0.0)
+
+
+def bounds(langs: np.ndarray, measured: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Radius and rival share of each centroid from held-out texts
+    (``place`` of the nearest centroid of its language, ``similar``, ``share``)."""
+    radius, rival = np.zeros(len(langs)), np.ones(len(langs))
+    for j, lang in enumerate(langs):
+        of_lang = measured[langs[measured.place] == lang]
+        own = of_lang[of_lang.place == j]
+        if not len(of_lang):
+            continue
+        # a centroid of copies alone would reject too much: never above the language's radius
+        low = [np.quantile(x.similar, LOW) for x in (of_lang, own) if x is of_lang or len(x) >= ENOUGH]
+        radius[j] = SLACK * min(low)
+        rival[j] = (1 + min(1.0, np.quantile(of_lang.share, 1 - LOW))) / 2
+    return radius, rival
 
 
 def fit(training: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -118,7 +146,7 @@ def fit(training: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     )
     texts = {r.lang: int(r.n) for r in found[found.place == DIMS].itertuples()}
     if not texts:
-        return Model([], np.empty((0, DIMS)), np.empty(0), np.zeros(DIMS))
+        return Model([], np.empty((0, DIMS)), np.empty(0), np.empty(0), np.zeros(DIMS))
     df = np.zeros(DIMS)
     np.add.at(df, found.place[found.place < DIMS].to_numpy(), found.n[found.place < DIMS].to_numpy())
     idf = np.log((1 + sum(texts.values())) / (1 + df)) + 1
@@ -136,21 +164,63 @@ def fit(training: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
     def clustered(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         v = np.stack([np.frombuffer(x, np.float32) for x in sorted(group.v)[: 2 * SAMPLE]]).astype(float)
-        c, least = cluster(v, CENTROIDS)
-        least = least.min()  # of the language: a centroid of copies alone would reject too much
-        return pd.DataFrame({"lang": key[0], "c": [x.tobytes() for x in c], "least": least})
+        fold = np.arange(len(v)) % FOLDS
+        every = cluster(v, CENTROIDS)
+        order = np.argsort([x.tobytes().hex() for x in every])
+        every = every[order]
+        near = (v @ every.T).argmax(1)
+        similar = np.zeros(len(v))
+        for f in range(FOLDS):
+            if (fold == f).any() and (fold != f).any():
+                similar[fold == f] = (v[fold == f] @ cluster(v[fold != f], CENTROIDS).T).max(1)
+        # the measured texts travel with the centroids: at most 2 * SAMPLE a language
+        return pd.DataFrame({
+            "lang": key[0], "c": [x.tobytes() for x in every] + [None] * len(v), "v": [None] * len(every) + [x.astype(np.float32).tobytes() for x in v],
+            "near": [*range(len(every)), *near.tolist()], "similar": [0.0] * len(every) + similar.tolist(),
+        })
 
     fitted = (
         scan(sample, [text_col, lang_col], vectorised, "lang string, v binary")
-        .groupBy("lang").applyInPandas(clustered, "lang string, c binary, least double").toPandas()
-    )
-    fitted = fitted.assign(hex=[x.hex() for x in fitted.c]).sort_values(["lang", "hex"])
-    return Model(
-        fitted.lang.tolist(),
-        np.stack([np.frombuffer(x) for x in fitted.c]) if len(fitted) else np.empty((0, DIMS)),
-        fitted.least.to_numpy() / SLACK,
-        idf,
+        .groupBy("lang").applyInPandas(clustered, "lang string, c binary, v binary, near int, similar double").checkpoint()
     )
+    cs = fitted.where("c IS NOT NULL").select("lang", "near", "c").toPandas().sort_values(["lang", "near"])
+    if not len(cs):
+        return Model([], np.empty((0, DIMS)), np.empty(0), np.empty(0), idf)
+    langs, centroids = cs.lang.to_numpy(), np.stack([np.frombuffer(x) for x in cs.c])
+
+    def shares(batches):
+        """Place of the nearest centroid, similarity, and the rival's share of it."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lang = np.array(batch.column(0).to_pylist(), object)
+            v = np.stack([np.frombuffer(x.as_py(), np.float32) for x in batch.column(1)]).astype(float)
+            similar = batch.column(3).to_numpy()
+            place = np.array([np.flatnonzero(langs == x)[0] for x in lang]) + batch.column(2).to_numpy()
+            share = rivals(v @ centroids.T, langs, lang) / np.maximum(similar, 1e-12)
+            yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), pa.array(similar), pa.array(share)], names=["place", "similar", "share"])
+
+    measured = scan(fitted.where("v IS NOT NULL"), ["lang", "v", "near", "similar"], shares, "place int, similar double, share double").toPandas()
+    return Model(langs.tolist(), centroids, *bounds(langs, measured), idf)
+
+
+def judged(texts: list[str | None], m: Model) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and whether rejected, of a few texts."""
+    known = np.array([bool(m.langs) and has_letter(t) for t in texts], bool)
+    best, score, rival = np.zeros(len(texts), int), np.zeros(len(texts)), np.zeros(len(texts))
+    if known.any():
+        v = vectors(np.stack([term_counts(t) for t, ok in zip(texts, known) if ok]), m.idf)
+        similar = v @ m.centroids.T
+        best[known] = similar.argmax(1)
+        score[known] = np.clip(similar.max(1), 0, 1)
+        names = np.array(m.langs, object)
+        rival[known] = rivals(similar, names, names[best[known]])
+    langs = [m.langs[b] if ok else "und" for b, ok in zip(best, known)]
+    rejected = ~known
+    if m.langs:
+        rejected = rejected | (score < m.radius[best])
+        rejected |= (score < m.radius[best] / SLACK) & (rival > m.rival[best] * score)
+    return langs, score, rejected
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -158,20 +228,10 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def step(batches):
-        m = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = part.column(1).to_pylist()
-                known = np.array([bool(m.langs) and has_letter(t) for t in texts], bool)
-                best, score = np.zeros(len(texts), int), np.zeros(len(texts))
-                if known.any():
-                    v = vectors(np.stack([term_counts(t) for t, ok in zip(texts, known) if ok]), m.idf)
-                    similar = v @ m.centroids.T
-                    best[known] = similar.argmax(1)
-                    score[known] = np.clip(similar.max(1), 0, 1)
-                langs = [m.langs[b] if ok else "und" for b, ok in zip(best, known)]
-                rejected = ~known | (score < (m.radius[best] if m.langs else 1))
+                langs, score, rejected = judged(part.column(1).to_pylist(), shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(pa.int64()), pa.array(langs, pa.string()), pa.array(score), pa.array(rejected)],
                     names=["doc_id", "lang_pred", "score", "rejected"],
@@ -180,6 +240,12 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return scan(docs, [id_col, text_col], step, "doc_id long, lang_pred string, score double, rejected boolean")
 
 
+def recognised(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows whose own text isn't rejected, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return where_text(docs, text_col, lambda texts: (~judged(texts, shared.value)[2]).tolist())
+
+
 def held_out(id_col: str | Column = "doc_id", folds: int = 3, fold: int = 1) -> Column:
     """Whether crc32 of the id as text leaves ``fold``; never for a null id."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == fold, F.lit(False))

@@ -1,17 +1,38 @@
 """Cases that the operators once left out: rejection, replaced words, very many words,
 rows that share an id or have none."""
 
+import base64
+import random
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from conftest import SF_CHECK
 from frames import docs, workers  # noqa: F401 - fixtures
-from stratum.llm import bpe
+from stratum.llm import bpe, langid
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
+def test_unknown_languages_and_gibberish_are_rejected(spark, docs):
+    documents = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    training = documents.where(~langid.held_out("doc_id", 3))
+    r, letters = random.Random(0), "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(r.choice(letters) for _ in range(r.randrange(2, 11)))
+    junk = [" ".join(word() for _ in range(60)) for _ in range(50)]
+    junk += [base64.b64encode(r.randbytes(300)).decode() for _ in range(50)]
+    junk += ["".join(r.choice(letters) for _ in range(400)) for _ in range(50)]
+    model = langid.fit(training)
+    share = lambda df, m: langid.predict(df, m).agg(F.avg(F.col("rejected").cast("int"))).first()[0]
+    assert share(docs(list(enumerate(junk))), model) > 0.95
+    assert share(documents, model) < 0.005
+    for lang in ("de", "es", "fr"):
+        others = langid.fit(training.where(F.col("lang") != lang))
+        assert share(documents.where(F.col("lang") == lang), others) > 0.95, lang
+
+
 def test_texts_of_very_many_distinct_words(spark, docs):
     own = Tokenizer.from_file(WORDS)
     own.no_truncation()
