@@ -4,11 +4,15 @@ A mask is a fixed pattern of positions that count (1) and positions that are
 ignored (0). The words of every benchmark item and of every document are hashed
 under each mask; a document window whose hash equals an item's is a hit, even
 where words at ignored positions were replaced. Each hit fixes an alignment
-(document position minus item position). Along it the words are compared one by
-one, and the longest stretch in which at most ``tolerance`` of the words differ
-is the overlap. Overlaps of ``min_words`` (or of the whole item, if shorter) are
+(document position minus item position). Alignments with too few equal words in all
+are left out; along the others the words are compared one by one, and the longest
+stretch in which at most ``tolerance`` of the words differ is the overlap. Overlaps of ``min_words`` (or of the whole item, if shorter) are
 reported, the longest for each document and item.
 
+The masks lose nothing: no way to replace 30 % of the words of a stretch that begins
+and ends with an equal word escapes all of them (``least_escape``, asserted in a
+test for stretches of up to 400 words). A larger ``tolerance`` has no such guarantee.
+
 The benchmark is the query set: it is read in blocks of bounded size, each block
 goes to the tasks as sorted hash arrays, and every document is compared with
 every block. Documents are never shuffled.
@@ -30,11 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import WordHashes, by_ids, mix, scan, utf8
+from stratum.llm.common import WordHashes, by_ids, mix, scan, utf8, where_text
 
-#: Masks of weight 6: one run, one gap, two gaps, every other word.
-MASKS = ("111111", "1110111", "110110011", "10101010101")
-MIN_ITEM = 4
+#: Masks of weight 4 that together hit every stretch of ``LONG`` words or more with 30 % replaced.
+MASKS = ("11101", "1101001", "111001")
+#: Masks of weight 3 that do so for shorter stretches, from ``MIN_ITEM`` words on.
+SHORT_MASKS = ("111", "1101", "1011")
+LONG, MIN_ITEM = 13, 4
+#: Hits that are expanded at once.
+HITS = 2_000_000
 #: Characters of benchmark text in a block: bounds what is broadcast at once.
 BLOCK_CHARS = 8_000_000
 #: Bits of the table that turns most windows away before the exact lookup.
@@ -58,6 +66,8 @@ class Seeds:
 
     ids: list[int | None]
     words: list[np.ndarray]
+    flat: np.ndarray  # all words
+    begin: np.ndarray  # where each item begins among them
     tables: list[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
@@ -73,19 +83,36 @@ def window_hashes(h: np.ndarray, mask: str) -> np.ndarray:
     return mix(total)
 
 
-def masks_for(n_words: int) -> tuple[str, ...]:
-    """All masks that fit; a very short item is one run of its whole length."""
-    return tuple(m for m in MASKS if len(m) <= n_words) or ("1" * n_words,)
+def masks_for(n_words: int, min_words: int = LONG) -> tuple[str, ...]:
+    """The masks that hit every overlap that counts for an item of so many words."""
+    return tuple(m for m in (MASKS if min(n_words, min_words) >= LONG else SHORT_MASKS) if len(m) <= n_words)
+
 
+def least_escape(masks: tuple[str, ...], n_words: int) -> int:
+    """The least number of replaced words with which a stretch of so many words, the
+    first and last one equal, escapes all masks (over 10**6 if none does)."""
+    states = np.arange(1 << max(map(len, masks)))  # equality of the last words
+    cost = np.full(len(states), 10**7)
+    cost[1] = 0
+    for n in range(2, n_words + 1):
+        longer = np.full(len(states), 10**7)
+        for same in (0, 1):
+            np.minimum.at(longer, (states << 1 | same) % len(states), cost + (1 - same))
+        for m in masks:
+            if len(m) <= n:
+                longer[states & int(m, 2) == int(m, 2)] = 10**7
+        cost = longer
+    return int(cost[states & 1 == 1].min())
 
-def seeds_of(rows: list[tuple[int | None, str | None]]) -> Seeds:
+
+def seeds_of(rows: list[tuple[int | None, str | None]], min_words: int = LONG) -> Seeds:
     hashes = WordHashes()
     ids, words, by_mask = [], [], {}
     for item, text in rows:
         h = hashes.of(words_of(text))
         if len(h) < MIN_ITEM:
             continue
-        for mask in masks_for(len(h)):
+        for mask in masks_for(len(h), min_words):
             s = window_hashes(h, mask)
             by_mask.setdefault(mask, []).append((s, np.full(len(s), len(ids)), np.arange(len(s))))
         ids.append(item)
@@ -98,24 +125,55 @@ def seeds_of(rows: list[tuple[int | None, str | None]]) -> Seeds:
         slots = seed >> np.uint64(64 - FILTER_BITS)
         np.bitwise_or.at(bits, slots >> np.uint64(3), np.uint8(1) << (slots & np.uint64(7)).astype(np.uint8))
         tables.append((mask, seed[order], which[order], at[order], bits))
-    return Seeds(ids, words, tables)
-
-
-def alignments(h: np.ndarray, starts: np.ndarray, seeds: Seeds) -> np.ndarray:
-    """Distinct (document, item, diagonal) rows of all hits in concatenated texts."""
+    begin = np.cumsum([0, *map(len, words)])[:-1].astype(np.int64)
+    return Seeds(ids, words, np.concatenate(words) if words else np.empty(0, np.uint64), begin, tables)
+
+
+def spread(times: np.ndarray) -> np.ndarray:
+    """0, 1, ... up to each number of ``times``, one after the other."""
+    return np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+
+
+def promising(found: np.ndarray, h: np.ndarray, starts: np.ndarray, seeds: Seeds, min_words: int, tolerance: tuple[int, int]) -> np.ndarray:
+    """The alignments with as many equal words as the shortest overlap that counts has."""
+    doc, item, diagonal = found.T
+    sizes = np.diff(np.append(seeds.begin, len(seeds.flat)))[item]
+    need = np.minimum(min_words, sizes)
+    a = np.maximum(0, diagonal)
+    long = np.minimum(np.diff(starts)[doc], diagonal + sizes) - a
+    need_same = need - need * tolerance[0] // tolerance[1]
+    keep = np.zeros(len(found), bool)
+    fits = np.flatnonzero(long >= np.maximum(need, 1))
+    cuts = np.flatnonzero(np.diff(np.cumsum(long[fits]) // HITS)) + 1
+    for part in np.split(fits, cuts):
+        if len(part):
+            times = long[part]
+            at = np.repeat(starts[doc[part]] + a[part], times) + spread(times)
+            its = np.repeat(seeds.begin[item[part]] + a[part] - diagonal[part], times) + spread(times)
+            same = np.add.reduceat((h[at] == seeds.flat[its]).astype(np.int64), np.cumsum(times) - times)
+            keep[part] = same >= need_same[part]
+    return found[keep]
+
+
+def alignments(h: np.ndarray, starts: np.ndarray, seeds: Seeds, min_words: int, tolerance: tuple[int, int]) -> np.ndarray:
+    """Distinct (document, item, diagonal) rows of all promising hits in concatenated
+    texts; ``starts`` ends with the number of words."""
     found = [np.empty((0, 3), np.int64)]
     for mask, seed, which, at, bits in seeds.tables:
         w = window_hashes(h, mask)
         slots = w >> np.uint64(64 - FILTER_BITS)
         near = np.flatnonzero(bits[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8) & 1)
         lo, hi = np.searchsorted(seed, w[near]), np.searchsorted(seed, w[near], "right")
-        doc = np.searchsorted(starts, near, "right") - 1
-        within = (hi > lo) & (doc == np.searchsorted(starts, near + len(mask) - 1, "right") - 1)
+        doc = np.searchsorted(starts[:-1], near, "right") - 1
+        within = (hi > lo) & (doc == np.searchsorted(starts[:-1], near + len(mask) - 1, "right") - 1)
         near, lo, hi, doc = near[within], lo[within], hi[within], doc[within]
-        times = hi - lo
-        k = np.repeat(lo, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        pos = np.repeat(near - starts[doc], times)
-        found.append(np.stack([np.repeat(doc, times), which[k], pos - at[k]], 1))
+        cuts = np.flatnonzero(np.diff(np.cumsum(hi - lo) // HITS)) + 1
+        for part in np.split(np.arange(len(near)), cuts):
+            times = (hi - lo)[part]
+            k = np.repeat(lo[part], times) + spread(times)
+            pos = np.repeat((near - starts[doc])[part], times)
+            hits = np.unique(np.stack([np.repeat(doc[part], times), which[k], pos - at[k]], 1), axis=0)
+            found.append(promising(hits, h, starts, seeds, min_words, tolerance))
     return np.unique(np.concatenate(found), axis=0)
 
 
@@ -143,9 +201,9 @@ def overlaps(docs: list[tuple[int | None, str | None]], hashes: WordHashes, seed
     """Rows of ``OUT`` for a few texts."""
     words = [words_of(text) for _, text in docs]
     h = hashes.of([w for ws in words for w in ws])
-    starts = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+    starts = np.cumsum([0, *map(len, words)]).astype(np.int64)
     best: dict[tuple[int, int], tuple] = {}
-    for doc, item, diagonal in alignments(h, starts[:-1], seeds).tolist():
+    for doc, item, diagonal in alignments(h, starts, seeds, min_words, tolerance).tolist():
         mine, its = h[starts[doc] : starts[doc + 1]], seeds.words[item]
         a = max(0, diagonal)
         b = min(len(mine), diagonal + len(its))
@@ -159,6 +217,19 @@ def overlaps(docs: list[tuple[int | None, str | None]], hashes: WordHashes, seed
     return [(docs[d][0], seeds.ids[i], n, m, -p, -q) for (d, i), (n, p, q, m) in best.items()]
 
 
+def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int, min_words: int):
+    """Broadcast seeds of each block of the benchmark that has any."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(benchmark[id_col].cast("long").alias("item"), benchmark[text_col].alias("text"))
+    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, math.ceil(chars / block_chars))
+    for block in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
+        seeds = spark.sparkContext.broadcast(seeds_of([tuple(r) for r in rows], min_words))
+        if seeds.value.tables:
+            yield seeds
+
+
 def find_overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -172,16 +243,8 @@ def find_overlaps(
 ) -> DataFrame:
     """One row per document and item that overlap: the longest overlap's length,
     equal words and starts (in words)."""
-    spark = docs.sparkSession
-    items = benchmark.select(benchmark[item_id_col].cast("long").alias("item"), benchmark[item_text_col].alias("text"))
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(chars / block_chars))
-    result = spark.createDataFrame([], OUT)
-    for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
-        seeds = spark.sparkContext.broadcast(seeds_of([tuple(r) for r in rows]))
-        if not seeds.value.tables:
-            continue
+    result = docs.sparkSession.createDataFrame([], OUT)
+    for n, seeds in enumerate(blocks_of(benchmark, item_id_col, item_text_col, block_chars, min_words)):
 
         def step(batches, seeds=seeds):
             hashes = WordHashes()
@@ -194,7 +257,7 @@ def find_overlaps(
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=SCHEMA)
 
         part = scan(docs, [id_col, text_col], step, OUT)
-        result = part if block == 0 else result.unionByName(part)
+        result = result.unionByName(part) if n else part
     return result
 
 
@@ -202,3 +265,25 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """The documents without an overlap, with all their columns (null ids stay)."""
     hit = find_overlaps(docs, benchmark, id_col=id_col, **options).select("doc_id")
     return by_ids(docs, hit, id_col, "left_anti")
+
+
+def clean_rows(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    min_words: int = 13,
+    tolerance: tuple[int, int] = (3, 10),
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """The rows whose own text has no overlap, whatever their ids, with all their columns."""
+    for seeds in blocks_of(benchmark, item_id_col, item_text_col, block_chars, min_words):
+
+        def judge(texts, seeds=seeds):
+            found = overlaps(list(enumerate(texts)), WordHashes(), seeds.value, min_words, tolerance)
+            hit = {row[0] for row in found}
+            return [k not in hit for k in range(len(texts))]
+
+        docs = where_text(docs, text_col, judge)
+    return docs

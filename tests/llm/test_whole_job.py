@@ -6,12 +6,13 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from conftest import SF_CHECK
 from frames import docs, workers  # noqa: F401 - fixtures
-from stratum.llm import bpe, langid
+from stratum.llm import bpe, langid, spaced_seed
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -33,6 +34,24 @@ def test_unknown_languages_and_gibberish_are_rejected(spark, docs):
         assert share(documents.where(F.col("lang") == lang), others) > 0.95, lang
 
 
+@pytest.mark.parametrize("masks,shortest", [(spaced_seed.MASKS, 13), (spaced_seed.SHORT_MASKS, 4)])
+def test_no_three_tenths_of_replaced_words_escape_the_masks(masks, shortest):
+    assert all(spaced_seed.least_escape(masks, n) > 3 * n // 10 for n in [*range(shortest, 61), 100, 200, 400])
+
+
+@pytest.mark.parametrize("n", [4, 6, 10, 12, 13, 15, 17, 20, 40])
+def test_every_accepted_overlap_is_found(n):
+    r = np.random.default_rng(n)
+    item = [f"w{k}" for k in range(n)]
+    seeds = spaced_seed.seeds_of([(7, " ".join(item))])
+    texts = []
+    for k in range(400):
+        gone = set((1 + r.permutation(n - 2)[: 3 * n // 10]).tolist())
+        texts.append((k, " ".join(["before"] * 9 + [f"x{k}" if j in gone else w for j, w in enumerate(item)] + ["after"])))
+    found = spaced_seed.overlaps(texts, spaced_seed.WordHashes(), seeds, 13, (3, 10))
+    assert {x[0] for x in found} == set(range(400)) and all(x[2] == n for x in found)
+
+
 def test_texts_of_very_many_distinct_words(spark, docs):
     own = Tokenizer.from_file(WORDS)
     own.no_truncation()
