@@ -48,6 +48,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.common import WordHashes, by_ids, mix, release_shuffles, scan, words_of
+from stratum.session import scratch
 
 #: Kept partitions of a subset where k is small, and the largest such k.
 KEPT, SMALL_K = 3, 3
@@ -378,3 +379,20 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame
     all their columns."""
     groups = similar_groups(docs, id_col=id_col, **options)
     return by_ids(docs, groups.where("doc_id <> component_id").select("doc_id"), id_col, "left_anti")
+
+
+def one_row_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """One row of each component, with all its columns: the smallest id, null ids
+    last, the first of equals. Each row is a document of its own, also where an id
+    repeats or is null: rows are told apart by a key that is written with them."""
+    spark, key = docs.sparkSession, "row_key"
+    while key.lower() in map(str.lower, docs.columns):
+        key += "_"
+    path = scratch(spark, "near-dup-rows")
+    docs.withColumn(key, F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
+    rows = spark.read.parquet(path)
+    groups = similar_groups(rows, id_col=key, **options).select(F.col("doc_id").alias("k"), "component_id")
+    named = groups.join(rows.select(F.col(key).alias("k"), F.col(id_col).cast("long").alias("id")), "k").checkpoint()
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k")).alias("first"))
+    others = named.join(first.select(F.col("first.k").alias("k")), "k", "left_anti").select("k")
+    return by_ids(rows, others, key, "left_anti").select(*docs.columns)

@@ -4,6 +4,7 @@ rows that share an id or have none."""
 import base64
 import random
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -76,3 +77,29 @@ def test_new_words_beside_many_remembered_ones(monkeypatch):
     got = b.encode_batch([text, name(3)])
     monkeypatch.setattr(bpe, "WORD_LIMIT", 400_000)
     assert got == plain.encode_batch([text, name(3)]) and len(b.known) <= 400
+
+
+def test_rows_that_share_an_id_or_have_none_are_judged_by_their_own_text(spark, tmp_path):
+    """Copies of one id, null ids, and a clean text under a rejected text's id."""
+    table = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    bench = spark.read.parquet(f"{SF_CHECK}/benchmark.parquet")
+    item = next(x.text for x in bench.orderBy("item_id").collect() if len(spaced_seed.words_of(x.text)) >= 13)
+    clean = [x.text for x in table.where("lang = 'en' AND length(text) > 1500").orderBy("doc_id").limit(3).collect()]
+    sample = [(9000 + k, x.text, x.lang) for k, x in enumerate(table.orderBy("doc_id").limit(300).collect())]
+    frame = lambda rows: spark.createDataFrame([(d, t, g, "s", len(t or "")) for d, t, g in rows], table.schema)
+    stages = dict(corpus_pipeline.STAGES)
+    texts = lambda df: sorted(((x.doc_id, x.text) for x in df.where("doc_id IS NULL OR doc_id < 9000").collect()), key=str)
+
+    got = stages["language"](spark, frame([*sample, (1, "12 34", "en"), (1, clean[0], "en"), (None, "...", "en"), (None, clean[1], "en")]), "")
+    assert texts(got) == sorted([(1, clean[0]), (None, clean[1])], key=str)
+
+    rows = [(5, clean[0], "en"), (5, clean[0], "en"), (None, clean[0], "en"), (None, clean[1], "en"), (None, clean[1], "en"),
+            (6, clean[1] + " one", "en"), (6, clean[2], "en"), (4, clean[2] + " two", "en"), (7, None, "en"), (7, "", "en")]
+    got = stages["near_dup"](spark, frame(rows), "")
+    assert texts(got) == sorted([(5, clean[0]), (6, clean[1] + " one"), (4, clean[2] + " two"), (7, None), (7, "")], key=str)
+
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    dirty = "before this " + item + " and after"
+    plain = "nothing of a benchmark is in this short text"
+    got = stages["decontaminate"](spark, frame([(1, dirty, "en"), (1, plain, "en"), (None, dirty, "en"), (None, plain, "en"), (2, None, "en")]), str(tmp_path))
+    assert texts(got) == sorted([(1, plain), (None, plain), (2, None)], key=str)
