@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from conftest import SF_CHECK
 from frames import docs, workers  # noqa: F401 - fixtures
-from stratum.llm import bpe, langid, spaced_seed
+from stratum.llm import bpe, langid, secret_scan, spaced_seed
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -103,3 +103,13 @@ def test_rows_that_share_an_id_or_have_none_are_judged_by_their_own_text(spark,
     plain = "nothing of a benchmark is in this short text"
     got = stages["decontaminate"](spark, frame([(1, dirty, "en"), (1, plain, "en"), (None, dirty, "en"), (None, plain, "en"), (2, None, "en")]), str(tmp_path))
     assert texts(got) == sorted([(1, plain), (None, plain), (2, None)], key=str)
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"])
+def test_random_letters_of_one_case_are_found(spark, docs, letters):
+    r = random.Random(1)
+    keys = ["".join(r.choice(letters) for _ in range(40)) for _ in range(100)]
+    words = ["internationalization", "Donaudampfschifffahrtsgesellschaft", "otorrinolaringologo", "UNCONSTITUTIONALITY", "anticonstitutionnellement"]
+    texts = [f"see {x} here" for x in [*keys, *words]]
+    got = secret_scan.scan_secrets(docs(list(enumerate(texts))), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert {x.doc_id for x in got.collect() if x.n_random} == set(range(100))
