@@ -1,0 +1,121 @@
+"""Periodic runs against a search over every lag."""
+
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+import numpy as np
+
+from conftest import SF_SMALL
+from frames import docs, workers  # noqa: F401 - fixtures
+from stratum.llm import periodic_runs
+from stratum.llm.queries import queries
+
+
+def every_run(w):
+    n, out = len(w), []
+    for q in range(1, n // 3 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            if j > i and (length := j + q - i) >= max(24, 3 * q):
+                s = w[i : j + q]
+                if not any(s[d:] == s[: length - d] for d in range(1, q)):
+                    out.append((i, length, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def expected(doc, words):
+    runs = every_run(words)
+    drop = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    shown = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    sha = lambda s: hashlib.sha256(s).hexdigest()
+    listed = "".join(f"{s},{n},{q}\n" for s, n, q in runs).encode()
+    return doc, len(runs), *shown, sha(listed), sha(b" ".join(w for i, w in enumerate(words) if i not in drop))
+
+
+def random_words(r):
+    a, n = r.choice([1, 2, 2, 3, 5, 50]), r.randrange(260)
+    w = []
+    while len(w) < n:
+        p = r.choice([1, 2, 3, 5, 7, 8, 9, 13, 15, 16, 17, 20, 31, 32, 33, 40, 64])
+        u = [r.randrange(a) for _ in range(p)]
+        kind = r.randrange(5)
+        if kind == 1 and p > 3:
+            u = u[: p // 2] * 2 + [9]
+        if kind == 2:
+            u = [0] * (p - 1) + [1]
+        w += (u * r.choice([1, 2, 3, 4, 5]))[: r.choice([None, -1])]
+        if kind > 2:
+            w += [r.randrange(a) for _ in range(r.randrange(4))]
+        if r.random() < 0.2 and w:
+            w[r.randrange(len(w))] = 99
+    return [b"%d" % x for x in w]
+
+
+def test_runs_equal_every_lag():
+    r = random.Random(3)
+    found = 0
+    for _ in range(600):
+        words = random_words(r)
+        got = [tuple(x) for x in periodic_runs.runs_of(periodic_runs.numbered(words))]
+        assert got == every_run(words)
+        found += len(got)
+    assert found > 400
+
+
+def test_many_occurrences_stay_in_proportion():
+    """Seeds are at most two a position, also where a k-gram has thousands of partners."""
+    words = np.zeros(20_000, np.int64)
+    grams = words
+    for width in (1, 2, 4, 8):
+        grams = periodic_runs.paired(grams, width)
+    assert len(periodic_runs.seeds(grams, 16, 1, 16)[0]) <= 2 * len(words)
+    assert periodic_runs.runs_of(words) == [(0, 20_000, 1)]
+    long = np.tile(np.arange(70_001), 3)
+    assert periodic_runs.runs_of(long) == [(0, 210_003, 70_001)]
+    assert periodic_runs.runs_of(long[:-1]) == []
+
+
+def test_rows(spark, docs):
+    r = random.Random(8)
+    texts = [b" ".join(random_words(r)).decode() for _ in range(80)]
+    texts += [None, "", " \n\t", "one", "ab " * 23, "ab\x0b" * 24, "a b  " * 12, "É é " * 12, "xy z " * 20_000, "same " * 30, "same " * 30]
+    rows = list(enumerate(texts)) + [(None, "v " * 30), (3, "w " * 40)]
+    got = periodic_runs.find_runs(docs(rows)).collect()
+    assert sorted((tuple(x) for x in got if x.doc_id != 88), key=str) == sorted(
+        (expected(d, (t or "").encode().split()) for d, t in rows if d != 88), key=str
+    )
+    assert next(tuple(x)[1:5] for x in got if x.doc_id == 88) == (1, 0, 40_000, 2)
+    assert len(got) == len(rows)
+    listed = periodic_runs.run_list(docs(rows)).collect()
+    assert {tuple(x) for x in listed if x.doc_id != 88} == {
+        (d, *run) for d, t in rows if d != 88 for run in every_run((t or "").encode().split())
+    }
+    assert periodic_runs.find_runs(docs([])).collect() == []
+
+
+def test_registered_query(spark):
+    got = queries()["op13_periodic_runs"](spark, SF_SMALL).collect()
+    rows = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
+    want, found = [], 0
+    for d, text in rows:
+        words = (text or "").encode().split()
+        h = zlib.crc32(str(d).encode())
+        g, n = h // 10, len(words)
+        if n > 3000:
+            continue  # too slow for the search over every lag
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+        want.append(expected(d, words))
+        found += want[-1][1]
+    ids = {w[0] for w in want}
+    assert sorted(map(tuple, (x for x in got if x.doc_id in ids))) == sorted(want) and found > 5
+    assert len(got) == len(rows) and len(want) > len(rows) // 2
