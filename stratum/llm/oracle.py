@@ -83,10 +83,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 """
 
 
+def op11_sql() -> str:
+    def terms(table: str, key: str) -> str:
+        lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        each = rf"SELECT row_number() OVER () AS r, {key}, regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM {table}"
+        return f"SELECT r, {key}, t, count(*) AS tf FROM (SELECT r, {key}, unnest(ts) AS t FROM ({each})) GROUP BY ALL"
+
+    return f"""
+WITH p AS ({terms('documents', 'doc_id')}), q AS ({terms('benchmark', 'item_id')}),
+d AS (SELECT r, sum(tf)::BIGINT AS n FROM p GROUP BY 1),
+z AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS l FROM d),
+w AS (SELECT t, floor(1000 * ln((2 * nd + 2) / (2 * df + 1)))::BIGINT AS w FROM (SELECT t, count(*) AS df FROM p GROUP BY 1), z),
+m AS (SELECT r, 100 - 25 + ((25 * n * nd) // l) AS m FROM d, z),
+s AS (SELECT q.r, q.item_id, p.r AS pr, p.doc_id, sum(q.tf * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 12 * m.m)))::BIGINT AS score
+  FROM q JOIN p USING (t) JOIN w USING (t) JOIN m ON m.r = p.r GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY r ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s WHERE score > 0) WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_partenum": op5_sql(),
         "op7_licenses": op7_sql(),
         "op8_line_runs": op8_sql(),
         "op9_rule_ledger": op9_sql(),
+        "op11_block_max": op11_sql(),
     }

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm import (
-    bpe, langid, license_digest, line_runs, partenum, pitman_yor, rule_ledger, secret_scan, spaced_seed, url_rules,
+    bpe, byte_bpe, langid, license_digest, line_runs, partenum, periodic_runs, pitman_yor, ranked_search, rule_ledger,
+    secret_scan, spaced_seed, url_rules,
 )
 from stratum.llm.common import reach_workers, table
 
@@ -94,9 +96,33 @@ def op10_spaced_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spaced_seed.find_overlaps(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op11_block_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.top_documents(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The given variation of the documents: in one of ten, by the id's CRC-32, the
+    words from some place on repeat with one period. A null id is in none."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.find_runs(documents(spark, sf_dir), prepare=planted)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_bpe, op2_secrets, op3_pitman_yor, op4_url_rules, op5_partenum, op6_langid, op7_licenses, op8_line_runs,
-        op9_rule_ledger, op10_spaced_seed,
+        op9_rule_ledger, op10_spaced_seed, op11_block_max, op12_byte_bpe, op13_periodic_runs,
     )
     return {f.__name__: f for f in found}
