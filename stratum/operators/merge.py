@@ -15,10 +15,11 @@ rewrites only the partitions the updates touch.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.session import path_exists, scratch
@@ -49,26 +50,26 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def _touched_partitions(current: DataFrame, updates: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of ``current`` in partitions that ``updates`` touch.
 
-    Each partition column is bounded by the least and greatest value of the
-    updates (two values a column, whatever the size of the updates), which
-    prunes directories when the scan is planned; a null-safe semi-join on the
-    distinct partition tuples then selects exactly the touched ones.
+    The distinct partition tuples of the updates are as many as the directories that
+    the write replaces (which its commit lists as well), so they are fetched and become
+    a filter of the scan: it lists and reads exactly these directories. One IN over the
+    tuple; tuples that hold a null are compared null-safely.
     """
-    touched = updates.select(*partition_by).distinct()
-    bounds = touched.agg(*[
-        c for i, name in enumerate(partition_by) for c in (
-            F.min(name).alias(f"lo{i}"), F.max(name).alias(f"hi{i}"),
-            F.max(F.col(name).isNull()).alias(f"nulls{i}"))
-    ]).first()
-    for i, name in enumerate(partition_by):
-        within = F.lit(False)
-        if bounds[f"lo{i}"] is not None:
-            within = F.col(name).between(F.lit(bounds[f"lo{i}"]), F.lit(bounds[f"hi{i}"]))
-        if bounds[f"nulls{i}"]:
-            within = F.col(name).isNull() | within
-        current = current.filter(within)
-    return current.join(touched, on=[current[c].eqNullSafe(touched[c]) for c in partition_by],
-                        how="left_semi")
+    found = [tuple(r) for r in updates.select(*partition_by).distinct().collect()]
+    columns = [F.col(c) for c in partition_by]
+    plain = [F.struct(*[F.lit(v) for v in row]) for row in found if None not in row]
+    touched = F.struct(*columns).isin(*plain) if plain else F.lit(False)
+    for row in found:
+        if None in row:
+            same = [c.isNull() if v is None else c == F.lit(v) for c, v in zip(columns, row)]
+            touched = touched | reduce(Column.__and__, same)
+    return current.filter(touched)
+
+
+def _refuse_duplicates(updates: DataFrame, key: Sequence[str]) -> None:
+    twice = updates.groupBy(*key).count().where(F.col("count") > 1).drop("count").first()
+    if twice is not None:
+        raise ValueError(f"two update rows share the key {tuple(twice)}; name an order_col to pick one")
 
 
 def merge_into(
@@ -89,13 +90,18 @@ def merge_into(
     only when every task has finished reading. An unpartitioned table is
     rewritten whole, from merged rows staged in the shared checkpoint folder
     first, because a plain overwrite would delete the files the plan still
-    reads. Among duplicate update keys, ``order_col`` picks the greatest.
+    reads. Among duplicate update keys, ``order_col`` picks the greatest; without
+    it they are an error. For plain directories that others read as they are; a
+    reader that comes during the swap can see it half done. Tables of
+    :mod:`stratum.sinks.versioned` merge by whole files and switch at once.
     """
     if outside := set(partition_by) - set(key):
         raise ValueError(f"partition columns {sorted(outside)} are not in the key: a row that "
                          "changes partition would stay in its old one")
     if order_col is not None:
         updates = latest_per_key(updates, key, order_col).drop(order_col)
+    else:
+        _refuse_duplicates(updates, key)
     if not _exists(spark, target):
         write_parquet(updates, target, mode="overwrite", partition_by=partition_by,
                       dynamic=bool(partition_by))

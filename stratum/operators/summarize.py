@@ -92,6 +92,11 @@ def gold_summary(
     )
 
 
+def with_derived(gold: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Gold with those of ``columns`` that only serve its layout (``window_date``)."""
+    return gold.withColumn("window_date", F.to_date("window_start")) if "window_date" in columns else gold
+
+
 def category_summary(
     transactions: DataFrame,
     every: str,

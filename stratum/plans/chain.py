@@ -11,7 +11,6 @@ entry point; settings come from ``STRATUM_*`` environment variables.
 from __future__ import annotations
 
 import sys
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +18,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from stratum import schemas
 from stratum.operators import summarize
-from stratum.operators.merge import merge_into
-from stratum.session import delete_path, list_dirs, path_exists, pin_utc, replace_path
+from stratum.session import delete_path, list_dirs, path_exists, pin_utc
 from stratum.settings import Settings
-from stratum.sinks import warehouse
+from stratum.sinks import partitions, versioned, warehouse
 from stratum.sinks.files import read_layer, write_parquet
 from stratum.streaming import jobs
 
@@ -80,14 +78,23 @@ def run_snapshot(spark: SparkSession, settings: Settings) -> None:
     _publish_gold(spark, settings, gold_snapshot(spark, settings))
 
 
-def _publish_gold(spark: SparkSession, settings: Settings, gold: DataFrame) -> None:
-    """The whole snapshot is written beside the old one and then takes its place, so
-    a failed run leaves the old one readable and no partition outlives its rows. The
+def _gold_schema(settings: Settings) -> StructType:
+    """Gold plus the partition columns that are derived from it."""
+    derived = [f for f in schemas.GOLD_DERIVED.fields if f.name in settings.gold_partitions]
+    return StructType([*schemas.GOLD.fields, *derived])
+
+
+def _publish_gold(spark: SparkSession, settings: Settings, gold: DataFrame, notes: dict | None = None) -> None:
+    """The snapshot becomes the next version of the gold table: a run that fails at any
+    step leaves the version before in place, and no partition outlives its rows. The
     warehouse is loaded from the written snapshot (the aggregate runs once).
     """
-    fresh = f"{settings.gold.path}-{uuid.uuid4().hex[:12]}"
-    write_parquet(gold, fresh, mode="overwrite", partition_by=settings.gold_partitions)
-    replace_path(spark, fresh, settings.gold.path)
+    versioned.replace(spark, settings.gold.path, summarize.with_derived(gold, settings.gold_partitions),
+                      partition_by=settings.gold_partitions, notes=notes)
+    _reload_warehouse(spark, settings)
+
+
+def _reload_warehouse(spark: SparkSession, settings: Settings) -> None:
     if settings.jdbc_url:
         warehouse.reload(spark, read_gold(spark, settings.gold.path), settings)
 
@@ -160,30 +167,89 @@ def compact_gold_partials(spark: SparkSession, settings: Settings) -> int | None
         return base_n
     parts = _current_partials(spark, settings, upto=newest)
     merged = summarize.merge_partials(parts, schemas.GOLD_DIMENSIONS, summarize.GOLD_MEASURES)
+    merged = merged.sortWithinPartitions("window_start")  # later runs read a range of windows
     write_parquet(merged, f"{settings.gold_partials_base}/upto={newest}", mode="overwrite")
     return newest
 
 
+def _newest_batch(spark: SparkSession, settings: Settings) -> int | None:
+    """Newest batch in the partials: a batch folder, or what a base has folded."""
+    batches = [int(n[len("batch_id="):]) for n in list_dirs(spark, settings.gold_partials.path)
+               if n.startswith("batch_id=")]
+    base = _latest_base(spark, settings)
+    return max([*batches, *([] if base is None else [base])], default=None)
+
+
+def _oldest_base(spark: SparkSession, settings: Settings) -> int | None:
+    """Batches at or below the oldest base may have been removed."""
+    found = [int(n[len("upto="):]) for n in list_dirs(spark, settings.gold_partials_base) if n.startswith("upto=")]
+    return min(found, default=None)
+
+
+def changed_gold(spark: SparkSession, settings: Settings, since: int, upto: int) -> DataFrame:
+    """Gold rows of the windows that batches after ``since`` have added to.
+
+    The change set is the keys of the new partials. The partials of all batches are
+    read within the keys' time range (pushed to the scan; bases are sorted by window)
+    and semi-joined with them, so untouched windows are neither added up nor written.
+    """
+    fresh = read_layer(spark, settings.gold_partials.path, _batches(_partials_schema(spark, settings)))
+    fresh = fresh.filter((F.col("batch_id") > since) & (F.col("batch_id") <= upto))
+    changed = fresh.select(*schemas.GOLD_KEY).distinct()
+    first, last = changed.agg(F.min("window_start"), F.max("window_start")).first()
+    parts = _current_partials(spark, settings, upto=upto)
+    if first is not None:
+        span = F.col("window_start").between(F.lit(first), F.lit(last))
+        parts = parts.filter(F.col("window_start").isNull() | span)
+    mine = parts.join(changed, [parts[k].eqNullSafe(changed[k]) for k in schemas.GOLD_KEY], "left_semi")
+    return summarize.gold_from_partials(mine, money=settings.money)
+
+
 def run_snapshot_incremental(spark: SparkSession, settings: Settings) -> None:
-    """Fold new silver files into the partials, then rewrite gold (and reload the
-    warehouse) from them."""
+    """Fold new silver files into the partials, then bring gold up to date.
+
+    The gold version notes the newest batch it holds. Later runs recompute only the
+    windows that newer batches touch and merge them by key; files of gold without a
+    changed window stay. A table without that note, or made with another window, money
+    mode or layout, or whose newer batches have been removed, is published whole.
+    Without any batch (no accepted row so far) gold is an empty table.
+    """
     run_gold_partials(spark, settings)
-    _publish_gold(spark, settings, incremental_gold(spark, settings))
+    upto = _newest_batch(spark, settings)
+    made = {"window": settings.window, "money": settings.money, "partitions": list(settings.gold_partitions)}
+    version = versioned.current(spark, settings.gold.path)
+    since = version.notes.get("upto") if version else None
+    oldest = _oldest_base(spark, settings)
+    whole = since is None or upto is None or since > upto or any(version.notes.get(k) != v for k, v in made.items())
+    if whole or (oldest is not None and since < oldest):
+        _publish_gold(spark, settings, incremental_gold(spark, settings), {**made, "upto": upto})
+    elif since < upto:
+        merge_gold(spark, settings, changed_gold(spark, settings, since, upto), {**made, "upto": upto})
+        _reload_warehouse(spark, settings)
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    return read_layer(spark, path, schemas.GOLD, schemas.GOLD_COLUMNS)
+    """The current version of the gold table."""
+    return versioned.read(spark, path, schemas.GOLD)
 
 
 def read_gold_stream(spark: SparkSession, settings: Settings) -> DataFrame:
     """Windows the gold stream has emitted so far (its ``batch_id`` folders)."""
-    return read_layer(spark, settings.gold_stream.path, _batches(schemas.GOLD), schemas.GOLD_COLUMNS)
+    found = read_layer(spark, settings.gold_stream.path, _batches(schemas.GOLD), schemas.GOLD_COLUMNS)
+    own = [c for c in settings.gold_partitions if c in schemas.GOLD_COLUMNS]
+    return partitions.decode(found, own)
+
+
+def merge_gold(spark: SparkSession, settings: Settings, updates: DataFrame, notes: dict | None = None) -> None:
+    """Keyed merge of gold rows into the gold table (7-column key)."""
+    derived = [c for c in settings.gold_partitions if c in schemas.GOLD_DERIVED.fieldNames()]
+    versioned.merge(spark, settings.gold.path, summarize.with_derived(updates, derived), [*schemas.GOLD_KEY, *derived],
+                    schema=_gold_schema(settings), partition_by=settings.gold_partitions, notes=notes)
 
 
 def upsert_gold(spark: SparkSession, settings: Settings, updates: DataFrame) -> None:
-    """Keyed merge of gold rows into the gold snapshot (7-column key)."""
-    merge_into(spark, settings.gold.path, updates.select(*schemas.GOLD_COLUMNS), schemas.GOLD_KEY,
-               schema=schemas.GOLD, partition_by=settings.gold_partitions)
+    """Merge rows from elsewhere; the next incremental run publishes gold whole."""
+    merge_gold(spark, settings, updates.select(*schemas.GOLD_COLUMNS), {})
 
 
 def run_chain(spark: SparkSession, settings: Settings) -> None:
@@ -252,7 +318,7 @@ def run_audit(spark: SparkSession, settings: Settings) -> DataFrame:
     audit.require_layers(spark, {"bronze": settings.bronze.path, "silver": settings.silver.path,
                                  "gold": settings.gold.path})
     return audit.audit(spark, {
-        "bronze": read_layer(spark, settings.bronze.path),
+        "bronze": read_layer(spark, settings.bronze.path, jobs.BRONZE_SCHEMA),
         "silver": read_silver(spark, settings),
         "quarantine": read_quarantine(spark, settings),
         "gold": read_gold(spark, settings.gold.path),

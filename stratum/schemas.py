@@ -7,6 +7,7 @@ rule sets in :mod:`stratum.functions.rules`, never by these schemas.
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    DateType,
     DoubleType,
     IntegerType,
     LongType,
@@ -109,6 +110,8 @@ GOLD = StructType(
     )
 )
 GOLD_COLUMNS = tuple(f.name for f in GOLD.fields)
+# Partition columns that gold can be laid out by beside its own columns.
+GOLD_DERIVED = StructType([StructField("window_date", DateType(), True)])
 
 # Generic transaction event and its window summary.
 TRANSACTION = StructType(

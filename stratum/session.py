@@ -118,12 +118,31 @@ def list_dirs(spark: SparkSession, uri: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory()]
 
 
-def replace_path(spark: SparkSession, new: str, target: str) -> None:
-    """Put the finished folder ``new`` in the place of ``target``."""
-    path, fs = _fs(spark, target)
-    fs.delete(path, True)
-    if not fs.rename(_fs(spark, new)[0], path):
-        raise OSError(f"cannot move {new} to {target}; {new} holds the whole table")
+def list_files(spark: SparkSession, uri: str) -> list[str]:
+    """Names of the files in ``uri`` (empty if it does not exist)."""
+    path, fs = _fs(spark, uri)
+    if not fs.exists(path):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(path) if st.isFile()]
+
+
+def create_file(spark: SparkSession, uri: str, text: str) -> None:
+    """Write a small file; raises if there is one already."""
+    path, fs = _fs(spark, uri)
+    out = fs.create(path, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_file(spark: SparkSession, uri: str) -> str:
+    path, fs = _fs(spark, uri)
+    data = fs.open(path)
+    try:
+        return bytes(data.readAllBytes()).decode("utf-8", "replace")
+    finally:
+        data.close()
 
 
 def delete_path(spark: SparkSession, uri: str) -> bool:

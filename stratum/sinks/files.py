@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratum.session import ensure_dir
+from stratum.sinks import partitions
 
 # ISO-8601 with microseconds and offset: nothing of the instant is lost.
 ISO_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -120,7 +121,7 @@ def replay_safe_batch_writer(
         try:
             if batch.isEmpty():
                 return
-            out = batch.withColumn("batch_id", F.lit(batch_id))
+            out = partitions.encode(batch, partition_by).withColumn("batch_id", F.lit(batch_id))
             if partition_by:
                 spread = F.xxhash64(*[F.col(c) for c in batch.columns])
                 out = out.repartitionByRange(*[F.col(c) for c in partition_by], spread)

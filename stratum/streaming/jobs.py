@@ -210,6 +210,7 @@ def start_gold(
     silver = silver_stream(spark, settings, gold=True)
     gold = summarize.gold_summary(silver, settings.window, watermark=settings.watermark,
                                   money=settings.money)
+    gold = summarize.with_derived(gold, settings.gold_partitions)
     writer = replay_safe_batch_writer(
         settings.gold_stream.path, partition_by=settings.gold_partitions, extra=extra_sinks
     )
