@@ -3,8 +3,13 @@
 Two modes:
 
 * ``"double"`` - ``round(sum(x), k)`` / ``round(avg(x), k)`` on doubles, the
-  data product's original behaviour (half-up on the decimal text of a double
-  whose summation order depends on the plan).
+  data product's original behaviour (half-up on the decimal text of a double).
+  A plain sum of doubles depends on the order in which tasks deliver them; here
+  it doesn't. Each value is cut into limbs of 24 bits at fixed places (see
+  ``LIMB_PLACES``), which are added as integers, without any rounding; the
+  total is put together once a group. Values of at least a millionth keep all
+  their bits; below, what lies under 2^-72 is cut off, per value. NaN, infinities
+  and magnitudes from 2^72 on are added as doubles beside the limbs.
 * ``"exact"`` - inputs are turned into integer units (cents), summed as
   decimals (exact, order independent, rows up to 10^28 units) and
   the mean is rounded half away from zero with integer division. Results do
@@ -48,32 +53,69 @@ class Measure:
         return self.in_scale if self.scale is None else self.scale
 
 
+#: Bits of a limb, and the exponents of the limbs' lowest bits: from 2^72 down to 2^-72.
+#: Sums of 2^39 rows fit a long.
+LIMB_BITS, LIMB_PLACES = 24, (48, 24, 0, -24, -48, -72)
+
+
 def _units(column: str, in_scale: int) -> Column:
     # the sum widens to decimal(38,0): ten billion rows at the bound still fit
     return F.round(F.col(column) * (10 ** in_scale)).try_cast("decimal(28,0)")
 
 
+def _limb_names(m: Measure) -> list[str]:
+    return [f"__{m.name}_l{k}" for k in range(len(LIMB_PLACES))]
+
+
+def _double_sums(m: Measure) -> list[Column]:
+    """Exact sums of a double column's limbs, and the sum of values outside their range."""
+    x = F.col(m.column).cast("double")
+    inside = F.abs(x) < 2.0 ** (LIMB_PLACES[0] + LIMB_BITS)  # NaN is greater than any number
+    # scaling by powers of two and the remainder are exact; the cast cuts towards zero
+    limbs = [F.when(inside, (x * 2.0 ** -e % 2.0 ** LIMB_BITS).cast("long")) for e in LIMB_PLACES]
+    sums = [F.sum(v).alias(n) for v, n in zip(limbs, _limb_names(m))]
+    return [*sums, F.sum(F.when(~inside, x)).alias(f"__{m.name}_x")]
+
+
+def _double_total(m: Measure) -> Column:
+    """The sum as a double: carries first, then two exact halves and the rest."""
+    limbs, carry = [], F.lit(0)
+    for name in reversed(_limb_names(m)):
+        s = F.col(name) + carry
+        limbs.append(s.bitwiseAND(F.lit((1 << LIMB_BITS) - 1)))
+        carry = F.shiftright(s, LIMB_BITS)
+    rest, f1, f0, i1, i0, _ = limbs
+    whole = s.cast("double") * 2.0 ** LIMB_PLACES[0] + (i0 * (1 << LIMB_BITS) + i1).cast("double")
+    part = (f0 * (1 << LIMB_BITS) + f1).cast("double") * 2.0 ** LIMB_PLACES[4] + rest.cast("double") * 2.0 ** LIMB_PLACES[5]
+    outside = F.col(f"__{m.name}_x")
+    return F.when(outside.isNull(), whole + part).otherwise(outside + F.coalesce(whole + part, F.lit(0.0)))
+
+
 def partial_columns(m: Measure, mode: str) -> list[Column]:
-    """Aggregate expressions for one measure (evaluated inside ``agg``)."""
+    """Aggregate expressions for one measure (evaluated inside ``agg``); their values
+    add up across batches (:func:`remerge_columns`)."""
+    if mode not in MODES:
+        raise ValueError(f"unknown money mode {mode!r}")
     if m.kind == "count":
         target = F.lit(1) if m.column == "*" else F.col(m.column)
         return [F.count(target).alias(m.name)]
     if mode == "double":
-        fn = F.sum if m.kind == "sum" else F.avg
-        value = fn(F.col(m.column))
-        return [(value if m.scale is None else F.round(value, m.scale)).alias(m.name)]
-    if mode != "exact":
-        raise ValueError(f"unknown money mode {mode!r}")
-    cols = [F.sum(_units(m.column, m.in_scale)).alias(f"__{m.name}_s")]
-    if m.kind == "avg":
-        cols.append(F.count(_units(m.column, m.in_scale)).alias(f"__{m.name}_n"))
-    return cols
+        sums, counted = _double_sums(m), F.col(m.column)
+    else:
+        counted = _units(m.column, m.in_scale)
+        sums = [F.sum(counted).alias(f"__{m.name}_s")]
+    return sums + ([F.count(counted).alias(f"__{m.name}_n")] if m.kind == "avg" else [])
 
 
 def final_column(m: Measure, mode: str) -> Column:
     """Projection applied after ``agg`` that turns partial columns into the measure."""
-    if m.kind == "count" or mode == "double":
+    if m.kind == "count":
         return F.col(m.name)
+    if mode == "double":
+        value = _double_total(m)
+        if m.kind == "avg":
+            value = F.when(F.col(f"__{m.name}_n") > 0, value / F.col(f"__{m.name}_n"))
+        return (value if m.scale is None else F.round(value, m.scale)).alias(m.name)
     s = F.col(f"__{m.name}_s")
     if m.out_scale < m.in_scale:
         raise ValueError("exact measures keep the input scale or more")
@@ -100,32 +142,13 @@ def exact_mean(units_sum: Column, count: Column, shift: int, scale: int) -> Colu
 # different batches can be added later (incremental summaries).
 # ---------------------------------------------------------------------------
 
-def mergeable_names(m: Measure) -> list[str]:
+def mergeable_names(m: Measure, mode: str) -> list[str]:
     if m.kind == "count":
         return [m.name]
-    return [f"__{m.name}_s"] + ([f"__{m.name}_n"] if m.kind == "avg" else [])
+    sums = [*_limb_names(m), f"__{m.name}_x"] if mode == "double" else [f"__{m.name}_s"]
+    return sums + ([f"__{m.name}_n"] if m.kind == "avg" else [])
 
 
-def mergeable_columns(m: Measure, mode: str) -> list[Column]:
-    """Aggregates whose values add up across batches."""
-    if m.kind == "count" or mode == "exact":
-        return partial_columns(m, "exact")
-    if mode != "double":
-        raise ValueError(f"unknown money mode {mode!r}")
-    cols = [F.sum(F.col(m.column)).alias(f"__{m.name}_s")]
-    if m.kind == "avg":
-        cols.append(F.count(F.col(m.column)).alias(f"__{m.name}_n"))
-    return cols
-
-
-def remerge_columns(m: Measure) -> list[Column]:
+def remerge_columns(m: Measure, mode: str) -> list[Column]:
     """Aggregates that add partials of the same key together."""
-    return [F.sum(F.col(c)).alias(c) for c in mergeable_names(m)]
-
-
-def final_from_mergeable(m: Measure, mode: str) -> Column:
-    if m.kind == "count" or mode == "exact":
-        return final_column(m, "exact")
-    s = F.col(f"__{m.name}_s")
-    value = s if m.kind == "sum" else s / F.col(f"__{m.name}_n")
-    return (value if m.scale is None else F.round(value, m.scale)).alias(m.name)
+    return [F.sum(F.col(c)).alias(c) for c in mergeable_names(m, mode)]

@@ -20,8 +20,6 @@ from stratum import schemas
 from stratum.functions.money import (
     Measure,
     final_column,
-    final_from_mergeable,
-    mergeable_columns,
     mergeable_names,
     partial_columns,
     remerge_columns,
@@ -129,20 +127,22 @@ def windowed_partials(
 ) -> DataFrame:
     """Per-window sums and counts of one batch of rows, ready to be added to
     the partials of other batches (no watermark: late rows count too)."""
-    parts = [c for m in measures for c in mergeable_columns(m, money)]
+    parts = [c for m in measures for c in partial_columns(m, money)]
     agg = df.groupBy(F.window(F.col(time_col), every).alias("window"), *dims).agg(*parts)
     return agg.select(
         F.col("window.start").cast(TimestampNTZType()).alias("window_start"),
         F.col("window.end").cast(TimestampNTZType()).alias("window_end"),
         *dims,
-        *[n for m in measures for n in mergeable_names(m)],
+        *[n for m in measures for n in mergeable_names(m, money)],
     )
 
 
-def merge_partials(partials: DataFrame, dims: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+def merge_partials(
+    partials: DataFrame, dims: Sequence[str], measures: Sequence[Measure], money: str = "exact"
+) -> DataFrame:
     """Add partials of the same (window, dims) key: partial/final hash aggregate."""
     return partials.groupBy("window_start", "window_end", *dims).agg(
-        *[c for m in measures for c in remerge_columns(m)]
+        *[c for m in measures for c in remerge_columns(m, money)]
     )
 
 
@@ -150,7 +150,7 @@ def finalize_partials(
     merged: DataFrame, dims: Sequence[str], measures: Sequence[Measure], money: str = "exact"
 ) -> DataFrame:
     return merged.select(
-        "window_start", "window_end", *dims, *[final_from_mergeable(m, money) for m in measures]
+        "window_start", "window_end", *dims, *[final_column(m, money) for m in measures]
     )
 
 
@@ -160,5 +160,5 @@ def gold_partials(silver: DataFrame, every: str, *, money: str = "exact") -> Dat
 
 
 def gold_from_partials(partials: DataFrame, *, money: str = "exact") -> DataFrame:
-    merged = merge_partials(partials, schemas.GOLD_DIMENSIONS, GOLD_MEASURES)
+    merged = merge_partials(partials, schemas.GOLD_DIMENSIONS, GOLD_MEASURES, money)
     return finalize_partials(merged, schemas.GOLD_DIMENSIONS, GOLD_MEASURES, money)

@@ -56,6 +56,12 @@ def q_category_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarize.category_summary(tables.transactions(events), CATEGORY_WINDOW)
 
 
+def q_category_summary_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The data product's own rounding: sums and means of doubles."""
+    events = given_table(spark, sf_dir, "events")
+    return summarize.category_summary(tables.transactions(events), CATEGORY_WINDOW, money="double")
+
+
 def q_lineitem_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = given_table(spark, sf_dir, "lineitem")
     flags = ["l_returnflag", "l_linestatus"]
@@ -134,6 +140,7 @@ def queries() -> dict[str, Query]:
 
     out: dict[str, Query] = {
         "category_summary": q_category_summary,
+        "category_summary_double": q_category_summary_double,
         "lineitem_summary": q_lineitem_summary,
         "gold_batch": q_gold_batch,
         "normalize_dims": q_normalize_dims,

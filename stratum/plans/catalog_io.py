@@ -183,6 +183,12 @@ def q_report_summary_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.summary_totals(_gold(spark, sf_dir))
 
 
+def q_report_summary_raw_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over gold in double mode, its totals left unrounded."""
+    gold = summarize.gold_summary(C.silver_of(spark, sf_dir), C.GOLD_WINDOW, money="double")
+    return reports.summary(gold, "double", round_total=False)
+
+
 def q_report_summary_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.summary_weighted(C.silver_of(spark, sf_dir))
 
@@ -246,6 +252,7 @@ def queries() -> dict:
         "gold_upsert": q_gold_upsert,
         "report_summary": q_report_summary,
         "report_summary_totals": q_report_summary_totals,
+        "report_summary_raw_total": q_report_summary_raw_total,
         "report_summary_weighted": q_report_summary_weighted,
         "report_windows": q_report_windows,
         "gold_ordered": q_gold_ordered,

@@ -166,7 +166,7 @@ def compact_gold_partials(spark: SparkSession, settings: Settings) -> int | None
     if newest is None or (base_n is not None and newest <= base_n):
         return base_n
     parts = _current_partials(spark, settings, upto=newest)
-    merged = summarize.merge_partials(parts, schemas.GOLD_DIMENSIONS, summarize.GOLD_MEASURES)
+    merged = summarize.merge_partials(parts, schemas.GOLD_DIMENSIONS, summarize.GOLD_MEASURES, settings.money)
     merged = merged.sortWithinPartitions("window_start")  # later runs read a range of windows
     write_parquet(merged, f"{settings.gold_partials_base}/upto={newest}", mode="overwrite")
     return newest

@@ -8,6 +8,7 @@ the exact mode: integer cents, half-away-from-zero integer division.
 from __future__ import annotations
 
 from stratum import schemas
+from stratum.functions.money import LIMB_BITS, LIMB_PLACES
 from stratum.functions.rules import (
     CONTRACT_CENTS,
     CONTRACT_ENUMS,
@@ -69,6 +70,29 @@ def exact_avg(col: str, scale: int = 2, in_scale: int = 2) -> str:
     )
 
 
+def double_sum(col: str) -> str:
+    """Sum of doubles by limbs of 24 bits (twin of ``money``'s double mode)."""
+    bits = 2 ** LIMB_BITS
+    limbs, carry = [], "0"
+    for e in reversed(LIMB_PLACES):
+        s = f"(sum(CAST(trunc(fmod({col} * {2.0 ** -e!r}, {float(bits)!r})) AS BIGINT)) + {carry})"
+        carry = f"CAST(floor({s} / {float(bits)!r}) AS HUGEINT)"
+        limbs.append((s, f"({s} - {carry} * {bits})"))
+    (_, rest), (_, f1), (_, f0), (_, i1), (_, i0), (top, _) = limbs
+    whole = f"(CAST({top} AS DOUBLE) * {2.0 ** LIMB_PLACES[0]!r} + CAST({i0} * {bits} + {i1} AS DOUBLE))"
+    part = f"(CAST({f0} * {bits} + {f1} AS DOUBLE) * {2.0 ** LIMB_PLACES[4]!r} + CAST({rest} AS DOUBLE) * {2.0 ** LIMB_PLACES[5]!r})"
+    return f"({whole} + {part})"
+
+
+def double_avg(col: str) -> str:
+    return f"({double_sum(col)} / nullif(count({col}), 0))"
+
+
+def half_up(value: str, scale: int) -> str:
+    """Rounds the decimal text of a double, half away from zero."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 17)), {scale}) AS DOUBLE)"
+
+
 # ---- the financing projection of orders (twin of tables.financing) ---------
 
 def fin_sql() -> str:
@@ -191,9 +215,18 @@ def with_base(body: str) -> str:
     return f"WITH {base_ctes()}\n{body}"
 
 
-def gold_select(src: str, window: str) -> str:
+def gold_select(src: str, window: str, money: str = "exact") -> str:
     start, end = bucket("created_at", window)
     dims = ", ".join(schemas.GOLD_DIMENSIONS)
+    if money == "double":
+        return (
+            f"SELECT {start} AS window_start, {end} AS window_end, {dims},\n"
+            f"  count(financing_id) AS financing_count,\n"
+            f"  {half_up(double_sum('financed_amount'), 2)} AS total_financed_amount,\n"
+            f"  {half_up(double_avg('monthly_installment'), 2)} AS average_monthly_installment,\n"
+            f"  {half_up(double_avg('interest_rate_monthly'), 4)} AS average_interest_rate_monthly\n"
+            f"FROM {src} GROUP BY ALL"
+        )
     return (
         f"SELECT {start} AS window_start, {end} AS window_end, {dims},\n"
         f"  count(financing_id) AS financing_count,\n"
@@ -204,12 +237,15 @@ def gold_select(src: str, window: str) -> str:
     )
 
 
-def category_select(src: str, time_col: str, category: str, amount: str, window: str) -> str:
+def category_select(src: str, time_col: str, category: str, amount: str, window: str, money: str = "exact") -> str:
     start, end = bucket(time_col, window)
+    exact = money == "exact"
+    total = exact_sum(amount) if exact else half_up(double_sum(amount), 2)
+    average = exact_avg(amount, 2) if exact else half_up(double_avg(amount), 2)
     return (
         f"SELECT {start} AS window_start, {end} AS window_end, {category} AS category,\n"
-        f"  count(*) AS event_count, {exact_sum(amount)} AS total_amount,\n"
-        f"  {exact_avg(amount, 2)} AS average_amount\n"
+        f"  count(*) AS event_count, {total} AS total_amount,\n"
+        f"  {average} AS average_amount\n"
         f"FROM {src} GROUP BY ALL"
     )
 
@@ -303,6 +339,8 @@ def oracle_sql() -> dict[str, str]:
         "lineitem_summary": category_select(
             "lineitem", "l_shipdate", "concat_ws('|', l_returnflag, l_linestatus)", "l_extendedprice",
             C.LINEITEM_WINDOW),
+        "category_summary_double": category_select(
+            "events", "ts", "event_type", "value", C.CATEGORY_WINDOW, money="double"),
         "gold_batch": with_base(gold_select("silver", C.GOLD_WINDOW)),
         "normalize_dims": (
             "SELECT vehicle_id, " + ", ".join(f"upper(trim({c})) AS {c}" for c in UPPER)

@@ -16,10 +16,13 @@ from stratum.plans.oracle import (
     base_ctes,
     category_select,
     counter_select,
+    double_avg,
+    double_sum,
     exact_avg,
     exact_sum,
     fin_sql,
     gold_select,
+    half_up,
     seconds,
     with_base,
 )
@@ -94,6 +97,12 @@ def oracle_sql() -> dict[str, str]:
             " FROM gold GROUP BY ALL"
         ),
         "report_summary_totals": g + f"SELECT {summary_cols} FROM gold GROUP BY ALL",
+        "report_summary_raw_total": (
+            f"WITH {base_ctes()},\ngold AS ({gold_select('silver', C.GOLD_WINDOW, 'double')})\n"
+            "SELECT region, vehicle_type, segment, CAST(sum(financing_count) AS BIGINT) AS financing_count, "
+            f"{double_sum('total_financed_amount')} AS total_financed_amount, "
+            f"{half_up(double_avg('average_monthly_installment'), 2)} AS avg_installment FROM gold GROUP BY ALL"
+        ),
         "report_summary_weighted": with_base(
             "SELECT region, vehicle_type, segment, count(financing_id) AS financing_count, "
             f"{exact_sum('financed_amount')} AS total_financed_amount, "

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from helpers import UTC, base_row, frame
-from stratum.functions.money import Measure
+from stratum.functions.money import Measure, final_column, partial_columns
 from stratum.operators import reports, summarize
 
 
@@ -169,3 +169,49 @@ def test_amounts_that_are_no_amounts_count_as_missing(spark):
     assert (got["a"].event_count, got["a"].total_amount, got["a"].average_amount) == (2, 10.0, 10.0)
     assert (got["b"].total_amount, got["b"].average_amount) == (2e17, 1e17)
     assert (got["c"].total_amount, got["c"].average_amount) == (None, None)
+
+
+def _doubles(n):
+    import random
+
+    r = random.Random(n)
+    kinds = (lambda: r.uniform(-1e6, 1e6), lambda: r.choice([0.1, 0.2, 0.3, 1e-6, -1e-6, 1 / 3]),
+             lambda: r.uniform(-1e20, 1e20), lambda: round(r.uniform(0, 9e5), 2), lambda: None)
+    return [r.choice(kinds)() for _ in range(n)]
+
+
+def test_double_sums_do_not_depend_on_the_order(spark):
+    import math
+
+    values = _doubles(4000)
+    rows = [(t(i % 40), "abc"[i % 3], v) for i, v in enumerate(values)]
+    df = _tx(spark, rows)
+    seen = []
+    for parts in (1, 7, 64):
+        spread = df.repartition(parts, F.rand(parts))
+        got = {(r.window_start, r.category): r for r in summarize.category_summary(spread, "10 seconds", money="double").collect()}
+        partials = [summarize.windowed_partials(spread.where(cond), "event_time", "10 seconds", ["category"],
+                                                summarize.CATEGORY_MEASURES, money="double")
+                    for cond in (F.col("amount") > 0, ~(F.coalesce(F.col("amount"), F.lit(0.0)) > 0))]
+        merged = summarize.merge_partials(partials[0].unionByName(partials[1]), ["category"], summarize.CATEGORY_MEASURES, "double")
+        final = summarize.finalize_partials(merged, ["category"], summarize.CATEGORY_MEASURES, "double")
+        assert {(r.window_start, r.category): r for r in final.collect()} == got
+        seen.append(got)
+    assert seen[0] == seen[1] == seen[2]
+    raw = Measure("s", "sum", "amount", None)
+    total = df.agg(*partial_columns(raw, "double")).select(final_column(raw, "double")).first()[0]
+    assert total == math.fsum(v for v in values if v is not None)
+
+
+def test_double_sums_of_special_values(spark):
+    inf, nan = float("inf"), float("nan")
+    cases = {"a": [1.0, inf], "b": [inf, -inf, 2.0], "c": [nan, 1.0], "d": [None, None], "e": [1e300, 1.0], "f": [-0.25, 0.125],
+             "g": [-1e-7, 1e15, -1e15], "h": [None, 2.5]}
+    rows = [(t(1), k, v) for k, vs in cases.items() for v in vs]
+    got = {r.category: r for r in summarize.category_summary(_tx(spark, rows), "1 minute", money="double").collect()}
+    assert (got["a"].total_amount, got["a"].average_amount) == (inf, inf)
+    assert got["b"].total_amount != got["b"].total_amount and got["c"].total_amount != got["c"].total_amount
+    assert (got["d"].total_amount, got["d"].average_amount, got["d"].event_count) == (None, None, 2)
+    assert got["e"].total_amount == 1e300
+    assert (got["f"].total_amount, got["f"].average_amount) == (-0.13, -0.06)
+    assert got["g"].total_amount == 0.0 and got["h"].average_amount == 2.5
