@@ -5,14 +5,16 @@ similarity of at least num/den have similar sizes and a bounded difference: if t
 smaller has a elements, they differ in at most k = floor(a (den - num) / num).
 Sizes are cut into bands whose ends are in that ratio, so a pair lies in one band
 or in two neighbours, and each band has one k for all pairs whose smaller set it
-holds. The domain of hashes is cut into partitions, and subsets of partitions are
-enumerated so that two sets within k share the signature of at least one subset:
+holds. The domain of hashes is cut at two levels, for every k in the same way: into
+n1 = floor(k / 2) + 1 + e partitions, and each of these into three parts. Two sets
+within k differ by two elements or more in floor(k / 2) partitions at most, so e + 1 of
+their partitions differ by one element or none, and of such a partition two parts agree
+in both. The signatures are the contents of all subsets of two parts of a partition,
+3 n1 of them, each over two thirds of a partition's elements.
 
-* k of 1 to 3: k + 3 partitions, all subsets of three of them;
-* larger k: k + 1 + e partitions, each one alone. At least e + 1 of them agree.
-  Projections without an element would make unrelated sets meet, so a set with at
-  most e empty partitions leaves them out (one of the agreeing partitions is then
-  not empty), and e is chosen per band so that few sets have more.
+Subsets without an element would make unrelated sets meet. A set in which at most e
+partitions have such a subset leaves them out (one of the agreeing partitions has none
+then); e is chosen per band so that few sets have more.
 
 Equal sets share all signatures and are merged first. Sets that share a signature
 are verified on their whole sets, so every reported link is exact, and none is
@@ -40,7 +42,6 @@ empty table gives an empty result. Whole texts are read.
 from __future__ import annotations
 
 from bisect import bisect_left
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -48,10 +49,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.common import WordHashes, by_ids, mix, release_shuffles, scan, words_of
-from stratum.session import scratch
 
-#: Kept partitions of a subset where k is small, and the largest such k.
-KEPT, SMALL_K = 3, 3
+#: Parts of a partition, and the subsets of them: all pairs.
+PARTS, SUBSETS = 3, ((0, 1), (0, 2), (1, 2))
+#: Parts that the rows of one very common signature are spread over.
+SPREAD = 1 << 20
 #: Bits of the table of n-gram frequencies that orders sets rare-first (its size is fixed).
 SKETCH_BITS = 22
 
@@ -93,17 +95,19 @@ class Signatures:
         return self.high[band] * (self.den - self.num) // self.num
 
     def partitions(self, band: int, k: int) -> int:
-        """k + 1 + e, with e beyond the usual number of empty partitions."""
+        """floor(k / 2) + 1 + e, with e beyond the usual number of partitions in which
+        two parts are empty."""
         if band not in self.spare:
             e = 0
             while True:
-                n = k + 1 + e
-                empty = n * np.exp(-self.low[band] / n)
-                if e >= empty + 2 * np.sqrt(empty) or e > k + 1:
+                n = k // 2 + 1 + e
+                empty = np.exp(-self.low[band] / (PARTS * n))
+                usual = n * (3 * empty**2 - 2 * empty**3)
+                if e >= usual + 2 * np.sqrt(usual) or e > k + 1:
                     break
                 e += 1
             self.spare[band] = e
-        return k + 1 + self.spare[band]
+        return k // 2 + 1 + self.spare[band]
 
     def of(self, s: np.ndarray) -> np.ndarray:
         """All signatures of a sorted set, as signed numbers."""
@@ -120,21 +124,20 @@ class Signatures:
         k = self.difference(band)
         if not k:  # only equal sets, which are merged already
             return np.empty(0, np.int64)
-        n = k + KEPT if k <= SMALL_K else self.partitions(band, k)
-        # partitions are equal ranges of the hash, so their elements are neighbours in s
+        n = self.partitions(band, k)
+        # parts are equal ranges of the hash, so their elements are neighbours in s
         if n not in self.starts:
-            self.starts[n] = np.array([-(-p * 2**32 // n) << 32 for p in range(n)], np.uint64)
+            self.starts[n] = np.array([-(-p * 2**32 // (PARTS * n)) << 32 for p in range(PARTS * n)], np.uint64)
         edges = np.append(np.searchsorted(s, self.starts[n]), len(s))
-        content = sums[edges[1:]] - sums[edges[:-1]]
-        if k <= SMALL_K:
-            subsets = np.array(list(combinations(range(n), KEPT)))
-            value, which = content[subsets].sum(1, dtype=np.uint64), np.arange(len(subsets))
-        else:
-            full = edges[1:] > edges[:-1]
-            which = np.flatnonzero(full) if (~full).sum() < n - k else np.arange(n)
-            value = content[which]
+        content = (sums[edges[1:]] - sums[edges[:-1]]).reshape(n, PARTS)
+        filled = (edges[1:] > edges[:-1]).reshape(n, PARTS)
+        left, right = map(list, zip(*SUBSETS))
+        value, full = content[:, left] + content[:, right], filled[:, left] | filled[:, right]
+        if (~full.all(1)).sum() > self.spare[band]:
+            full[:] = True
+        which = np.flatnonzero(full)
         place = mix((which + (band + 1 << 32)).astype(np.uint64))
-        return mix(value ^ place).view(np.int64)
+        return mix(value.ravel()[which] ^ place).view(np.int64)
 
 
 def each_set(batches, n: int):
@@ -172,40 +175,58 @@ def set_table(docs: DataFrame, n: int) -> DataFrame:
 
 
 def signature_table(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """``sig, set_id``: the signatures of every distinct set (once a task)."""
+    """``sig, part, set_id``: the signatures of the distinct sets of each batch.
+
+    Of the sets of a batch with one signature two speak for them, in part 0. The rows
+    of the others are known to be shared, so they are spread over parts of their own: a
+    signature that very many sets have takes two rows a batch in any one place.
+    """
+    schema = pa.schema([("sig", pa.int64()), ("part", pa.int32()), ("set_id", pa.int64())])
+
+    def marked(sigs: list[np.ndarray], owners: list[int]) -> pa.RecordBatch:
+        sig, owner = np.concatenate(sigs), np.repeat(np.array(owners, np.int64), [len(x) for x in sigs])
+        order = np.argsort(sig, kind="stable")
+        third = np.zeros(len(sig), bool)
+        third[order[2:]] = sig[order[2:]] == sig[order[:-2]]
+        part = np.where(third, 1 + (mix(owner.view(np.uint64)) % np.uint64(SPREAD)).astype(np.int32), 0).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (sig, part, owner)], schema=schema)
 
     def step(batches):
-        signatures, seen = Signatures(num, den), set()
-        sigs, ids, rows = [], [], 0
+        signatures = Signatures(num, den)
+        sigs, owners, rows, seen = [], [], 0, set()
         for _, s in each_set(batches, n):
             own = set_id(s) if len(s) else None
-            if own is None or own in seen:
+            if own is None or own in seen or not len(found := signatures.of(s)):
                 continue
-            if len(seen) < 1_000_000:  # copies beyond are merged after the shuffle
-                seen.add(own)
-            found = signatures.of(s)
+            seen.add(own)
             sigs.append(found)
-            ids.append(np.full(len(found), own))
+            owners.append(own)
             rows += len(found)
-            if rows > 200_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(ids))], names=["sig", "set_id"])
-                sigs, ids, rows = [], [], 0
+            if rows > 1_000_000:
+                yield marked(sigs, owners)
+                sigs, owners, rows, seen = [], [], 0, set()
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(ids))], names=["sig", "set_id"])
+            yield marked(sigs, owners)
+
+    return scan(docs, ["id", "text"], step, "sig long, part int, set_id long")
 
-    return scan(docs, ["id", "text"], step, "sig long, set_id long")
 
+def whole_sets(docs: DataFrame, nodes: DataFrame, n: int, repeated: DataFrame | None = None) -> DataFrame:
+    """``node, members``: the sets of the documents named in ``nodes``.
 
-def whole_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """``node, members``: the sets of the documents named in ``nodes``."""
+    Of equal rows of an id in ``repeated`` one is taken; an id with several texts has
+    several sets, and a link of any is its link.
+    """
     schema = pa.schema([("node", pa.int64()), ("members", pa.binary())])
 
     def step(batches):
         yield from in_chunks(((d, s.tobytes()) for d, s in each_set(batches, n)), schema, 500)
 
-    chosen = by_ids(docs, nodes, "id", "left_semi")
-    # equal rows of an id once; an id with several texts has several sets, and a link of any is its link
-    return scan(chosen.dropDuplicates(["id", "text"]), ["id", "text"], step, "node long, members binary")
+    chosen = by_ids(docs, nodes, "id", "left_semi").select("id", "text")
+    if repeated is not None:
+        several = by_ids(chosen, repeated, "id", "left_semi").dropDuplicates()
+        chosen = by_ids(chosen, repeated, "id", "left_anti").unionByName(several)
+    return scan(chosen, ["id", "text"], step, "node long, members binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -331,7 +352,7 @@ def linked_components(hits: DataFrame, sets: DataFrame, num: int, den: int) -> D
     open_nodes = known.join(open_groups, "sig", "left_semi").select("node", "label").distinct().checkpoint()
     del known, open_groups
     release_shuffles(spark)
-    rows = prefixes(sets, num, den).join(open_nodes, "node")
+    rows = prefixes(by_ids(sets, open_nodes.select("node"), "node", "left_semi"), num, den).join(open_nodes, "node")
     x, y = rows.where("short").alias("x"), rows.alias("y")
     shorter_first = "(x.size < y.size OR x.size = y.size AND x.node < y.node)"
     enough = f"{num + den} * (least(x.size - x.place, y.size - y.place) + 1) >= {num} * (x.size + y.size)"
@@ -348,24 +369,36 @@ def linked_components(hits: DataFrame, sets: DataFrame, num: int, den: int) -> D
 
 def shared_signatures(docs: DataFrame, sets: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """``sig, node`` of the signatures that several sets have."""
-    group = Window.partitionBy("sig")
+    group = Window.partitionBy("sig", "part")  # two rows a batch at most
     shared = (
         signature_table(docs, n, num, den)
         .withColumn("lo", F.min("set_id").over(group)).withColumn("hi", F.max("set_id").over(group))
-        .where("lo <> hi").select("sig", "set_id")
+        .where("part > 0 OR lo <> hi").select("sig", "set_id")
     )
     return shared.join(sets, "set_id").where("node IS NOT NULL").select("sig", "node").distinct().checkpoint()
 
 
-def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_groups(
+    docs: DataFrame,
+    n: int = 5,
+    num: int = 80,
+    den: int = 100,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    unique_ids: bool = False,
+) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: the smallest id reachable
-    over links of Jaccard similarity num/den or more between sets of word n-grams."""
+    over links of Jaccard similarity num/den or more between sets of word n-grams.
+
+    ``unique_ids`` says that no id repeats, which spares a look for those that do.
+    """
     docs = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     rows = set_table(docs, n).checkpoint()
     sets = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("id").alias("node"))
     hits = shared_signatures(docs, sets, n, num, den)
     release_shuffles(docs.sparkSession)  # the signatures are the largest shuffle by far
-    members = whole_sets(docs, hits.select("node"), n).checkpoint()
+    repeated = None if unique_ids else rows.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select("id")
+    members = whole_sets(docs, hits.select("node"), n, repeated).checkpoint()
     release_shuffles(docs.sparkSession)
     labels = linked_components(hits, members, num, den)
     known = sets.join(labels, "node", "left").select("set_id", F.coalesce("label", "node").alias("component_id"))
@@ -381,18 +414,23 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame
     return by_ids(docs, groups.where("doc_id <> component_id").select("doc_id"), id_col, "left_anti")
 
 
-def one_row_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def one_row_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of each component, with all its columns: the smallest id, null ids
-    last, the first of equals. Each row is a document of its own, also where an id
-    repeats or is null: rows are told apart by a key that is written with them."""
-    spark, key = docs.sparkSession, "row_key"
+    last, any of rows with equal id and text. Each row is a document of its own, also
+    where an id repeats or is null: rows are told apart by a hash of id and text.
+    Rows without words are linked with nothing and all stay."""
+    key = "row_key"
     while key.lower() in map(str.lower, docs.columns):
         key += "_"
-    path = scratch(spark, "near-dup-rows")
-    docs.withColumn(key, F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
-    rows = spark.read.parquet(path)
-    groups = similar_groups(rows, id_col=key, **options).select(F.col("doc_id").alias("k"), "component_id")
-    named = groups.join(rows.select(F.col(key).alias("k"), F.col(id_col).cast("long").alias("id")), "k").checkpoint()
+    own_id, text = docs[id_col].cast("long"), docs[text_col]
+    rows = docs.withColumn(key, F.xxhash64(F.coalesce(own_id, F.lit(0)), own_id.isNull(), F.coalesce(text, F.lit("")), text.isNull()))
+    groups = similar_groups(rows, id_col=key, text_col=text_col, **options).where("n_shingles > 0")
+    groups = groups.groupBy(F.col("doc_id").alias("k")).agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("times"))
+    ids = rows.select(F.col(key).alias("k"), own_id.alias("id")).distinct()
+    named = groups.join(ids, "k").checkpoint()
     first = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k")).alias("first"))
-    others = named.join(first.select(F.col("first.k").alias("k")), "k", "left_anti").select("k")
-    return by_ids(rows, others, key, "left_anti").select(*docs.columns)
+    first = first.join(named.select("k", "times"), F.col("first.k") == F.col("k")).select("k", "times").checkpoint()
+    others = named.join(first, "k", "left_anti").select("k")
+    several = first.where("times > 1").select("k")
+    alone = by_ids(rows, others.unionByName(several), key, "left_anti")
+    return alone.unionByName(by_ids(rows, several, key, "left_semi").dropDuplicates([key])).select(*docs.columns)
