@@ -7,7 +7,7 @@ task, one tiny final stage); the union of them runs as one job.
 from __future__ import annotations
 
 from functools import reduce
-from typing import Mapping
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,3 +61,43 @@ def audit(
     return reduce(DataFrame.unionByName, parts).select(F.inline("lines")).groupBy("layer").agg(
         F.sum("row_count").alias("row_count"), F.max("column_count").alias("column_count"), F.max("columns").alias("columns")
     )
+
+
+# ---- row by row --------------------------------------------------------------
+
+def row_hashes(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of a row that tell NULL from values and columns apart."""
+    marked = [c for name in columns for c in (F.col(name).isNull(), F.col(name))]
+    return [F.xxhash64(*marked).alias("h1"), F.xxhash64(F.lit(1), *marked).alias("h2")]
+
+
+def fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row that depends on the rows and how often each occurs, not on their order:
+    their number and the sums of their hashes. No shuffle but of one row a task."""
+    hashes = df.select(*row_hashes(df, columns))
+    sums = [F.coalesce(F.sum(F.col(h).cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias(f"sum_{h}") for h in ("h1", "h2")]
+    return hashes.agg(F.count(F.lit(1)).alias("row_count"), *sums)
+
+
+def row_differences(expected: DataFrame, found: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``row_count`` of ``expected``, and how many of its rows ``found`` lacks and how many
+    it has beyond, counting repeats. A lost row and a repeated one don't cancel.
+
+    Rows are added up by their hashes with a sign; every task adds before the shuffle,
+    so a row that occurs very often moves once a task.
+    """
+    signed = [df.select(*row_hashes(df, columns), F.lit(sign).alias("n")) for df, sign in ((expected, 1), (found, -1))]
+    each = signed[0].unionByName(signed[1]).groupBy("h1", "h2").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("n") > 0, F.col("n"))).alias("own"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return each.agg(
+        total("own").alias("row_count"),
+        total(F.when(F.col("n") > 0, F.col("n"))).alias("lost"),
+        total(F.when(F.col("n") < 0, -F.col("n"))).alias("extra"),
+    )
+
+
+def reconcile(checks: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str]]]) -> DataFrame:
+    """``check, row_count, lost, extra`` of each (expected, found, columns)."""
+    parts = [row_differences(*what).select(F.lit(name).alias("check"), "*") for name, what in checks.items()]
+    return reduce(DataFrame.unionByName, parts)

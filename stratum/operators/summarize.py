@@ -116,6 +116,9 @@ def category_summary(
 
 # ---- incremental summaries ---------------------------------------------------
 
+LAST_EVENT = "last_event"
+
+
 def windowed_partials(
     df: DataFrame,
     time_col: str,
@@ -126,14 +129,17 @@ def windowed_partials(
     money: str = "exact",
 ) -> DataFrame:
     """Per-window sums and counts of one batch of rows, ready to be added to
-    the partials of other batches (no watermark: late rows count too)."""
+    the partials of other batches (no watermark: late rows count too).
+    ``last_event`` is the latest event time of a window's rows."""
     parts = [c for m in measures for c in partial_columns(m, money)]
+    parts.append(F.max(F.col(time_col)).cast(TimestampNTZType()).alias(LAST_EVENT))
     agg = df.groupBy(F.window(F.col(time_col), every).alias("window"), *dims).agg(*parts)
     return agg.select(
         F.col("window.start").cast(TimestampNTZType()).alias("window_start"),
         F.col("window.end").cast(TimestampNTZType()).alias("window_end"),
         *dims,
         *[n for m in measures for n in mergeable_names(m, money)],
+        LAST_EVENT,
     )
 
 
@@ -142,7 +148,7 @@ def merge_partials(
 ) -> DataFrame:
     """Add partials of the same (window, dims) key: partial/final hash aggregate."""
     return partials.groupBy("window_start", "window_end", *dims).agg(
-        *[c for m in measures for c in remerge_columns(m, money)]
+        *[c for m in measures for c in remerge_columns(m, money)], F.max(LAST_EVENT).alias(LAST_EVENT)
     )
 
 

@@ -64,15 +64,12 @@ def q_category_summary_double(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_lineitem_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = given_table(spark, sf_dir, "lineitem")
-    flags = ["l_returnflag", "l_linestatus"]
-    tx = li.select(F.col("l_shipdate").alias("event_time"), *flags, F.col("l_extendedprice").alias("amount"))
-    # the category's text is built once a group, not once a row; null flags can make
-    # texts of several groups equal, so their partials are added up
-    partials = summarize.windowed_partials(
-        tx, "event_time", LINEITEM_WINDOW, flags, summarize.CATEGORY_MEASURES
-    ).withColumn("category", F.concat_ws("|", *flags))
-    merged = summarize.merge_partials(partials, ["category"], summarize.CATEGORY_MEASURES)
-    return summarize.finalize_partials(merged, ["category"], summarize.CATEGORY_MEASURES)
+    tx = li.select(
+        F.col("l_shipdate").alias("event_time"),
+        F.concat_ws("|", "l_returnflag", "l_linestatus").alias("category"),
+        F.col("l_extendedprice").alias("amount"),
+    )
+    return summarize.category_summary(tx, LINEITEM_WINDOW)
 
 
 def q_gold_batch(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -144,6 +144,17 @@ def q_gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chain.read_gold(spark, s.gold.path)
 
 
+def q_gold_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows over files in no order of time, one file a batch in places: the
+    same windows as of one batch over all of them."""
+    s = _settings(spark, "gold-closed", max_files_per_trigger=3)
+    orders = C.given_table(spark, sf_dir, "orders")
+    shuffled = orders.repartition(7, F.xxhash64("o_orderkey"))
+    chain.write_silver_batch(spark, s, tables.financing(shuffled), mode="overwrite")
+    chain.run_closed_windows(spark, s)
+    return chain.read_closed(spark, s)
+
+
 def q_layer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _landed(spark, sf_dir, "audit")
     chain.run_chain(spark, s)
@@ -156,6 +167,12 @@ def q_layer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(spark, layers)
 
 
+def q_layer_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _landed(spark, sf_dir, "reconcile")
+    chain.run_chain(spark, s)
+    return chain.run_reconcile(spark, s)
+
+
 def q_gold_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stale slice A (no pending contracts, early windows), then slice B
     recomputed from all of silver for later windows, merged on the key."""
@@ -220,14 +237,14 @@ def q_category_summary_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fanout(spark: SparkSession, sf_dir: str, name: str) -> Settings:
     s = _settings(spark, name, window=C.CATEGORY_WINDOW)
-    events = jobs.table_stream(spark, sf_dir, "events", _events_schema(spark, sf_dir))
+    events = jobs.table_stream(spark, sf_dir, "events", _events_schema(spark, sf_dir), s.max_files_per_trigger)
     jobs.await_all(jobs.start_quality_fanout(spark, tables.counter_rows(events), s, live=False))
     return s
 
 
 def q_valid_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _fanout(spark, sf_dir, "fanout-valid")
-    valid = spark.read.parquet(s.valid.path).select(*schemas.COUNTER_EVENT_COLUMNS)
+    valid = chain.read_events(spark, s, schemas.QUALITY_VALID).select(*schemas.COUNTER_EVENT_COLUMNS)
     return _ntz(valid, "created_at", "event_time")
 
 
@@ -248,7 +265,9 @@ def queries() -> dict:
         "gold_snapshot": q_gold_snapshot,
         "medallion_chain": q_medallion_chain,
         "layer_audit": q_layer_audit,
+        "layer_reconcile": q_layer_reconcile,
         "gold_incremental": q_gold_incremental,
+        "gold_closed_windows": q_gold_closed_windows,
         "gold_upsert": q_gold_upsert,
         "report_summary": q_report_summary,
         "report_summary_totals": q_report_summary_totals,

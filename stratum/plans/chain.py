@@ -22,6 +22,7 @@ from stratum.session import delete_path, list_dirs, path_exists, pin_utc
 from stratum.settings import Settings
 from stratum.sinks import partitions, versioned, warehouse
 from stratum.sinks.files import read_layer, write_parquet
+from stratum.sinks.layers import read_reconciled
 from stratum.streaming import jobs
 
 
@@ -228,6 +229,60 @@ def run_snapshot_incremental(spark: SparkSession, settings: Settings) -> None:
         _reload_warehouse(spark, settings)
 
 
+def close_windows(spark: SparkSession, settings: Settings) -> str | None:
+    """Emit the windows that have closed since the last call, each once; the watermark.
+
+    Windows close by the event times in the partials, not by micro-batches: the
+    watermark is the latest event of all batches so far less the allowed lateness, so
+    the same files give the same windows in any order and number of batches. The
+    table's notes hold the watermark and the newest batch of the last call, and change
+    in one step with the rows. Since then:
+
+    * windows that end after the old watermark and not after the new one are closed:
+      their rows are computed from the partials of all batches;
+    * partials of newer batches for windows that had closed before are late: kept as
+      rows of kind ``late`` (one a window and dimension set, what the batch added).
+
+    Rows of closed, late and open windows together count every accepted row.
+    """
+    pin_utc(spark)
+    version = versioned.current(spark, settings.gold_closed.path)
+    notes = dict(version.notes) if version else {"watermark": None, "upto": -1}
+    upto = _newest_batch(spark, settings)
+    if upto is None or upto <= notes["upto"]:
+        return notes["watermark"]
+    oldest = _oldest_base(spark, settings)
+    if oldest is not None and notes["upto"] < oldest:
+        raise RuntimeError(f"batches up to {oldest} may have been folded away, windows were last closed at {notes['upto']}")
+    fresh = read_layer(spark, settings.gold_partials.path, _batches(_partials_schema(spark, settings)))
+    fresh = fresh.filter((F.col("batch_id") > notes["upto"]) & (F.col("batch_id") <= upto)).drop("batch_id")
+    old = F.lit(notes["watermark"]).cast("timestamp_ntz")
+    latest = F.max(summarize.LAST_EVENT) - F.expr(f"INTERVAL {settings.watermark}")
+    new = fresh.agg(F.greatest(old, latest).cast("string").alias("w")).first().w
+    end, now = F.col("window_end"), F.lit(new).cast("timestamp_ntz")
+    parts = _current_partials(spark, settings, upto=upto).filter(end <= now)
+    closed = parts if notes["watermark"] is None else parts.filter(end > old)
+    late = fresh.filter(F.lit(notes["watermark"] is not None) & (end <= old))
+    rows = [
+        summarize.gold_from_partials(df, money=settings.money).withColumn(schemas.KIND_COLUMN, F.lit(kind))
+        for df, kind in ((closed, schemas.KIND_CLOSED), (late, schemas.KIND_LATE))
+    ]
+    versioned.append(spark, settings.gold_closed.path, rows[0].unionByName(rows[1]),
+                     partition_by=(schemas.KIND_COLUMN,), notes={"watermark": new, "upto": upto})
+    return new
+
+
+def run_closed_windows(spark: SparkSession, settings: Settings) -> None:
+    """Fold new silver files into the partials, then emit the windows they close."""
+    run_gold_partials(spark, settings)
+    close_windows(spark, settings)
+
+
+def read_closed(spark: SparkSession, settings: Settings, kind: str = schemas.KIND_CLOSED) -> DataFrame:
+    rows = versioned.read(spark, settings.gold_closed.path, schemas.GOLD_CLOSED)
+    return rows.filter(F.col(schemas.KIND_COLUMN) == kind).select(*schemas.GOLD_COLUMNS)
+
+
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """The current version of the gold table."""
     return versioned.read(spark, path, schemas.GOLD)
@@ -270,6 +325,13 @@ def run_quality_fanout(spark: SparkSession, settings: Settings, counter: DataFra
     jobs.await_all(jobs.start_quality_fanout(spark, source, settings, live), _timeout(settings, live))
 
 
+def read_events(spark: SparkSession, settings: Settings, quality: str) -> DataFrame:
+    """Committed events of the fan-out: ``valid`` or ``rejected``."""
+    events = read_layer(spark, settings.classified.path, jobs.classified_schema(spark, settings))
+    chosen = events.filter(F.col(schemas.QUALITY_COLUMN) == quality).drop(schemas.QUALITY_COLUMN)
+    return partitions.decode(chosen, settings.valid_partitions)
+
+
 def _timeout(settings: Settings, live: bool):
     return settings.runtime_seconds if live else None
 
@@ -318,13 +380,26 @@ def run_audit(spark: SparkSession, settings: Settings) -> DataFrame:
     audit.require_layers(spark, {"bronze": settings.bronze.path, "silver": settings.silver.path,
                                  "gold": settings.gold.path})
     return audit.audit(spark, {
-        "bronze": read_layer(spark, settings.bronze.path, jobs.BRONZE_SCHEMA),
+        "bronze": read_reconciled(spark, settings.bronze.path, jobs.BRONZE_SCHEMA)[0],
         "silver": read_silver(spark, settings),
         "quarantine": read_quarantine(spark, settings),
         "gold": read_gold(spark, settings.gold.path),
     })
 
 
+def run_reconcile(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Row by row: refined bronze against silver and quarantine, and gold against what
+    silver gives. Counts that agree say nothing of a lost and a repeated row."""
+    from stratum.operators import audit
+
+    refined = jobs.refine(read_layer(spark, settings.bronze.path, jobs.BRONZE_SCHEMA), strict=settings.strict_nulls)
+    written = read_layer(spark, settings.silver.path, schemas.REFINED)
+    return audit.reconcile({
+        "bronze-silver": (refined, written, schemas.REFINED.fieldNames()),
+        "silver-gold": (gold_snapshot(spark, settings), read_gold(spark, settings.gold.path), schemas.GOLD_COLUMNS),
+    })
+
+
 def run_generate(spark: SparkSession, settings: Settings, n: str = "20", day: str = "") -> None:
     """Land ``n`` contract-shaped events as new JSON-lines files."""
     import datetime as dt
@@ -343,6 +418,7 @@ STAGES = {
     "gold": lambda spark, s: (run_gold(spark, s), run_snapshot(spark, s)),
     "snapshot": run_snapshot,
     "snapshot_incremental": run_snapshot_incremental,
+    "closed": run_closed_windows,
     "compact": lambda spark, s: compact_gold_partials(spark, s),
     "vacuum": lambda spark, s: vacuum_gold_partials(spark, s),
     "chain": run_chain,
@@ -350,6 +426,7 @@ STAGES = {
     "generate": run_generate,
     "report": lambda spark, s, name="summary": print_rows(run_report(spark, s, name)),
     "audit": lambda spark, s: print_rows(run_audit(spark, s)),
+    "reconcile": lambda spark, s: print_rows(run_reconcile(spark, s)),
 }
 
 

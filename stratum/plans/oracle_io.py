@@ -87,10 +87,15 @@ def oracle_sql() -> dict[str, str]:
         "silver_stream": with_base("SELECT * FROM silver"),
         "quarantine": with_base(f"SELECT {FIN_COLS}, validation_reason FROM s_classified WHERE validation_reason IS NOT NULL"),
         "gold_stream_closed": with_base(closed(gold_select("silver", C.GOLD_WINDOW), "created_at", "silver")),
+        "gold_closed_windows": with_base(closed(gold_select("silver", C.GOLD_WINDOW), "created_at", "silver")),
         "gold_snapshot": g + "SELECT * FROM gold",
         "medallion_chain": g + "SELECT * FROM gold",
         "gold_incremental": g + "SELECT * FROM gold",
         "layer_audit": audit_sql,
+        "layer_reconcile": g + (
+            "SELECT 'bronze-silver' AS \"check\", count(*) AS row_count, CAST(0 AS BIGINT) AS lost, CAST(0 AS BIGINT) AS extra FROM s_classified\n"
+            "UNION ALL SELECT 'silver-gold', count(*), 0, 0 FROM gold"
+        ),
         "gold_upsert": upsert,
         "report_summary": g + (
             f"SELECT {summary_cols}, {exact_avg('average_monthly_installment', 2)} AS avg_installment"

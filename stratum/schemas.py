@@ -113,6 +113,10 @@ GOLD_COLUMNS = tuple(f.name for f in GOLD.fields)
 # Partition columns that gold can be laid out by beside its own columns.
 GOLD_DERIVED = StructType([StructField("window_date", DateType(), True)])
 
+# Windows that closed once, beside what came too late for them.
+KIND_COLUMN, KIND_CLOSED, KIND_LATE = "kind", "closed", "late"
+GOLD_CLOSED = StructType([*GOLD.fields, StructField(KIND_COLUMN, StringType(), True)])
+
 # Generic transaction event and its window summary.
 TRANSACTION = StructType(
     _fields("event_id long, event_time timestamp, category string, amount double")

@@ -129,13 +129,23 @@ class Settings:
         """Compacted partials: ``upto=<n>`` folds every batch up to ``n``."""
         return f"{self.root.rstrip('/')}/gold_partials_base"
 
+    @property
+    def gold_closed(self) -> Layer:
+        """Closed windows and late partials, partitioned by ``kind`` = closed / late."""
+        return self._layer("gold_closed")
+
+    @property
+    def classified(self) -> Layer:
+        """Counter events of the fan-out, partitioned by ``quality`` = valid / rejected."""
+        return self._layer("events")
+
     @property
     def valid(self) -> Layer:
-        return self._layer("valid_transactions")
+        return Layer("valid", f"{self.classified.path}/quality=valid", self.classified.checkpoint)
 
     @property
     def invalid(self) -> Layer:
-        return self._layer("invalid_transactions")
+        return Layer("invalid", f"{self.classified.path}/quality=rejected", self.classified.checkpoint)
 
     @property
     def summary(self) -> Layer:

@@ -8,6 +8,7 @@ its folder is removed by a later :func:`vacuum`. A manifest is created only if t
 none of that number, so of two concurrent writers one fails and changes nothing.
 
 * :func:`replace` - the table becomes these rows.
+* :func:`append` - these rows are added.
 * :func:`merge` - keyed upsert by copy-on-write of files: the update rows are written
   first; only live files in the same partition directories are searched for their
   keys (a semi-join that yields file paths), and only files that hold one are
@@ -127,6 +128,28 @@ def replace(
     return version
 
 
+def append(
+    spark: SparkSession,
+    root: str,
+    df: DataFrame,
+    *,
+    partition_by: Sequence[str] = (),
+    notes: Mapping[str, Any] | None = None,
+    keep: int = 2,
+) -> Version:
+    """The current files and those of ``df``: rows and notes change in one step."""
+    base = current(spark, root)
+    partition_by = base.partition_by if base else tuple(partition_by)
+    number = _next_number(spark, root)
+    folder = _new_folder(number)
+    _write(spark, df, root, folder, partition_by)
+    files = (*(base.files if base else ()), *_written(spark, root, folder, df.schema))
+    version = Version(number, files, partition_by, notes if notes is not None else base.notes if base else {})
+    _commit(spark, root, version)
+    vacuum(spark, root, keep)
+    return version
+
+
 def _keys_equal(a: DataFrame, b: DataFrame, key: Sequence[str]):
     return [a[k].eqNullSafe(b[f"__{k}"]) for k in key]
 

@@ -27,6 +27,7 @@ from stratum.functions.rules import silver_rules, transaction_rules
 from stratum.operators import summarize, validate
 from stratum.session import is_dir
 from stratum.settings import Settings
+from stratum.sinks import partitions
 from stratum.sinks.files import (
     prepare_layer,
     replay_safe_batch_writer,
@@ -257,49 +258,52 @@ def start_category_summary(
                                     trigger=_trigger(settings, live))
 
 
+def classified_events(counter: DataFrame, settings: Settings) -> DataFrame:
+    """Counter events with the first rule they break and their ``quality``."""
+    classified = validate.classify(synthetic.from_counter(counter), transaction_rules(), strict=settings.strict_nulls)
+    return classified.withColumn(
+        schemas.QUALITY_COLUMN,
+        F.when(F.col(validate.REASON).isNull(), F.lit(schemas.QUALITY_VALID)).otherwise(F.lit(schemas.QUALITY_REJECTED)),
+    )
+
+
+def classified_schema(spark: SparkSession, settings: Settings) -> StructType:
+    nothing = spark.createDataFrame([], "value long, timestamp timestamp")
+    return classified_events(nothing, settings).schema
+
+
+def start_quality_sink(
+    spark: SparkSession, counter: DataFrame, settings: Settings, live: bool = False
+) -> StreamingQuery:
+    """Counter stream -> events, valid and rejected side by side in one exactly-once
+    sink: the source is read once, nothing is cached, and a batch commits whole."""
+    partition_by = (schemas.QUALITY_COLUMN, *settings.valid_partitions)
+    events = partitions.encode(classified_events(counter, settings), settings.valid_partitions)
+    return start_parquet_stream(events, settings.classified.path, settings.classified.checkpoint,
+                                partition_by=partition_by, trigger=_trigger(settings, live))
+
+
+def start_fanout_summary(spark: SparkSession, settings: Settings, live: bool = False) -> StreamingQuery:
+    """Category summary of the valid events, from the log of the sink above."""
+    prepare_layer(spark, settings.classified.path)
+    events = layer_stream(spark, settings.classified.path, classified_schema(spark, settings), batch_limit(settings, gold=True))
+    valid = partitions.decode(events.filter(F.col(schemas.QUALITY_COLUMN) == schemas.QUALITY_VALID), settings.valid_partitions)
+    tx = valid.select(F.col("event_time"), F.col("segment").alias("category"), F.col("financed_amount").alias("amount"))
+    return start_category_summary(spark, tx, settings, live)
+
+
 def start_quality_fanout(
     spark: SparkSession, counter: DataFrame, settings: Settings, live: bool = False
 ) -> list[StreamingQuery]:
-    """Counter stream -> events -> (valid, invalid) and the category summary.
+    """Counter stream -> (valid, rejected) events -> category summary.
 
-    Valid and invalid rows leave through one ``foreachBatch`` over a persisted
-    micro-batch (one pass over the source, replay-safe per batch id); the
-    windowed summary is stateful and therefore its own query.
+    Live, both queries run side by side; otherwise the sink has drained its source
+    before the summary starts, so the summary sees all of it.
     """
-    events = synthetic.from_counter(counter)
-    classified = validate.classify(events, transaction_rules(), strict=settings.strict_nulls)
-    valid_path, invalid_path = settings.valid.path, settings.invalid.path
-    partitions = tuple(settings.valid_partitions)
-
-    def fanout(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            if batch.isEmpty():
-                return
-            tagged = batch.withColumn("batch_id", F.lit(batch_id))
-            valid = tagged.filter(F.col(validate.REASON).isNull()).drop(validate.REASON)
-            invalid = tagged.filter(F.col(validate.REASON).isNotNull())
-            # Emptiness checks run on the cached batch, so an all-valid batch
-            # costs no write job and leaves no empty folder behind.
-            for rows, path, parts in ((valid, valid_path, ("batch_id", *partitions)),
-                                      (invalid, invalid_path, ("batch_id",))):
-                if not rows.isEmpty():
-                    write_parquet(rows, path, mode="overwrite", partition_by=parts, dynamic=True)
-        finally:
-            batch.unpersist()
-
-    q1 = (
-        classified.writeStream.foreachBatch(fanout)
-        .option("checkpointLocation", settings.valid.checkpoint)
-        .trigger(**_trigger(settings, live))
-        .start()
-    )
-    valid_stream = validate.split(events, transaction_rules(), strict=settings.strict_nulls)[0]
-    tx = valid_stream.select(
-        F.col("event_time"), F.col("segment").alias("category"), F.col("financed_amount").alias("amount")
-    )
-    q2 = start_category_summary(spark, tx, settings, live)
-    return [q1, q2]
+    sink = start_quality_sink(spark, counter, settings, live)
+    if not live:
+        await_all([sink])
+    return [sink, start_fanout_summary(spark, settings, live)]
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:
