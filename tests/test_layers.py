@@ -2,7 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from helpers import base_row, frame
 from stratum.plans import chain
@@ -11,7 +11,7 @@ from stratum.settings import Settings
 from stratum.sinks.files import write_jsonl
 from stratum.sinks.layers import Differences, read_reconciled
 
-DECLARED = StructType.fromDDL("k long, v string, segment string")
+DECLARED = StructType([StructField("k", LongType()), StructField("v", StringType()), StructField("segment", StringType())])
 
 
 def test_empty_layer(spark, tmp_root):
