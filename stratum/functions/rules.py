@@ -161,6 +161,27 @@ def contract_rules() -> list[Rule]:
     return rules
 
 
+def contract_document() -> dict:
+    """The fixed values above as the JSON Schema document that they come from; a
+    changed document is read by :mod:`stratum.functions.contract`."""
+    names = {"string": "string", "int": "integer", "double": "number", "timestamp": "string"}
+    properties: dict[str, dict] = {f.name: {"type": names[f.dataType.simpleString()]} for f in schemas.FINANCING.fields}
+    properties["created_at"]["format"] = "date-time"
+    for c, pattern in CONTRACT_PATTERNS:
+        properties[c]["pattern"] = pattern
+    for c, values in CONTRACT_ENUMS:
+        properties[c]["enum"] = list(values)
+    for c, low, high, exclusive in CONTRACT_RANGES:
+        properties[c]["exclusiveMinimum" if exclusive else "minimum"] = low
+        if high is not None:
+            properties[c]["maximum"] = high
+    for c in CONTRACT_CENTS:
+        properties[c]["multipleOf"] = 0.01
+    for c, n in CONTRACT_MIN_LENGTH:
+        properties[c]["minLength"] = n
+    return {"type": "object", "additionalProperties": False, "required": list(schemas.FINANCING_COLUMNS), "properties": properties}
+
+
 RULE_SETS = {
     "transaction": transaction_rules,
     "silver": silver_rules,

@@ -7,15 +7,19 @@ snapshot, keyed merge) and returns the written layer read back.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from stratum import schemas
+from stratum.functions.contract import read_contract
+from stratum.functions.rules import contract_document
 from stratum.operators import audit, reports, summarize, validate
 from stratum.plans import catalog as C
 from stratum.plans import chain
-from stratum.session import scratch
+from stratum.session import create_file, scratch
 from stratum.settings import Settings
 from stratum.sinks.files import read_layer, write_jsonl
 from stratum.sources import tables
@@ -87,6 +91,14 @@ def q_contract_raw_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_contract_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules from the contract's document, read back from where it was written."""
+    path = scratch(spark, "contract") + "/contract.json"
+    create_file(spark, path, json.dumps(contract_document()))
+    checked = read_contract(spark, path).check(C.fin(spark, sf_dir))
+    return checked.select("vehicle_id", "violation_text", "violation_count")
+
+
 # ---- silver / quarantine ---------------------------------------------------
 
 def _through_silver(spark: SparkSession, sf_dir: str, name: str) -> Settings:
@@ -259,6 +271,7 @@ def queries() -> dict:
         "bronze_incremental": q_bronze_incremental,
         "jsonl_line_count": q_jsonl_line_count,
         "contract_raw_violations": q_contract_raw_violations,
+        "contract_document": q_contract_document,
         "silver_stream": q_silver_stream,
         "quarantine": q_quarantine,
         "gold_stream_closed": q_gold_stream_closed,

@@ -15,6 +15,7 @@ from stratum.functions.rules import (
     CONTRACT_MIN_LENGTH,
     CONTRACT_PATTERNS,
     CONTRACT_RANGES,
+    contract_document,
 )
 from stratum.plans import catalog as C
 from stratum.sources import synthetic as G
@@ -161,7 +162,13 @@ def silver_rules_sql() -> list[tuple[str, str]]:
     ]
 
 
-def contract_hits_sql() -> list[tuple[str, str]]:
+def contract_hits_sql(order=None) -> list[tuple[str, str]]:
+    """Conditions and codes; within a kind by the columns' place in ``order``, if given."""
+    if order is not None:
+        kinds, place = {}, {c: i for i, c in enumerate(order)}
+        for hit in contract_hits_sql():
+            kinds.setdefault(hit[1].split(":")[0], []).append(hit)
+        return [h for hits in kinds.values() for h in sorted(hits, key=lambda h: place[h[1].split(":")[1]])]
     hits = [(f"{c} IS NULL", f"required:{c}") for c in schemas.FINANCING_COLUMNS]
     hits += [(f"coalesce(NOT regexp_matches({c}, {q(p)}), false)", f"pattern:{c}") for c, p in CONTRACT_PATTERNS]
     hits += [(f"coalesce({c} NOT IN {in_list(v)}, false)", f"enum:{c}") for c, v in CONTRACT_ENUMS]
@@ -174,8 +181,8 @@ def contract_hits_sql() -> list[tuple[str, str]]:
     return hits
 
 
-def contract_select(key: str) -> str:
-    hits = contract_hits_sql()
+def contract_select(key: str, order=None) -> str:
+    hits = contract_hits_sql(order)
     text = "concat_ws(',', " + ", ".join(f"CASE WHEN {h} THEN {q(code)} END" for h, code in hits) + ")"
     count = " + ".join(f"CAST({h} AS INTEGER)" for h, _ in hits)
     return f"SELECT {key}, {text} AS violation_text, ({count}) AS violation_count"
@@ -357,6 +364,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "silver_batch": with_base("SELECT * FROM silver"),
         "contract_violations": f"{contract_select('vehicle_id')} FROM ({fin_sql()})",
+        # ranges, cents and lengths in the order of the document's properties
+        "contract_document": f"{contract_select('vehicle_id', contract_document()['properties'])} FROM ({fin_sql()})",
         "contract_violations_generated": f"{contract_select('financing_id')} FROM ({contract_events_sql()})",
         "synth_events": counter_select("event_id", "ts", "events"),
         "synth_contract_events": contract_events_sql(),

@@ -16,7 +16,7 @@ STREAMING_OR_FILE_KEYS = {
     "bronze_ingest", "bronze_incremental", "jsonl_line_count", "silver_stream", "quarantine",
     "gold_stream_closed", "gold_snapshot", "medallion_chain", "layer_audit", "gold_upsert",
     "category_summary_stream", "valid_partitioned", "fanout_summary", "gold_incremental",
-    "contract_raw_violations", "gold_closed_windows", "layer_reconcile",
+    "contract_raw_violations", "gold_closed_windows", "layer_reconcile", "contract_document",
 }
 
 
