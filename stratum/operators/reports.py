@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.money import Measure, final_column, partial_columns
+from stratum.session import scratch
 
 REPORT_DIMS = ("region", "vehicle_type", "segment")
 
@@ -23,6 +24,40 @@ def _rollup(df: DataFrame, dims, measures, money: str) -> DataFrame:
     return df.groupBy(*dims).agg(*parts).select(*dims, *[final_column(m, money) for m in measures])
 
 
+def summary_order() -> list:
+    return [F.desc("total_financed_amount"), *REPORT_DIMS]
+
+
+def windows_order() -> list:
+    return ["window_start", F.desc("total_financed_amount"), "segment", "region", "vehicle_type", "vehicle_brand",
+            "vehicle_model"]
+
+
+def gold_order() -> list:
+    return ["window_start", "region", "vehicle_type", "segment", "vehicle_brand", "vehicle_model"]
+
+
+def positions(df: DataFrame, order: list) -> DataFrame:
+    """``df`` with each row's ``position`` (from 1) in the total order given.
+
+    Rows are dealt by ranges of the sort key and sorted per range; a row's position is
+    its place in its range plus the rows of the ranges before. Only the ranges' sizes
+    come together, never the rows. The sorted rows are written first, as places must
+    not be dealt anew.
+    """
+    path = scratch(df.sparkSession, "positions")
+    df.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "*", F.spark_partition_id().alias("__range"), F.monotonically_increasing_id().alias("__place")
+    ).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = rows.groupBy("__range").agg(F.count(F.lit(1)).alias("n"), F.min("__place").alias("__first")).select(
+        "__range", "__first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before")
+    )  # one row a range
+    placed = rows.join(F.broadcast(ranges), "__range")
+    return placed.select(*df.columns, (F.col("__place") - F.col("__first") + F.col("__before") + 1).alias("position"))
+
+
 def summary(gold: DataFrame, money: str = "exact", with_average: bool = True,
             round_total: bool = True) -> DataFrame:
     """Per region/type/segment: windows' counts summed, totals summed, mean of
@@ -39,7 +74,7 @@ def summary(gold: DataFrame, money: str = "exact", with_average: bool = True,
         *[c for m in measures for c in partial_columns(m, money)],
     )
     out = counted.select(*REPORT_DIMS, "financing_count", *[final_column(m, money) for m in measures])
-    return out.orderBy(F.desc("total_financed_amount"), *REPORT_DIMS)
+    return out.orderBy(*summary_order())
 
 
 def summary_totals(gold: DataFrame, money: str = "exact") -> DataFrame:
@@ -53,24 +88,20 @@ def summary_weighted(silver: DataFrame, money: str = "exact") -> DataFrame:
         Measure("total_financed_amount", "sum", "financed_amount", 2),
         Measure("avg_installment", "avg", "monthly_installment", 2),
     ]
-    return _rollup(silver, REPORT_DIMS, measures, money).orderBy(
-        F.desc("total_financed_amount"), *REPORT_DIMS
-    )
+    return _rollup(silver, REPORT_DIMS, measures, money).orderBy(*summary_order())
 
 
 def windows(gold: DataFrame) -> DataFrame:
     return gold.select(
         "window_start", "window_end", "vehicle_model", "financing_count", "total_financed_amount",
         "segment", "region", "vehicle_type", "vehicle_brand",
-    ).orderBy("window_start", F.desc("total_financed_amount"), "segment", "region",
-              "vehicle_type", "vehicle_brand", "vehicle_model").select(
+    ).orderBy(*windows_order()).select(
         "window_start", "window_end", "vehicle_model", "financing_count", "total_financed_amount"
     )
 
 
 def ordered(gold: DataFrame) -> DataFrame:
-    return gold.orderBy("window_start", "region", "vehicle_type", "segment", "vehicle_brand",
-                        "vehicle_model")
+    return gold.orderBy(*gold_order())
 
 
 def row_count(df: DataFrame) -> DataFrame:

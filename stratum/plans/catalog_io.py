@@ -234,6 +234,21 @@ def q_gold_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.row_count(_gold(spark, sf_dir))
 
 
+# the three sorted reports with each row's place: the order itself is compared
+
+def q_report_summary_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.positions(reports.summary(_gold(spark, sf_dir)), reports.summary_order())
+
+
+def q_report_windows_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = reports.positions(_gold(spark, sf_dir), reports.windows_order())
+    return placed.select("position", "window_start", "window_end", "vehicle_model", "financing_count", "total_financed_amount")
+
+
+def q_gold_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.positions(_gold(spark, sf_dir), reports.gold_order())
+
+
 # ---- streams over the given tables -----------------------------------------
 
 def _events_schema(spark: SparkSession, sf_dir: str):
@@ -289,6 +304,9 @@ def queries() -> dict:
         "report_windows": q_report_windows,
         "gold_ordered": q_gold_ordered,
         "gold_row_count": q_gold_row_count,
+        "report_summary_positions": q_report_summary_positions,
+        "report_windows_positions": q_report_windows_positions,
+        "gold_positions": q_gold_positions,
         "category_summary_stream": q_category_summary_stream,
         "valid_partitioned": q_valid_partitioned,
         "fanout_summary": q_fanout_summary,

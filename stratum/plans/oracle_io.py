@@ -75,7 +75,25 @@ def oracle_sql() -> dict[str, str]:
         f"UNION ALL SELECT 'reconcile:silver_ids-gold_count',"
         f" (SELECT count(financing_id) FROM silver) - (SELECT CAST(coalesce(sum(financing_count), 0) AS BIGINT) FROM gold), 0, ''"
     )
+    def placed(order: str) -> str:
+        terms = [f"{t} NULLS LAST" if t.endswith(" DESC") else f"{t} NULLS FIRST" for t in order.split(", ")]
+        return f"row_number() OVER (ORDER BY {', '.join(terms)}) AS position"
+
+    summary_sql = (
+        f"SELECT {summary_cols}, {exact_avg('average_monthly_installment', 2)} AS avg_installment FROM gold GROUP BY ALL"
+    )
     return {
+        "report_summary_positions": g + (
+            f"SELECT *, {placed('total_financed_amount DESC, region, vehicle_type, segment')} FROM ({summary_sql})"
+        ),
+        "report_windows_positions": g + (
+            "SELECT window_start, window_end, vehicle_model, financing_count, total_financed_amount, "
+            + placed("window_start, total_financed_amount DESC, segment, region, vehicle_type, vehicle_brand, vehicle_model")
+            + " FROM gold"
+        ),
+        "gold_positions": g + (
+            f"SELECT *, {placed('window_start, region, vehicle_type, segment, vehicle_brand, vehicle_model')} FROM gold"
+        ),
         "bronze_ingest": fin_all,
         "bronze_incremental": fin_all,
         "jsonl_line_count": "SELECT count(*) AS line_count FROM orders",
@@ -97,10 +115,7 @@ def oracle_sql() -> dict[str, str]:
             "UNION ALL SELECT 'silver-gold', count(*), 0, 0 FROM gold"
         ),
         "gold_upsert": upsert,
-        "report_summary": g + (
-            f"SELECT {summary_cols}, {exact_avg('average_monthly_installment', 2)} AS avg_installment"
-            " FROM gold GROUP BY ALL"
-        ),
+        "report_summary": g + summary_sql,
         "report_summary_totals": g + f"SELECT {summary_cols} FROM gold GROUP BY ALL",
         "report_summary_raw_total": (
             f"WITH {base_ctes()},\ngold AS ({gold_select('silver', C.GOLD_WINDOW, 'double')})\n"

@@ -17,6 +17,7 @@ STREAMING_OR_FILE_KEYS = {
     "gold_stream_closed", "gold_snapshot", "medallion_chain", "layer_audit", "gold_upsert",
     "category_summary_stream", "valid_partitioned", "fanout_summary", "gold_incremental",
     "contract_raw_violations", "gold_closed_windows", "layer_reconcile", "contract_document",
+    "report_summary_positions", "report_windows_positions", "gold_positions",
 }
 
 

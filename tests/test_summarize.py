@@ -215,3 +215,17 @@ def test_double_sums_of_special_values(spark):
     assert got["e"].total_amount == 1e300
     assert (got["f"].total_amount, got["f"].average_amount) == (-0.13, -0.06)
     assert got["g"].total_amount == 0.0 and got["h"].average_amount == 2.5
+
+
+def test_positions_follow_the_order_over_many_ranges(spark):
+    import random
+
+    r = random.Random(2)
+    rows = [(r.randrange(500), None if i % 50 == 0 else r.choice("abc"), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a long, b string, k long").repartition(7)
+    order = [F.desc("a"), "b", "k"]
+    got = reports.positions(df, order).orderBy("position").collect()
+    assert [x.position for x in got] == list(range(1, 3001))
+    want = sorted(rows, key=lambda x: (-x[0], x[1] is not None, x[1] or "", x[2]))
+    assert [(x.a, x.b, x.k) for x in got] == want
+    assert reports.positions(df.where("false"), order).collect() == []
