@@ -2,13 +2,16 @@
 MLlib operations only).
 
 Given rules are (host, path, verdict). A rule fits its host and all subdomains
-where the url's path starts with the rule's; the longest rule wins (of equals the
-first in code-point order). Host suffixes of each distinct address are joined to
+where the url's path starts with the rule's; the longest rule wins (of one rule
+given with both verdicts, block). Host suffixes of each distinct address are joined to
 the rules' hosts, so any number of rules costs one equi-join.
 
 Addresses that no rule fits are judged by association rules. Spark's FP-growth
 mines combinations of url tokens (host labels, path segments without numbers)
-among labelled urls, with the label as one more item. Combinations that imply
+among labelled urls, with the label as one more item. Tokens that occur in exactly the
+same labelled urls (the levels of one directory, say) are mined as one item, which loses
+nothing: a combination with one of them holds wherever one with another does. An address
+holds the item if it has any of its tokens. Combinations that imply
 "block" with enough confidence and support are kept, unless a part of the
 combination is a rule already. Each kept rule is filed under its rarest token
 only (an inverted index), so a token that all urls share doesn't meet all rules;
@@ -62,7 +65,7 @@ def host_suffixes(host: Column) -> Column:
 
 def ruled(addresses: DataFrame, rules: DataFrame) -> DataFrame:
     """``host, path, rule, given`` of the addresses that a rule fits."""
-    order = F.struct(F.length("rule").alias("n"), (-F.length("rule_host")).alias("h"))
+    order = F.struct(F.length("rule").alias("n"), (-F.length("rule_host")).alias("h"), "given")
     return (
         addresses.withColumn("rule_host", F.explode(F.array_distinct(host_suffixes(F.col("host")))))
         .join(rules, "rule_host").where(F.col("path").startswith(F.col("rule_path")))
@@ -79,48 +82,75 @@ def tokens(host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(labels, words))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """``items, confidence, support``: token combinations that imply block.
+def items_of(labelled: DataFrame) -> DataFrame:
+    """``token, item``: the least of the tokens that occur in exactly the same rows.
 
-    ``labelled`` holds ``tokens`` and ``block`` (boolean), a row per url.
+    Rows with equal tokens are equal here; a token's rows are known by their number and
+    two sums of 64-bit hashes.
+    """
+    hashes = [F.xxhash64(F.lit(seed), "tokens").cast("decimal(20,0)").alias(f"h{seed}") for seed in (1, 2)]
+    each = labelled.select(F.explode("tokens").alias("token"), *hashes)
+    places = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("h1").alias("s1"), F.sum("h2").alias("s2"))
+    least = places.groupBy("n", "s1", "s2").agg(F.min("token").alias("item"))
+    return places.join(least, ["n", "s1", "s2"]).select("token", "item")
+
+
+def in_items(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` (distinct ``keys``, ``tokens``) with their ``items``; tokens in no item go."""
+    return rows.withColumn("token", F.explode("tokens")).join(known, "token").groupBy(*keys).agg(F.collect_set("item").alias("items"))
+
+
+def mine(
+    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
+) -> tuple[DataFrame, DataFrame]:
+    """``items, confidence, support`` of the combinations that imply block, and the
+    ``token, item`` table that they are spelled in.
+
+    ``labelled`` holds ``tokens`` (an array without repeats) and ``block``, a row per url.
     """
     spark = labelled.sparkSession
-    baskets = labelled.where(F.size("tokens") > 0).select(
-        F.when(F.col("block"), F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items")
+    labelled = labelled.where(F.size("tokens") > 0).select(F.array_sort("tokens").alias("tokens"), "block").checkpoint()
+    known = items_of(labelled).checkpoint()
+    if known.isEmpty():
+        return spark.createDataFrame([], "items array<string>, confidence double, support double"), known
+    # urls with the same tokens and label are one row with a number until they are baskets
+    alike = labelled.groupBy("tokens", "block").agg(F.count(F.lit(1)).alias("n"))
+    alike = alike.withColumn("h1", F.xxhash64(F.lit(1), "tokens")).withColumn("h2", F.xxhash64(F.lit(2), "tokens"))
+    baskets = in_items(alike, known, ["h1", "h2", "block", "n"]).select(
+        F.when(F.col("block"), F.array_append("items", F.lit(BLOCK))).otherwise(F.col("items")).alias("items"),
+        F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("turn"),
     )
-    if baskets.isEmpty():
-        return spark.createDataFrame([], "items array<string>, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets.select("items"))
     found = (
         model.associationRules.where(F.array_contains("consequent", BLOCK))
         .select(F.array_sort("antecedent").alias("items"), "confidence", "support").checkpoint()
     )
-    # a rule is redundant where a proper part of it is a rule: look its parts up by one token fewer, then fewer still
-    general = found.select(F.col("items").alias("part"), F.explode("items").alias("token"))
+    # a rule is redundant where a proper part of it is a rule: look its parts up by one item fewer, then fewer still
+    general = found.select(F.col("items").alias("part"), F.explode("items").alias("item"))
     redundant = (
-        found.select(F.col("items").alias("whole"), F.explode("items").alias("token"))
-        .join(general, "token").where((F.size("part") < F.size("whole")) & (F.size(F.array_except("part", "whole")) == 0))
+        found.select(F.col("items").alias("whole"), F.explode("items").alias("item"))
+        .join(general, "item").where((F.size("part") < F.size("whole")) & (F.size(F.array_except("part", "whole")) == 0))
         .select(F.col("whole").alias("items")).distinct()
     )
-    return found.join(redundant, "items", "left_anti")
+    return found.join(redundant, "items", "left_anti"), known
 
 
 def index(rules: DataFrame, addresses: DataFrame) -> DataFrame:
-    """``token, items, confidence``: each rule under its rarest token among the addresses."""
-    df = addresses.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    rare = F.min_by(F.col("token"), F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("token").alias("t")))
+    """``item, rule, confidence``: each rule under its rarest item among the addresses."""
+    df = addresses.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    rare = F.min_by(F.col("item"), F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("item").alias("t")))
     return (
-        rules.withColumn("token", F.explode("items")).join(df, "token", "left")
-        .groupBy("items").agg(rare.alias("token"), F.max("confidence").alias("confidence"))
+        rules.select(F.col("items").alias("rule"), F.explode("items").alias("item"), "confidence").join(df, "item", "left")
+        .groupBy("rule").agg(rare.alias("item"), F.max("confidence").alias("confidence"))
     )
 
 
 def matched(addresses: DataFrame, filed: DataFrame) -> DataFrame:
     """``host, path, mined, confidence``: the most confident rule each address holds."""
-    best = F.struct("confidence", (-F.size("items")).alias("n"), F.array_join("items", " ").alias("mined"))
+    best = F.struct("confidence", (-F.size("rule")).alias("n"), F.array_join("rule", " ").alias("mined"))
     return (
-        addresses.withColumn("token", F.explode("tokens")).join(filed, "token")
-        .where(F.size(F.array_except("items", "tokens")) == 0)
+        addresses.withColumn("item", F.explode("items")).join(filed, "item")
+        .where(F.size(F.array_except("rule", "items")) == 0)
         .groupBy("host", "path").agg(F.max(best).alias("m")).select("host", "path", "m.mined", "m.confidence")
     )
 
@@ -133,10 +163,11 @@ def judge(pages: DataFrame, rules: DataFrame, labels: DataFrame, id_col: str = "
     rows = pages.select(pages[id_col].alias("page_id"), host_of(pages[url_col]).alias("host"), path_of(pages[url_col]).alias("path"))
     addresses = rows.select("host", "path").distinct().withColumn("tokens", tokens(F.col("host"), F.col("path"))).checkpoint()
     given = ruled(addresses.select("host", "path"), rules)
-    filed = index(mine(labels.select(tokens(host_of(F.col("url")), path_of(F.col("url"))).alias("tokens"), "block")), addresses)
+    mined, known = mine(labels.select(tokens(host_of(F.col("url")), path_of(F.col("url"))).alias("tokens"), "block"))
+    held = in_items(addresses, known, ["host", "path"])
     verdicts = (
         addresses.select("host", "path")
-        .join(given, ["host", "path"], "left").join(matched(addresses, filed), ["host", "path"], "left")
+        .join(given, ["host", "path"], "left").join(matched(held, index(mined, held)), ["host", "path"], "left")
         .withColumn("verdict", F.coalesce("given", F.when(F.col("mined").isNotNull(), "block").otherwise("allow")))
     )
     return rows.join(verdicts, ["host", "path"], "left").select(

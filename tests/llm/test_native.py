@@ -1,8 +1,11 @@
 """The operators of DataFrame operations only."""
 
 import random
+import re
+from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from frames import docs, workers  # noqa: F401 - fixtures
 from stratum.llm import license_digest, line_runs, queries, url_rules
@@ -88,3 +91,58 @@ def test_mined_rules(spark):
     got = url_rules.judge(pages(spark, urls), url_rules.rule_table(spark, queries.URL_RULES), labels).collect()
     assert {x.page_id: x.verdict for x in got} == {k: "block" if k % 4 == 0 else "allow" for k in range(8)}
     assert {x.mined for x in got if x.verdict == "block"} == {"host=casino path=play"}
+
+
+def tokens_of(url):
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host):])[0]
+    words = [re.sub(r"\.[a-z0-9]+$", "", w.lower()) for w in path.split("/")]
+    return {f"host={x}" for x in host.lower().split(".") if x} | {f"path={w}" for w in words if w and not re.fullmatch("[0-9]+", w)}
+
+
+def brute_verdicts(labelled, urls, support, confidence):
+    """Every combination of tokens of a labelled url, counted over all of them."""
+    rows = [(tokens_of(u), b) for u, b in labelled]
+    rules = []
+    for combo in sorted({c for t, _ in rows for n in range(1, len(t) + 1) for c in map(frozenset, combinations(sorted(t), n))}, key=len):
+        held = [b for t, b in rows if combo <= t]
+        if sum(held) >= support * len(rows) and sum(held) >= confidence * len(held) and not any(r < combo for r in rules):
+            rules.append(combo)
+    return ["block" if any(r <= tokens_of(u) for r in rules) else "allow" for u in urls]
+
+
+def test_mined_rules_equal_every_combination(spark):
+    r = random.Random(6)
+    for turn in range(3):
+        host = lambda: f"{r.choice('ab')}.{r.choice(['casino', 'games', 'news'])}.{r.choice(['org', 'test'])}"
+        url = lambda: f"http://{host()}/{'/'.join(r.choice(['play', 'win', 'help', 'x.html', '7']) for _ in range(r.randrange(4)))}"
+        labelled = [(u, r.random() < (0.95 if "casino" in u and "play" in u else 0.3)) for u in (url() for _ in range(120))]
+        urls = [url() for _ in range(80)]
+        frame = spark.createDataFrame(labelled, "url string, block boolean")
+        mined, known = url_rules.mine(
+            frame.select(url_rules.tokens(url_rules.host_of(F.col("url")), url_rules.path_of(F.col("url"))).alias("tokens"), "block"), 0.02, 0.8)
+        found = [set(x[0]) for x in mined.select("items").collect()]
+        item = {x.token: x.item for x in known.collect()}
+        got = ["block" if any(f <= {item.get(t) for t in tokens_of(u)} for f in found) else "allow" for u in urls]
+        assert got == brute_verdicts(labelled, urls, 0.02, 0.8) and found
+
+
+def test_deep_directories_are_mined_as_one_item(spark):
+    """25 shared levels would be 2^25 combinations."""
+    deep = "/".join(f"level{k}" for k in range(25))
+    labelled = [(f"http://bad.org/{deep}/{k}", True) for k in range(20)] + [(f"http://good.org/{k}", False) for k in range(20)]
+    labels = spark.createDataFrame(labelled, "url string, block boolean")
+    urls = [f"http://else.com/{deep}/9", "http://bad.org/other", "http://good.org/1", "http://else.com/a/level7/b"]
+    got = url_rules.judge(pages(spark, urls), url_rules.rule_table(spark, queries.URL_RULES[3:]), labels).collect()
+    assert {x.page_id: x.verdict for x in got} == {0: "block", 1: "block", 2: "allow", 3: "block"}
+    assert len({x.mined for x in got if x.mined}) == 1
+
+
+def test_rules_given_twice_repeated_ids_and_long_urls(spark):
+    rules = url_rules.rule_table(spark, [("x.com", "/a", "allow"), ("x.com", "/a", "block"), ("x.com", "/", "allow")])
+    none = spark.createDataFrame([], "url string, block boolean")
+    long = "http://x.com/a" + "b/" * 100_000
+    page = spark.createDataFrame([(1, "http://x.com/ab"), (1, "http://x.com/b"), (None, long), (1, "http://x.com/ab")], "page_id long, url string")
+    got = sorted(((x.page_id, len(x.path), x.rule, x.verdict) for x in url_rules.judge(page, rules, none).collect()), key=str)
+    assert got == sorted([(1, 3, "x.com/a", "block"), (1, 3, "x.com/a", "block"), (1, 2, "x.com/", "allow"), (None, 200_002, "x.com/a", "block")], key=str)
