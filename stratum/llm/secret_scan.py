@@ -5,8 +5,10 @@ text. Beyond them, runs of key-like characters are encoded with a byte-level
 vocabulary: words of a language cost few tokens a character, random strings
 many, so a run whose characters per token fall under ``max_ratio`` is reported
 as ``random``, unless it is a known identifier form (a digest of a usual length,
-a UUID) or already inside a base span. Runs of letters of one case are judged by the
-same ratio; random ones of 20 to 22 letters can lie just above it.
+a UUID). Base spans are cut out of a run first and what is left on either side is
+judged by itself. Runs of 16 to 19 characters need a lower ratio, ``short_ratio``: so
+short a word of a language can cost as many tokens as a random string of one case.
+Runs of letters of one case are judged like others; a few random ones lie just above.
 
 Defined results: null or empty text has no span; extra columns are ignored; a
 null id gives a row with a null id; repeated rows give a row each; an empty
@@ -35,7 +37,9 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 LONG_HEX = re.compile(r"[0-9a-f]{32,}")
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: Characters of the shortest run that is judged, and of the shortest judged by ``max_ratio``.
+SHORTEST, LONG = 16, 20
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 #: Lengths of hex digests in common use (MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512).
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
@@ -73,18 +77,28 @@ def encoder(path: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def finder(path: str, pattern: str, max_ratio: float) -> Callable[[str], list[Span]]:
+def outside(start: int, end: int, base: list[Span]) -> list[tuple[int, int]]:
+    """What is left of a run when the base spans (sorted by start) are cut out."""
+    left = []
+    for _, s, e in base:
+        if s < end and start < e:
+            left.append((start, s))
+            start = max(start, e)
+    return [(s, e) for s, e in [*left, (start, end)] if e - s >= SHORTEST]
+
+
+def finder(path: str, pattern: str, max_ratio: float, short_ratio: float) -> Callable[[str, list[Span]], list[Span]]:
     """text -> spans of the method: runs that cost too many tokens."""
     enc = encoder(path, pattern)
 
     def find(text: str, base: list[Span]) -> list[Span]:
         found = []
         for m in RUN.finditer(text):
-            run, (start, end) = m[0], m.span()
-            if known_identifier(run) or any(s < end and start < e for _, s, e in base):
-                continue
-            if len(run) < max_ratio * len(enc.encode_ordinary(run)):
-                found.append(("random", start, end))
+            for start, end in outside(*m.span(), base):
+                run = text[start:end]
+                ratio = max_ratio if len(run) >= LONG else short_ratio
+                if not known_identifier(run) and len(run) < ratio * len(enc.encode_ordinary(run)):
+                    found.append(("random", start, end))
         return found
 
     return find
@@ -99,6 +113,7 @@ def scan_secrets(
     rank_file: str,
     token_pattern: str,
     max_ratio: float = 2.2,
+    short_ratio: float = 1.85,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -108,7 +123,7 @@ def scan_secrets(
     )
 
     def make():
-        find = finder(rank_file, token_pattern, max_ratio)
+        find = finder(rank_file, token_pattern, max_ratio, short_ratio)
 
         def one(doc, text):
             text = text or ""
