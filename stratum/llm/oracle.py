@@ -83,6 +83,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 """
 
 
+def ablation_sql() -> str:
+    def line(p, r):
+        bit = 1 << r.bit
+        return (
+            f"SELECT {p.version} AS version, '{r.name}' AS rule, count(*) FILTER (WHERE fail_bits & {bit} <> 0) AS n_fail, "
+            f"count(*) FILTER (WHERE fail_bits & {p.mask} = {bit}) AS n_only FROM b"
+        )
+
+    lines = [line(p, r) for p in rule_ledger.POLICIES.values() for r in rule_ledger.RULES if r.name in p.rules]
+    return f"WITH b AS ({op9_sql()})\n" + "\nUNION ALL ".join(lines)
+
+
 def op11_sql() -> str:
     def terms(table: str, key: str) -> str:
         lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -108,5 +120,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_licenses": op7_sql(),
         "op8_line_runs": op8_sql(),
         "op9_rule_ledger": op9_sql(),
+        "rule_ablation": ablation_sql(),
         "op11_block_max": op11_sql(),
     }

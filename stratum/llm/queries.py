@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from stratum.llm import (
     secret_scan, spaced_seed, url_rules,
 )
 from stratum.llm.common import reach_workers, table
+from stratum.session import scratch
 
 #: Given url rules of the page filter: host, path, verdict.
 URL_RULES = [
@@ -83,15 +85,31 @@ def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def stored_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule evaluated once, written, and read back for the policies."""
+    path = scratch(spark, "rule-ledger")
+    rule_ledger.write_ledger(rule_ledger.ledger(rule_ledger.measure(documents(spark, sf_dir))), path)
+    return rule_ledger.read_ledger(spark, path)
+
+
 def op9_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    book = rule_ledger.ledger(rule_ledger.measure(documents(spark, sf_dir)))
     base = F.col("fail_bits").bitwiseAND(F.lit(rule_ledger.POLICIES[1].mask)) != 0
-    return rule_ledger.apply_policy(book, rule_ledger.POLICIES[2]).select(
+    return rule_ledger.apply_policy(stored_ledger(spark, sf_dir), rule_ledger.POLICIES[2]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base.alias("base_failed"), "kept", "fail_bits",
     )
 
 
+def rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule fails, and what it alone rejects, under every policy."""
+    book = stored_ledger(spark, sf_dir)
+    parts = [
+        rule_ledger.ablation(book, p).select(F.lit(p.version).alias("version"), "rule", "n_fail", "n_only")
+        for p in rule_ledger.POLICIES.values()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def op10_spaced_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spaced_seed.find_overlaps(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
@@ -123,6 +141,6 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_bpe, op2_secrets, op3_pitman_yor, op4_url_rules, op5_partenum, op6_langid, op7_licenses, op8_line_runs,
-        op9_rule_ledger, op10_spaced_seed, op11_block_max, op12_byte_bpe, op13_periodic_runs,
+        op9_rule_ledger, rule_ablation, op10_spaced_seed, op11_block_max, op12_byte_bpe, op13_periodic_runs,
     )
     return {f.__name__: f for f in found}

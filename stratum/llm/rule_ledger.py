@@ -1,8 +1,9 @@
 """Quality rules as a bitmask ledger.
 
 ``measure`` counts each text once; ``ledger`` evaluates every rule once on the
-counts and stores the failures as one bigint of bits beside the measurements.
-A ``Policy`` is a versioned mask over those bits: applying another version, or
+counts and gives the failures as one bigint of bits beside the measurements;
+``write_ledger`` stores that as a Parquet table with the rules in force beside it,
+and ``read_ledger`` refuses a book whose bits mean other rules. A ``Policy`` is a versioned mask over those bits: applying another version, or
 asking what one rule alone removes, is bitwise work on the ledger and never
 reads a text again.
 
@@ -13,14 +14,16 @@ row each; an empty table gives an empty ledger. Whole texts are read.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm.common import row_step, scan, utf8
+from stratum.session import create_file, read_file
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = (
@@ -62,6 +65,7 @@ class Policy:
         return sum(1 << bits[name] for name in set(self.rules))
 
 
+LEDGER = "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES) + ", fail_bits long"
 POLICIES = {
     1: Policy(1, BASE),
     2: Policy(2, tuple(r.name for r in RULES)),
@@ -112,6 +116,23 @@ def ledger(measures: DataFrame) -> DataFrame:
     return measures.withColumn("fail_bits", F.expr(bits))
 
 
+def rules_text() -> str:
+    return json.dumps([[r.bit, r.name, r.fails] for r in RULES])
+
+
+def write_ledger(book: DataFrame, path: str) -> None:
+    """Store a ledger: texts are not read again, whatever policy is asked for later."""
+    book.write.parquet(path)
+    create_file(book.sparkSession, f"{path}/_rules.json", rules_text())
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """A stored ledger; raises if it was made under other rules."""
+    if read_file(spark, f"{path}/_rules.json") != rules_text():
+        raise ValueError(f"the bits of {path} stand for other rules than these")
+    return spark.read.schema(LEDGER).parquet(path)
+
+
 def apply_policy(book: DataFrame, policy: Policy) -> DataFrame:
     """``kept``: no rule of the policy fails."""
     return book.withColumn("kept", F.col("fail_bits").bitwiseAND(F.lit(policy.mask)) == 0)
