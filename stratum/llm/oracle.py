@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import regex
+
 from stratum.llm import license_digest, rule_ledger
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,25 +27,39 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
 
-def op7_sql() -> str:
-    def lines(text: str) -> str:
-        plain = rf"regexp_replace(lower(coalesce({text}, '')), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
-        for variant, one in license_digest.SPELLINGS:
-            plain = f"replace({plain}, '{variant}', '{one}')"
-        each = f"list_transform(string_split({plain}, chr(10)), lambda x: trim(x))"
-        return f"list_filter({each}, lambda x: x <> '' AND NOT regexp_matches(x, '{license_digest.COPYRIGHT}'))"
+def canonical_text(text: str, title: bool = True) -> str:
+    """A known text's canonical form, in plain Python."""
+    plain = regex.sub(r"[^\p{L}\p{N}\n]+", " ", text.lower())
+    for variant, one in license_digest.SPELLINGS:
+        plain = plain.replace(variant, one)
+    lines = [x.strip() for x in plain.split("\n") if x.strip()][0 if title else 1 :]
+    own = " ".join(x for x in lines if not regex.match(license_digest.COPYRIGHT, x))
+    return regex.sub(*license_digest.ENDORSE, own)
 
-    def known(texts: dict[str, str]) -> str:
-        rows = ", ".join("('{}', '{}')".format(*(v.replace("'", "''") for v in r)) for r in sorted(texts.items()))
-        return f"SELECT md5(array_to_string({lines('text')}, ' ')) AS known, min(name) AS name FROM (VALUES {rows}) v(name, text) GROUP BY 1"
 
+def op7_sql() -> str:
+    plain = r"regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}\n]+', ' ', 'g')"
+    for variant, one in license_digest.SPELLINGS:
+        plain = f"replace({plain}, '{variant}', '{one}')"
+    lines = f"list_filter(list_transform(string_split({plain}, chr(10)), lambda x: trim(x)), lambda x: x <> '')"
+    names: dict[str, str] = {}
+    for name, text in sorted(license_digest.known_texts().items()):
+        for title in (True, False):
+            names.setdefault(hashlib.md5(canonical_text(text, title).encode()).hexdigest(), name)
+    values = ", ".join(f"('{d}', '{n}')" for d, n in sorted(names.items()))
+    said = ", ".join(
+        "CASE WHEN " + " OR ".join(f"contains(whole, ' {p} ')" for p in phrases) + f" THEN '{name}' END"
+        for name, phrases in sorted(license_digest.PHRASES.items())
+    )
+    pattern, one = license_digest.ENDORSE
     return f"""
-WITH whole AS ({known(license_digest.LICENSES)}), short AS ({known(license_digest.NOTICES)}),
-t AS (SELECT doc_id, {lines('text')} AS ls FROM documents),
-f AS (SELECT doc_id, string_agg(name, ',' ORDER BY name) AS notices FROM (
-  SELECT DISTINCT doc_id, name FROM (SELECT doc_id, md5(unnest(ls)) AS known FROM t) x JOIN short USING (known)) GROUP BY 1)
-SELECT t.doc_id, md5(array_to_string(ls, ' ')) AS digest, whole.name AS license, f.notices
-FROM t LEFT JOIN whole ON whole.known = md5(array_to_string(ls, ' ')) LEFT JOIN f ON f.doc_id = t.doc_id
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, {lines} AS ls FROM documents),
+c AS (SELECT doc_id, text, ' ' || array_to_string(ls, ' ') || ' ' AS whole,
+  md5(regexp_replace(array_to_string(list_filter(ls, lambda x: NOT regexp_matches(x, '{license_digest.COPYRIGHT}')), ' '), '{pattern}', '{one}', 'g')) AS digest FROM t),
+n AS (SELECT doc_id, digest, list_sort(list_distinct(list_filter(
+  list_concat([{said}], regexp_extract_all(text, '{license_digest.SPDX}', 1)), lambda x: x IS NOT NULL))) AS names FROM c)
+SELECT doc_id, digest, k.name AS license, CASE WHEN len(names) > 0 THEN array_to_string(names, ',') END AS notices
+FROM n LEFT JOIN (VALUES {values}) k(known, name) ON k.known = n.digest
 """
 
 

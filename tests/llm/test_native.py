@@ -52,17 +52,47 @@ def test_lines_of_an_empty_table(spark, docs):
 
 
 def test_licenses(spark, docs):
-    mit = license_digest.LICENSES["MIT"]
+    texts = license_digest.known_texts()
+    mit = texts["MIT"]
     changed = mit.upper().replace("YEAR HOLDER", "2031 Someone, Inc.").replace(",", " ;").replace("\n", "\r\n").replace("LICENSE", "LICENCE")
-    notice = license_digest.NOTICES["GPL-3.0"]
+    notice = "This work is licensed under the GNU General Public License, version 3."
     rows = [(1, mit), (2, changed), (3, mit + "\nbut more"), (4, f"text\n  {notice.upper()}\nReleased under the MIT Licence"), (5, None), (6, ""),
-            (None, license_digest.LICENSES["ISC"]), (7, "plain"), (7, notice)]
+            (None, texts["ISC"]), (7, "plain"), (7, notice), (8, mit.split("\n", 1)[1]), (9, "word " * 200_000 + notice), (8, "x")]
     got = sorted(((x.doc_id, x.license, x.notices) for x in license_digest.scan_licenses(docs(rows)).collect()), key=str)
     assert got == sorted([(1, "MIT", None), (2, "MIT", None), (3, None, None), (4, None, "GPL-3.0,MIT"), (5, None, None), (6, None, None),
-                          (None, "ISC", None), (7, None, "GPL-3.0"), (7, None, "GPL-3.0")], key=str)
+                          (None, "ISC", None), (7, None, None), (7, None, "GPL-3.0"), (8, "MIT", None), (9, None, "GPL-3.0"), (8, None, None)], key=str)
     assert license_digest.scan_licenses(docs([])).collect() == []
 
 
+def test_whole_licence_texts(spark, docs):
+    """Every known text is found, also rewrapped, retitled and with another holder."""
+    texts = license_digest.known_texts()
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "MIT", "ISC"} <= set(texts)
+    names = sorted(texts)
+    # lines broken elsewhere in the second half, but never so that one begins like a copyright line
+    wrap = lambda t: re.sub(r"(?i)(\w) (?!copyright|copr|c\b|all rights)(\w)", r"\1\n   \2", t, count=40)
+    wrapped = [t[: len(t) // 2] + wrap(t[len(t) // 2 :]) for t in map(texts.get, names)]
+    bsd = texts["BSD-3-Clause"].replace("the copyright holder nor", "Example University, Inc. nor").replace("year holder", "1999, 2003 Example University")
+    rows = list(enumerate([texts[n] for n in names] + wrapped + [bsd]))
+    got = {x.doc_id: x.license for x in license_digest.scan_licenses(docs(rows)).collect()}
+    assert [got[k] for k in range(len(names))] == names and got[2 * len(names)] == "BSD-3-Clause"
+    assert [got[len(names) + k] for k in range(len(names))] == names
+
+
+def test_notices_anywhere_in_a_text(spark, docs):
+    said = {
+        "Licensed under the MIT License.": "MIT", "// SPDX-License-Identifier: Apache-2.0": "Apache-2.0", "some text. Released under the MIT License. And more": "MIT",
+        'Copyright 2020 X. Licensed under the Apache License, Version 2.0 (the "License"); you may not use': "Apache-2.0",
+        "you can redistribute it under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License": "GPL-3.0",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Licensed under CC BY 4.0.": "CC-BY-4.0", "under the BSD 3-Clause Licence": "BSD-3-Clause",
+        "# SPDX-License-Identifier: MIT-0\n# SPDX-License-Identifier:GPL-2.0-only WITH x": "GPL-2.0-only,MIT-0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "MPL-2.0",
+        "understand the mit license": None, "thunder the MIT license": None, "the committee": None, "under the GNU Lesser General Public License version 3": "LGPL-3.0",
+    }
+    got = {x.doc_id: x.notices for x in license_digest.scan_licenses(docs(list(enumerate(said)))).collect()}
+    assert got == dict(enumerate(said.values()))
+
+
 def pages(spark, urls):
     return spark.createDataFrame([(k, u, "x", "y") for k, u in enumerate(urls)], "page_id long, url string, host string, rule string")
 
