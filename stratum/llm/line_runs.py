@@ -3,7 +3,7 @@
 A line's key is the line without the ASCII white space at its ends, A-Z
 lower-cased; keys of fewer than ``min_chars`` code points are left alone. The
 store holds runs: Parquet files of (128-bit key hash, number of documents,
-keeper), sorted by hash. Batches arrive from the largest ids down. A new batch is
+keeper), bucketed and sorted by hash. Batches arrive from the largest ids down. A new batch is
 reduced to its own distinct keys, merge-anti-joined with the runs to find the keys
 not seen before (their keeper is their largest id in this batch, as no larger id
 can follow), and written as a run of level 0. When a level has ``fanout`` runs
@@ -21,10 +21,13 @@ result. Whole texts are split; every line of a document with a key counts once.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.session import delete_path, scratch
+from stratum.session import delete_path, ensure_dir, list_dirs, path_exists, scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ENDS = " \t\n\r\x0b\x0c"
@@ -58,37 +61,95 @@ def key_hashes(text: Column, min_chars: int) -> Column:
 
 
 class LineRuns:
-    """The levelled store; the driver holds the runs' names only."""
+    """The levelled store under a folder; what it holds is read from there.
+
+    A run is the folder ``level=<l>/run=<k>[-of-<k>.<k>...]``: its number, and for a
+    merged run the numbers of those that it replaces. It counts once Spark's job has
+    marked it whole, and from then on those it names count no more, so a store is right
+    after a crash at any step and can be opened by a later session. All runs are
+    bucketed by the hash alike: a batch is shuffled once and meets each run where it is.
+    """
 
-    def __init__(self, spark: SparkSession, root: str | None = None, fanout: int = 3, min_chars: int = 40):
+    def __init__(self, spark: SparkSession, root: str | None = None, fanout: int = 3, min_chars: int = 40, buckets: int = 0):
         self.spark, self.fanout, self.min_chars = spark, fanout, min_chars
         self.root = root or scratch(spark, "line-runs")
-        self.levels: list[list[str]] = []
-        self.made = 0
-
-    def _write(self, run: DataFrame, level: int) -> None:
-        path = f"{self.root}/level={level}/run={self.made}"
-        self.made += 1
-        run.select("h1", "h2", "n_docs", "keeper").sortWithinPartitions("h1", "h2").write.parquet(path)
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(path)
+        made = next((int(n.split("=")[1]) for n in list_dirs(spark, self.root) if n.startswith("buckets=")), 0)
+        self.buckets = made or buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if not made:
+            ensure_dir(spark, f"{self.root}/buckets={self.buckets}")
+
+    def _whole(self) -> tuple[list[tuple[int, str, str]], set[int]]:
+        """(level, name, path) of the finished runs, and the numbers that a merged one replaces."""
+        whole = [
+            (int(level.split("=")[1]), name, f"{self.root}/{level}/{name}")
+            for level in list_dirs(self.spark, self.root) if level.startswith("level=")
+            for name in list_dirs(self.spark, f"{self.root}/{level}")
+            if path_exists(self.spark, f"{self.root}/{level}/{name}/_SUCCESS")
+        ]
+        return whole, {int(k) for _, name, _ in whole for k in name.partition("-of-")[2].split(".") if k}
+
+    @property
+    def levels(self) -> list[list[str]]:
+        """Paths of the runs that count, by level."""
+        whole, gone = self._whole()
+        out: list[list[str]] = [[] for _ in range(max((x[0] for x in whole), default=-1) + 1)]
+        for level, name, path in sorted(whole, key=lambda x: number(x[1])):
+            if number(name) not in gone:
+                out[level].append(path)
+        return out
+
+    def sweep(self) -> None:
+        """Delete replaced runs that a crash left: before the run that names them goes."""
+        whole, gone = self._whole()
+        for _, name, path in whole:
+            if number(name) in gone:
+                delete_path(self.spark, path)
+
+    def _next(self) -> int:
+        """A number that no run has, whole or not."""
+        names = [n for level in list_dirs(self.spark, self.root) if level.startswith("level=") for n in list_dirs(self.spark, f"{self.root}/{level}")]
+        return max(map(number, names), default=-1) + 1
+
+    def _write(self, run: DataFrame, level: int, replaced: list[str] = []) -> None:  # noqa: B006 - only read
+        of = "-of-" + ".".join(str(number(p.rsplit("/", 1)[1])) for p in replaced) if replaced else ""
+        path = f"{self.root}/level={level}/run={self._next()}{of}"
+        name = f"line_run_{uuid.uuid4().hex[:12]}"
+        dealt = run.select("h1", "h2", "n_docs", "keeper").repartition(self.buckets, "h1", "h2")
+        dealt.write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").format("parquet").option("path", path).saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")  # the name only; the files are the store's
+
+    def read(self, path: str) -> DataFrame:
+        """A run, known to Spark as bucketed."""
+        name = "line_run_" + hashlib.md5(path.encode()).hexdigest()[:16]
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} (h1 BIGINT, h2 BIGINT, n_docs BIGINT, keeper BIGINT) USING parquet "
+            f"CLUSTERED BY (h1, h2) SORTED BY (h1, h2) INTO {self.buckets} BUCKETS LOCATION '{path}'"
+        )
+        return self.spark.table(name)
 
     def _read(self, paths: list[str]) -> DataFrame:
+        """Several runs as plain files: Spark 4.1 adds up a union of bucketed tables
+        without an exchange, but then misses keys that are in several."""
         return self.spark.read.schema(RUN).parquet(*paths) if paths else self.spark.createDataFrame([], RUN)
 
     def paths(self) -> list[str]:
         return [p for level in self.levels for p in level]
 
+    def unseen(self, keys: DataFrame, paths: list[str]) -> DataFrame:
+        """``keys`` that no run has: one anti-join a run, on the buckets as they lie."""
+        for path in paths:
+            keys = keys.join(self.read(path).select("h1", "h2"), ["h1", "h2"], "left_anti")
+        return keys
+
     def ingest(self, docs: DataFrame) -> None:
         """Add a batch (``id``, ``text``) whose ids are all smaller than those before."""
         keys = (
             docs.select("id", F.explode(key_hashes(F.col("text"), self.min_chars)).alias("k"))
             .groupBy("k.h1", "k.h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("keeper"))
         )
-        if self.paths():
+        if paths := self.paths():
             keys = keys.checkpoint()
-            fresh = keys.join(self._read(self.paths()), ["h1", "h2"], "left_anti")
+            fresh = self.unseen(keys, paths).checkpoint()
             again = keys.join(fresh.select("h1", "h2"), ["h1", "h2"], "left_anti").withColumn("keeper", F.lit(None).cast("long"))
             keys = fresh.unionByName(again)
         self._write(keys, 0)
@@ -96,12 +157,12 @@ class LineRuns:
 
     def compact(self) -> None:
         """Merge each full level into one run of the next."""
+        self.sweep()
         level = 0
-        while level < len(self.levels):
-            full = self.levels[level]
+        while level < len(levels := self.levels):
+            full = levels[level]
             if len(full) >= self.fanout:
-                self._write(merged(self._read(full)), level + 1)
-                self.levels[level] = []
+                self._write(merged(self._read(full)), level + 1, full)
                 for path in full:
                     delete_path(self.spark, path)
             level += 1
@@ -112,6 +173,10 @@ class LineRuns:
         return self._read(paths) if len(paths) == 1 else merged(self._read(paths))
 
 
+def number(name: str) -> int:
+    return int(name.partition("-of-")[0].removeprefix("run="))
+
+
 def merged(runs: DataFrame) -> DataFrame:
     return runs.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
 

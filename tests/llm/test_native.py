@@ -44,7 +44,48 @@ def test_runs_are_levelled_and_compacted(spark, docs):
     for k in range(5, 0, -1):
         runs.ingest(docs([(k, f"shared line\nown {k} line")]).selectExpr("doc_id AS id", "text"))
     assert [len(x) for x in runs.levels] == [1, 0, 1]
-    assert sorted((x.n_docs, x.keeper) for x in runs.counts().collect()) == [(1, 1), (1, 2), (1, 3), (1, 4), (1, 5), (5, 5)]
+    assert sorted((x.n_docs, x.keeper) for x in runs.counts().collect()) == [(1, 1), (1, 2), (1, 3), (1, 4), (1, 5), (5, 5)], runs.paths()
+
+
+def test_a_store_is_reopened_and_survives_crashes(spark, docs, tmp_root, monkeypatch):
+    batch = lambda k: docs([(k, f"shared line\nown {k} line")]).selectExpr("doc_id AS id", "text")
+    state = lambda: sorted((x.n_docs, x.keeper) for x in line_runs.LineRuns(spark, tmp_root + "/s", 2, 3).counts().collect())
+    for k in (9, 8, 7):
+        line_runs.LineRuns(spark, tmp_root + "/s", 2, 3).ingest(batch(k))
+    assert state() == [(1, 7), (1, 8), (1, 9), (3, 9)]
+    # a run that was begun and never finished counts for nothing, and its number isn't used again
+    store = line_runs.LineRuns(spark, tmp_root + "/s", 2, 3)
+    left = f"{tmp_root}/s/level=0/run={store._next()}"
+    spark.createDataFrame([(1, 1, 9, 9)], line_runs.RUN).write.parquet(left)
+    line_runs.delete_path(spark, left + "/_SUCCESS")
+    assert state() == [(1, 7), (1, 8), (1, 9), (3, 9)]
+    # killed after the merged run is whole, before those it replaces are deleted
+    monkeypatch.setattr(line_runs, "delete_path", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError, match="killed"):
+        store.ingest(batch(6))
+    monkeypatch.undo()
+    assert state() == [(1, 6), (1, 7), (1, 8), (1, 9), (4, 9)]
+    line_runs.LineRuns(spark, tmp_root + "/s", 2, 3).ingest(batch(5))
+    assert state() == [(1, 5), (1, 6), (1, 7), (1, 8), (1, 9), (5, 9)]
+
+
+def test_runs_meet_a_batch_without_an_exchange(spark, docs):
+    from test_plans import plan
+
+    store = line_runs.LineRuns(spark, fanout=3, min_chars=3, buckets=8)
+    for k in (3, 2):
+        store.ingest(docs([(k, f"shared line\nown {k} line")]).selectExpr("doc_id AS id", "text"))
+    keys = spark.range(1000).selectExpr("id AS h1", "id AS h2").hint("merge")
+    runs = [store.read(p) for p in store.paths()]
+    p = plan(keys.join(runs[0].hint("merge").select("h1", "h2"), ["h1", "h2"], "left_anti").join(runs[1].hint("merge").select("h1", "h2"), ["h1", "h2"], "left_anti"), "simple")
+    assert p.count("SortMergeJoin") == 2 and p.count("Exchange") == 1 and p.count("Bucketed: true") == 2
+
+
+def test_lines_of_very_long_texts(spark, docs):
+    long = "This line is in five documents, and longer than forty characters."
+    rows = [(k, "\n".join([f"line number {k} {i}" for i in range(20_000)] + [long])) for k in range(5)]
+    got = line_runs.drop_repeated(docs(rows)).collect()
+    assert sorted([tuple(x) for x in got], key=str) == brute_lines(rows)
 
 
 def test_lines_of_an_empty_table(spark, docs):
