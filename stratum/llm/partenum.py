@@ -3,8 +3,8 @@
 A text's set holds the hashes of its distinct word n-grams. Two sets with Jaccard
 similarity of at least num/den have similar sizes and a bounded difference: if the
 smaller has a elements, they differ in at most k = floor(a (den - num) / num).
-Sizes are cut into bands whose ends are in that ratio, so a pair lies in one band
-or in two neighbours, and each band has one k for all pairs whose smaller set it
+Sizes are cut into bands whose ends are in that ratio or more, so a pair lies in one
+band or in two neighbours, and each band has one k for all pairs whose smaller set it
 holds. The domain of hashes is cut at two levels, for every k in the same way: into
 n1 = floor(k / 2) + 1 + e partitions, and each of these into three parts. Two sets
 within k differ by two elements or more in floor(k / 2) partitions at most, so e + 1 of
@@ -52,6 +52,8 @@ from stratum.llm.common import WordHashes, by_ids, mix, release_shuffles, scan,
 
 #: Parts of a partition, and the subsets of them: all pairs.
 PARTS, SUBSETS = 3, ((0, 1), (0, 2), (1, 2))
+#: Ends of a band, as a power of den / num (1 or more); at this one sets have fewest signatures.
+BAND = 1.25
 #: Parts that the rows of one very common signature are spread over.
 SPREAD = 1 << 20
 #: Bits of the table of n-gram frequencies that orders sets rare-first (its size is fixed).
@@ -88,7 +90,7 @@ class Signatures:
     def band(self, size: int) -> int:
         while self.high[-1] < size:
             self.low.append(self.high[-1] + 1)
-            self.high.append(self.low[-1] * self.den // self.num)
+            self.high.append(max(self.low[-1] * self.den // self.num, int(self.low[-1] * (self.den / self.num) ** BAND)))
         return bisect_left(self.high, size)
 
     def difference(self, band: int) -> int:
@@ -202,7 +204,7 @@ def signature_table(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
             sigs.append(found)
             owners.append(own)
             rows += len(found)
-            if rows > 1_000_000:
+            if rows > 200_000:
                 yield marked(sigs, owners)
                 sigs, owners, rows, seen = [], [], 0, set()
         if rows:
@@ -373,9 +375,9 @@ def shared_signatures(docs: DataFrame, sets: DataFrame, n: int, num: int, den: i
     shared = (
         signature_table(docs, n, num, den)
         .withColumn("lo", F.min("set_id").over(group)).withColumn("hi", F.max("set_id").over(group))
-        .where("part > 0 OR lo <> hi").select("sig", "set_id")
+        .where("part > 0 OR lo <> hi").dropDuplicates(["sig", "part", "set_id"]).select("sig", "set_id")
     )
-    return shared.join(sets, "set_id").where("node IS NOT NULL").select("sig", "node").distinct().checkpoint()
+    return shared.join(sets, "set_id").where("node IS NOT NULL").select("sig", "node").checkpoint()
 
 
 def similar_groups(
