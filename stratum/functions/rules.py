@@ -180,10 +180,3 @@ def contract_document() -> dict:
     for c, n in CONTRACT_MIN_LENGTH:
         properties[c]["minLength"] = n
     return {"type": "object", "additionalProperties": False, "required": list(schemas.FINANCING_COLUMNS), "properties": properties}
-
-
-RULE_SETS = {
-    "transaction": transaction_rules,
-    "silver": silver_rules,
-    "contract": contract_rules,
-}

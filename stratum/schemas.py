@@ -37,41 +37,50 @@ STATUSES = (
 )
 SEGMENTS = ("mass_market", "standard", "premium")
 CURRENCIES = ("BRL",)
-# --- end of fixed values ----------------------------------------------------
-
-
-def _fields(spec: str) -> list[StructField]:
-    types = {
-        "string": StringType(),
-        "int": IntegerType(),
-        "long": LongType(),
-        "double": DoubleType(),
-        "timestamp": TimestampType(),
-        "timestamp_ntz": TimestampNTZType(),
-    }
-    out = []
-    for item in spec.split(","):
-        name, kind = item.split()
-        out.append(StructField(name, types[kind], True))
-    return out
-
 
 # One financing contract event (the JSON-lines landing record).
-FINANCING = StructType(
-    _fields(
-        "financing_id string, customer_id string, vehicle_type string, vehicle_id string,"
-        " vehicle_brand string, vehicle_model string, vehicle_year int, segment string,"
-        " region string, state string, city string, financed_amount double,"
-        " down_payment double, installment_count int, monthly_installment double,"
-        " interest_rate_monthly double, status string, currency string, created_at timestamp"
-    )
-)
+FINANCING = StructType([
+    StructField("financing_id", StringType()),
+    StructField("customer_id", StringType()),
+    StructField("vehicle_type", StringType()),
+    StructField("vehicle_id", StringType()),
+    StructField("vehicle_brand", StringType()),
+    StructField("vehicle_model", StringType()),
+    StructField("vehicle_year", IntegerType()),
+    StructField("segment", StringType()),
+    StructField("region", StringType()),
+    StructField("state", StringType()),
+    StructField("city", StringType()),
+    StructField("financed_amount", DoubleType()),
+    StructField("down_payment", DoubleType()),
+    StructField("installment_count", IntegerType()),
+    StructField("monthly_installment", DoubleType()),
+    StructField("interest_rate_monthly", DoubleType()),
+    StructField("status", StringType()),
+    StructField("currency", StringType()),
+    StructField("created_at", TimestampType()),
+])
+# Business dimensions of the gold summary, and gold itself.
+GOLD_DIMENSIONS = ("segment", "region", "vehicle_type", "vehicle_brand", "vehicle_model")
+GOLD = StructType([
+    StructField("window_start", TimestampNTZType()),
+    StructField("window_end", TimestampNTZType()),
+    *[StructField(c, StringType()) for c in GOLD_DIMENSIONS],
+    StructField("financing_count", LongType()),
+    StructField("total_financed_amount", DoubleType()),
+    StructField("average_monthly_installment", DoubleType()),
+    StructField("average_interest_rate_monthly", DoubleType()),
+])
+# --- end of fixed values ----------------------------------------------------
+
 FINANCING_COLUMNS = tuple(f.name for f in FINANCING.fields)
 
 # Bronze keeps the raw event plus provenance.
-BRONZE = StructType(
-    FINANCING.fields + _fields("source_file string, ingestion_time timestamp")
-)
+BRONZE = StructType([
+    *FINANCING.fields,
+    StructField("source_file", StringType()),
+    StructField("ingestion_time", TimestampType()),
+])
 
 # Raw JSON text of lines that did not parse is kept next to the typed columns.
 CORRUPT_COLUMN = "_corrupt_record"
@@ -84,8 +93,7 @@ QUALITY_COLUMN = "quality"
 QUALITY_VALID = "valid"
 QUALITY_REJECTED = "rejected"
 REFINED = StructType(
-    BRONZE.fields
-    + _fields(f"{CORRUPT_COLUMN} string, {REASON_COLUMN} string, {QUALITY_COLUMN} string")
+    [*BRONZE.fields, *[StructField(c, StringType()) for c in (CORRUPT_COLUMN, REASON_COLUMN, QUALITY_COLUMN)]]
 )
 QUARANTINE_COLUMNS = BRONZE_COLUMNS + (REASON_COLUMN,)
 
@@ -97,18 +105,9 @@ COUNTER_EVENT_COLUMNS = (
     "currency", "created_at", "event_time",
 )
 
-# Business dimensions of the gold summary and its primary key.
-GOLD_DIMENSIONS = ("segment", "region", "vehicle_type", "vehicle_brand", "vehicle_model")
+# Gold's primary key.
 GOLD_KEY = ("window_start", "window_end") + GOLD_DIMENSIONS
 GOLD_PARTITIONS = ("segment", "region", "vehicle_type")
-GOLD = StructType(
-    _fields(
-        "window_start timestamp_ntz, window_end timestamp_ntz, segment string, region string,"
-        " vehicle_type string, vehicle_brand string, vehicle_model string,"
-        " financing_count long, total_financed_amount double,"
-        " average_monthly_installment double, average_interest_rate_monthly double"
-    )
-)
 GOLD_COLUMNS = tuple(f.name for f in GOLD.fields)
 # Partition columns that gold can be laid out by beside its own columns.
 GOLD_DERIVED = StructType([StructField("window_date", DateType(), True)])
@@ -117,10 +116,7 @@ GOLD_DERIVED = StructType([StructField("window_date", DateType(), True)])
 KIND_COLUMN, KIND_CLOSED, KIND_LATE = "kind", "closed", "late"
 GOLD_CLOSED = StructType([*GOLD.fields, StructField(KIND_COLUMN, StringType(), True)])
 
-# Generic transaction event and its window summary.
-TRANSACTION = StructType(
-    _fields("event_id long, event_time timestamp, category string, amount double")
-)
+# Window summary of generic transaction events.
 CATEGORY_SUMMARY_COLUMNS = (
     "window_start", "window_end", "category", "event_count", "total_amount", "average_amount",
 )

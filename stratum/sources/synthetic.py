@@ -21,7 +21,7 @@ from stratum.sources.tables import LOCATIONS, PRODUCER_STATUSES, VEHICLES, pick
 # --- Fixed values of the counter generator ----------------------------------
 COUNTER_BRANDS = {"CAR": ("Toyota", "Corolla XEi"), "MOTORCYCLE": ("Honda", "CG 160 Titan")}
 COUNTER_SEGMENTS = ("premium", "standard", "mass_market")
-COUNTER_ID_DIGITS = 10             # FIN- + counter, zero-padded (longer values are cut)
+COUNTER_ID_DIGITS = 10             # FIN- + counter, zero-padded (longer numbers keep all their digits)
 COUNTER_CUSTOMER_MODULUS = 100000000
 COUNTER_CUSTOMER_DIGITS = 8        # CUS- + counter % modulus, zero-padded
 COUNTER_YEAR = (2024, 3)           # (base, span): base + pmod(counter, span)
