@@ -119,14 +119,19 @@ class LineRuns:
         self.spark.sql(f"DROP TABLE {name}")  # the name only; the files are the store's
 
     def read(self, path: str) -> DataFrame:
-        """A run, known to Spark as bucketed."""
-        name = "line_run_" + hashlib.md5(path.encode()).hexdigest()[:16]
+        """A run, known to Spark as bucketed until :meth:`forget`."""
+        name = table_name(path)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} (h1 BIGINT, h2 BIGINT, n_docs BIGINT, keeper BIGINT) USING parquet "
             f"CLUSTERED BY (h1, h2) SORTED BY (h1, h2) INTO {self.buckets} BUCKETS LOCATION '{path}'"
         )
         return self.spark.table(name)
 
+    def forget(self, paths: list[str]) -> None:
+        """Take the runs' names out of the catalog; their files stay."""
+        for path in paths:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table_name(path)}")
+
     def _read(self, paths: list[str]) -> DataFrame:
         """Several runs as plain files: Spark 4.1 adds up a union of bucketed tables
         without an exchange, but then misses keys that are in several."""
@@ -150,6 +155,7 @@ class LineRuns:
         if paths := self.paths():
             keys = keys.checkpoint()
             fresh = self.unseen(keys, paths).checkpoint()
+            self.forget(paths)
             again = keys.join(fresh.select("h1", "h2"), ["h1", "h2"], "left_anti").withColumn("keeper", F.lit(None).cast("long"))
             keys = fresh.unionByName(again)
         self._write(keys, 0)
@@ -173,6 +179,10 @@ class LineRuns:
         return self._read(paths) if len(paths) == 1 else merged(self._read(paths))
 
 
+def table_name(path: str) -> str:
+    return "line_run_" + hashlib.md5(path.encode()).hexdigest()[:16]
+
+
 def number(name: str) -> int:
     return int(name.partition("-of-")[0].removeprefix("run="))
 

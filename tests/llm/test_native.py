@@ -44,6 +44,7 @@ def test_runs_are_levelled_and_compacted(spark, docs):
     for k in range(5, 0, -1):
         runs.ingest(docs([(k, f"shared line\nown {k} line")]).selectExpr("doc_id AS id", "text"))
     assert [len(x) for x in runs.levels] == [1, 0, 1]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
     assert sorted((x.n_docs, x.keeper) for x in runs.counts().collect()) == [(1, 1), (1, 2), (1, 3), (1, 4), (1, 5), (5, 5)], runs.paths()
 
 
@@ -79,6 +80,7 @@ def test_runs_meet_a_batch_without_an_exchange(spark, docs):
     runs = [store.read(p) for p in store.paths()]
     p = plan(keys.join(runs[0].hint("merge").select("h1", "h2"), ["h1", "h2"], "left_anti").join(runs[1].hint("merge").select("h1", "h2"), ["h1", "h2"], "left_anti"), "simple")
     assert p.count("SortMergeJoin") == 2 and p.count("Exchange") == 1 and p.count("Bucketed: true") == 2
+    store.forget(store.paths())
 
 
 def test_lines_of_very_long_texts(spark, docs):
