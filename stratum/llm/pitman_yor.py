@@ -1,53 +1,58 @@
 """Scoring texts under a hierarchical Pitman-Yor model.
 
-A text is its words and one end token. The word restaurant seats every training
-token (discount ``WORD_D``, strength ``WORD_THETA``). A new table there draws its
-word from the spelling model: the word's UTF-8 bytes and a stop, each byte served
-by the restaurant of the two bytes before it. Those letter restaurants share
-their parents: two bytes of context, one byte, none, then uniform over bytes, so
-each table of a restaurant is a customer of its parent's.
+A text is its words and one end token; the token before the first is an end token
+too. Every token has a restaurant of its own for the tokens that follow it (discount
+``PAIR_D``, strength ``PAIR_THETA``). All of these share one parent, the word
+restaurant (``WORD_D``, ``WORD_THETA``): each table of a token's restaurant is a customer
+there. A new table of the word restaurant draws its word from the spelling model: the
+word's UTF-8 bytes and a stop, each byte served by the restaurant of the two bytes
+before it. Those letter restaurants share their parents in turn: two bytes of context,
+one byte, none, then uniform over bytes.
 
 The seating is sampled by Gibbs. In a sweep each dish's number of tables is drawn
 from its conditional given all the rest: for c customers and base weight
 a = (theta + d * T) * P_parent(dish), p(t) is proportional to a^t * S_d(c, t) with
-generalised Stirling numbers S_d. That is exact up to ``EXACT`` customers a dish;
-further customers of a dish are seated in growing blocks with the block's mean
-and variance. Restaurants within a level are sampled side by side from the totals
+generalised Stirling numbers S_d. They are a table up to ``EXACT`` customers, beyond it
+the closed form that they have for d = 1/2, so the draw is from the conditional at
+every count. Restaurants within a level are sampled side by side from the totals
 T of the sweep before. After ``BURN`` sweeps the predictive probabilities of
 ``KEPT`` sweeps are averaged, and perplexity follows from the averages.
 
-How it runs: distinct words with their counts are one DataFrame, as large as the
-corpus' vocabulary; every sweep is one pass over it in partitions. What comes to
-the driver per sweep is the histogram of letter trigrams, at most 2^24 entries
-whatever the corpus, and the letter restaurants (a bounded table too) are seated
-there. Randomness is a hash of word and sweep, so a repeated task draws alike.
+How it runs: distinct words and distinct pairs of neighbours are DataFrames, grouped and
+joined by word, by context and by pair (the pairs are written once and read from there). A pair that occurs once has one table whatever
+the rest, so sweeps only carry the pairs that occur more often; the others are
+counted by word and by context once. What comes to the driver per sweep is the
+histogram of letter trigrams, at most 2^24 entries whatever the corpus, and the letter
+restaurants (a bounded table too) are seated there. Randomness is a hash of word or pair and
+sweep, so a repeated task draws alike. Pairs name their words by 64-bit hashes.
 
 A word that training never saw is scored as the one event "a new word", as the
 smoothed unigram beside it does; ``open_score`` has its spelling's probability
-instead. Context is spelled inside words; previous words are no context (a table of all
-word pairs is beyond the disk limit here, see the README).
+instead. A context that training never saw leaves the word restaurant's probability.
 
 Defined results: null or empty text has only its end token; extra columns are
 ignored; null ids count as training rows and are scored together; rows that
-repeat an id are scored as one longer text with one end token each; an empty
-table gives an empty result. Without training tokens every word is new for certain
-(score 0), and ``open_score`` is the untrained spelling model's. Whole texts are read.
+repeat an id are scored as one longer text with one end token each (no pair reaches from
+one row into another); an empty table gives an empty result. Without training tokens every
+word is new for certain (score 0), and ``open_score`` is the untrained spelling model's.
+Whole texts are read.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter
 from dataclasses import dataclass
-from functools import lru_cache
-from itertools import chain
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import mix, scan, words_of
+from stratum.llm.common import WordHashes, mix, release_shuffles, scan, words_of
+from stratum.session import scratch
 
+PAIR_D, PAIR_THETA = 0.5, 5.0
 WORD_D, WORD_THETA = 0.5, 20.0
 LETTER_D, LETTER_THETA = (0.5, 0.5, 0.5), (1.0, 1.0, 1.0)
 EXACT = 256
@@ -55,9 +60,8 @@ BURN, KEPT = 2, 2
 #: The end token's key: no word is empty.
 END = ""
 STOP = 0x20  # closes a spelled word: no word holds a space
-#: Tokens that a task gathers before it hands words and documents on.
+#: Tokens that a task gathers before it hands words or pairs on.
 CHUNK = 3_000_000
-POSTINGS = "word string, ids array<long>, counts array<int>"
 
 
 # -- counts ------------------------------------------------------------------
@@ -87,40 +91,55 @@ def vocabulary(docs: DataFrame, text_col: str, held_col: str) -> DataFrame:
     return scan(docs, [text_col, held_col], step, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """word -> documents and counts, a row per word and chunk of documents."""
+def neighbours(batches):
+    """Per batch of (first column, text): the row, the context and the word of each token."""
+    hashes = WordHashes()
+    end = np.uint64(hashes[b""])
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            part = batch.slice(at, 1000)
+            tokens = [words_of(text) for text in part.column(1).to_pylist()]
+            words = hashes.of([w for t in tokens for w in (*t, b"")])
+            lengths = np.array([len(t) + 1 for t in tokens])
+            context = np.concatenate([[end], words[:-1]])  # a text follows on the end before it
+            yield part, np.repeat(np.arange(len(tokens)), lengths), context, words
 
-    def flush(where: dict[bytes, list]):
-        lists = where.values()
-        offsets = pa.array(np.cumsum([0, *map(len, lists)]) // 2, pa.int32())
-        flat = np.array(list(chain.from_iterable(lists)), object)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(list(where), pa.string()),
-                pa.ListArray.from_arrays(offsets, pa.array(flat[::2], pa.int64())),
-                pa.ListArray.from_arrays(offsets, pa.array(flat[1::2], pa.int32())),
-            ],
-            names=["word", "ids", "counts"],
-        )
+
+def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc, u, w``: every token with the one before it, as hashes."""
 
     def step(batches):
-        where: defaultdict[bytes, list] = defaultdict(list)
-        size = 0
-        for batch in batches:
-            for doc, text in zip(*(c.to_pylist() for c in batch.columns)):
-                found = Counter(words_of(text))
-                found[b""] = 1
-                for word, n in found.items():
-                    where[word] += (doc, n)
-                size += len(found)
-                if size > CHUNK // 2:
-                    yield flush(where)
-                    where.clear()
-                    size = 0
-        if where:
-            yield flush(where)
-
-    return scan(docs, [id_col, text_col], step, POSTINGS)
+        for part, row, u, w in neighbours(batches):
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).cast(pa.int64()).take(pa.array(row)), pa.array(u.view(np.int64)), pa.array(w.view(np.int64))], names=["doc", "u", "w"]
+            )
+
+    return scan(docs, [id_col, text_col], step, "doc long, u long, w long")
+
+
+def pair_counts(docs: DataFrame, text_col: str, held_col: str) -> DataFrame:
+    """``u, w, c``: every distinct pair of neighbours and its training count."""
+
+    def flush(parts):
+        u, w, n = (np.concatenate(x) for x in zip(*parts))
+        key = mix(u * np.uint64(0x9E3779B97F4A7C15) + mix(w))
+        _, first, which = np.unique(key, return_index=True, return_inverse=True)
+        c = np.bincount(which, n, len(first)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (u[first].view(np.int64), w[first].view(np.int64), c)], names=["u", "w", "c"])
+
+    def step(batches):
+        parts, size = [], 0
+        for part, row, u, w in neighbours(batches):
+            held = np.array(part.column(0).to_pylist(), bool)
+            parts.append((u, w, (~held)[row]))
+            size += len(u)
+            if size > CHUNK:
+                yield flush(parts)
+                parts, size = [], 0
+        if parts:
+            yield flush(parts)
+
+    return scan(docs, [held_col, text_col], step, "u long, w long, c long").groupBy("u", "w").agg(F.sum("c").alias("c"))
 
 
 # -- seating -----------------------------------------------------------------
@@ -140,14 +159,33 @@ def log_stirling(d: float, size: int = EXACT) -> np.ndarray:
     return table
 
 
-def seat(c: np.ndarray, a: np.ndarray, d: float, u: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """Tables of dishes with ``c`` customers and base weights ``a`` (one Gibbs draw;
-    ``u`` uniform, ``z`` normal)."""
+def window(c: int, a: float) -> tuple[int, np.ndarray]:
+    """For d = 1/2, a^t S(c, t) around its mode, cumulated, from a first t on: S(c, t) =
+    (2c - t - 1)! / ((c - t)! (t - 1)! 4^(c - t)). What is left out on either side is
+    below e^-60 of the mode's weight, as the weights are log-concave in t."""
+    # at the mode the ratio of neighbours 4 a (c - t) / (t (2c - t - 1)) passes 1
+    half = c + 2 * a - 0.5
+    mode = 4 * a * c / (half + np.sqrt(max(half * half - 4 * a * c, 0.0)))
+    mode = min(max(mode, 1.0), c - 0.5)
+    spread = 1 / np.sqrt(max(1 / (c - mode) - 1 / (2 * c - mode - 0.5) + 1 / mode, 1e-18))
+    lo, hi = max(1, int(mode - 12 * spread - 60)), min(c, int(mode + 12 * spread + 60))
+    t = np.arange(lo, hi, dtype=float)
+    step = np.log(4 * a) + np.log((c - t) / (t * (2 * c - t - 1)))
+    logits = np.concatenate([[0.0], np.cumsum(step)])
+    p = np.exp(logits - logits.max()).cumsum()
+    return lo, p / p[-1]
+
+
+def seat(c: np.ndarray, a: np.ndarray, d: float, u: np.ndarray, z: np.ndarray | None = None) -> np.ndarray:
+    """Tables of dishes with ``c`` customers and base weights ``a``: one Gibbs draw by
+    the uniform numbers ``u`` (``z`` is no longer needed)."""
     t = np.minimum(c, 1).astype(float)
     first = np.minimum(c, EXACT)
     stirling = log_stirling(d)
-    log_a = np.log(np.maximum(a, 1e-300))
+    a = np.maximum(a, 1e-300)
+    log_a = np.log(a)
     order = np.argsort(first, kind="stable")
+    order = order[: len(c) - (c > EXACT).sum()]
     edges = np.searchsorted(first[order], np.arange(2, EXACT + 2))
     for size, lo, hi in zip(range(2, EXACT + 1), edges, edges[1:]):
         for at in range(lo, hi, 1 << 14):  # cells held at once stay bounded
@@ -156,28 +194,23 @@ def seat(c: np.ndarray, a: np.ndarray, d: float, u: np.ndarray, z: np.ndarray) -
             p = np.exp(logits - logits.max(1, keepdims=True)).cumsum(1)
             t[rows] = 1 + (p < (u[rows] * p[:, -1])[:, None]).sum(1)
     many = np.flatnonzero(c > EXACT)
-    if len(many):
-        n, spread = np.full(len(many), float(EXACT)), np.zeros(len(many))
-        left, mean, weight = c[many].astype(float), t[many].copy(), a[many]
-        while (n < left).any():
-            block = np.minimum(np.maximum(n / 16, 1.0), left - n)
-            new = weight / (weight + np.maximum(n - d * mean, 1e-9))
-            mean += block * new
-            spread += block * new * (1 - new)
-            n += block
-        t[many] = np.clip(np.rint(mean + z[many] * np.sqrt(spread)), 1, c[many])
+    if len(many) and d != 0.5:
+        raise ValueError(f"more than {EXACT} customers of a dish need a discount of 1/2")
+    for i in many:
+        start, p = window(int(c[i]), float(a[i]))
+        t[i] = start + np.searchsorted(p, u[i])
     return t
 
 
-def draws(words: list[bytes], sweep: int) -> tuple[np.ndarray, np.ndarray]:
-    """A uniform and a normal number per word, the same wherever the word is."""
+def uniform(h: np.ndarray) -> np.ndarray:
+    return ((h >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
+
+
+def draws(words: list[bytes], sweep: int) -> np.ndarray:
+    """A uniform number per word, the same wherever the word is."""
     import xxhash
 
-    h = np.fromiter((xxhash.xxh3_64_intdigest(w, seed=sweep) for w in words), np.uint64, len(words))
-    u = ((h >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
-    v = ((mix(h) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
-    w = ((mix(h ^ np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
-    return u, np.sqrt(-2 * np.log(v)) * np.cos(2 * np.pi * w)
+    return uniform(np.fromiter((xxhash.xxh3_64_intdigest(w, seed=sweep) for w in words), np.uint64, len(words)))
 
 
 # -- the spelling model ------------------------------------------------------
@@ -236,7 +269,7 @@ def seat_letters(codes: np.ndarray, counts: np.ndarray, last: Letters, totals: l
         parent = Letters(last.levels[:k])
         base = np.exp(parent.log_prob(codes & ((1 << 8 * k) - 1))) if k else np.full(len(codes), 1 / 256)
         tables = np.array([totals[k].get(x, 0.0) for x in above.tolist()]) if totals[k] else np.zeros(len(codes))
-        t = seat(counts, (theta + d * tables) * base, d, rng.random(len(codes)), rng.standard_normal(len(codes)))
+        t = seat(counts, (theta + d * tables) * base, d, rng.random(len(codes)))
         contexts, which = np.unique(above, return_inverse=True)
         c_all = np.bincount(which, counts, len(contexts))
         t_all = np.bincount(which, t, len(contexts))
@@ -252,18 +285,26 @@ def seat_letters(codes: np.ndarray, counts: np.ndarray, last: Letters, totals: l
 
 @dataclass
 class Sweep:
-    """What a sweep's predictive probabilities need besides the words' tables."""
+    """What a sweep's predictive probabilities need besides the words' customers."""
 
     number: int
     letters: Letters
     tables: float  # T of the word restaurant, as the sweep's draws used it
+    customers: float = 0.0  # of the word restaurant, after the sweep
+    total: float = 0.0  # its tables after the sweep
+    mass: float = 0.0  # of the spelling model on the seen words
+
+    def probability(self, c: np.ndarray, t: np.ndarray, new: np.ndarray) -> np.ndarray:
+        """Of words with ``c`` customers at ``t`` tables, a new table serving them by ``new``."""
+        return (c - WORD_D * t + (WORD_THETA + WORD_D * self.total) * new) / (WORD_THETA + self.customers)
 
 
 def tables_of(words: list[bytes], c: np.ndarray, s: Sweep) -> tuple[np.ndarray, np.ndarray]:
-    """Tables and log spelling probabilities of words in a sweep."""
+    """Tables and log spelling probabilities of words in a sweep; in the first each word has one table."""
     spelled = s.letters.spelling(words)
-    u, z = draws(words, s.number)
-    return seat(c, (WORD_THETA + WORD_D * s.tables) * np.exp(spelled), WORD_D, u, z), spelled
+    if s.number == 0:
+        return np.minimum(c, 1).astype(float), spelled
+    return seat(c, (WORD_THETA + WORD_D * s.tables) * np.exp(spelled), WORD_D, draws(words, s.number)), spelled
 
 
 def word_batches(batches):
@@ -274,93 +315,163 @@ def word_batches(batches):
             yield part, words, part.column(1).to_numpy(zero_copy_only=False)
 
 
-def train(words: DataFrame, burn: int = BURN, kept: int = KEPT, seed: int = 1) -> list[tuple[Sweep, float, float]]:
-    """Sample the seating; the kept sweeps with the word restaurant's table total and
-    the spelling model's mass on the seen words.
+def named(words: DataFrame) -> DataFrame:
+    """``words`` with the hash ``w`` by which pairs name them."""
+
+    def step(batches):
+        import xxhash
+
+        for part, spelled, _ in word_batches(batches):
+            h = np.fromiter(map(xxhash.xxh3_64_intdigest, spelled), np.uint64, len(spelled))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(h.view(np.int64))], names=["word", "c", "w"])
+
+    return scan(words, ["word", "c"], step, "word string, c long, w long")
+
+
+def served(words: DataFrame, s: Sweep) -> DataFrame:
+    """``w, p, q``: each word's probability in the word restaurant (words of ``word, n, w``
+    with n customers), all unseen words as one event, and with unseen words spelled out."""
+    shared = words.sparkSession.sparkContext.broadcast(s)
+
+    def step(batches):
+        for part, spelled, n in word_batches(batches):
+            s = shared.value
+            t, log_h = tables_of(spelled, n, s)
+            h = np.exp(log_h)
+            p, q = s.probability(n, t, np.where(n > 0, h, 1 - s.mass)), s.probability(n, t, h)
+            yield pa.RecordBatch.from_arrays([part.column(2), pa.array(p), pa.array(q)], names=["w", "p", "q"])
+
+    return scan(words, ["word", "n", "w"], step, "w long, p double, q double")
 
-    ``words`` (word, c) holds each distinct word once, the end token included.
+
+def seat_words(words: DataFrame, s: Sweep) -> tuple[np.ndarray, np.ndarray, Sweep]:
+    """One sweep over the word restaurant: the letters its tables were spelled with, as
+    trigram codes and counts, and the sweep with its totals."""
+    shared = words.sparkSession.sparkContext.broadcast(s)
+
+    def step(batches):
+        s = shared.value
+        codes, n, total, mass, customers = np.empty(0, np.int64), np.empty(0), 0.0, 0.0, 0.0
+        for _, spelled, c in word_batches(batches):
+            t, log_h = tables_of(spelled, c, s)
+            more, lengths = trigrams(spelled)
+            codes, which = np.unique(np.concatenate([codes, more]), return_inverse=True)
+            n = np.bincount(which, np.concatenate([n, np.repeat(t, lengths)]))
+            total += t.sum()
+            customers += c.sum()
+            mass += np.exp(log_h).sum()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(codes, [-1, -2, -3]), pa.int64()), pa.array(np.append(n, [total, mass, customers]), pa.float64())],
+            names=["code", "n"],
+        )
+
+    # table counts are whole numbers: their sums are the same in any order
+    counted = scan(words.where("n > 0"), ["word", "n"], step, "code long, n double").groupBy("code").agg(F.sum("n").alias("n"))
+    gathered = counted.toPandas().sort_values("code")
+    shared.unpersist()
+    code, n = gathered.code.to_numpy(np.int64), gathered.n.to_numpy()
+    total, mass, customers = (float(n[code == k].sum()) for k in (-1, -2, -3))
+    s = Sweep(s.number, s.letters, s.tables, customers, total, min(mass, 1.0))
+    return code[code >= 0], n[code >= 0], s
+
+
+# -- the restaurants of contexts ---------------------------------------------
+
+
+def seat_pairs(pairs: DataFrame, totals: DataFrame, served_words: DataFrame, sweep: int) -> DataFrame:
+    """``u, w, c, t``: tables of the pairs ``u, w, c`` in a sweep, given the contexts'
+    tables ``u, tables`` and the words' probabilities of the sweep before."""
+
+    def step(batches):
+        for batch in batches:
+            u, w, c, tables, p = (x.to_numpy(zero_copy_only=False) for x in batch.columns)
+            draw = uniform(mix(mix(u.view(np.uint64) + np.uint64(sweep)) + w.view(np.uint64)))
+            t = seat(c, (PAIR_THETA + PAIR_D * tables) * p, PAIR_D, draw)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(t.astype(np.int64))], names=["u", "w", "c", "t"])
+
+    known = pairs.select("u", "w", "c").join(served_words, "w").join(totals, "u")
+    return scan(known, ["u", "w", "c", "tables", "p"], step, "u long, w long, c long, t long")
+
+
+def train(words: DataFrame, pairs: DataFrame, burn: int = BURN, kept: int = KEPT, seed: int = 1) -> list[tuple]:
+    """Sample the seating. Per kept sweep: the words' probabilities (w, p, q), the
+    contexts' customers and tables (u, customers, tables) and the tables of the pairs that
+    occur more than once (u, w, t).
+
+    ``words`` (word, c, w) holds each distinct word once, the end token included;
+    ``pairs`` (u, w, c) each distinct pair of the training texts.
     """
     spark = words.sparkSession
-    seen = words.where("c > 0").select("word", "c")
+    once = F.count_if(F.col("c") == 1).alias("once")
+    by_word = pairs.groupBy("w").agg(once)
+    contexts = pairs.groupBy("u").agg(once, F.sum("c").alias("customers")).checkpoint()
+    words = words.join(by_word, "w", "left").select("word", "w", F.coalesce("once", F.lit(0)).alias("once")).checkpoint()
+    seated = pairs.where("c > 1").withColumn("t", F.lit(1).cast("long")).checkpoint()  # one table each at first
+    release_shuffles(spark)
     rng = np.random.default_rng(seed)
     letters, totals = Letters([(np.empty(0, np.int64),) * 4] * 3), [{}, {}, {}]
-    sweep = Sweep(0, letters, 0.0)
+    s = Sweep(0, letters, 0.0)
     out = []
     for number in range(burn + kept):
-        shared = spark.sparkContext.broadcast(sweep)
-
-        def step(batches, shared=shared):
-            s = shared.value
-            codes, n, total, mass = np.empty(0, np.int64), np.empty(0), 0.0, 0.0
-            for _, spelled, c in word_batches(batches):
-                # before the first sweep each word has one table
-                t, log_h = (np.ones(len(c)), np.full(len(c), -np.inf)) if s.number == 0 else tables_of(spelled, c, s)
-                more, lengths = trigrams(spelled)
-                codes, which = np.unique(np.concatenate([codes, more]), return_inverse=True)
-                n = np.bincount(which, np.concatenate([n, np.repeat(t, lengths)]))
-                total += t.sum()
-                mass += np.exp(log_h).sum()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(codes, [-1, -2]), pa.int64()), pa.array(np.append(n, [total, mass]), pa.float64())],
-                names=["code", "n"],
-            )
-
-        # table counts are whole numbers: their sums are the same in any order
-        gathered = scan(seen, ["word", "c"], step, "code long, n double").groupBy("code").agg(F.sum("n").alias("n")).toPandas().sort_values("code")
-        shared.unpersist()
-        code, n = gathered.code.to_numpy(np.int64), gathered.n.to_numpy()
-        total, mass = float(n[code == -1].sum()), float(n[code == -2].sum())
-        code, n = code[code >= 0], n[code >= 0]
+        if number:
+            seated = seat_pairs(seated, tables, probabilities, number).checkpoint()
+        more = seated.groupBy("w").agg(F.sum("t").alias("t"))
+        customers = words.join(more, "w", "left").select("word", (F.col("once") + F.coalesce("t", F.lit(0))).alias("n"), "w").checkpoint()
+        more = seated.groupBy("u").agg(F.sum("t").alias("t"))
+        tables = contexts.join(more, "u", "left").select("u", "customers", (F.col("once") + F.coalesce("t", F.lit(0))).alias("tables")).checkpoint()
+        release_shuffles(spark)
+        code, n, s = seat_words(customers, s)
+        probabilities = served(customers, s)
         if number >= burn:
-            out.append((sweep, total, min(mass, 1.0)))
-        letters, totals = seat_letters(code, n, letters, totals, rng)
-        sweep = Sweep(number + 1, letters, total)
+            out.append((probabilities, tables, seated.select("u", "w", "t")))
+        letters, totals = seat_letters(code, n, s.letters, totals, rng)
+        s = Sweep(number + 1, letters, s.total)
     return out
 
 
-def word_scores(words: DataFrame, model: list[tuple[Sweep, float, float]], n_train: int, n_types: int) -> DataFrame:
-    """``word, c, base, score, open_score``: log10 of the smoothed unigram, of the
-    averaged predictive probability where all unseen words are one event (as the
-    unigram has them), and of the same with unseen words spelled out."""
-    shared = words.sparkSession.sparkContext.broadcast(model)
+def pair_scores(pairs: DataFrame, words: DataFrame, model: list[tuple]) -> DataFrame:
+    """``u, w, c, score, open_score``: log10 of the averaged predictive probability of
+    every pair of the corpus, and the training count of its word."""
 
-    def step(batches):
-        for part, spelled, c in word_batches(batches):
-            p, q = np.zeros(len(c)), np.zeros(len(c))
-            for s, total, mass in shared.value:
-                t, log_h = tables_of(spelled, c, s)
-                new = (WORD_THETA + WORD_D * total) / (WORD_THETA + n_train)
-                known = (c - WORD_D * np.minimum(t, c)) / (WORD_THETA + n_train)
-                p += known + new * np.where(c > 0, np.exp(log_h), 1 - mass)
-                q += known + new * np.exp(log_h)
-            base = np.log10((c + 0.5) / (n_train + 0.5 * (n_types + 1)))
-            score, spelled_score = (np.log10(np.maximum(x / len(shared.value), 1e-300)) for x in (p, q))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(base), pa.array(score), pa.array(spelled_score)],
-                names=["word", "c", "base", "score", "open_score"],
-            )
+    def joined(which: int, key: list[str], value: list[str]) -> DataFrame:
+        kept = [part[which].select(*key, *[F.col(v).alias(f"{v}{i}") for v in value]) for i, part in enumerate(model)]
+        return reduce(lambda x, y: x.join(y, key), kept)
+
+    rows = pairs.withColumnRenamed("c", "seen").join(joined(2, ["u", "w"], ["t"]), ["u", "w"], "left")
+    rows = rows.join(words.select("w", "c").join(joined(0, ["w"], ["p", "q"]), "w"), "w")
+    rows = rows.join(joined(1, ["u"], ["customers", "tables"]), "u", "left")
+
+    def mean(of: str):
+        each = []
+        for i in range(len(model)):
+            customers, tables = (F.coalesce(F.col(f"{x}{i}"), F.lit(0)) for x in ("customers", "tables"))
+            own = F.col("seen") - PAIR_D * F.coalesce(F.col(f"t{i}"), F.least("seen", F.lit(1)))
+            each.append((own + (PAIR_THETA + PAIR_D * tables) * F.col(f"{of}{i}")) / (PAIR_THETA + customers))
+        return F.log10(F.greatest(sum(each) / len(model), F.lit(1e-300)))
 
-    return scan(words, ["word", "c"], step, "word string, c long, base double, score double, open_score double")
+    return rows.select("u", "w", "c", mean("p").alias("score"), mean("q").alias("open_score"))
 
 
 def score(docs: DataFrame, held_col: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Train on the rows with a false ``held_col`` and score every text."""
-    found = postings(docs, id_col, text_col)
-    words = vocabulary(docs, text_col, held_col).checkpoint()
+    words = named(vocabulary(docs, text_col, held_col)).checkpoint()
     n_train, n_types = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    scored = word_scores(words, train(words), n_train, n_types)
-    each = F.explode(F.arrays_zip("ids", "counts")).alias("p")
+    path = scratch(docs.sparkSession, "word-pairs")
+    pair_counts(docs, text_col, held_col).write.parquet(path)
+    release_shuffles(docs.sparkSession)
+    pairs = docs.sparkSession.read.parquet(path)
+    scored = pair_scores(pairs, words, train(words, pairs.where("c > 0")))
+    base = F.log10((F.col("c") + 0.5) / F.lit(n_train + 0.5 * (n_types + 1)))
     return (
-        found.join(scored, "word")
-        .select("c", "base", "score", "open_score", each)
-        .groupBy(F.col("p.ids").alias("doc_id"))
+        occurrences(docs, id_col, text_col).join(scored, ["u", "w"])
+        .groupBy(F.col("doc").alias("doc_id"))
         .agg(
-            F.sum("p.counts").cast("long").alias("n_tokens"),
-            F.sum(F.when(F.col("c") > 0, F.col("p.counts")).otherwise(0)).cast("long").alias("n_known"),
+            F.count(F.lit(1)).alias("n_tokens"),
+            F.count_if(F.col("c") > 0).alias("n_known"),
             F.lit(n_train).cast("long").alias("train_tokens"),
-            F.sum(F.col("base") * F.col("p.counts")).alias("base_score"),
-            F.sum(F.col("score") * F.col("p.counts")).alias("score"),
-            F.sum(F.col("open_score") * F.col("p.counts")).alias("open_score"),
+            F.sum(base).alias("base_score"),
+            F.sum("score").alias("score"),
+            F.sum("open_score").alias("open_score"),
         )
     )
 
