@@ -50,3 +50,46 @@ def test_scores_equal_the_probabilities_of_a_plain_model(spark, docs):
             want += np.log10(np.mean(p))
             last = word
         assert np.isclose(got[doc], want), doc
+
+
+def test_tokens_travel_in_a_few_bytes_each(spark, docs):
+    """What the steps leave in shuffle files: no row for every token, no pair of hashes either."""
+    from pyspark.sql import functions as F
+
+    from stratum.llm.common import release_shuffles
+
+    def held():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).length() for i in range(files.size()))
+
+    rng = np.random.default_rng(3)
+    words = [f"w{k:05d}" for k in range(20000)]
+    rows = [(i, " ".join(words[k] for k in (rng.zipf(1.2, 1500) % 20000))) for i in range(400)]
+    frame = docs(rows, extra=False).repartition(2).withColumn("held", F.col("doc_id") % 5 == 1).checkpoint()
+    release_shuffles(spark)
+    before = held()
+    got = pitman_yor.score(frame, "held").collect()
+    grown = held() - before
+    assert len(got) == 400 and all(x.n_tokens == 1501 for x in got)
+    assert grown < 12 * 400 * 1501, grown / (400 * 1501)
+
+
+def test_scores_in_many_cells_are_the_scores_in_one(spark, docs, monkeypatch):
+    """Scores don't hang on how tokens are dealt out; ids that are null or repeat are summed."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(5)
+    rows = [(int(i) if i else None, " ".join(f"w{k}" for k in rng.zipf(1.4, 300) % 90)) for i in rng.integers(0, 25, 40)]
+    frame = docs(rows, extra=False).withColumn("held", F.coalesce(F.col("doc_id") % 5 == 1, F.lit(False)))
+
+    def run():
+        return {x.doc_id: x for x in pitman_yor.score(frame, "held").collect()}
+
+    whole = run()
+    monkeypatch.setattr(pitman_yor, "CELL_BYTES", 5000)  # of the driver alone
+    frame = frame.repartition(7)
+    parts = run()
+    assert whole.keys() == parts.keys() and None in whole
+    for k, x in whole.items():
+        y = parts[k]
+        assert x[1:4] == y[1:4] and np.allclose(x[4:], y[4:]), k
