@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.common import WordHashes, by_ids, mix, release_shuffles, scan, words_of
+from stratum.llm.common import BROADCAST_IDS, WordHashes, by_ids, mix, release_shuffles, scan, words_of
 
 #: Parts of a partition, and the subsets of them: all pairs.
 PARTS, SUBSETS = 3, ((0, 1), (0, 2), (1, 2))
@@ -56,6 +56,8 @@ PARTS, SUBSETS = 3, ((0, 1), (0, 2), (1, 2))
 BAND = 1.25
 #: Parts that the rows of one very common signature are spread over.
 SPREAD = 1 << 20
+#: Rows that fill a partition of a table of links or nodes (two or three numbers each).
+PART_ROWS = 100_000
 #: Bits of the table of n-gram frequencies that orders sets rare-first (its size is fixed).
 SKETCH_BITS = 22
 
@@ -146,8 +148,10 @@ def each_set(batches, n: int):
     """(id, set) of every row."""
     hashes = WordHashes()
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            yield doc, shingles(hashes.of(words_of(text)), n)
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                yield doc, shingles(hashes.of(words_of(text)), n)
 
 
 def in_chunks(rows, schema: pa.Schema, size: int = 20_000):
@@ -224,18 +228,25 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, n: int, repeated: DataFrame |
     def step(batches):
         yield from in_chunks(((d, s.tobytes()) for d, s in each_set(batches, n)), schema, 500)
 
-    chosen = by_ids(docs, nodes, "id", "left_semi").select("id", "text")
+    chosen = by_ids(docs, nodes, "id", "left_semi", stored=True).select("id", "text")
     if repeated is not None:
-        several = by_ids(chosen, repeated, "id", "left_semi").dropDuplicates()
-        chosen = by_ids(chosen, repeated, "id", "left_anti").unionByName(several)
+        several = by_ids(chosen, repeated, "id", "left_semi", stored=True).dropDuplicates()
+        chosen = by_ids(chosen, repeated, "id", "left_anti", stored=True).unionByName(several)
     return scan(chosen, ["id", "text"], step, "node long, members binary")
 
 
+def where_few(sets: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """The sets joined to the stored rows of links or nodes with their key. The rows go to the
+    sets as long as they are half as many as ids may be, which are half as wide."""
+    few = rows.limit(BROADCAST_IDS // 2 + 1).count() <= BROADCAST_IDS // 2
+    return (sets if few else by_ids(sets, rows.select(key), key, "left_semi", stored=True)).join(F.broadcast(rows) if few else rows, key)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Those pairs (a, b) whose sets have den * intersection >= num * union."""
-    # only the sets that a side needs are shuffled
-    a = by_ids(sets, pairs.select("a"), "node", "left_semi").toDF("a", "in_a")
-    b = by_ids(sets, pairs.select("b"), "node", "left_semi").toDF("b", "in_b")
+    # only the sets that a side needs are shuffled, those of a once: few pairs go to where they lie
+    a = where_few(sets.toDF("a", "in_a"), pairs, "a").select("a", "b", "in_a")
+    b = by_ids(sets, pairs.select("b"), "node", "left_semi", stored=True).toDF("b", "in_b")
 
     def step(batches):
         for batch in batches:
@@ -246,33 +257,44 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
                 linked.append(den * shared >= num * (len(s) + len(t) - shared))
             yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
-    return scan(pairs.join(a, "a").join(b, "b"), ["a", "b", "in_a", "in_b"], step, "a long, b long")
+    return scan(a.join(b, "b"), ["a", "b", "in_a", "in_b"], step, "a long, b long")
+
+
+def filled(rows: DataFrame) -> int:
+    """Partitions that a table with as many rows fills: each is a file of a checkpoint."""
+    return 1 + rows.count() // PART_ROWS
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node, label``: the smallest node reachable, for every node of a link.
 
     Alternating large and small stars: each step ties a node's neighbours to the
-    smallest of them by one grouped minimum and one join, no list is gathered.
+    smallest of them by one grouped minimum and one join, no list is gathered. A step
+    never adds links, so none of its tables has more partitions than the links fill.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct().checkpoint()
-    while True:
+    parts = filled(links)
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct().coalesce(parts).checkpoint()
+    while not only_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
+        edges = (
             large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct().checkpoint()
+            .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct().coalesce(parts).checkpoint()
         )
-        if edges.exceptAll(small).isEmpty() and small.exceptAll(edges).isEmpty():
-            break
-        edges = small
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
+        edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct().coalesce(parts)
     )
 
 
+def only_stars(edges: DataFrame) -> bool:
+    """Whether each node is either tied to one smaller node or has larger ones tied to
+    it: then the smaller node of an edge is its component's smallest."""
+    ends = edges.select("u", F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("u"), F.lit(0).alias("up")))
+    return ends.groupBy("u").agg(F.sum("up").alias("up"), F.count(F.lit(1)).alias("n")).where("up > 0 AND n > 1").isEmpty()
+
+
 def rarity(sets: DataFrame) -> np.ndarray:
     """Counts of n-grams by the first bits of their hash, over as many sets (chosen by
     a hash of their node) as hold about 2^SKETCH_BITS n-grams: a bounded table."""
@@ -302,13 +324,14 @@ def rarity(sets: DataFrame) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """``node, size, gram, place, short``: the rarest n-grams of each set, as many as
-    a longer partner's bound needs; ``short`` marks those a shorter partner's needs."""
+    """``node, label, size, gram, place, short``: the rarest n-grams of each set (``node,
+    label, members``), as many as a longer partner's bound needs; ``short`` marks those a
+    shorter partner's needs."""
     counts = sets.sparkSession.sparkContext.broadcast(rarity(sets))
-    schema = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("gram", pa.int64()), ("place", pa.int64()), ("short", pa.bool_())])
+    schema = pa.schema([("node", pa.int64()), ("label", pa.int64()), ("size", pa.int64()), ("gram", pa.int64()), ("place", pa.int64()), ("short", pa.bool_())])
 
     def rows(batch):
-        for node, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for node, label, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
             s = np.frombuffer(x.as_py(), np.uint64)
             size = len(s)
             rare = counts.value[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
@@ -316,7 +339,7 @@ def prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
             short = size - -(-2 * num * size // (num + den)) + 1
             first = s[np.lexsort((s, rare))[:long]].view(np.int64)
             place = np.arange(1, len(first) + 1)
-            yield np.full(len(first), node), np.full(len(first), size), first, place, place <= short
+            yield np.full(len(first), node), np.full(len(first), label), np.full(len(first), size), first, place, place <= short
 
     def step(batches):
         for batch in batches:
@@ -324,7 +347,7 @@ def prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
                 if found := list(rows(batch.slice(at, 1000))):
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], schema=schema)
 
-    return scan(sets, ["node", "members"], step, "node long, size long, gram long, place long, short boolean")
+    return scan(sets, ["node", "label", "members"], step, "node long, label long, size long, gram long, place long, short boolean")
 
 
 def linked_components(hits: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -332,6 +355,7 @@ def linked_components(hits: DataFrame, sets: DataFrame, num: int, den: int) -> D
 
     ``hits`` (sig, node) holds the groups; nodes without a link have no row.
     """
+    parts = filled(hits)  # enough for tables of a row a node
     company = hits.groupBy("sig").agg(F.count(F.lit(1)).alias("company"))
     popular = hits.join(company, "sig").groupBy("node").agg(F.sum("company").alias("popular"))
     turn = F.struct("popular", (-F.col("node")).alias("last"))
@@ -339,7 +363,7 @@ def linked_components(hits: DataFrame, sets: DataFrame, num: int, den: int) -> D
     # of the centres of its groups each node is compared with the most popular one
     stars = (
         hits.join(centre, "sig").groupBy("node").agg(F.max("c").alias("c"))
-        .select(F.col("node").alias("a"), (-F.col("c.last")).alias("b")).where("a <> b").checkpoint()
+        .select(F.col("node").alias("a"), (-F.col("c.last")).alias("b")).where("a <> b").coalesce(parts).checkpoint()
     )
     del company, popular, centre
     # each step's result is a table of its own, so its shuffle files can go
@@ -351,10 +375,10 @@ def linked_components(hits: DataFrame, sets: DataFrame, num: int, den: int) -> D
 
     known = hits.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_groups = known.groupBy("sig").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
-    open_nodes = known.join(open_groups, "sig", "left_semi").select("node", "label").distinct().checkpoint()
+    open_nodes = known.join(open_groups, "sig", "left_semi").select("node", "label").distinct().coalesce(parts).checkpoint()
     del known, open_groups
     release_shuffles(spark)
-    rows = prefixes(by_ids(sets, open_nodes.select("node"), "node", "left_semi"), num, den).join(open_nodes, "node")
+    rows = prefixes(where_few(sets, open_nodes, "node"), num, den)
     x, y = rows.where("short").alias("x"), rows.alias("y")
     shorter_first = "(x.size < y.size OR x.size = y.size AND x.node < y.node)"
     enough = f"{num + den} * (least(x.size - x.place, y.size - y.place) + 1) >= {num} * (x.size + y.size)"
@@ -431,8 +455,8 @@ def one_row_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = rows.select(F.col(key).alias("k"), own_id.alias("id")).distinct()
     named = groups.join(ids, "k").checkpoint()
     first = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k")).alias("first"))
-    first = first.join(named.select("k", "times"), F.col("first.k") == F.col("k")).select("k", "times").checkpoint()
+    first = first.join(named.select("k", "times"), F.col("first.k") == F.col("k")).select("k", "times").coalesce(filled(named)).checkpoint()
     others = named.join(first, "k", "left_anti").select("k")
     several = first.where("times > 1").select("k")
-    alone = by_ids(rows, others.unionByName(several), key, "left_anti")
-    return alone.unionByName(by_ids(rows, several, key, "left_semi").dropDuplicates([key])).select(*docs.columns)
+    alone = by_ids(rows, others.unionByName(several), key, "left_anti", stored=True)
+    return alone.unionByName(by_ids(rows, several, key, "left_semi", stored=True).dropDuplicates([key])).select(*docs.columns)

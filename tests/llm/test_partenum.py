@@ -1,5 +1,6 @@
 """Similarity groups against brute force over all pairs."""
 
+import os
 import random
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 
 from frames import docs, workers  # noqa: F401 - fixtures
 from stratum.llm import partenum
-from stratum.llm.common import words_of
+from stratum.llm.common import by_ids, words_of
 
 
 def grams(text, n):
@@ -89,3 +90,63 @@ def test_one_of_each_keeps_columns_and_null_ids(spark, docs):
     kept = partenum.one_of_each(docs([(3, long), (2, long), (None, long), (9, "other text")]))
     assert kept.columns[:2] == ["doc_id", "text"] and "label" in kept.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [2, 9, None]
+
+
+def union_find(pairs):
+    root = {x: x for p in pairs for x in p if p[0] != p[1]}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        if a != b:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return {x: find(x) for x in root}
+
+
+def files_under(path):
+    return sum(len(names) for _, _, names in os.walk(path.removeprefix("file:")))
+
+
+def test_components_write_few_files_for_few_links(spark, monkeypatch):
+    """A file is three processes that an executor starts; few links need no partition for each of a shuffle."""
+    r = random.Random(11)
+    chain = list(range(0, 60))
+    r.shuffle(chain)
+    graphs = [
+        [], [(5, 5)], [(1, 2), (1, 3), (7, 9)], [(2, 1), (1, 2), (3, 3)], list(zip(chain, chain[1:])),
+        [(r.randrange(400), r.randrange(400)) for _ in range(330)], [(-(1 << 63), (1 << 63) - 1), (0, (1 << 63) - 1)],
+    ]
+    own = spark.sparkContext.getCheckpointDir()
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "20")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for k, pairs in enumerate(graphs):
+            links = spark.createDataFrame(pairs, "a long, b long")
+            before = files_under(own)
+            got = partenum.components(links)
+            assert {x.node: x.label for x in got.collect()} == union_find(pairs), k
+            assert got.count() == len(union_find(pairs)), k  # a row a node
+            assert files_under(own) - before < 40, k
+        # several partitions, as many as the links fill
+        monkeypatch.setattr(partenum, "PART_ROWS", 100)
+        got = partenum.components(spark.createDataFrame(graphs[5], "a long, b long"))
+        assert {x.node: x.label for x in got.collect()} == union_find(graphs[5])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_stored_ids_write_nothing(spark, docs):
+    frame = docs([(k, "x") for k in (1, 2, 2, 3, None)])
+    ids = spark.createDataFrame([(2,), (2,), (None,), (9,)], "k long")
+    before = files_under(spark.sparkContext.getCheckpointDir())
+    for how, want in (("left_semi", [2, 2]), ("left_anti", [1, 3, None])):
+        got = by_ids(frame, ids, "doc_id", how, stored=True)
+        assert sorted((x.doc_id for x in got.collect()), key=str) == want
+        assert got.columns == frame.columns
+    assert files_under(spark.sparkContext.getCheckpointDir()) == before
