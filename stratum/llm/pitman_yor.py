@@ -21,7 +21,8 @@ T of the sweep before. After ``BURN`` sweeps the predictive probabilities of
 How it runs: one pass over the texts deals every token, with the one before it and its
 text, to a grid of cells by context and word, and every word to groups of neighbouring
 hashes; Spark shuffles them packed, a few bytes a token, and the merged cells and groups
-are written once. A sweep is two exchanges: cells tell the groups how many tables their
+are written once, a cell's texts in pieces: no row, batch or row group is much larger than
+a few megabytes, whatever a cell holds, and workers hand back what they have freed. A sweep is two exchanges: cells tell the groups how many tables their
 pairs have by word and by context, groups answer with what the next draw needs. A pair that
 occurs once has one table whatever the rest, so sweeps only carry the pairs that occur more
 often; the others are counted by word and by context once. In the end every cell scores
@@ -45,6 +46,7 @@ Whole texts are read.
 from __future__ import annotations
 
 from collections import Counter
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import lru_cache, reduce
 from itertools import chain
@@ -69,8 +71,11 @@ STOP = 0x20  # closes a spelled word: no word holds a space
 CHUNK = 1_800_000
 #: Tokens of a text that stay in one chunk.
 PIECE = 500_000
-#: Pairs of a cell that are scored at a time.
+#: Pairs and tokens of a cell that are stored and scored at a time.
 SLICE = 300_000
+#: Bytes of an Arrow batch or a Parquet row group, about: larger ones grow by copies on
+#: either side of a Python worker's pipe.
+BATCH_BYTES = 4 << 20
 #: Bytes of text to a cell, on average.
 CELL_BYTES = 16_000_000
 
@@ -230,14 +235,46 @@ def messages(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["at", "kind", "src", "blob"])
 
 
+@contextmanager
+def small_batches(spark):
+    """Spark's limit for batches that go to Python, 64 MB, lowered for a while."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(name, None)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if own is None else spark.conf.set(name, own)
+
+
+@lru_cache(maxsize=1)
+def c_library():
+    import ctypes
+
+    return ctypes.CDLL(None)
+
+
+def hand_back() -> None:
+    """Memory that a step has freed goes back to the system: workers are reused, and
+    what they keep for themselves is missing in their executor."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(c_library(), "malloc_trim"):  # of glibc
+        c_library().malloc_trim(0)
+
+
 def met(frames: list[DataFrame], step, schema: str = MESSAGE) -> DataFrame:
-    """``step(at, {kind: {src: arrays}})`` for every cell or group that messages go to."""
+    """``step(at, {kind: {src: arrays}})`` for every cell or group that messages go to; bodies
+    come packed, as there may be many."""
 
     def one(key, table):
         got: dict[int, dict[int, list[np.ndarray]]] = {}
         for kind, src, blob in sorted(zip(*(table.column(c).to_pylist() for c in ("kind", "src", "blob"))), key=lambda x: x[:2]):
-            got.setdefault(kind, {})[src] = unpack(blob, wide=kind != BODY)
-        return step(key[0].as_py(), got)
+            got.setdefault(kind, {})[src] = blob if kind == BODY else unpack(blob)
+        del table
+        out = step(key[0].as_py(), got)
+        got.clear()
+        hand_back()
+        return out
 
     return reduce(DataFrame.unionByName, frames).groupBy("at").applyInArrow(one, schema)
 
@@ -249,6 +286,7 @@ def each(frame: DataFrame, step, schema: str = MESSAGE) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 yield from step(row).combine_chunks().to_batches()
+        hand_back()
 
     return frame.mapInArrow(run, schema)
 
@@ -311,10 +349,21 @@ def dealt(docs: DataFrame, id_col: str, text_col: str, held_col: str, grid: Grid
                 part = [spelled[i] for i in order[lo:hi]]
                 yield 0, at, pack(gaps(h[lo:hi]), np.array([len(x) for x in part]), np.frombuffer(b"".join(part), np.uint8), c[lo:hi])
 
-    def batch_of(*chunk):
-        kinds, ats, blobs = zip(*rows(*chunk))
+    def batch_of(out):
+        kinds, ats, blobs = zip(*out)
         return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(ats, pa.int32()), pa.array(blobs, pa.binary())], names=["kind", "at", "blob"])
 
+    def batches_of(*chunk):
+        out, size = [], 0
+        for row in rows(*chunk):
+            out.append(row)
+            size += len(row[2])
+            if size >= BATCH_BYTES:
+                yield batch_of(out)
+                out, size = [], 0
+        if out:
+            yield batch_of(out)
+
     def step(batches):
         words, last, first, tokens, ids, held, size = Numbers(), b"", b"", [], [], [], 0
         for batch in batches:
@@ -329,17 +378,21 @@ def dealt(docs: DataFrame, id_col: str, text_col: str, held_col: str, grid: Grid
                     held.append(bool(out))
                     last, size = part[-1], size + len(part)
                     if size >= CHUNK or len(tokens) >= 1 << 19:
-                        yield batch_of(words, first, tokens, ids, held)
+                        yield from batches_of(words, first, tokens, ids, held)
                         words, first, tokens, ids, held, size = Numbers(), last, [], [], [], 0
+                        hand_back()
         if tokens:
-            yield batch_of(words, first, tokens, ids, held)
+            yield from batches_of(words, first, tokens, ids, held)
+        del words, tokens, ids, held
+        hand_back()
 
     rows_in = docs.select(docs[id_col].cast("long").alias("id"), docs[held_col].alias("held"), docs[text_col].alias("text"))
     return scan(rows_in, ["id", "held", "text"], step, "kind int, at int, blob binary")
 
 
-#: Of a cell: its hashes, what each says of its pairs, the pairs seated in sweeps, all
-#: pairs with their texts. Of a group: hashes, training counts, none, spellings.
+#: Of a group (kind 0): hashes, training counts, none, spellings. Of a cell (1): its hashes,
+#: what each says of its pairs, the pairs seated in sweeps, its texts. Of a cell's pieces
+#: (from 2 on): all pairs with their texts, as bodies.
 STORED = "kind int, at int, keys binary, counts binary, seated binary, body binary"
 
 
@@ -348,23 +401,44 @@ def stored(kind: int, at: int, *blobs: bytes) -> pa.Table:
 
 
 def cell_row(at: int, us, ws, ui, wi, c, *texts: np.ndarray) -> pa.Table:
-    """A cell of pairs in order of ``ui``, ``wi`` (places in the ascending hashes)."""
+    """A cell of pairs in order of ``ui``, ``wi`` (places in the ascending hashes); of its
+    ``texts`` the places of each pair's, where these begin, then ids and nulls."""
     once = c == 1
     more = np.flatnonzero(c > 1)
     su, u_at = np.unique(ui[more], return_inverse=True)
     sw, w_at = np.unique(wi[more], return_inverse=True)
-    return stored(
+    cell = stored(
         1, at, pack(gaps(us), gaps(ws)),
         pack(np.bincount(wi[once], minlength=len(ws)), np.bincount(ui[once], minlength=len(us)), np.bincount(ui, c, len(us)).astype(np.int64)),
         pack(gaps(us[su]), gaps(ws[sw]), np.bincount(u_at, minlength=len(su)), w_at, c[more]),
-        pack(np.bincount(ui, minlength=len(us)), wi, c, *texts),
+        pack(*texts[2:]) if texts else b"",
     )
+    if not texts:
+        return cell
+    doc, begin = texts[:2]
+    ends, many = np.append(begin, len(doc)), spans(c > 1)
+    piece = (begin + np.arange(len(c))) // SLICE
+    cuts = np.append(np.flatnonzero(np.diff(piece, prepend=-1)), len(c))
+    pieces = [
+        stored(2 + k, at, b"", b"", b"", pack(
+            np.array([ui[lo], many[lo]]), np.bincount(ui[lo:hi] - ui[lo]), wi[lo:hi], c[lo:hi], np.diff(ends[lo : hi + 1]), doc[ends[lo] : ends[hi]],
+        ))
+        for k, (lo, hi) in enumerate(zip(cuts, cuts[1:]))
+    ]
+    return pa.concat_tables([cell, *pieces])  # a batch each
 
 
 def gathered(key, table):
-    """What the chunks of the pass sent to a cell or a group, as one row."""
+    """What the chunks of the pass sent to a cell or a group, as it is stored."""
     kind, at = (k.as_py() for k in key)
-    parts = [unpack(b, wide=False) for b in sorted(table.column("blob").to_pylist())]
+    blobs = sorted(table.column("blob").to_pylist())
+    del table
+    out = merged(kind, at, [unpack(b, wide=False) for b in blobs])
+    hand_back()
+    return out
+
+
+def merged(kind: int, at: int, parts: list[list[np.ndarray]]) -> pa.Table:
     if kind == 0:
         h = np.concatenate([keys_of(x[0]) for x in parts])
         h, first, which = np.unique(h, return_index=True, return_inverse=True)
@@ -378,7 +452,7 @@ def gathered(key, table):
     doc = np.concatenate([x[5].astype(np.uint32) + np.uint32(s) for x, s in zip(parts, spans([len(x[6]) for x in parts]))])
     ids = np.concatenate([np.cumsum(x[6].astype(np.int64)) for x in parts])
     null, held = (np.concatenate([x[i] for x in parts]) for i in (7, 8))
-    del parts
+    parts.clear()
     order = np.argsort(pair, kind="stable")
     pair, starts, n = pair[order], spans(n)[:-1][order], n[order]
     del order
@@ -391,7 +465,7 @@ def gathered(key, table):
     first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
     pair, begin = pair[first], begin[first]
     c = np.add.reduceat((~held)[doc], begin, dtype=np.int64)
-    return cell_row(at, us, ws, pair >> 32, pair & 0xFFFFFFFF, c, np.diff(begin, append=len(doc)), doc, np.diff(ids, prepend=0), null)
+    return cell_row(at, us, ws, pair >> 32, pair & 0xFFFFFFFF, c, doc, begin, np.diff(ids, prepend=0), null)
 
 
 def spellings(lengths: np.ndarray, data: np.ndarray) -> pa.LargeBinaryArray:
@@ -817,11 +891,18 @@ def train(words: DataFrame, pairs: DataFrame, burn: int = BURN, kept: int = KEPT
 
 def score(docs: DataFrame, held_col: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Train on the rows with a false ``held_col`` and score every text."""
+    with small_batches(docs.sparkSession):
+        return scored(docs, held_col, id_col, text_col)
+
+
+def scored(docs: DataFrame, held_col: str, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length(docs[text_col])), F.lit(0))).first()[0]
     grid = Grid.over(-(-size // CELL_BYTES))
     path = scratch(spark, "word-pairs")
-    dealt(docs, id_col, text_col, held_col, grid).groupBy("kind", "at").applyInArrow(gathered, STORED).write.parquet(path)
+    # sizes are looked at after every row, as few rows are many bytes
+    small = {"parquet.block.size": BATCH_BYTES, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1}
+    dealt(docs, id_col, text_col, held_col, grid).groupBy("kind", "at").applyInArrow(gathered, STORED).write.options(**small).parquet(path)
     release_shuffles(spark)
     store = spark.read.schema(STORED).parquet(path)
     types, model = sample(store, grid, BURN, KEPT, 1)
@@ -849,26 +930,24 @@ def score(docs: DataFrame, held_col: str, id_col: str = "doc_id", text_col: str
         return messages(out)
 
     def scores(at, got):
-        n_pairs, word, count, tokens, doc, ids, null = got[BODY][0]
+        ids, null = unpack(got[BODY].pop(0), wide=False)
         seen, customers, *state = answers(got)
         base = np.log10((seen + 0.5) / (n_train + 0.5 * (n_types + 1)))
-        context = np.repeat(np.arange(len(n_pairs), dtype=np.uint32), n_pairs)
-        begin, tables_at = spans(tokens), spans(count > 1)
         sums = np.zeros((5, len(ids)))
-        for lo in range(0, len(count), SLICE):
-            hi = min(lo + SLICE, len(count))
-            u, w, c, n = context[lo:hi], word[lo:hi], count[lo:hi].astype(np.int64), tokens[lo:hi]
+        for blob in got[BODY].values():
+            (first, seated), n_pairs, w, c, n, texts = unpack(blob, wide=False)
+            u, c, n = first.astype(np.int64) + np.repeat(np.arange(len(n_pairs)), n_pairs), c.astype(np.int64), n.astype(np.int64)
+            more = c > 1
             mean, mean_open = np.zeros(len(c)), np.zeros(len(c))
             for s, q, tables in zip(sweeps, state[::2], state[1::2]):
                 p = np.where(seen[w] > 0, q[w], s.probability(0, 0, 1 - s.mass))  # unseen words are one event
                 t = np.minimum(c, 1)
                 if TABLES in got:
-                    t[c > 1] = got[TABLES][s.number][0][tables_at[lo] : tables_at[hi]]
+                    t[more] = got[TABLES][s.number][0][seated : int(seated) + more.sum()]
                 own, new = c - PAIR_D * t, PAIR_THETA + PAIR_D * tables[u]
                 below = (PAIR_THETA + customers[u]) * len(sweeps)
                 mean += (own + new * p) / below
                 mean_open += (own + new * q[w]) / below
-            texts = doc[begin[lo] : begin[hi]]
             logs = (np.log10(np.maximum(x, 1e-300)) for x in (mean, mean_open))
             for k, x in enumerate((np.ones(len(c)), seen[w] > 0, base[w], *logs)):
                 sums[k] += np.bincount(texts, np.repeat(x, n), len(ids))
@@ -881,7 +960,7 @@ def score(docs: DataFrame, held_col: str, id_col: str = "doc_id", text_col: str
         return messages([(g, BODY, at, pack(np.diff(ids[i], prepend=0), null[i], n[i], known[i], base[i], scored[i], (opened - scored)[i])) for g, i in parts])
 
     def summed(at, got):
-        parts = [[np.cumsum(ids.astype(np.int64)), *rest] for ids, *rest in got[BODY].values()]
+        parts = [[np.cumsum(ids.astype(np.int64)), *rest] for ids, *rest in (unpack(x, wide=False) for x in got[BODY].values())]
         ids, null, n, known, base, scored, more = (np.concatenate(x) for x in zip(*parts))
         texts, which = np.unique(np.stack([ids, null.astype(np.int64)]), axis=1, return_inverse=True)
         n, known = (np.bincount(which, x).astype(np.int64) for x in (n, known))
@@ -892,9 +971,10 @@ def score(docs: DataFrame, held_col: str, id_col: str = "doc_id", text_col: str
 
     cells = of_kind(store, 1)
     replies = met([types, *(state for _, state, _ in model), each(cells.select("at", "keys"), asked)], answer)
-    bodies = cells.select("at", F.lit(BODY).alias("kind"), F.lit(0).alias("src"), F.col("body").alias("blob"))
+    bodies = store.where("kind > 0").select("at", F.lit(BODY).alias("kind"), (F.col("kind") - 1).alias("src"), F.col("body").alias("blob"))
     parts = met([bodies, replies, *(tables for _, _, tables in model)], scores)
-    return met([parts], summed, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double, open_score double")
+    # at once, while batches are small, in no more files than there are groups
+    return met([parts], summed, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double, open_score double").coalesce(grid.groups).checkpoint()
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

@@ -93,3 +93,33 @@ def test_scores_in_many_cells_are_the_scores_in_one(spark, docs, monkeypatch):
     for k, x in whole.items():
         y = parts[k]
         assert x[1:4] == y[1:4] and np.allclose(x[4:], y[4:]), k
+
+
+def test_rows_and_batches_stay_small_in_a_large_cell(spark, docs, monkeypatch):
+    """An executor's memory: a cell's texts are stored in pieces, in small row groups, and
+    batches to Python are small; other cells and
+    pieces only round otherwise, which turns a draw here and there."""
+    from pyspark.sql import functions as F
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    paths, limits, own = [], [], spark.conf.get(name)
+    scratch, sample = pitman_yor.scratch, pitman_yor.sample
+    monkeypatch.setattr(pitman_yor, "scratch", lambda *x: paths.append(scratch(*x)) or paths[-1])
+    monkeypatch.setattr(pitman_yor, "sample", lambda *x: limits.append(int(spark.conf.get(name).removesuffix("b"))) or sample(*x))
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(f"w{k}" for k in rng.zipf(1.2, 1500) % 20000)) for i in range(400)]
+    frame = docs(rows, extra=False).repartition(2).withColumn("held", F.col("doc_id") % 5 == 1).checkpoint()
+
+    def run():
+        return {x.doc_id: x for x in pitman_yor.score(frame, "held").collect()}
+
+    whole = run()
+    largest = spark.read.parquet(paths[0]).where("kind > 0").agg(F.max(F.octet_length("body"))).first()[0]
+    assert largest < 3 * pitman_yor.SLICE, largest
+    assert limits[0] <= 4 << 20 and spark.conf.get(name) == own
+    monkeypatch.setattr(pitman_yor, "CELL_BYTES", 300_000)  # of the driver alone
+    parts = run()
+    assert whole.keys() == parts.keys() and len(whole) == 400
+    for k, x in whole.items():
+        y = parts[k]
+        assert x.n_tokens == 1501 and x[1:4] == y[1:4] and np.allclose(x[4:], y[4:], rtol=1e-3), k
