@@ -21,11 +21,12 @@ T of the sweep before. After ``BURN`` sweeps the predictive probabilities of
 How it runs: one pass over the texts deals every token, with the one before it and its
 text, to a grid of cells by context and word, and every word to groups of neighbouring
 hashes; Spark shuffles them packed, a few bytes a token, and the merged cells and groups
-are written once, a cell's texts in pieces: no row, batch or row group is much larger than
-a few megabytes, whatever a cell holds, and workers hand back what they have freed. A sweep is two exchanges: cells tell the groups how many tables their
-pairs have by word and by context, groups answer with what the next draw needs. A pair that
-occurs once has one table whatever the rest, so sweeps only carry the pairs that occur more
-often; the others are counted by word and by context once. In the end every cell scores
+are written once, a cell's texts in pieces, so that batches and row groups stay at a few
+megabytes (the texts of one pair stay together, and a cell's hashes and seats), and workers
+hand back what they have freed. A sweep is two exchanges: cells tell the groups how many
+tables their pairs have by word and by context, groups answer with what the next draw needs.
+A pair that occurs once has one table whatever the rest, so sweeps only carry the pairs that
+occur more often; the others are counted by word and by context once. In the end every cell scores
 its own pairs, adds them up by text, and the sums of a text meet. What comes to the driver
 per sweep is the histogram of letter trigrams, at most 2^24 entries whatever the corpus, and the letter
 restaurants (a bounded table too) are seated there. Randomness is a hash of word or pair and
