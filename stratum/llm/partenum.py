@@ -30,7 +30,9 @@ the members of a large family of loose copies don't meet each other in pairs. Th
 order comes from a table of 2^SKETCH_BITS counts; any order gives the same links.
 
 Hashes are 64 bits wide (words, n-grams, sets), as everything here is equal up to
-collisions of those.
+collisions of those. Where signatures meet, they and the names of their sets travel
+packed, with KEY_BITS of their hashes: what agrees in those by chance is verified on
+whole sets like the rest, and two sets that do and share a signature are taken for one there.
 
 Defined results: null or empty text, or text without words, has an empty set and
 links with nothing; a text of fewer words than n has one n-gram, all its words;
@@ -45,17 +47,25 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.common import BROADCAST_IDS, WordHashes, by_ids, mix, release_shuffles, scan, words_of
+from stratum.llm.pitman_yor import gaps, hand_back, keys_of, pack, small_batches, unpack
 
 #: Parts of a partition, and the subsets of them: all pairs.
 PARTS, SUBSETS = 3, ((0, 1), (0, 2), (1, 2))
 #: Ends of a band, as a power of den / num (1 or more); at this one sets have fewest signatures.
 BAND = 1.25
-#: Parts that the rows of one very common signature are spread over.
-SPREAD = 1 << 20
+#: Bits of a signature's and a set's hash that travel. Signatures or sets that agree in them
+#: by chance are candidates more, which are verified like the others.
+KEY_BITS = 48
+#: Signatures that a task gathers before it deals them out.
+BATCH_ROWS = 1_000_000
+#: Bytes of a batch of packed signatures, about.
+ROWS_BYTES = 1 << 20
+#: N-grams to a cell where signatures meet, on average: about as many signatures.
+CELL_GRAMS = 1_250_000
 #: Rows that fill a partition of a table of links or nodes (two or three numbers each).
 PART_ROWS = 100_000
 #: Bits of the table of n-gram frequencies that orders sets rare-first (its size is fixed).
@@ -152,6 +162,8 @@ def each_set(batches, n: int):
             part = batch.slice(at, 256)
             for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 yield doc, shingles(hashes.of(words_of(text)), n)
+    del hashes
+    hand_back()
 
 
 def in_chunks(rows, schema: pa.Schema, size: int = 20_000):
@@ -180,22 +192,67 @@ def set_table(docs: DataFrame, n: int) -> DataFrame:
     return scan(docs, ["id", "text"], step, "id long, set_id long, n_shingles long")
 
 
-def signature_table(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """``sig, part, set_id``: the signatures of the distinct sets of each batch.
+def listed(marks: np.ndarray, keys: np.ndarray) -> bytes:
+    """Rows of (mark, key), sorted by both, as one value: each mark once, as a difference."""
+    starts = np.flatnonzero(np.diff(marks, prepend=~marks[:1]))
+    return pack(np.diff(starts, append=len(marks)), gaps(marks[starts]), keys)
 
-    Of the sets of a batch with one signature two speak for them, in part 0. The rows
-    of the others are known to be shared, so they are spread over parts of their own: a
-    signature that very many sets have takes two rows a batch in any one place.
-    """
-    schema = pa.schema([("sig", pa.int64()), ("part", pa.int32()), ("set_id", pa.int64())])
 
-    def marked(sigs: list[np.ndarray], owners: list[int]) -> pa.RecordBatch:
-        sig, owner = np.concatenate(sigs), np.repeat(np.array(owners, np.int64), [len(x) for x in sigs])
-        order = np.argsort(sig, kind="stable")
-        third = np.zeros(len(sig), bool)
-        third[order[2:]] = sig[order[2:]] == sig[order[:-2]]
-        part = np.where(third, 1 + (mix(owner.view(np.uint64)) % np.uint64(SPREAD)).astype(np.int32), 0).astype(np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in (sig, part, owner)], schema=schema)
+def unlisted(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Marks and keys of several such lists."""
+    marks, keys = [], []
+    for value in values:
+        counts, steps, key = unpack(value)
+        marks.append(np.repeat(keys_of(steps), counts))
+        keys.append(key.astype(np.uint64))
+    none = [np.empty(0, np.uint64)]
+    return np.concatenate(marks or none), np.concatenate(keys or none)
+
+
+def low_ends(cells: int) -> np.ndarray:
+    """The smallest key of each cell: cells are equal ranges of keys."""
+    return np.array([-(-(c << KEY_BITS) // cells) for c in range(cells)], np.uint64)
+
+
+def distinct_rows(marks: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows, sorted by key and mark."""
+    order = np.lexsort((marks, keys))
+    marks, keys = marks[order], keys[order]
+    own = np.ones(len(keys), bool)
+    own[1:] = (keys[1:] != keys[:-1]) | (marks[1:] != marks[:-1])
+    return marks[own], keys[own]
+
+
+def signature_table(docs: DataFrame, n: int, num: int, den: int, cells: int) -> DataFrame:
+    """``cell, known, rows``: the signatures of the distinct sets of each batch, dealt to
+    cells and packed. A row is a set's mark and a signature's key, KEY_BITS of either's hash.
+
+    Of the sets of a batch with one signature two speak for them, in the signature's
+    cell. The rows of the others are known to be shared, so they are spread over the cells
+    by their sets: a signature that very many sets have takes two rows a batch in any one place.
+    """
+    schema = pa.schema([("cell", pa.int32()), ("known", pa.bool_()), ("rows", pa.binary())])
+    cut = np.uint64(64 - KEY_BITS)
+
+    def dealt(sigs: list[np.ndarray], owners: list[int]):
+        key = np.concatenate(sigs).view(np.uint64) >> cut
+        mark = np.repeat(np.array(owners, np.int64).view(np.uint64) >> cut, [len(x) for x in sigs])
+        order = np.argsort(key, kind="stable")
+        third = np.zeros(len(key), bool)
+        third[order[2:]] = key[order[2:]] == key[order[:-2]]
+        low = low_ends(cells)
+        own = (np.searchsorted(low, key, "right") - 1).astype(np.int32)
+        own[third] = mix(mark[third]) % np.uint64(cells)
+        order = np.lexsort((key, mark, own, third))
+        key, mark, own, third = (x[order] for x in (key, mark, own, third))
+        starts = np.flatnonzero((np.diff(own, prepend=-1) != 0) | (np.diff(third, prepend=third[:1])))
+        rows, size = [], 0
+        for at, end in zip(starts, np.append(starts[1:], len(own))):
+            rows.append((own[at], third[at], listed(mark[at:end], key[at:end] - (np.uint64(0) if third[at] else low[own[at]]))))
+            size += len(rows[-1][2])
+            if size > ROWS_BYTES or end == len(own):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                rows, size = [], 0
 
     def step(batches):
         signatures = Signatures(num, den)
@@ -208,13 +265,15 @@ def signature_table(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
             sigs.append(found)
             owners.append(own)
             rows += len(found)
-            if rows > 200_000:
-                yield marked(sigs, owners)
+            if rows > BATCH_ROWS:
+                yield from dealt(sigs, owners)
                 sigs, owners, rows, seen = [], [], 0, set()
         if rows:
-            yield marked(sigs, owners)
+            yield from dealt(sigs, owners)
+            sigs, owners, seen = [], [], set()
+        hand_back()
 
-    return scan(docs, ["id", "text"], step, "sig long, part int, set_id long")
+    return scan(docs, ["id", "text"], step, "cell int, known boolean, rows binary")
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, n: int, repeated: DataFrame | None = None) -> DataFrame:
@@ -327,7 +386,9 @@ def prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
     """``node, label, size, gram, place, short``: the rarest n-grams of each set (``node,
     label, members``), as many as a longer partner's bound needs; ``short`` marks those a
     shorter partner's needs."""
-    counts = sets.sparkSession.sparkContext.broadcast(rarity(sets))
+    spark = sets.sparkSession
+    counts = spark.sparkContext.broadcast(rarity(sets))
+    release_shuffles(spark)  # the sets were shuffled to be counted
     schema = pa.schema([("node", pa.int64()), ("label", pa.int64()), ("size", pa.int64()), ("gram", pa.int64()), ("place", pa.int64()), ("short", pa.bool_())])
 
     def rows(batch):
@@ -393,15 +454,29 @@ def linked_components(hits: DataFrame, sets: DataFrame, num: int, den: int) -> D
     return labels if more.isEmpty() else components(links.unionByName(more))
 
 
-def shared_signatures(docs: DataFrame, sets: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """``sig, node`` of the signatures that several sets have."""
-    group = Window.partitionBy("sig", "part")  # two rows a batch at most
-    shared = (
-        signature_table(docs, n, num, den)
-        .withColumn("lo", F.min("set_id").over(group)).withColumn("hi", F.max("set_id").over(group))
-        .where("part > 0 OR lo <> hi").dropDuplicates(["sig", "part", "set_id"]).select("sig", "set_id")
-    )
-    return shared.join(sets, "set_id").where("node IS NOT NULL").select("sig", "node").checkpoint()
+def shared_signatures(docs: DataFrame, sets: DataFrame, n: int, num: int, den: int, grams: int) -> DataFrame:
+    """``sig, node`` of the signatures that several sets have. ``grams`` is the number of
+    n-grams of all sets, of which a cell gets CELL_GRAMS at most."""
+    spark = docs.sparkSession
+    cells = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-grams // CELL_GRAMS))
+
+    def met(key, table):
+        at, known, rows = key[0].as_py(), table.column("known").to_pylist(), table.column("rows").to_pylist()
+        del table
+        marks, keys = distinct_rows(*unlisted([x for x, k in zip(rows, known) if not k]))
+        sure = distinct_rows(*unlisted([x for x, k in zip(rows, known) if k]))
+        del rows
+        starts = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+        several = np.repeat(np.diff(starts, append=len(keys)) > 1, np.diff(starts, append=len(keys)))
+        marks = np.concatenate([marks[several], sure[0]]).view(np.int64)
+        keys = np.concatenate([keys[several] + low_ends(cells)[at], sure[1]]).view(np.int64)
+        hand_back()
+        return pa.table({"sig": keys, "mark": marks})
+
+    shared = signature_table(docs, n, num, den, cells).groupBy("cell").applyInArrow(met, "sig long, mark long")
+    # sets of one mark, if there are any, are candidates like others
+    named = sets.where("node IS NOT NULL").select(F.shiftrightunsigned("set_id", 64 - KEY_BITS).alias("mark"), "node")
+    return shared.join(named, "mark").select("sig", "node").checkpoint()
 
 
 def similar_groups(
@@ -419,14 +494,16 @@ def similar_groups(
     ``unique_ids`` says that no id repeats, which spares a look for those that do.
     """
     docs = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    rows = set_table(docs, n).checkpoint()
-    sets = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("id").alias("node"))
-    hits = shared_signatures(docs, sets, n, num, den)
-    release_shuffles(docs.sparkSession)  # the signatures are the largest shuffle by far
-    repeated = None if unique_ids else rows.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select("id")
-    members = whole_sets(docs, hits.select("node"), n, repeated).checkpoint()
-    release_shuffles(docs.sparkSession)
-    labels = linked_components(hits, members, num, den)
+    with small_batches(docs.sparkSession):  # large ones leave an executor with memory that is filled once
+        rows = set_table(docs, n).checkpoint()
+        sets = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("id").alias("node"))
+        grams = rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+        hits = shared_signatures(docs, sets, n, num, den, grams)
+        release_shuffles(docs.sparkSession)  # the signatures are the largest shuffle by far
+        repeated = None if unique_ids else rows.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select("id")
+        members = whole_sets(docs, hits.select("node"), n, repeated).checkpoint()
+        release_shuffles(docs.sparkSession)
+        labels = linked_components(hits, members, num, den)
     known = sets.join(labels, "node", "left").select("set_id", F.coalesce("label", "node").alias("component_id"))
     return rows.join(known, "set_id", "left").select(
         F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component_id", "id").alias("component_id")

@@ -4,6 +4,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from frames import docs, workers  # noqa: F401 - fixtures
@@ -150,3 +151,64 @@ def test_stored_ids_write_nothing(spark, docs):
         assert sorted((x.doc_id for x in got.collect()), key=str) == want
         assert got.columns == frame.columns
     assert files_under(spark.sparkContext.getCheckpointDir()) == before
+
+
+def test_signatures_travel_in_a_few_bytes_each(spark, docs, monkeypatch):
+    """What is in shuffle files while signatures meet, also where each task has few for a partition."""
+    r = random.Random(5)
+    rows = [(k, " ".join(f"w{r.randrange(10**6)}" for _ in range(100))) for k in range(5000)]
+    rows += [(10000 + k, rows[k][1]) for k in range(5)]
+    signatures = partenum.Signatures(80, 100)
+    count = sum(len(signatures.of(next(partenum.each_set([batch_of(t)], 5))[1])) for _, t in rows)
+    frame = docs(rows, extra=False).coalesce(2).checkpoint()
+
+    def held():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).length() for i in range(files.size()))
+
+    grown, release = [], partenum.release_shuffles
+    release(spark)
+    before = held()
+    monkeypatch.setattr(partenum, "release_shuffles", lambda s: (grown.append(held() - before), release(s)))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        got = {x.doc_id: x.component_id for x in partenum.similar_groups(frame).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == {k: k % 10000 for k, _ in rows}
+    assert grown[0] < 14 * count, grown[0] / count
+
+
+def batch_of(text):
+    return pa.RecordBatch.from_pydict({"id": [0], "text": [text]})
+
+
+def test_common_signatures_over_many_batches_and_cells(spark, docs, monkeypatch):
+    """Copies and near copies that fill batch after batch: groups don't hang on how rows are dealt out."""
+    near = family(3, 90, 60, 4)
+    texts = near + near[:40] + [near[0]] * 60 + family(8, 20, 400, 30) + family(9, 30, 8, 1) + ["a b", "", None]
+    random.Random(2).shuffle(texts)
+    rows = [(k, t) for k, t in enumerate(texts, -20)]
+    want = brute(rows, 5, 80, 100)
+    frame = docs(rows, extra=False).repartition(3)
+    for batch, cell in ((400, 300), (10**6, 10**6), (1, 10**6)):
+        monkeypatch.setattr(partenum, "BATCH_ROWS", batch)
+        monkeypatch.setattr(partenum, "CELL_GRAMS", cell)
+        assert {x.doc_id: x.component_id for x in partenum.similar_groups(frame).collect()} == want
+
+
+def test_lists_of_marks_and_keys_come_back():
+    r = np.random.default_rng(1)
+    top = np.uint64((1 << partenum.KEY_BITS) - 1)
+    for size in (0, 1, 2, 900):
+        marks, keys = r.integers(0, 2**64, size, dtype=np.uint64) & top, r.integers(0, 2**64, size, dtype=np.uint64) & top
+        marks[size // 2 :] = marks[: size - size // 2]
+        if size > 1:
+            marks[:2], keys[:2] = (0, top), (top, 0)
+        order = np.lexsort((keys, marks))
+        got = partenum.unlisted([partenum.listed(marks[order], keys[order])] * bool(size))
+        assert got[0].tolist() == marks[order].tolist() and got[1].tolist() == keys[order].tolist()
+        for cells in (1, 7, 1000):
+            low = partenum.low_ends(cells)
+            assert low[0] == 0 and len(low) == cells and (np.diff(low) > 0).all() and low[-1] <= top
